@@ -20,9 +20,13 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The ASCII whitespace Python's str.strip() removes.
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip(c: str | Column) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: drop leading and trailing whitespace (no regex)."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def strict_int(c: str | Column) -> Column:

@@ -1,9 +1,9 @@
 """Joining a derived, usually small side (per stock, per stock-day) to trades.
 
-The small side is materialised with a reliable checkpoint, its row count is
-read back (cheap: it is already aggregated), and it is broadcast only under a
-proven bound.  Above the bound the join falls back to a shuffle join on the
-keys; AQE's skew-join handling then splits the partitions of hot keys on the
+The small side is materialised as a Parquet table in the shared folder (one
+job, lineage cut, row count observed on that write), and it is broadcast only
+under that proven bound.  Above the bound the join falls back to a shuffle
+join on the keys; AQE's skew-join handling then splits the partitions of hot keys on the
 trade side, so one stock holding a third of all trades does not land in one
 task.
 """
@@ -13,14 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.session import BROADCAST_MAX_ROWS, materialize
+from tradewatch.session import BROADCAST_MAX_ROWS, materialize_counted
 
 
 def bounded_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Materialise ``small``; report whether it is within the broadcast bound."""
-    small = materialize(small)
-    fits = small.limit(max_rows + 1).count() <= max_rows
-    return small, fits
+    small, rows = materialize_counted(small, "small_side")
+    return small, rows <= max_rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

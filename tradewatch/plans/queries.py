@@ -237,12 +237,19 @@ def q_tagged_records(spark, sf):
     return files.read_tagged(spark, path)
 
 
+def _written_tagged(spark, sf) -> DataFrame:
+    """The cleaner's output as the scoring job sees it: a written folder of tagged lines."""
+    path = scratch_path(spark, "clean")
+    clean.tagged_records(_lines(spark, sf)).write.mode("overwrite").text(path)
+    return src.read_lines(spark, path)
+
+
 def q_parse_tagged(spark, sf):
-    return clean.parse_tagged(clean.tagged_records(_lines(spark, sf)))
+    return clean.parse_tagged(_written_tagged(spark, sf))
 
 
 def q_parse_tagged_prices(spark, sf):
-    return clean.parse_tagged_prices(clean.tagged_records(_lines(spark, sf)))
+    return clean.parse_tagged_prices(_written_tagged(spark, sf))
 
 
 def q_trade_seconds(spark, sf):

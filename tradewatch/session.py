@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Row bound under which a derived side (one row per stock, or per stock and
 # day) is broadcast.  The bound is checked against the materialised row count,
@@ -31,6 +32,10 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tra
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # let the JIT compile large generated methods (wide CASE / parsing
+        # expressions) instead of interpreting them
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -68,7 +73,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tradewatch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder; cuts lineage, survives executor loss."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int]:
+    """Write ``df`` as a Parquet table in the shared folder; return it read back and its row count.
+
+    One job: the count is observed on the write itself.  Cuts lineage (later
+    stages never recompute it, even after an executor loss).  A reliable
+    ``checkpoint()`` would compute the plan twice (once for the action, once
+    for writing the checkpoint) unless cached first.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    return materialize_counted(df, name)[0]
