@@ -1,0 +1,135 @@
+"""Boundary cases of statistics and scoring (FIXTURES.md §4)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import closes_from_rows, trades_from_rows
+from tradewatch.functions import scoring
+from tradewatch.operators import prices, score, stats
+from tradewatch.profiles import LATEST_PAIR, POST_TRADE
+
+D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+
+def test_sample_versus_population_spread(spark):
+    t = trades_from_rows(spark, [("S", 100)] * 9 + [("S", 300), ("S", 1000)])
+    assert stats.large_trades(t, 3.0, "samp").count() == 0  # z = 2.941
+    large = stats.large_trades(t, 3.0, "pop").collect()  # z = 3.084
+    assert [r.quantity for r in large] == [1000]
+    z = {r.quantity: r.z_score for r in stats.trade_zscore(t).collect()}
+    assert z[1000] == pytest.approx(2.941, abs=1e-3)
+
+
+def test_small_group_never_large(spark):
+    t = trades_from_rows(spark, [("S", 1)] * 9 + [("S", 10**6)])
+    assert stats.large_trades(t, 3.0, "samp").count() == 0
+
+
+def test_single_trade(spark):
+    t = trades_from_rows(spark, [("S", 500)])
+    st = stats.stock_stats(t, "samp").first()
+    assert st.stddev_qty is None
+    assert stats.large_trades(t, 3.0, "samp").count() == 0
+    assert stats.large_trades(t, 3.0, "pop").count() == 0
+    c = closes_from_rows(spark, [("S", D1, 10.0)])
+    r = score.score(t, c, POST_TRADE).first()
+    assert r.size_score == 0.0 and r.price_change_pct == 0.0
+
+
+def test_constant_quantity(spark):
+    t = trades_from_rows(spark, [("S", 50)] * 12)
+    c = closes_from_rows(spark, [("S", D1, 10.0)])
+    pt = score.score(t, c, POST_TRADE).collect()
+    assert {r.size_score for r in pt} == {0.0}
+    lp = score.score(t, c, LATEST_PAIR).collect()
+    assert {r.stddev_qty for r in lp} == {1.0}  # floor max(0, 0.5, 1)
+    assert {r.size_score for r in lp} == {0.0}
+
+
+@pytest.mark.parametrize(
+    "change,points",
+    [(2.0, 0.0), (2.01, 8.04), (10.0, 40.0), (50.0, 40.0), (-5.0, 0.0)],
+)
+def test_price_score(spark, change, points):
+    v = spark.range(1).select(scoring.price_score(F.lit(change)).alias("p")).first().p
+    assert v == pytest.approx(points)
+
+
+def test_size_cap_and_negative_z(spark):
+    df = spark.createDataFrame([(10.0, 0.0, 2.0), (-3.0, 0.0, 1.0), (1.0, 0.0, 1.0)], "q double, a double, s double")
+    got = [r.x for r in df.select(scoring.size_score("q", "a", "s", False).alias("x")).collect()]
+    assert got == [60.0, 0.0, 15.0]
+
+
+def test_truncation_and_threshold(spark):
+    df = spark.createDataFrame([(60.0, 10.9), (30.0, 40.0)], "a double, b double")
+    got = [r.s for r in df.select(scoring.suspicion_score("a", "b").alias("s")).collect()]
+    assert got == [70, 70]  # 70.9 -> 70, not > 70
+
+
+def test_severity_bands(spark):
+    df = spark.createDataFrame([(69,), (70,), (89,), (90,)], "s int")
+    got = [r.v for r in df.select(scoring.severity("s").alias("v")).collect()]
+    assert got == ["low", "moderate", "moderate", "critical"]
+
+
+def test_missing_next_close_and_one_price(spark):
+    t = trades_from_rows(spark, [("S", 10), ("S", 20)], day=D2)
+    c = closes_from_rows(spark, [("S", D1, 10.0), ("S", D2, 11.0)])
+    ch = prices.post_trade_change(t, c).collect()
+    assert {r.price_change_pct for r in ch} == {0.0}  # last day of the stock: no next close
+    one = closes_from_rows(spark, [("S", D1, 10.0)])
+    pair = prices.price_change_latest_pair(one).first()
+    assert pair.price_change_pct == 0.0 and pair.prev_close is None
+
+
+def test_post_trade_uses_next_day_close(spark):
+    t = trades_from_rows(spark, [("S", 10)], day=D1)
+    c = closes_from_rows(spark, [("S", D1, 10.0), ("S", D2, 11.0)])
+    r = prices.post_trade_change(t, c).first()
+    assert r.close == 10.0 and r.next_close == 11.0 and r.price_change_pct == pytest.approx(10.0)
+
+
+def test_stock_without_price_kept(spark):
+    t = trades_from_rows(spark, [("S", 10), ("U", 20)])
+    c = closes_from_rows(spark, [("S", D1, 10.0)])
+    for profile in (POST_TRADE, LATEST_PAIR):
+        got = {r.stock: r.price_change_pct for r in score.score(t, c, profile).collect()}
+        assert got == {"S": 0.0, "U": 0.0}
+
+
+def test_large_trade_with_spike_reason(spark):
+    rows = [("S", 100)] * 20 + [("S", 10000)]
+    t = trades_from_rows(spark, rows, day=D1)
+    c = closes_from_rows(spark, [("S", D1, 100.0), ("S", D2, 110.0)])
+    hit = score.flagged(t, c, POST_TRADE).collect()
+    assert [(r.quantity, r.suspicion_score) for r in hit] == [(10000, 100)]
+    assert hit[0].reason.startswith("Large trade immediately before a price spike")
+    lp = score.flagged(t, c, LATEST_PAIR).collect()
+    assert hit and lp[0].reason.startswith("Large trade before price spike")
+
+
+def test_score_properties_on_events(spark):
+    from tradewatch.sources.events import daily_closes, load_trades
+
+    t = load_trades(spark, "/root/testdata/sf0.001")
+    c = daily_closes(t)
+    for profile in (POST_TRADE, LATEST_PAIR):
+        s = score.score(t, c, profile)
+        agg = s.agg(F.min("suspicion_score").alias("lo"), F.max("suspicion_score").alias("hi"), F.count("*").alias("n")).first()
+        assert 0 <= agg.lo and agg.hi <= 100 and agg.n == t.count()
+        f = score.flagged(t, c, profile)
+        assert f.join(s, "trade_id", "left_anti").count() == 0
+        assert f.where(F.col("suspicion_score") <= profile.threshold).count() == 0
+
+
+def test_results_independent_of_partitioning(spark):
+    from tradewatch.sources.events import daily_closes, load_trades
+
+    t = load_trades(spark, "/root/testdata/sf0.001")
+    a = {tuple(r) for r in score.flagged(t, daily_closes(t), POST_TRADE).collect()}
+    t8 = t.repartition(7, "trader_id")
+    b = {tuple(r) for r in score.flagged(t8, daily_closes(t8), POST_TRADE).collect()}
+    assert a == b and len(a) == 26

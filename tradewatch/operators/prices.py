@@ -19,8 +19,14 @@ from tradewatch.functions import scoring
 from tradewatch.operators.joins import join_small
 
 
-def _by_stock_date():
-    return Window.partitionBy("stock").orderBy("price_date")
+def one_close_per_day(closes: DataFrame) -> DataFrame:
+    """At most one close per (stock, day): the last observed, ties by the higher price.
+
+    Price sources may carry a day twice; joins on (stock, day) must not fan out.
+    """
+    key = F.struct("close_ts", "close")
+    last = closes.groupBy("stock", "price_date").agg(F.max_by(key, key).alias("c"))
+    return last.select("stock", "price_date", F.col("c.close").alias("close"), F.col("c.close_ts").alias("close_ts"))
 
 
 def latest_price(closes: DataFrame) -> DataFrame:
@@ -62,7 +68,7 @@ def price_change_latest_pair(closes: DataFrame) -> DataFrame:
 
 def post_trade_change(trades: DataFrame, closes: DataFrame) -> DataFrame:
     """Trade -> that day's close and the stock's next close; change % (0 if missing)."""
-    nx = next_close(closes).withColumnRenamed("price_date", "trade_date")
+    nx = next_close(one_close_per_day(closes)).withColumnRenamed("price_date", "trade_date")
     joined = join_small(trades, nx, ["stock", "trade_date"], "left")
     return joined.select(
         "trade_id", "stock", "trade_date", "close", "next_close",
@@ -90,7 +96,7 @@ def asof_next_price(trades: DataFrame, closes: DataFrame) -> DataFrame:
     spread over its days instead of sorted in one task.
     """
     days = trades.select("stock", F.col("trade_date").alias("price_date")).distinct()
-    obs = closes.select("stock", "price_date", "close", "close_ts")
+    obs = one_close_per_day(closes)
     marked = obs.withColumn("kind", F.lit(0)).unionByName(
         days.withColumn("kind", F.lit(1)).withColumn("close", F.lit(None).cast("double"))
         .withColumn("close_ts", F.lit(None).cast("timestamp_ntz")),

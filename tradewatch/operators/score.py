@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
 from tradewatch.operators.joins import join_small
-from tradewatch.operators.prices import next_close, price_change_latest_pair
+from tradewatch.operators.prices import next_close, one_close_per_day, price_change_latest_pair
 from tradewatch.operators.stats import stock_stats
 from tradewatch.profiles import Profile
 
@@ -25,7 +25,7 @@ SCORED_COLUMNS = [
 def with_price_move(trades: DataFrame, closes: DataFrame, profile: Profile) -> DataFrame:
     """Adds ``price_change_pct`` (0 when unknown)."""
     if profile.price_move == "post_trade":
-        nx = next_close(closes).withColumnRenamed("price_date", "trade_date")
+        nx = next_close(one_close_per_day(closes)).withColumnRenamed("price_date", "trade_date")
         joined = join_small(trades, nx, ["stock", "trade_date"], "left")
         return joined.withColumn("price_change_pct", scoring.price_change_pct("close", "next_close")).drop(
             "close", "next_close"

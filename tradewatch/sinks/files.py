@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewatch.operators.clean import split_tag
 
@@ -23,15 +24,22 @@ def run_id_from(ts) -> F.Column:
 
 def write_run(df: DataFrame, base: str, run_id: str) -> str:
     """Write ``df`` under ``base/run_id=<id>``, replacing only that run (dynamic overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").partitionBy("run_id").parquet(base)
+    (
+        df.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(base)
+    )
     return base
 
 
 def read_run(spark: SparkSession, base: str, schema, run_id: str) -> DataFrame:
     """One run's rows; the ``run_id`` filter prunes the other folders."""
-    full = schema.add("run_id", "string") if "run_id" not in schema.fieldNames() else schema
+    # StructType.add mutates; build a new schema instead
+    full = T.StructType(list(schema.fields) + [T.StructField("run_id", T.StringType())])
+    if "run_id" in schema.fieldNames():
+        full = schema
     return spark.read.schema(full).parquet(base).where(F.col("run_id") == run_id)
 
 
