@@ -133,3 +133,14 @@ def test_results_independent_of_partitioning(spark):
     t8 = t.repartition(7, "trader_id")
     b = {tuple(r) for r in score.flagged(t8, daily_closes(t8), POST_TRADE).collect()}
     assert a == b and len(a) == 26
+
+
+def test_exact_median_matches_builtin(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", 1.0), ("c", 1.0), ("c", 3.0), ("c", 10.0), ("d", None)],
+        "g string, v double",
+    )
+    got = {r.g: r.median for r in stats.exact_median(df, "g", "v").collect()}
+    assert got == {"a": 1.5, "b": 5.0, "c": 2.0}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
+    assert got == want

@@ -135,7 +135,8 @@ def prices_lookback(prices: DataFrame, symbols: DataFrame, as_of: str, days: int
 
 
 def symbols_without_prices(symbols: DataFrame, prices: DataFrame) -> DataFrame:
-    return symbols.join(prices.select("stock"), "stock", "left_anti")
+    priced = prices.select("stock").distinct()  # pre-aggregated before the anti-join
+    return symbols.join(priced, "stock", "left_anti")
 
 
 def history_frame(closes: DataFrame) -> DataFrame:

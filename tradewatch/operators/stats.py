@@ -7,7 +7,7 @@ broadcast rather than a window over all trades of a stock.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
@@ -47,15 +47,39 @@ def trade_zscore(trades: DataFrame) -> DataFrame:
     )
 
 
-def stock_profile(trades: DataFrame) -> DataFrame:
-    """Median price, largest and mean quantity, and the concentration mark.
+def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Exact (interpolated) median of ``value`` per ``group``: columns group, median.
 
-    ``median`` keeps a value -> count map per group (partial aggregation),
-    so memory follows distinct prices, not rows.
+    Counts (group, value) pairs first - distributed over both keys, so a hot
+    group is spread out - then walks each group's sorted distinct values with
+    a running count and averages the two middle ones.  Memory follows the
+    number of distinct values of a group, and the window frame spills, unlike
+    a per-group in-memory value map.
     """
-    agg = trades.groupBy("stock").agg(
-        F.median("price").alias("median_price"),
-        F.max("quantity").alias("max_qty"),
-        F.avg("quantity").alias("avg_qty"),
+    freq = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    running = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = freq.select(
+        group, value, "c",
+        F.sum("c").over(running).alias("upto"),
+        F.sum("c").over(Window.partitionBy(group)).alias("n"),
+    )
+    lo = F.floor((F.col("n") - 1) / 2)
+    hi = F.ceil((F.col("n") - 1) / 2)
+
+    def holds(rank):  # 0-based rank ``rank`` falls on this distinct value
+        return (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto"))
+
+    middle = ranked.where(holds(lo) | holds(hi))
+    return middle.groupBy(group).agg(
+        ((F.max(F.when(holds(lo), F.col(value))) + F.max(F.when(holds(hi), F.col(value)))) / 2).alias("median")
+    )
+
+
+def stock_profile(trades: DataFrame) -> DataFrame:
+    """Median price, largest and mean quantity, and the concentration mark."""
+    agg = trades.groupBy("stock").agg(F.max("quantity").alias("max_qty"), F.avg("quantity").alias("avg_qty"))
+    med = exact_median(trades, "stock", "price").withColumnRenamed("median", "median_price")
+    prof = agg.join(med, "stock", "left")
+    return prof.select(
+        "stock", "median_price", "max_qty", "avg_qty", (F.col("max_qty") > F.col("avg_qty") * 2).alias("concentrated")
     )
-    return agg.withColumn("concentrated", F.col("max_qty") > F.col("avg_qty") * 2)

@@ -435,6 +435,8 @@ SELECT trader_id, stock, quantity, CAST(printf('%.4f', price) AS DOUBLE) AS trad
        coalesce("timestamp", '') AS trade_time
 FROM clean_o"""
 
+ORACLE["parse_tagged_regex"] = ORACLE["parse_tagged"]
+
 ORACLE["parse_tagged_prices"] = _with(_CLEAN) + """
 SELECT coalesce(datetime, '') AS price_date, stock, CAST(printf('%.4f', price) AS DOUBLE) AS close_price
 FROM clean_p"""

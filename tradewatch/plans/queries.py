@@ -248,6 +248,10 @@ def q_parse_tagged(spark, sf):
     return clean.parse_tagged(_written_tagged(spark, sf))
 
 
+def q_parse_tagged_regex(spark, sf):
+    return clean.parse_tagged_regex(_written_tagged(spark, sf))
+
+
 def q_parse_tagged_prices(spark, sf):
     return clean.parse_tagged_prices(_written_tagged(spark, sf))
 
@@ -362,7 +366,7 @@ def q_stage_counts(spark, sf):
 def q_file_arrival_run(spark, sf):
     landing = scratch_path(spark, "landing")
     t = _trades(spark, sf)
-    files.write_csv(t.coalesce(1), landing)
+    files.write_csv(t, landing)  # one upload, written as parallel part files
     table = _table_name("suspicious_trades")
     q = run_on_arrival(
         spark, landing, ev.daily_closes(t), table, scratch_path(spark, "arrival_ckpt"), POST_TRADE, DETECTED_AT,
@@ -397,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "orders_csv_roundtrip": q_orders_csv_roundtrip,
     "parse_tagged": q_parse_tagged,
     "parse_tagged_prices": q_parse_tagged_prices,
+    "parse_tagged_regex": q_parse_tagged_regex,
     "post_trade_change": q_post_trade_change,
     "price_change_latest_pair": q_price_change_latest_pair,
     "prices_csv_roundtrip": q_prices_csv_roundtrip,

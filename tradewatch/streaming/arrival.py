@@ -1,10 +1,12 @@
 """File arrival: each orders CSV dropped in a landing folder triggers a full run.
 
-Structured Streaming file source (only ``*.csv``) -> ``foreachBatch``.  Each
-micro-batch holds one file (``maxFilesPerTrigger=1``), so an upload is scored
-against its own statistics and replaces the previous results, as an upload
-does in the reference.  The checkpoint lives in the shared folder, so a
-restarted query resumes with the next unseen file.
+Structured Streaming file source (only ``*.csv``) -> ``foreachBatch``.  The
+files that arrived since the last trigger form one run: they are scored
+against their own statistics (not history) and replace the previous
+results, as an upload does in the reference.  An upload may be many part
+files written in parallel; writers should move a finished upload into the
+landing folder at once.  The checkpoint lives in the shared folder, so a
+restarted query resumes with the next unseen files.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ def arrival_stream(spark: SparkSession, landing: str) -> DataFrame:
         spark.readStream.schema(schemas.TRADES)
         .option("header", True)
         .option("pathGlobFilter", CSV_GLOB)
-        .option("maxFilesPerTrigger", 1)
         .csv(landing)
     )
 
