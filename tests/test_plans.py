@@ -73,3 +73,22 @@ def test_events_scan_pushdown(spark):
     df = read_events(spark, SF).where(F.col("event_type") == "click").select("event_id")
     plan = plan_of(df)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
+
+
+def test_over_bound_side_falls_back_to_shuffle_join(spark):
+    from tradewatch.operators.joins import join_small
+
+    t = load_trades(spark, SF)
+    stats = t.groupBy("stock").agg(F.avg("quantity").alias("a"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = join_small(t, stats, "stock", "left", max_rows=4)  # 5 stocks > 4
+        plan = plan_of(small)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        wide = join_small(t, stats, "stock", "left", max_rows=5)
+        assert "BroadcastHashJoin" in plan_of(wide)
+        assert small.count() == wide.count() == t.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -13,16 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.session import BROADCAST_MAX_ROWS, materialize_counted
+from tradewatch.session import broadcast_max_rows, materialize_counted
 
 
-def bounded_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def bounded_small(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise ``small``; report whether it is within the broadcast bound."""
+    bound = broadcast_max_rows(small.sparkSession) if max_rows is None else max_rows
     small, rows = materialize_counted(small, "small_side")
-    return small, rows <= max_rows
+    return small, rows <= bound
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None) -> DataFrame:
     """``big JOIN small`` with a size-checked broadcast of ``small``."""
     small, fits = bounded_small(small, max_rows)
     if fits:

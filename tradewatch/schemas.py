@@ -84,5 +84,5 @@ ALERTS_EXPORT = T.StructType(
 # Stored results table (the dashboard's source).
 RESULTS_DDL = (
     "id STRING, trader_id STRING, stock STRING, quantity INT, reason STRING, "
-    "suspicion_score INT, detected_at TIMESTAMP"
+    "suspicion_score INT, detected_at TIMESTAMP_NTZ"
 )

@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 
 # Row bound under which a derived side (one row per stock, or per stock and
 # day) is broadcast.  The bound is checked against the materialised row count,
-# never assumed.
-BROADCAST_MAX_ROWS = 2_000_000
+# never assumed; a session can lower or raise it with BROADCAST_ROWS_CONF.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_ROWS_CONF = "tradewatch.broadcast.maxRows"
+
+
+def broadcast_max_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
 
 
 def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tradewatch") -> SparkSession:

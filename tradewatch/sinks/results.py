@@ -31,7 +31,9 @@ def to_results(flagged: DataFrame, detected_at: str | None = None) -> DataFrame:
     ``detected_at`` is the run's time as an argument (repeatable runs); the
     session clock is used only when none is given.
     """
-    when = F.lit(detected_at).cast("timestamp") if detected_at else F.current_timestamp()
+    # UTC wall-clock time without zone, as the reference's CURRENT_TIMESTAMP default
+    when = F.lit(detected_at) if detected_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    when = when.cast("timestamp_ntz")
     return flagged.select(
         alert_id("trade_id", "trader_id", "stock").alias("id"),
         "trader_id",
