@@ -37,11 +37,13 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tra
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+    )
+    if os.environ.get("TW_JIT_HUGE", "1") == "1":
         # let the JIT compile large generated methods (wide CASE / parsing
         # expressions) instead of interpreting them
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-    )
+        builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods").config(
+            "spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods"
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
