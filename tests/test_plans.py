@@ -92,3 +92,19 @@ def test_over_bound_side_falls_back_to_shuffle_join(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_stats_and_closes_single_pass_matches_separate(spark):
+    from tradewatch.operators import stats as st
+
+    t = load_trades(spark, SF)
+    s_side, c_side = st.stats_and_closes(t)
+    sep_stats = {tuple(r) for r in st.stock_stats(t, "samp").collect()}
+    one_stats = {tuple(r) for r in s_side.df.select("stock", "avg_qty", "stddev_qty", "trade_count").collect()}
+    assert {(a, round(b, 9), round(c, 9), d) for a, b, c, d in sep_stats} == {
+        (a, round(b, 9), round(c, 9), d) for a, b, c, d in one_stats
+    }
+    assert {tuple(r) for r in c_side.df.collect()} == {tuple(r) for r in daily_closes(t).collect()}
+    assert (s_side.rows, c_side.rows) == (5, 150)
+    # reading one level prunes the other level's folder
+    assert "PartitionFilters: [isnotnull(level" in plan_of(s_side.df)

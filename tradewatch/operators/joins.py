@@ -10,22 +10,38 @@ task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.session import broadcast_max_rows, materialize_counted
 
 
-def bounded_small(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise ``small``; report whether it is within the broadcast bound."""
-    bound = broadcast_max_rows(small.sparkSession) if max_rows is None else max_rows
-    small, rows = materialize_counted(small, "small_side")
-    return small, rows <= bound
+@dataclass(frozen=True)
+class Side:
+    """A derived side already written to the shared folder, with its proven row count."""
+
+    df: DataFrame
+    rows: int
+
+
+def small_side(df: DataFrame, name: str = "small_side") -> Side:
+    """Materialise ``df`` (one job) and keep its row count."""
+    table, rows = materialize_counted(df, name)
+    return Side(table, rows)
+
+
+def bounded_small(small: DataFrame | Side, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Materialise ``small`` unless it already is; report whether it is within the broadcast bound."""
+    side = small if isinstance(small, Side) else small_side(small)
+    bound = broadcast_max_rows(side.df.sparkSession) if max_rows is None else max_rows
+    return side.df, side.rows <= bound
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame | Side, on, how: str = "left", max_rows: int | None = None) -> DataFrame:
     """``big JOIN small`` with a size-checked broadcast of ``small``."""
-    small, fits = bounded_small(small, max_rows)
+    small_df, fits = bounded_small(small, max_rows)
     if fits:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+        return big.join(F.broadcast(small_df), on, how)
+    return big.join(small_df, on, how)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
-from tradewatch.operators.joins import join_small
+from tradewatch.operators.joins import Side, join_small
 from tradewatch.operators.prices import next_close, one_close_per_day, price_change_latest_pair
 from tradewatch.operators.stats import stock_stats
 from tradewatch.profiles import Profile
@@ -22,8 +22,10 @@ SCORED_COLUMNS = [
 ]
 
 
-def with_price_move(trades: DataFrame, closes: DataFrame, profile: Profile) -> DataFrame:
+def with_price_move(trades: DataFrame, closes: DataFrame | Side, profile: Profile) -> DataFrame:
     """Adds ``price_change_pct`` (0 when unknown)."""
+    if isinstance(closes, Side):
+        closes = closes.df
     if profile.price_move == "post_trade":
         nx = next_close(one_close_per_day(closes)).withColumnRenamed("price_date", "trade_date")
         joined = join_small(trades, nx, ["stock", "trade_date"], "left")
@@ -35,14 +37,16 @@ def with_price_move(trades: DataFrame, closes: DataFrame, profile: Profile) -> D
     return joined.withColumn("price_change_pct", F.coalesce(F.col("price_change_pct"), F.lit(0.0)))
 
 
-def score(trades: DataFrame, closes: DataFrame, profile: Profile) -> DataFrame:
+def score(trades: DataFrame, closes: DataFrame | Side, profile: Profile, stats: Side | None = None) -> DataFrame:
     """Every trade with its size, price and suspicion scores.
 
     ``stddev_qty`` is the spread actually used: raw sample sd (post_trade) or
-    the floored one (latest_pair).
+    the floored one (latest_pair).  ``stats`` may be passed in already
+    materialised (see ``stats.stats_and_closes``); otherwise it is computed.
     """
-    stats = stock_stats(trades, "samp").drop("trade_count")
-    df = join_small(trades, stats, "stock", "left")
+    if stats is None:
+        stats = stock_stats(trades, "samp")
+    df = join_small(trades, stats, "stock", "left").drop("trade_count")
     if profile.floor:
         df = df.withColumn("stddev_qty", scoring.floored_spread("avg_qty", "stddev_qty"))
     df = with_price_move(df, closes, profile)
@@ -59,5 +63,5 @@ def flag(scored: DataFrame, profile: Profile) -> DataFrame:
     return hit.select("trade_id", "trader_id", "stock", "quantity", why.alias("reason"), "suspicion_score")
 
 
-def flagged(trades: DataFrame, closes: DataFrame, profile: Profile) -> DataFrame:
-    return flag(score(trades, closes, profile), profile)
+def flagged(trades: DataFrame, closes: DataFrame | Side, profile: Profile, stats: Side | None = None) -> DataFrame:
+    return flag(score(trades, closes, profile, stats), profile)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
-from tradewatch.operators.joins import join_small
+from tradewatch.operators.joins import Side, join_small
 
 _SPREAD = {"samp": F.stddev_samp, "pop": F.stddev_pop}
 
@@ -25,6 +25,44 @@ def stock_stats(trades: DataFrame, spread: str = "samp") -> DataFrame:
     )
 
 
+def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
+    """Per-stock statistics and per-(stock, day) closes from ONE pass over trades.
+
+    ``GROUPING SETS ((stock), (stock, trade_date))`` aggregates both levels in
+    one scan with map-side partial aggregation; the result is written once to
+    the shared folder, partitioned by level (reads of one level prune the
+    other), and both row counts are observed on that write.  Used when the
+    closes derive from the same trades (the driver-table binding).
+    """
+    from pyspark.sql import Observation
+
+    from tradewatch.session import scratch_path
+
+    order = F.struct("trade_ts", "trade_id")
+    both = trades.groupingSets([["stock"], ["stock", "trade_date"]], "stock", "trade_date").agg(
+        F.grouping_id().alias("level"),  # 1: per stock, 0: per stock and day
+        F.avg("quantity").alias("avg_qty"),
+        F.stddev_samp("quantity").alias("stddev_qty"),
+        F.count(F.lit(1)).alias("trade_count"),
+        F.max_by("price", order).alias("close"),
+        F.max("trade_ts").alias("close_ts"),
+    )
+    spark = trades.sparkSession
+    path = scratch_path(spark, "stock_day_sides")
+    obs = Observation("stock_day_sides")
+    level = F.col("level")
+    both.observe(obs, F.count_if(level == 1).alias("stocks"), F.count_if(level == 0).alias("days")).write.mode(
+        "overwrite"
+    ).partitionBy("level").parquet(path)
+    table = spark.read.parquet(path)
+    counts = obs.get
+    stats = table.where(level == 1).select("stock", "avg_qty", "stddev_qty", "trade_count")
+    closes = table.where(level == 0).select(
+        "stock", F.col("trade_date").alias("price_date"), "close", "close_ts"
+    )
+    return Side(stats, int(counts["stocks"])), Side(closes, int(counts["days"]))
+
+
 def trades_with_stats(trades: DataFrame, stats: DataFrame, how: str = "left") -> DataFrame:
     return join_small(trades, stats, "stock", how)
 

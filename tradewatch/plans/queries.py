@@ -180,24 +180,28 @@ def q_union_prices(spark, sf):
 # --- scoring ----------------------------------------------------------------
 
 
-def q_score_post_trade(spark, sf):
+def _scored(spark, sf, profile, flag_only: bool) -> DataFrame:
     t = _trades(spark, sf)
-    return _r4(score.score(t, ev.daily_closes(t), POST_TRADE))
+    st, closes = stats.stats_and_closes(t)  # one pass over trades for both sides
+    if flag_only:
+        return score.flagged(t, closes, profile, st)
+    return _r4(score.score(t, closes, profile, st))
+
+
+def q_score_post_trade(spark, sf):
+    return _scored(spark, sf, POST_TRADE, False)
 
 
 def q_score_latest_pair(spark, sf):
-    t = _trades(spark, sf)
-    return _r4(score.score(t, ev.daily_closes(t), LATEST_PAIR))
+    return _scored(spark, sf, LATEST_PAIR, False)
 
 
 def q_flagged_post_trade(spark, sf):
-    t = _trades(spark, sf)
-    return score.flagged(t, ev.daily_closes(t), POST_TRADE)
+    return _scored(spark, sf, POST_TRADE, True)
 
 
 def q_flagged_latest_pair(spark, sf):
-    t = _trades(spark, sf)
-    return score.flagged(t, ev.daily_closes(t), LATEST_PAIR)
+    return _scored(spark, sf, LATEST_PAIR, True)
 
 
 def _results_frame(spark, sf) -> DataFrame:
