@@ -114,3 +114,10 @@ def test_file_arrival_stream(spark, tmp_dir):
     got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in spark.table(table).collect()}
     assert got == SAMPLE_FLAGGED
     assert POST_TRADE.threshold == 70
+
+
+def test_untruncated_print_of_results(spark, capsys):
+    hits = score.flagged(sample_trades(spark), sample_closes(spark), LATEST_PAIR)
+    hits.show(truncate=False)
+    out = capsys.readouterr().out
+    assert "Trade followed by significant price increase (>5%)" in out
