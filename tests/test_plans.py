@@ -108,3 +108,31 @@ def test_stats_and_closes_single_pass_matches_separate(spark):
     assert (s_side.rows, c_side.rows) == (5, 150)
     # reading one level prunes the other level's folder
     assert "PartitionFilters: [isnotnull(level" in plan_of(s_side.df)
+
+
+def test_fallback_join_splits_a_hot_stock(spark):
+    """A stock holding most trades: above the broadcast bound the shuffle join
+    is split by AQE's skew handling instead of landing in one task."""
+    from fixtures import trades_from_rows
+    from tradewatch.operators.joins import join_small
+
+    rows = [("HOT", i % 97 + 1) for i in range(30000)] + [(f"S{j}", 5) for j in range(40) for _ in range(50)]
+    t = trades_from_rows(spark, rows).repartition(8)
+    stats = t.groupBy("stock").agg(F.avg("quantity").alias("a"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        j = join_small(t, stats, "stock", "left", max_rows=10)  # 41 stocks > 10: no broadcast
+        assert len(j.collect()) == 32000
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
