@@ -46,11 +46,17 @@ def run(
     closes: DataFrame,
     out: str,
     profile: Profile = POST_TRADE,
-    run_id: str = "run",
+    run_id: str | None = None,
     results_table: str | None = None,
     detected_at: str | None = None,
 ) -> RunResult:
-    """Run every step over ``trades`` and write all outputs under ``out``."""
+    """Run every step over ``trades`` and write all outputs under ``out``.
+
+    ``run_id`` names the run folder; by default it is taken from the session
+    clock (``yyyyMMdd_HHmmss``), once, on the driver.
+    """
+    if run_id is None:
+        run_id = spark.range(1).select(files.run_id_from(F.current_timestamp())).first()[0]
     obs = {}
     trades_in, obs["orders_in"] = _observed(trades, "orders_in")
     clean = trades_in.where(

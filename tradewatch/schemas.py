@@ -4,20 +4,6 @@ from pyspark.sql import types as T
 
 ORDER_COLUMNS = ("trader_id", "stock", "quantity", "price", "timestamp")
 
-# Uploaded orders CSV (typed).
-ORDERS = T.StructType(
-    [
-        T.StructField("trader_id", T.StringType()),
-        T.StructField("stock", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
-        T.StructField("price", T.DoubleType()),
-        T.StructField("timestamp", T.StringType()),
-    ]
-)
-
-# Same columns, all text: what a CSV holds before cleaning.
-ORDERS_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_COLUMNS])
-
 # Trades as bound from the driver tables (orders plus identity and time).
 TRADES = T.StructType(
     [
@@ -41,9 +27,6 @@ PRICES = T.StructType(
     ]
 )
 
-# Raw text lines.
-LINES = T.StructType([T.StructField("value", T.StringType())])
-
 # Six-column tab-delimited external table over clean orders.
 ORDER_TABLE_DDL = (
     "record_type STRING, trader_id STRING, stock STRING, quantity INT, price DOUBLE, trade_time STRING"

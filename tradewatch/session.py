@@ -94,6 +94,3 @@ def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[Data
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), int(obs.get["rows"])
 
-
-def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
-    return materialize_counted(df, name)[0]

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from tradewatch import schemas
 
-RESULT_COLUMNS = ["id", "trader_id", "stock", "quantity", "reason", "suspicion_score", "detected_at"]
-
-
 def alert_id(*cols) -> F.Column:
     return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)
 

@@ -18,9 +18,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
@@ -159,11 +156,6 @@ def dirty_order_lines(events: DataFrame) -> DataFrame:
     return p.select(order_line(F.col("ov"), F.col("tr"), F.col("st"), F.col("q"), F.col("px"), F.col("tm")).alias("value"))
 
 
-def dirty_price_lines(events: DataFrame) -> DataFrame:
-    p = _pieces(events)
-    return p.select(price_line(F.col("pv"), F.col("dt"), F.col("st"), F.col("px")).alias("value"))
-
-
 def dirty_lines(events: DataFrame) -> DataFrame:
     """Orders and prices mixed in one text input (``value`` column)."""
     p = _pieces(events)

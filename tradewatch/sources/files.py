@@ -63,10 +63,6 @@ def external_order_table(spark: SparkSession, table: str, location: str) -> Data
     return spark.table(table)
 
 
-def read_results(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
-
-
 def order_table_rows(orders: DataFrame) -> DataFrame:
     """Clean orders in the external table's column order, tagged ORDER."""
     return orders.select(
