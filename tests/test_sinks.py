@@ -45,8 +45,23 @@ def test_results_refresh_replaces_and_clear_empties(spark, tmp_dir):
     results.refresh_results(spark, hits.where("false"), table, None, loc)
     assert spark.table(table).count() == 0
     results.refresh_results(spark, hits, table, None, loc)
-    results.clear_results(spark, table)
+    assert spark.table(table).count() == 4
+    results.clear_results(spark, table, loc)
     assert spark.table(table).count() == 0
+    # every refresh published its own version folder; the table points at the last
+    versions = [d for d in os.listdir(loc) if d.startswith("v=")]
+    assert len(versions) == 4
+
+
+def test_failed_refresh_keeps_previous_results(spark, tmp_dir):
+    table = _name("suspicious_trades")
+    loc = os.path.join(tmp_dir, "results")
+    hits = score.flagged(sample_trades(spark), sample_closes(spark), LATEST_PAIR)
+    results.refresh_results(spark, hits, table, None, loc)
+    boom = hits.withColumn("trader_id", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception):
+        results.refresh_results(spark, boom, table, None, loc)
+    assert spark.table(table).count() == 4
 
 
 def test_managed_results_table_truncate(spark):

@@ -30,7 +30,8 @@ _TRADES = (
     + """,
 trades AS (
   SELECT * FROM raw_trades
-  WHERE trader_id IS NOT NULL AND stock IS NOT NULL AND stock <> '' AND quantity > 0 AND price > 0)"""
+  WHERE trader_id IS NOT NULL AND trader_id <> '' AND stock IS NOT NULL AND stock <> ''
+    AND quantity > 0 AND price > 0)"""
 )
 
 _CLOSES = """,

@@ -24,6 +24,7 @@ from tradewatch.operators.score import flagged
 from tradewatch.profiles import POST_TRADE, Profile
 from tradewatch.sinks import files
 from tradewatch.sinks.results import refresh_results, to_results
+from tradewatch.sources.events import valid_trade
 
 STAGES = ("orders_in", "orders_clean", "large_trades", "flagged")
 
@@ -59,9 +60,7 @@ def run(
         run_id = spark.range(1).select(files.run_id_from(F.current_timestamp())).first()[0]
     obs = {}
     trades_in, obs["orders_in"] = _observed(trades, "orders_in")
-    clean = trades_in.where(
-        F.col("quantity").isNotNull() & (F.col("quantity") > 0) & F.col("price").isNotNull() & (F.col("price") > 0)
-    )
+    clean = trades_in.where(valid_trade())
     if profile.require_timestamp:
         clean = clean.where(F.col("timestamp").isNotNull() & (F.col("timestamp") != ""))
     clean, obs["orders_clean"] = _observed(clean, "orders_clean")

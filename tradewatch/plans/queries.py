@@ -353,7 +353,7 @@ def q_results_clear(spark, sf):
     location = scratch_path(spark, "results")
     results.refresh_results(spark, q_flagged_post_trade(spark, sf), table, DETECTED_AT, location)
     before = spark.table(table).count()
-    results.clear_results(spark, table)
+    results.clear_results(spark, table, location)
     after = spark.table(table).agg(F.count(F.lit(1)).alias("rows_after"))
     return after.select(F.lit(before).cast("long").alias("rows_before"), "rows_after")
 

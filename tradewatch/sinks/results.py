@@ -1,12 +1,18 @@
 """The results table: created if missing, fully replaced each run, clearable.
 
-Rows are written by executors (``insertInto`` overwrite), never collected.
-Alert ids are content hashes of the trade keys, so re-running a job after an
-executor loss rewrites the same ids (no global counter).
+Rows are written by executors, never collected.  A table kept in the shared
+folder is replaced by *publishing*: each run writes a fresh version folder and
+then points the table at it (``ALTER TABLE ... SET LOCATION``, metadata only),
+so readers see the old or the new result set, never a half-written one, and a
+failed job leaves the previous results in place.  Alert ids are content
+hashes of the trade keys, so a retried job rewrites the same ids (no global
+counter).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,20 +48,47 @@ def to_results(flagged: DataFrame, detected_at: str | None = None) -> DataFrame:
     )
 
 
+def _is_managed(spark: SparkSession, table: str) -> bool:
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").select("data_type").first()
+    return info is not None and info[0] == "MANAGED"
+
+
+def publish(spark: SparkSession, rows: DataFrame, table: str, location: str) -> str:
+    """Write ``rows`` to a new version folder under ``location``, then switch ``table`` to it."""
+    version = f"{location.rstrip('/')}/v={uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(version)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.sql(f"REFRESH TABLE {table}")
+    else:
+        create_results_table(spark, table, version)
+    return version
+
+
 def refresh_results(
     spark: SparkSession, flagged: DataFrame, table: str, detected_at: str | None = None, location: str | None = None
 ) -> None:
-    """Replace all rows of ``table`` with ``flagged`` (an empty set empties it)."""
-    create_results_table(spark, table, location)
-    to_results(flagged, detected_at).write.insertInto(table, overwrite=True)
+    """Replace all rows of ``table`` with ``flagged`` (an empty set empties it).
 
+    With ``location`` (shared folder) the new set is published as a version;
+    without, a managed table is overwritten in place.
+    """
+    rows = to_results(flagged, detected_at)
+    if location and not (spark.catalog.tableExists(table) and _is_managed(spark, table)):
+        publish(spark, rows, table, location)
+        return
+    create_results_table(spark, table)
+    rows.write.insertInto(table, overwrite=True)
 
-def clear_results(spark: SparkSession, table: str) -> None:
-    """Delete all rows.  TRUNCATE for managed tables; external ones are
-    overwritten with an empty set (Spark refuses TRUNCATE on them)."""
-    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type'").select("data_type").first()
-    if info is not None and info[0] == "MANAGED":
+
+def clear_results(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """Delete all rows: TRUNCATE for managed tables (Spark refuses it on
+    external ones), otherwise publish an empty version."""
+    if _is_managed(spark, table):
         spark.sql(f"TRUNCATE TABLE {table}")
+        return
+    empty = spark.createDataFrame([], spark.table(table).schema)
+    if location:
+        publish(spark, empty, table, location)
     else:
-        empty = spark.createDataFrame([], spark.table(table).schema)
         empty.write.insertInto(table, overwrite=True)

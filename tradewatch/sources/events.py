@@ -46,10 +46,11 @@ def raw_trades_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def trades_from_events(events: DataFrame) -> DataFrame:
-    """Typed trades; rows that fail the typed validity rules are dropped."""
-    return raw_trades_from_events(events).where(
+def valid_trade() -> Column:
+    """Typed validity: trader and stock present, quantity and price positive."""
+    return (
         F.col("trader_id").isNotNull()
+        & (F.col("trader_id") != "")
         & F.col("stock").isNotNull()
         & (F.col("stock") != "")
         & (F.col("quantity") > 0)
@@ -57,6 +58,11 @@ def trades_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def trades_from_events(events: DataFrame) -> DataFrame:
+    """Typed trades; rows that fail the typed validity rules are dropped."""
+    return raw_trades_from_events(events).where(valid_trade())
+
+
 def load_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades_from_events(read_events(spark, sf_dir))
 

@@ -17,6 +17,7 @@ from tradewatch import schemas
 from tradewatch.operators.score import flagged
 from tradewatch.profiles import POST_TRADE, Profile
 from tradewatch.sinks.results import refresh_results
+from tradewatch.sources.events import valid_trade
 from tradewatch.sources.files import CSV_GLOB
 
 
@@ -43,7 +44,7 @@ def run_on_arrival(
     """Start the arrival query; with ``available_now`` it drains and stops."""
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        trades = batch.where("quantity > 0 AND price > 0 AND stock IS NOT NULL AND stock != ''")
+        trades = batch.where(valid_trade())
         refresh_results(batch.sparkSession, flagged(trades, closes, profile), table, detected_at, results_location)
 
     writer = arrival_stream(spark, landing).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
