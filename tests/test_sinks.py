@@ -115,6 +115,14 @@ def test_pipeline_stage_counts(spark, tmp_dir):
     assert res.counts == {"orders_in": 15, "orders_clean": 15, "large_trades": 0, "flagged": 4}
     out = spark.read.parquet(os.path.join(tmp_dir, "out", "results"))
     assert out.count() == 4
+    # outputs derived from the shared per-stock moments equal the direct operators
+    ss = spark.read.schema(
+        "stock string, trade_count long, avg_quantity double, stddev_quantity double, avg_price double"
+    ).csv(os.path.join(tmp_dir, "out", "hive", "stock_summary"))
+    direct = {r.stock: round(r.stddev_quantity, 6) for r in summaries.stock_summary(t, LATEST_PAIR.spread).collect()}
+    assert {r.stock: round(r.stddev_quantity, 6) for r in ss.collect()} == direct
+    hv = spark.read.schema("trader_id string, total_volume long").csv(os.path.join(tmp_dir, "out", "hive", "high_volume_traders"))
+    assert hv.count() == summaries.high_volume_traders(t).count() == 0
 
 
 def test_file_arrival_stream(spark, tmp_dir):

@@ -25,6 +25,24 @@ def stock_stats(trades: DataFrame, spread: str = "samp") -> DataFrame:
     )
 
 
+def stock_moments(trades: DataFrame) -> DataFrame:
+    """Every per-stock figure the pipeline needs, in one aggregate:
+    trade_count, avg_qty, stddev_samp, stddev_pop, avg_price."""
+    return trades.groupBy("stock").agg(
+        F.count(F.lit(1)).alias("trade_count"),
+        F.avg("quantity").alias("avg_qty"),
+        F.stddev_samp("quantity").alias("stddev_samp"),
+        F.stddev_pop("quantity").alias("stddev_pop"),
+        F.avg("price").alias("avg_price"),
+    )
+
+
+def stats_from_moments(moments: Side, spread: str) -> Side:
+    """The (stock, avg_qty, stddev_qty, trade_count) side for one spread estimator."""
+    df = moments.df.select("stock", "avg_qty", F.col(f"stddev_{spread}").alias("stddev_qty"), "trade_count")
+    return Side(df, moments.rows)
+
+
 def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
     """Per-stock statistics and per-(stock, day) closes from ONE pass over trades.
 
@@ -67,9 +85,13 @@ def trades_with_stats(trades: DataFrame, stats: DataFrame, how: str = "left") ->
     return join_small(trades, stats, "stock", how)
 
 
-def large_trades(trades: DataFrame, sigma: float = 3.0, spread: str = "pop") -> DataFrame:
-    """Trades with quantity > avg + sigma * sd of their stock (inner join)."""
-    stats = stock_stats(trades, spread).drop("trade_count")
+def large_trades(trades: DataFrame, sigma: float = 3.0, spread: str = "pop", stats: Side | None = None) -> DataFrame:
+    """Trades with quantity > avg + sigma * sd of their stock (inner join).
+
+    ``stats`` may be an already materialised side for the same spread.
+    """
+    if stats is None:
+        stats = stock_stats(trades, spread)
     joined = join_small(trades, stats, "stock", "inner")
     return joined.where(scoring.is_large("quantity", "avg_qty", "stddev_qty", sigma)).select(
         "trade_id", "trader_id", "stock", "quantity", "price", "timestamp", "avg_qty", "stddev_qty"

@@ -1,9 +1,14 @@
 """The six steps as one Spark job graph, one write action per sink.
 
-    raw lines --land--> bronze text
-    trades --clean--> clean orders (Parquet, run folder)      [read back once]
-    clean  --> large trades CSV, trader / stock / high-volume summaries
-    clean + closes --> score --> flagged --> results table
+    trades --clean--> clean orders (Parquet, run folder)        [read back]
+    clean  --> per-stock moments (one aggregate, materialised)
+           --> stock summary; large-trade bound; scoring statistics
+    clean  --> trader summary --> high-volume traders           [from the written summary]
+    clean x moments --> large trades CSV
+    clean x moments x closes --> score --> flagged --> results table
+
+Clean orders are scanned four times (moments, trader summary, large trades,
+scoring) instead of once per output.
 
 The clean orders are written once and every later step reads that written
 table, so lineage is cut at the stage boundary and an executor lost later
@@ -20,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tradewatch import schemas
 from tradewatch.operators import stats, summaries
+from tradewatch.operators.joins import small_side
 from tradewatch.operators.score import flagged
 from tradewatch.profiles import POST_TRADE, Profile
 from tradewatch.sinks import files
@@ -68,14 +74,21 @@ def run(
     files.write_run(clean, clean_base, run_id)
     orders = files.read_run(spark, clean_base, schemas.TRADES, run_id).drop("run_id")
 
-    large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread), "large_trades")
+    # one aggregate per stock feeds the stock summary, the large-trade bound and the scoring stats
+    moments = small_side(stats.stock_moments(orders), "stock_moments")
+    files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), files.folder(out, "hive", "stock_summary"), header=False)
+
+    bound = stats.stats_from_moments(moments, profile.spread)
+    large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread, bound), "large_trades")
     files.write_csv(large.drop("trade_id"), files.folder(out, "large_trades"), header=False)
 
-    files.write_csv(summaries.trader_summary(orders), files.folder(out, "hive", "trader_summary"), header=False)
-    files.write_csv(summaries.stock_summary(orders, profile.spread), files.folder(out, "hive", "stock_summary"), header=False)
-    files.write_csv(summaries.high_volume_traders(orders), files.folder(out, "hive", "high_volume_traders"), header=False)
+    trader_path = files.folder(out, "hive", "trader_summary")
+    files.write_csv(summaries.trader_summary(orders), trader_path, header=False)
+    written = spark.read.schema(schemas.TRADER_SUMMARY).csv(trader_path)
+    files.write_csv(summaries.high_volume_from(written), files.folder(out, "hive", "high_volume_traders"), header=False)
 
-    hits, obs["flagged"] = _observed(flagged(orders, closes, profile), "flagged")
+    scoring_stats = stats.stats_from_moments(moments, "samp")
+    hits, obs["flagged"] = _observed(flagged(orders, closes, profile, scoring_stats), "flagged")
     if results_table:
         refresh_results(spark, hits, results_table, detected_at, files.folder(out, "results"))
     else:
