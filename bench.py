@@ -34,6 +34,7 @@ HEADLINE = [
     "clean_typed_orders",
     "tagged_records",
     "parse_tagged",
+    "stage_counts",  # the whole pipeline: clean, summaries, large trades, scoring, results
 ]
 
 

@@ -136,3 +136,11 @@ def test_fallback_join_splits_a_hot_stock(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_binding_stays_in_whole_stage_codegen(spark):
+    t = load_trades(spark, SF)
+    jvm = spark.sparkContext._jvm
+    text = jvm.PythonSQLUtils.explainString(t._jdf.queryExecution(), "formatted").split("\n\n\n")[0]
+    ops = [line.strip("+-: ") for line in text.splitlines()[1:] if "(" in line]
+    assert all(op.startswith("*") or op.startswith("Scan") for op in ops), ops
