@@ -5,7 +5,7 @@ All narrow (per-row) expressions: no shuffle, pipelined with the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch import profiles as P
@@ -26,35 +26,36 @@ def _split_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(lines: DataFrame) -> DataFrame:
-    """Five-field lines -> typed orders.
+def _order_record(parts: Column) -> tuple[dict[str, Column], Column]:
+    """Typed order columns of a comma-field array, and the rule that keeps it.
 
-    Fields are stripped; quantity must be an integer > 0, price a finite
-    number > 0, stock and trader non-empty; the time is not checked.
+    Five fields, stripped; quantity an integer > 0, price a finite number
+    > 0, stock and trader non-empty; the time is not checked.
     """
-    parts = F.col("parts")
-    five = _split_lines(lines).where(F.size(parts) == 5).select(
-        *[strip(field(parts, i)).alias(c) for i, c in enumerate(["trader_id", "stock", "q", "p", "timestamp"])]
-    )
-    typed = five.select(
-        "trader_id", "stock",
-        strict_int("q").alias("quantity"),
-        strict_double("p").alias("price"),
-        "timestamp",
-    )
-    return typed.where(
-        (F.col("quantity") > 0) & (F.col("price") > 0) & (F.col("stock") != "") & (F.col("trader_id") != "")
-    )
+    tr, st, q, p, tm = (strip(field(parts, i)) for i in range(5))
+    qty, px = strict_int(q), strict_double(p)
+    keep = (F.size(parts) == 5) & (qty > 0) & (px > 0) & (st != "") & (tr != "")
+    return {"trader_id": tr, "stock": st, "quantity": qty, "price": px, "timestamp": tm}, keep
+
+
+def _price_record(parts: Column) -> tuple[dict[str, Column], Column]:
+    """Typed price columns (datetime, stock, price): three fields, price > 0, stock non-empty."""
+    dt, st, p = (strip(field(parts, i)) for i in range(3))
+    px = strict_double(p)
+    keep = (F.size(parts) == 3) & (px > 0) & (st != "")
+    return {"datetime": dt, "stock": st, "price": px}, keep
+
+
+def clean_orders(lines: DataFrame) -> DataFrame:
+    """Raw lines -> typed orders (trader_id, stock, quantity, price, timestamp)."""
+    cols, keep = _order_record(F.col("parts"))
+    return _split_lines(lines).where(keep).select(*[c.alias(n) for n, c in cols.items()])
 
 
 def clean_prices(lines: DataFrame) -> DataFrame:
-    """Three-field lines -> (datetime, stock, price); price > 0, stock non-empty."""
-    parts = F.col("parts")
-    three = _split_lines(lines).where(F.size(parts) == 3).select(
-        strip(field(parts, 0)).alias("datetime"), strip(field(parts, 1)).alias("stock"), strip(field(parts, 2)).alias("p")
-    )
-    typed = three.select("datetime", "stock", strict_double("p").alias("price"))
-    return typed.where((F.col("price") > 0) & (F.col("stock") != ""))
+    """Raw lines -> typed prices (datetime, stock, price)."""
+    cols, keep = _price_record(F.col("parts"))
+    return _split_lines(lines).where(keep).select(*[c.alias(n) for n, c in cols.items()])
 
 
 def clean_typed_orders(rows: DataFrame, require_timestamp: bool = True) -> DataFrame:
@@ -73,22 +74,36 @@ def clean_typed_orders(rows: DataFrame, require_timestamp: bool = True) -> DataF
 
 
 def tag_orders(orders: DataFrame) -> DataFrame:
-    """``ORDER<TAB>trader,stock,qty,price(.4f),time`` lines."""
+    """Typed orders -> ``ORDER<TAB>trader,stock,qty,price(.4f),time`` lines."""
+    return orders.select(_order_text({c: F.col(c) for c in orders.columns}).alias("value"))
+
+
+def tag_prices(prices: DataFrame) -> DataFrame:
+    """Typed prices -> ``PRICE<TAB>date,stock,price(.4f)`` lines."""
+    return prices.select(_price_text({c: F.col(c) for c in prices.columns}).alias("value"))
+
+
+def _order_text(c: dict[str, Column]) -> Column:
     payload = F.concat_ws(
-        ",", "trader_id", "stock", F.col("quantity").cast("string"), four_decimals("price"), F.coalesce("timestamp", F.lit(""))
+        ",", c["trader_id"], c["stock"], c["quantity"].cast("string"), four_decimals(c["price"]),
+        F.coalesce(c["timestamp"], F.lit("")),
     )
-    return orders.select(F.concat(F.lit(ORDER_TAG + "\t"), payload).alias("value"))
+    return F.concat(F.lit(ORDER_TAG + "\t"), payload)
 
 
-def tag_prices(prices: DataFrame) -> DataFrame:
-    """``PRICE<TAB>date,stock,price(.4f)`` lines."""
-    payload = F.concat_ws(",", F.coalesce("datetime", F.lit("")), "stock", four_decimals("price"))
-    return prices.select(F.concat(F.lit(PRICE_TAG + "\t"), payload).alias("value"))
+def _price_text(c: dict[str, Column]) -> Column:
+    payload = F.concat_ws(",", F.coalesce(c["datetime"], F.lit("")), c["stock"], four_decimals(c["price"]))
+    return F.concat(F.lit(PRICE_TAG + "\t"), payload)
 
 
 def tagged_records(lines: DataFrame) -> DataFrame:
-    """Raw mixed lines -> tagged clean records (the cleaner's output)."""
-    return tag_orders(clean_orders(lines)).unionByName(tag_prices(clean_prices(lines)))
+    """Raw mixed lines -> tagged clean records (the cleaner's output), in one pass:
+    each line is split once and tagged by its field count."""
+    parts = F.col("parts")
+    oc, order_ok = _order_record(parts)
+    pc, price_ok = _price_record(parts)
+    text = F.when(order_ok, _order_text(oc)).when(price_ok, _price_text(pc))
+    return _split_lines(lines).where(order_ok | price_ok).select(text.alias("value"))
 
 
 def split_tag(tagged: DataFrame) -> DataFrame:
