@@ -60,8 +60,9 @@ def configure(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder: the cluster's checkpoint dir.
 
-    Falls back to a fresh local folder only when the session names none
-    (tests); that folder is also installed as the checkpoint dir.
+    Falls back to a fresh local folder only when the session names none and
+    runs in local mode (tests); that folder is also installed as the
+    checkpoint dir.  On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not shared by executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS / object store)")
         configured = tempfile.mkdtemp(prefix="tw-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
