@@ -113,15 +113,17 @@ def test_pipeline_stage_counts(spark, tmp_dir):
     t = sample_trades(spark)
     res = pipeline.run(spark, t, sample_closes(spark), os.path.join(tmp_dir, "out"), LATEST_PAIR, "r1")
     assert res.counts == {"orders_in": 15, "orders_clean": 15, "large_trades": 0, "flagged": 4}
-    out = spark.read.parquet(os.path.join(tmp_dir, "out", "results"))
+    out = spark.read.parquet(os.path.join(tmp_dir, "out", "results", "run_id=r1"))
     assert out.count() == 4
+    for layer in ("clean", "pig/large_trades", "hive/stock_summary", "hive/trader_summary", "hive/high_volume_traders"):
+        assert os.path.isdir(os.path.join(tmp_dir, "out", layer, "run_id=r1")), layer
     # outputs derived from the shared per-stock moments equal the direct operators
     ss = spark.read.schema(
         "stock string, trade_count long, avg_quantity double, stddev_quantity double, avg_price double"
-    ).csv(os.path.join(tmp_dir, "out", "hive", "stock_summary"))
+    ).csv(os.path.join(tmp_dir, "out", "hive", "stock_summary", "run_id=r1"))
     direct = {r.stock: round(r.stddev_quantity, 6) for r in summaries.stock_summary(t, LATEST_PAIR.spread).collect()}
     assert {r.stock: round(r.stddev_quantity, 6) for r in ss.collect()} == direct
-    hv = spark.read.schema("trader_id string, total_volume long").csv(os.path.join(tmp_dir, "out", "hive", "high_volume_traders"))
+    hv = spark.read.schema("trader_id string, total_volume long").csv(os.path.join(tmp_dir, "out", "hive", "high_volume_traders", "run_id=r1"))
     assert hv.count() == summaries.high_volume_traders(t).count() == 0
 
 
@@ -134,11 +136,31 @@ def test_file_arrival_stream(spark, tmp_dir):
         os.path.join(tmp_dir, "res"),
     )
     q.awaitTermination()
-    got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in spark.table(table).collect()}
+    got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in src.read_results(spark, table).collect()}
     assert got == SAMPLE_FLAGGED
     assert POST_TRADE.threshold == 70
 
 
+def test_second_upload_replaces_first(spark, tmp_dir):
+    """Each upload is scored on its own and replaces the results; the
+    checkpoint makes the second run read only the new files."""
+    landing, ckpt, res = (os.path.join(tmp_dir, d) for d in ("landing", "ckpt", "res"))
+    table = _name("suspicious_trades")
+    t = sample_trades(spark)
+    files.write_csv(t, os.path.join(tmp_dir, "up1"))
+    files.write_csv(t.where("stock = 'TCS'"), os.path.join(tmp_dir, "up2"))
+    os.rename(os.path.join(tmp_dir, "up1"), landing)  # a finished upload moves in at once
+    run_on_arrival(spark, landing, sample_closes(spark), table, ckpt, LATEST_PAIR, None, res).awaitTermination()
+    assert src.read_results(spark, table).count() == 4
+    for f in os.listdir(os.path.join(tmp_dir, "up2")):
+        if f.endswith(".csv"):
+            os.rename(os.path.join(tmp_dir, "up2", f), os.path.join(landing, "second-" + f))
+    run_on_arrival(spark, landing, sample_closes(spark), table, ckpt, LATEST_PAIR, None, res).awaitTermination()
+    # TCS alone: 4 trades, sample spread of its own; results hold only this upload's flags
+    got = {(r.trader_id, r.suspicion_score) for r in src.read_results(spark, table).collect()}
+    assert got == {("T201", 51), ("T213", 54)}
+
+
 def test_untruncated_print_of_results(spark, capsys):
     hits = score.flagged(sample_trades(spark), sample_closes(spark), LATEST_PAIR)
     hits.show(truncate=False)

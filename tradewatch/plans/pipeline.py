@@ -57,9 +57,10 @@ def run(
     results_table: str | None = None,
     detected_at: str | None = None,
 ) -> RunResult:
-    """Run every step over ``trades`` and write all outputs under ``out``.
+    """Run every step over ``trades`` and write all outputs under ``out``,
+    each layer in its own ``<layer>/run_id=<id>`` folder.
 
-    ``run_id`` names the run folder; by default it is taken from the session
+    ``run_id`` names the run folders; by default it is taken from the session
     clock (``yyyyMMdd_HHmmss``), once, on the driver.
     """
     if run_id is None:
@@ -74,25 +75,28 @@ def run(
     files.write_run(clean, clean_base, run_id)
     orders = files.read_run(spark, clean_base, schemas.TRADES, run_id).drop("run_id")
 
+    def layer(*parts: str) -> str:  # <out>/<layer>/run_id=<id>: one folder per run and layer
+        return files.folder(out, *parts, f"run_id={run_id}")
+
     # one aggregate per stock feeds the stock summary, the large-trade bound and the scoring stats
     moments = small_side(stats.stock_moments(orders), "stock_moments")
-    files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), files.folder(out, "hive", "stock_summary"), header=False)
+    files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), layer("hive", "stock_summary"), header=False)
 
     bound = stats.stats_from_moments(moments, profile.spread)
     large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread, bound), "large_trades")
-    files.write_csv(large.drop("trade_id"), files.folder(out, "large_trades"), header=False)
+    files.write_csv(large.drop("trade_id"), layer("pig", "large_trades"), header=False)
 
-    trader_path = files.folder(out, "hive", "trader_summary")
+    trader_path = layer("hive", "trader_summary")
     files.write_csv(summaries.trader_summary(orders), trader_path, header=False)
     written = spark.read.schema(schemas.TRADER_SUMMARY).csv(trader_path)
-    files.write_csv(summaries.high_volume_from(written), files.folder(out, "hive", "high_volume_traders"), header=False)
+    files.write_csv(summaries.high_volume_from(written), layer("hive", "high_volume_traders"), header=False)
 
     scoring_stats = stats.stats_from_moments(moments, "samp")
     hits, obs["flagged"] = _observed(flagged(orders, closes, profile, scoring_stats), "flagged")
     if results_table:
         refresh_results(spark, hits, results_table, detected_at, files.folder(out, "results"))
     else:
-        to_results(hits, detected_at).write.mode("overwrite").parquet(files.folder(out, "results"))
+        to_results(hits, detected_at).write.mode("overwrite").parquet(layer("results"))
 
     counts = {name: int(o.get.get("rows", 0)) for name, o in obs.items()}
     return RunResult(counts=counts, clean_path=clean_base, out=out)

@@ -345,16 +345,16 @@ def q_results_refresh(spark, sf):
     # an earlier run under the other profile; the post_trade run must replace all of it
     results.refresh_results(spark, q_flagged_latest_pair(spark, sf), table, DETECTED_AT, location)
     results.refresh_results(spark, q_flagged_post_trade(spark, sf), table, DETECTED_AT, location)
-    return spark.table(table).drop("detected_at")
+    return src.read_results(spark, table).drop("detected_at")
 
 
 def q_results_clear(spark, sf):
     table = _table_name("suspicious_trades")
     location = scratch_path(spark, "results")
     results.refresh_results(spark, q_flagged_post_trade(spark, sf), table, DETECTED_AT, location)
-    before = spark.table(table).count()
+    before = src.read_results(spark, table).count()
     results.clear_results(spark, table, location)
-    after = spark.table(table).agg(F.count(F.lit(1)).alias("rows_after"))
+    after = src.read_results(spark, table).agg(F.count(F.lit(1)).alias("rows_after"))
     return after.select(F.lit(before).cast("long").alias("rows_before"), "rows_after")
 
 
@@ -377,7 +377,7 @@ def q_file_arrival_run(spark, sf):
         scratch_path(spark, "results"),
     )
     q.awaitTermination()
-    return spark.table(table).drop("detected_at")
+    return src.read_results(spark, table).drop("detected_at")
 
 
 QUERIES: dict[str, Query] = {

@@ -63,6 +63,17 @@ def external_order_table(spark: SparkSession, table: str, location: str) -> Data
     return spark.table(table)
 
 
+def read_results(spark: SparkSession, table: str) -> DataFrame:
+    """The stored results as of now.
+
+    Refreshes the session's cached relation first: a refresh published from
+    another session (e.g. a stream's ``foreachBatch``) switches the table to
+    a new version folder.
+    """
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def order_table_rows(orders: DataFrame) -> DataFrame:
     """Clean orders in the external table's column order, tagged ORDER."""
     return orders.select(
