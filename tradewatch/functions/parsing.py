@@ -36,9 +36,10 @@ def strict_int(c: str | Column) -> Column:
 
 
 def strict_double(c: str | Column) -> Column:
-    """``float(s)`` or null, rejecting nan and infinity."""
+    """``float(s)`` or null, rejecting nan and infinity (also overflow such as ``1e400``)."""
     c = col(c)
-    return F.when(c.rlike(FLOAT_PATTERN), c.try_cast("double"))
+    d = c.try_cast("double")
+    return F.when(c.rlike(FLOAT_PATTERN) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
 def fields(c: str | Column, sep: str = ",", limit: int = -1) -> Column:

@@ -229,14 +229,14 @@ clean_o AS (
   SELECT trader_id, stock, TRY_CAST(q AS INTEGER) AS quantity, TRY_CAST(p AS DOUBLE) AS price, "timestamp"
   FROM o5
   WHERE regexp_matches(q, '{INT_RE}') AND TRY_CAST(q AS INTEGER) > 0
-    AND regexp_matches(p, '{FLOAT_RE}') AND TRY_CAST(p AS DOUBLE) > 0
+    AND regexp_matches(p, '{FLOAT_RE}') AND TRY_CAST(p AS DOUBLE) > 0 AND isfinite(TRY_CAST(p AS DOUBLE))
     AND stock <> '' AND trader_id <> ''),
 p3 AS (
   SELECT trim(parts[1]) AS datetime, trim(parts[2]) AS stock, trim(parts[3]) AS p
   FROM body WHERE len(parts) = 3),
 clean_p AS (
   SELECT datetime, stock, TRY_CAST(p AS DOUBLE) AS price FROM p3
-  WHERE regexp_matches(p, '{FLOAT_RE}') AND TRY_CAST(p AS DOUBLE) > 0 AND stock <> ''),
+  WHERE regexp_matches(p, '{FLOAT_RE}') AND TRY_CAST(p AS DOUBLE) > 0 AND isfinite(TRY_CAST(p AS DOUBLE)) AND stock <> ''),
 tagged AS (
   SELECT 'ORDER' || chr(9) || trader_id || ',' || stock || ',' || CAST(quantity AS VARCHAR) || ','
          || printf('%.4f', price) || ',' || coalesce("timestamp", '') AS value FROM clean_o
@@ -421,8 +421,10 @@ typed_rows AS (
   FROM (SELECT string_split(value, ',') AS parts FROM order_lines) x
   WHERE len(parts) = 5),
 kept AS (
-  SELECT *, CASE WHEN regexp_matches(quantity, '{FLOAT_RE}') THEN TRY_CAST(quantity AS DOUBLE) END AS qd,
-            CASE WHEN regexp_matches(price, '{FLOAT_RE}') THEN TRY_CAST(price AS DOUBLE) END AS pd
+  SELECT *, CASE WHEN regexp_matches(quantity, '{FLOAT_RE}') AND isfinite(TRY_CAST(quantity AS DOUBLE))
+                 THEN TRY_CAST(quantity AS DOUBLE) END AS qd,
+            CASE WHEN regexp_matches(price, '{FLOAT_RE}') AND isfinite(TRY_CAST(price AS DOUBLE))
+                 THEN TRY_CAST(price AS DOUBLE) END AS pd
   FROM typed_rows
   WHERE trader_id IS NOT NULL AND stock IS NOT NULL AND quantity IS NOT NULL AND price IS NOT NULL
     AND "timestamp" IS NOT NULL)
