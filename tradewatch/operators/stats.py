@@ -72,7 +72,7 @@ def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
     both.observe(obs, F.count_if(level == 1).alias("stocks"), F.count_if(level == 0).alias("days")).write.mode(
         "overwrite"
     ).partitionBy("level").parquet(path)
-    table = spark.read.parquet(path)
+    table = spark.read.schema(both.schema).parquet(path)
     counts = obs.get
     stats = table.where(level == 1).select("stock", "avg_qty", "stddev_qty", "trade_count")
     closes = table.where(level == 0).select(

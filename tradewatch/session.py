@@ -96,5 +96,6 @@ def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[Data
     path = scratch_path(spark, name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
+    # the schema is known: reading back skips footer-based schema discovery
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
