@@ -23,17 +23,28 @@ SCORED_COLUMNS = [
 
 
 def with_price_move(trades: DataFrame, closes: DataFrame | Side, profile: Profile) -> DataFrame:
-    """Adds ``price_change_pct`` (0 when unknown)."""
+    """Adds ``price_change_pct`` (0 when unknown).
+
+    When ``closes`` is already materialised, the derived move table needs no
+    write of its own: it never has more rows than the closes (one close per
+    day, then a window; or one row per stock), so the closes' count is its
+    proven broadcast bound and the derivation runs inside the broadcast.
+    """
+    bound = closes.rows if isinstance(closes, Side) else None
     if isinstance(closes, Side):
         closes = closes.df
+
+    def side(df: DataFrame) -> DataFrame | Side:
+        return Side(df, bound) if bound is not None else df
+
     if profile.price_move == "post_trade":
         nx = next_close(one_close_per_day(closes)).withColumnRenamed("price_date", "trade_date")
-        joined = join_small(trades, nx, ["stock", "trade_date"], "left")
+        joined = join_small(trades, side(nx), ["stock", "trade_date"], "left")
         return joined.withColumn("price_change_pct", scoring.price_change_pct("close", "next_close")).drop(
             "close", "next_close"
         )
     change = price_change_latest_pair(closes).select("stock", "price_change_pct")
-    joined = join_small(trades, change, "stock", "left")
+    joined = join_small(trades, side(change), "stock", "left")
     return joined.withColumn("price_change_pct", F.coalesce(F.col("price_change_pct"), F.lit(0.0)))
 
 
