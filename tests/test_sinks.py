@@ -166,3 +166,29 @@ def test_untruncated_print_of_results(spark, capsys):
     hits.show(truncate=False)
     out = capsys.readouterr().out
     assert "Trade followed by significant price increase (>5%)" in out
+
+
+def test_command_line_run_and_alerts(spark, tmp_dir, capsys):
+    """Orders CSV in, pipeline out: the committed sample gives its four alerts."""
+    from fixtures import SAMPLE_LAST_TWO, SAMPLE_ORDERS
+    from tradewatch.__main__ import main
+
+    orders_dir = os.path.join(tmp_dir, "orders")
+    os.makedirs(orders_dir)
+    with open(os.path.join(orders_dir, "orders.csv"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price,timestamp\n")
+        fh.writelines(f"{a},{b},{c},{d},{e}\n" for a, b, c, d, e in SAMPLE_ORDERS)
+    prices_dir = os.path.join(tmp_dir, "prices")
+    os.makedirs(prices_dir)
+    with open(os.path.join(prices_dir, "prices.csv"), "w") as fh:
+        fh.write("datetime,stock,price\n")
+        for s, (a, b) in SAMPLE_LAST_TWO.items():
+            fh.write(f"2026-03-03,{s},{a * 0.99}\n2026-03-04,{s},{a}\n2026-03-04,{s},{b}\n")
+    out = os.path.join(tmp_dir, "out")
+    assert main(["run", "--orders", orders_dir, "--prices", prices_dir, "--out", out, "--as-of", "2026-03-04",
+                 "--run-id", "r1"]) == 0
+    printed = capsys.readouterr().out
+    assert "orders_in: 15" in printed and "flagged: 4" in printed
+    assert main(["alerts", "--results", os.path.join(out, "results", "run_id=r1")]) == 0
+    printed = capsys.readouterr().out
+    assert "10,000" in printed and "57%" in printed
