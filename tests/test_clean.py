@@ -90,3 +90,10 @@ def test_times(spark):
     assert got["25:99"] == (None, None)
     assert got[""] == (None, None)
     assert str(got["10:10"][1]) == "2026-03-04 10:10:00"
+
+
+def test_clean_typed_prices(spark):
+    rows = [("2026-03-04", "TCS", "3125.42"), (None, "TCS", "5"), ("2026-03-04", None, "5"),
+            ("2026-03-04", "TCS", "0"), ("2026-03-04", "TCS", "x"), ("2026-03-04", "TCS", "nan")]
+    df = spark.createDataFrame(rows, "datetime string, stock string, price string")
+    assert {tuple(r) for r in clean.clean_typed_prices(df).collect()} == {("2026-03-04", "TCS", 3125.42)}

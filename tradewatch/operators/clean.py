@@ -73,6 +73,13 @@ def clean_typed_orders(rows: DataFrame, require_timestamp: bool = True) -> DataF
     )
 
 
+def clean_typed_prices(rows: DataFrame) -> DataFrame:
+    """Typed cleaner for prices: all three columns present, price a finite number > 0."""
+    kept = rows.na.drop(subset=["datetime", "stock", "price"])
+    p = strict_double("price")
+    return kept.where(p > 0).select("datetime", "stock", p.alias("price"))
+
+
 def tag_orders(orders: DataFrame) -> DataFrame:
     """Typed orders -> ``ORDER<TAB>trader,stock,qty,price(.4f),time`` lines."""
     return orders.select(_order_text({c: F.col(c) for c in orders.columns}).alias("value"))

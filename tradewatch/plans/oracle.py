@@ -431,6 +431,16 @@ kept AS (
 SELECT trader_id, stock, CAST(trunc(qd) AS INTEGER) AS quantity, pd AS price, "timestamp"
 FROM kept WHERE qd > 0 AND pd > 0"""
 
+ORACLE["clean_typed_prices"] = _with(_PIECES) + f""",
+typed_prices AS (
+  SELECT nullif(trim(parts[1]), '') AS datetime, nullif(trim(parts[2]), '') AS stock,
+         nullif(trim(parts[3]), '') AS price
+  FROM (SELECT string_split(value, ',') AS parts FROM price_lines) x)
+SELECT datetime, stock, TRY_CAST(price AS DOUBLE) AS price
+FROM typed_prices
+WHERE datetime IS NOT NULL AND stock IS NOT NULL AND price IS NOT NULL
+  AND regexp_matches(price, '{FLOAT_RE}') AND isfinite(TRY_CAST(price AS DOUBLE)) AND TRY_CAST(price AS DOUBLE) > 0"""
+
 ORACLE["tagged_records"] = _with(_CLEAN) + "SELECT value FROM tagged"
 
 ORACLE["parse_tagged"] = _with(_CLEAN) + """

@@ -236,6 +236,10 @@ def q_clean_typed_orders(spark, sf):
     return clean.clean_typed_orders(ev.dirty_typed_orders(_events(spark, sf)), require_timestamp=True)
 
 
+def q_clean_typed_prices(spark, sf):
+    return clean.clean_typed_prices(ev.dirty_typed_prices(_events(spark, sf)))
+
+
 def q_tagged_records(spark, sf):
     path = scratch_path(spark, "tagged")
     files.write_tagged(clean.tagged_records(_lines(spark, sf)), path)
@@ -386,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "clean_orders": q_clean_orders,
     "clean_prices": q_clean_prices,
     "clean_typed_orders": q_clean_typed_orders,
+    "clean_typed_prices": q_clean_typed_prices,
     "external_table_scan": q_external_table_scan,
     "file_arrival_run": q_file_arrival_run,
     "flagged_latest_pair": q_flagged_latest_pair,

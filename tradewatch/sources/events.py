@@ -186,3 +186,21 @@ def dirty_typed_orders(events: DataFrame) -> DataFrame:
     return p.where(~v.isin(8, 11, 13, 14)).select(
         *[F.when(c != "", c).alias(name) for c, name in zip(typed, cols)]
     )
+
+
+def dirty_typed_prices(events: DataFrame) -> DataFrame:
+    """The price lines as a CSV reader yields them (datetime, stock, price as text, '' -> null)."""
+    from tradewatch.functions.parsing import strip
+
+    p = _pieces(events)
+    v = F.col("pv")
+    dt = F.when(v == 4, F.lit("")).otherwise(F.col("dt"))
+    st = F.when(v == 2, F.lit("")).otherwise(F.col("st"))
+    px = (
+        F.when(v == 1, F.lit("0"))
+        .when(v == 3, F.lit("x"))
+        .when(v == 6, F.concat(F.lit("-"), F.col("px")))
+        .otherwise(F.col("px"))
+    )
+    cols = [strip(c) for c in (dt, st, px)]
+    return p.select(*[F.when(c != "", c).alias(n) for c, n in zip(cols, ["datetime", "stock", "price"])])
