@@ -144,3 +144,24 @@ def test_exact_median_matches_builtin(spark):
     assert got == {"a": 1.5, "b": 5.0, "c": 2.0}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
     assert got == want
+
+
+def test_join_form_equals_window_form(spark):
+    """Per-stock statistics joined back equal the same figures as a whole-partition
+    window (the window form is kept to this small fixture: it sorts each stock in one task)."""
+    from pyspark.sql import Window
+
+    from tradewatch.sources.events import load_trades
+
+    t = load_trades(spark, "/root/testdata/sf0.001")
+    joined = stats.trades_with_stats(t, stats.stock_stats(t, "samp"))
+    w = Window.partitionBy("stock")
+    windowed = t.select(
+        "trade_id", F.avg("quantity").over(w).alias("a"), F.stddev_samp("quantity").over(w).alias("s")
+    )
+    a = {r.trade_id: (round(r.avg_qty, 9), round(r.stddev_qty, 9)) for r in joined.collect()}
+    b = {r.trade_id: (round(r.a, 9), round(r.s, 9)) for r in windowed.collect()}
+    assert a == b and len(a) == t.count()
+    large_join = {r.trade_id for r in stats.large_trades(t, 3.0, "samp").collect()}
+    large_win = {r.trade_id for r in t.join(windowed, "trade_id").where(F.col("quantity") > F.col("a") + 3 * F.col("s")).collect()}
+    assert large_join == large_win and len(large_join) == 18
