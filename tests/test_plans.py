@@ -144,3 +144,29 @@ def test_binding_stays_in_whole_stage_codegen(spark):
     text = jvm.PythonSQLUtils.explainString(t._jdf.queryExecution(), "formatted").split("\n\n\n")[0]
     ops = [line.strip("+-: ") for line in text.splitlines()[1:] if "(" in line]
     assert all(op.startswith("*") or op.startswith("Scan") for op in ops), ops
+
+
+def test_closes_use_hash_aggregation(spark):
+    """The last-trade-of-day arg-max keeps hash aggregation (no sort of trade partitions)."""
+    from tradewatch.functions.ordering import time_then_id_key
+
+    t = load_trades(spark, SF)
+    both_levels = t.groupingSets([["stock"], ["stock", "trade_date"]], "stock", "trade_date").agg(
+        F.max_by("price", time_then_id_key("trade_ts", "trade_id"))
+    )
+    for df in (daily_closes(t), both_levels):
+        plan = plan_of(df)
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_time_then_id_key_orders_like_the_pair(spark):
+    import datetime as dt
+
+    from tradewatch.functions.ordering import time_then_id_key
+
+    rows = [(dt.datetime(2024, 1, 1, h, m, s, us), i) for h, m, s, us, i in
+            [(0, 0, 0, 0, -5), (0, 0, 0, 0, 7), (0, 0, 0, 1, -9), (9, 59, 59, 999999, 3), (10, 0, 0, 0, 2),
+             (23, 59, 59, 999999, 2**62), (23, 59, 59, 999999, -(2**62))]]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, id long").select("ts", "id", time_then_id_key("ts", "id").alias("k"))
+    got = [(r.ts, r.id) for r in df.orderBy("k").collect()]
+    assert got == sorted(rows)

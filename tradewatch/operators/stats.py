@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
+from tradewatch.functions.ordering import time_then_id_key
 from tradewatch.operators.joins import Side, join_small
 
 _SPREAD = {"samp": F.stddev_samp, "pop": F.stddev_pop}
@@ -56,7 +57,7 @@ def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
 
     from tradewatch.session import scratch_path
 
-    order = F.struct("trade_ts", "trade_id")
+    order = time_then_id_key("trade_ts", "trade_id")  # fixed width: keeps hash aggregation
     both = trades.groupingSets([["stock"], ["stock", "trade_date"]], "stock", "trade_date").agg(
         F.grouping_id().alias("level"),  # 1: per stock, 0: per stock and day
         F.avg("quantity").alias("avg_qty"),

@@ -18,6 +18,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewatch.functions.ordering import time_then_id_key
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
@@ -71,11 +73,11 @@ def load_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_closes(trades: DataFrame) -> DataFrame:
     """Close per (stock, day) = price of the day's last trade (ts, then id).
 
-    ``max_by`` is a partial aggregate, so a hot stock is pre-aggregated on the
-    map side before the (stock, day) shuffle.  Output: stock, price_date,
-    close, close_ts.
+    ``max_by`` over a fixed-width key is a hash aggregate with map-side
+    partial aggregation, so a hot stock is pre-aggregated before the
+    (stock, day) shuffle.  Output: stock, price_date, close, close_ts.
     """
-    order = F.struct("trade_ts", "trade_id")
+    order = time_then_id_key("trade_ts", "trade_id")
     return trades.groupBy("stock", F.col("trade_date").alias("price_date")).agg(
         F.max_by("price", order).alias("close"),
         F.max("trade_ts").alias("close_ts"),
