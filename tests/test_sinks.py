@@ -192,3 +192,22 @@ def test_command_line_run_and_alerts(spark, tmp_dir, capsys):
     assert main(["alerts", "--results", os.path.join(out, "results", "run_id=r1")]) == 0
     printed = capsys.readouterr().out
     assert "10,000" in printed and "57%" in printed
+
+
+def test_file_arrival_of_reference_style_orders(spark, tmp_dir):
+    """Five text columns with time-only timestamps, as the reference's uploads."""
+    from fixtures import SAMPLE_ORDERS
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "orders.CSV"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price,timestamp\n")
+        fh.writelines(f"{a},{b},{c},{d},{e}\n" for a, b, c, d, e in SAMPLE_ORDERS)
+    with open(os.path.join(landing, "notes.txt"), "w") as fh:
+        fh.write("not an upload\n")
+    table = _name("suspicious_trades")
+    q = run_on_arrival(spark, landing, sample_closes(spark), table, os.path.join(tmp_dir, "ckpt"), LATEST_PAIR,
+                       None, os.path.join(tmp_dir, "res"), layout="orders", run_date="2026-03-04")
+    q.awaitTermination()
+    got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in src.read_results(spark, table).collect()}
+    assert got == SAMPLE_FLAGGED

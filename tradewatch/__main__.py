@@ -18,24 +18,11 @@ import sys
 
 from pyspark.sql import functions as F
 
-from tradewatch import schemas
-from tradewatch.functions.parsing import time_on_date
 from tradewatch.operators import alerts
 from tradewatch.plans import pipeline
 from tradewatch.profiles import PROFILES
 from tradewatch.session import build_session
-from tradewatch.sources.files import read_orders_csv, read_prices_csv
-
-
-def orders_as_trades(orders, as_of: str):
-    """Typed orders -> trades: ids from the scan, time placed on the as-of date."""
-    day = F.to_date(F.lit(as_of))
-    return orders.select(
-        F.monotonically_increasing_id().alias("trade_id"),
-        "trader_id", "stock", "quantity", "price", "timestamp",
-        day.alias("trade_date"),
-        time_on_date(day, "timestamp").alias("trade_ts"),
-    ).select(*schemas.TRADES.fieldNames())
+from tradewatch.sources.files import orders_to_trades, read_orders_csv, read_prices_csv
 
 
 def prices_as_closes(prices):
@@ -47,7 +34,7 @@ def prices_as_closes(prices):
 
 def cmd_run(args) -> int:
     spark = build_session(master=args.master)
-    trades = orders_as_trades(read_orders_csv(spark, args.orders), args.as_of)
+    trades = orders_to_trades(read_orders_csv(spark, args.orders), F.to_date(F.lit(args.as_of)))
     closes = prices_as_closes(read_prices_csv(spark, args.prices))
     res = pipeline.run(spark, trades, closes, args.out, PROFILES[args.profile], args.run_id)
     for stage in pipeline.STAGES:

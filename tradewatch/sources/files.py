@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
-from tradewatch.functions.parsing import strict_double, strict_int
+from tradewatch.functions.parsing import strict_double, strict_int, time_on_date
 
 CSV_GLOB = "*.[cC][sS][vV]"  # only .csv inputs, any case
 
@@ -21,6 +21,17 @@ def require_columns(columns, required=schemas.ORDER_COLUMNS) -> None:
         raise MissingColumnsError(f"orders input must contain columns {sorted(required)}; missing {missing}")
 
 
+def type_orders(raw: DataFrame) -> DataFrame:
+    """Text order columns -> typed orders with strict number parsing."""
+    return raw.select(
+        "trader_id",
+        "stock",
+        strict_int("quantity").alias("quantity"),
+        strict_double("price").alias("price"),
+        "timestamp",
+    )
+
+
 def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     """Orders CSV(s) with a header; only ``.csv`` files; the five columns must exist.
 
@@ -29,13 +40,21 @@ def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("header", True).option("pathGlobFilter", CSV_GLOB).csv(path)
     require_columns(raw.columns)
-    return raw.select(
-        "trader_id",
-        "stock",
-        strict_int("quantity").alias("quantity"),
-        strict_double("price").alias("price"),
-        "timestamp",
-    )
+    return type_orders(raw)
+
+
+def orders_to_trades(orders: DataFrame, day: Column) -> DataFrame:
+    """Typed orders -> trades: ids from the scan, the time of day placed on ``day``.
+
+    Uploaded orders carry only a time of day; like the reference, the run's
+    date supplies the rest.
+    """
+    return orders.select(
+        F.monotonically_increasing_id().alias("trade_id"),
+        "trader_id", "stock", "quantity", "price", "timestamp",
+        day.alias("trade_date"),
+        time_on_date(day, "timestamp").alias("trade_ts"),
+    ).select(*schemas.TRADES.fieldNames())
 
 
 def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -12,22 +12,24 @@ restarted query resumes with the next unseen files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewatch import schemas
 from tradewatch.operators.score import flagged
 from tradewatch.profiles import POST_TRADE, Profile
 from tradewatch.sinks.results import refresh_results
 from tradewatch.sources.events import valid_trade
-from tradewatch.sources.files import CSV_GLOB
+from tradewatch.sources.files import CSV_GLOB, orders_to_trades, type_orders
 
 
-def arrival_stream(spark: SparkSession, landing: str) -> DataFrame:
-    return (
-        spark.readStream.schema(schemas.TRADES)
-        .option("header", True)
-        .option("pathGlobFilter", CSV_GLOB)
-        .csv(landing)
-    )
+# Upload layouts: the reference's five text columns, or full trades.
+ORDERS_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in schemas.ORDER_COLUMNS])
+
+
+def arrival_stream(spark: SparkSession, landing: str, layout: str = "trades") -> DataFrame:
+    schema = schemas.TRADES if layout == "trades" else ORDERS_TEXT
+    return spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", CSV_GLOB).csv(landing)
 
 
 def run_on_arrival(
@@ -40,13 +42,23 @@ def run_on_arrival(
     detected_at: str | None = None,
     results_location: str | None = None,
     available_now: bool = True,
+    layout: str = "trades",
+    run_date: str | None = None,
 ):
-    """Start the arrival query; with ``available_now`` it drains and stops."""
+    """Start the arrival query; with ``available_now`` it drains and stops.
+
+    ``layout='orders'`` takes uploads as the reference writes them (five
+    text columns, time of day only); the times are placed on ``run_date``
+    (default: the batch's current date).
+    """
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        if layout == "orders":
+            day = F.to_date(F.lit(run_date)) if run_date else F.current_date()
+            batch = orders_to_trades(type_orders(batch), day)
         trades = batch.where(valid_trade())
         refresh_results(batch.sparkSession, flagged(trades, closes, profile), table, detected_at, results_location)
 
-    writer = arrival_stream(spark, landing).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = arrival_stream(spark, landing, layout).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
