@@ -170,3 +170,12 @@ def test_time_then_id_key_orders_like_the_pair(spark):
     df = spark.createDataFrame(rows, "ts timestamp_ntz, id long").select("ts", "id", time_then_id_key("ts", "id").alias("k"))
     got = [(r.ts, r.id) for r in df.orderBy("k").collect()]
     assert got == sorted(rows)
+
+
+def test_lookback_window_reaches_the_scan(spark):
+    from tradewatch.plans.queries import QUERIES as Q
+
+    df = Q["prices_lookback"](spark, SF)
+    text = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(ts,2023-12-26T00:00)" in p and "LessThan(ts,2024-01-26T00:00)" in p for p in pushed)

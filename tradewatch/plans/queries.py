@@ -9,6 +9,7 @@ in a different order differ in the last bits between engines.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from tradewatch import schemas
 from tradewatch.functions.parsing import seconds_of_day, time_on_date
 from tradewatch.operators import alerts, clean, prices, score, stats, summaries
 from tradewatch.plans import pipeline
-from tradewatch.profiles import LATEST_PAIR, POST_TRADE
+from tradewatch.profiles import LATEST_PAIR, LOOKBACK_DAYS, POST_TRADE
 from tradewatch.session import configure, scratch_path
 from tradewatch.sinks import files, results
 from tradewatch.sources import events as ev
@@ -160,14 +161,21 @@ def q_asof_next_price(spark, sf):
     return _r4(prices.asof_next_price(t, ev.daily_closes(t)))
 
 
+def _lookback_closes(t: DataFrame) -> DataFrame:
+    """Closes of the look-back days only: a day's close needs only that day's
+    trades, so the window is applied to the trade scan (pushed to Parquet)."""
+    first = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=LOOKBACK_DAYS)).isoformat()
+    return ev.daily_closes(ev.trades_between(t, first, AS_OF))
+
+
 def q_prices_lookback(spark, sf):
     t = _trades(spark, sf)
-    return _r4(prices.prices_lookback(ev.daily_closes(t).drop("close_ts"), prices.traded_symbols(t), AS_OF))
+    return _r4(prices.prices_lookback(_lookback_closes(t).drop("close_ts"), prices.traded_symbols(t), AS_OF))
 
 
 def q_symbols_without_prices(spark, sf):
     t = _trades(spark, sf)
-    window = prices.prices_lookback(ev.daily_closes(t), prices.traded_symbols(t), AS_OF)
+    window = prices.prices_lookback(_lookback_closes(t), prices.traded_symbols(t), AS_OF)
     return prices.symbols_without_prices(prices.traded_symbols(t), window)
 
 

@@ -70,6 +70,14 @@ def load_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades_from_events(read_events(spark, sf_dir))
 
 
+def trades_between(trades: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Trades of the days ``first_day``..``last_day`` (inclusive), as a range on the
+    trade time so the bounds reach the Parquet scan (row groups outside are skipped)."""
+    start = F.to_timestamp_ntz(F.lit(f"{first_day} 00:00:00"))
+    stop = F.to_timestamp_ntz(F.date_format(F.date_add(F.to_date(F.lit(last_day)), 1), "yyyy-MM-dd"))
+    return trades.where((F.col("trade_ts") >= start) & (F.col("trade_ts") < stop))
+
+
 def daily_closes(trades: DataFrame) -> DataFrame:
     """Close per (stock, day) = price of the day's last trade (ts, then id).
 
