@@ -211,3 +211,14 @@ def test_file_arrival_of_reference_style_orders(spark, tmp_dir):
     q.awaitTermination()
     got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in src.read_results(spark, table).collect()}
     assert got == SAMPLE_FLAGGED
+
+
+def test_fractional_quantity_per_profile(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "orders")
+    os.makedirs(path)
+    with open(os.path.join(path, "o.csv"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price,timestamp\nT1,TCS,1.5,3500,10:10\nT2,TCS,7,3500,10:15\n")
+    local = {(r.trader_id, r.quantity) for r in src.read_orders_csv(spark, path, LATEST_PAIR.truncate_quantity).collect()}
+    cluster = {(r.trader_id, r.quantity) for r in src.read_orders_csv(spark, path, POST_TRADE.truncate_quantity).collect()}
+    assert local == {("T1", 1), ("T2", 7)}
+    assert cluster == {("T1", None), ("T2", 7)}  # unparsed -> dropped by the validity rule

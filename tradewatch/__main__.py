@@ -34,9 +34,11 @@ def prices_as_closes(prices):
 
 def cmd_run(args) -> int:
     spark = build_session(master=args.master)
-    trades = orders_to_trades(read_orders_csv(spark, args.orders), F.to_date(F.lit(args.as_of)))
+    profile = PROFILES[args.profile]
+    orders = read_orders_csv(spark, args.orders, profile.truncate_quantity)
+    trades = orders_to_trades(orders, F.to_date(F.lit(args.as_of)))
     closes = prices_as_closes(read_prices_csv(spark, args.prices))
-    res = pipeline.run(spark, trades, closes, args.out, PROFILES[args.profile], args.run_id)
+    res = pipeline.run(spark, trades, closes, args.out, profile, args.run_id)
     for stage in pipeline.STAGES:
         print(f"{stage}: {res.counts[stage]}")
     return 0

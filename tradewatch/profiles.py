@@ -54,6 +54,8 @@ class Profile:
                  'latest_pair': last two closes of the stock
     reasons      four reason texts (see POST_TRADE_REASONS)
     require_timestamp  typed cleaner drops rows without a time
+    truncate_quantity  a fractional quantity such as 1.5 is truncated to 1
+                       (typed cleaner) instead of dropping the row (text cleaner)
     """
 
     name: str
@@ -64,6 +66,7 @@ class Profile:
     price_move: str
     reasons: tuple[str, str, str, str]
     require_timestamp: bool
+    truncate_quantity: bool
 
 
 POST_TRADE = Profile(
@@ -75,6 +78,7 @@ POST_TRADE = Profile(
     price_move="post_trade",
     reasons=POST_TRADE_REASONS,
     require_timestamp=False,
+    truncate_quantity=False,
 )
 
 LATEST_PAIR = Profile(
@@ -86,6 +90,7 @@ LATEST_PAIR = Profile(
     price_move="latest_pair",
     reasons=LATEST_PAIR_REASONS,
     require_timestamp=True,
+    truncate_quantity=True,
 )
 
 PROFILES = {p.name: p for p in (POST_TRADE, LATEST_PAIR)}

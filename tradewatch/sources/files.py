@@ -21,18 +21,23 @@ def require_columns(columns, required=schemas.ORDER_COLUMNS) -> None:
         raise MissingColumnsError(f"orders input must contain columns {sorted(required)}; missing {missing}")
 
 
-def type_orders(raw: DataFrame) -> DataFrame:
-    """Text order columns -> typed orders with strict number parsing."""
+def type_orders(raw: DataFrame, truncate_quantity: bool = False) -> DataFrame:
+    """Text order columns -> typed orders with strict number parsing.
+
+    ``truncate_quantity``: a finite fractional quantity is truncated (1.5 -> 1)
+    as the typed cleaner does; otherwise only integers are accepted.
+    """
+    qty = strict_double("quantity").cast("int") if truncate_quantity else strict_int("quantity")
     return raw.select(
         "trader_id",
         "stock",
-        strict_int("quantity").alias("quantity"),
+        qty.alias("quantity"),
         strict_double("price").alias("price"),
         "timestamp",
     )
 
 
-def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str, truncate_quantity: bool = False) -> DataFrame:
     """Orders CSV(s) with a header; only ``.csv`` files; the five columns must exist.
 
     The header is read as text (extra columns and any order are allowed, as
@@ -40,7 +45,7 @@ def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("header", True).option("pathGlobFilter", CSV_GLOB).csv(path)
     require_columns(raw.columns)
-    return type_orders(raw)
+    return type_orders(raw, truncate_quantity)
 
 
 def orders_to_trades(orders: DataFrame, day: Column) -> DataFrame:

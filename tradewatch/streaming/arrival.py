@@ -55,7 +55,7 @@ def run_on_arrival(
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if layout == "orders":
             day = F.to_date(F.lit(run_date)) if run_date else F.current_date()
-            batch = orders_to_trades(type_orders(batch), day)
+            batch = orders_to_trades(type_orders(batch, profile.truncate_quantity), day)
         trades = batch.where(valid_trade())
         refresh_results(batch.sparkSession, flagged(trades, closes, profile), table, detected_at, results_location)
 
