@@ -56,6 +56,8 @@ def test_asof_matches_brute_force(spark):
     t = load_trades(spark, SF)
     c = daily_closes(t)
     fast = {(r.trade_id, r.next_price, r.next_price_ts) for r in prices.asof_next_price(t, c).collect()}
+    reused = {(r.trade_id, r.next_price, r.next_price_ts) for r in prices.asof_next_price(t, c, days_from_closes=True).collect()}
+    assert reused == fast
     events = t.select("trade_id", "stock", F.col("trade_ts").alias("ts"), F.lit(None).cast("double").alias("px"),
                       F.lit(None).cast("timestamp_ntz").alias("px_ts"), F.lit(1).alias("k"))
     obs = c.select(F.lit(None).cast("long").alias("trade_id"), "stock", F.col("close_ts").alias("ts"),

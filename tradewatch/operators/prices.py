@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tradewatch import profiles as P
 from tradewatch.functions import scoring
-from tradewatch.operators.joins import join_small
+from tradewatch.operators.joins import Side, join_small
 
 
 def one_close_per_day(closes: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def trades_with_latest_price(trades: DataFrame, closes: DataFrame) -> DataFrame:
     return joined.select("trade_id", "trader_id", "stock", "quantity", "latest_date", "current_close")
 
 
-def asof_next_price(trades: DataFrame, closes: DataFrame) -> DataFrame:
+def asof_next_price(trades: DataFrame, closes: DataFrame | Side, days_from_closes: bool = False) -> DataFrame:
     """First close observed strictly after each trade (forward as-of join).
 
     A close is observed at ``close_ts`` on its own day.  For a trade on day d
@@ -94,9 +94,20 @@ def asof_next_price(trades: DataFrame, closes: DataFrame) -> DataFrame:
     small (stock, day) sides with a window over days; trades then take both
     candidates through one equi-join on (stock, day), so the hot stock is
     spread over its days instead of sorted in one task.
+
+    ``days_from_closes``: the closes derive from the same trades, so every
+    trade day has a close and the closes' keys are the trade days - no
+    separate pass over trades for them.  With materialised closes the lookup
+    then has at most the closes' row count and is broadcast without a write.
     """
-    days = trades.select("stock", F.col("trade_date").alias("price_date")).distinct()
+    bound = closes.rows if isinstance(closes, Side) and days_from_closes else None
+    if isinstance(closes, Side):
+        closes = closes.df
     obs = one_close_per_day(closes)
+    if days_from_closes:
+        days = obs.select("stock", "price_date")
+    else:
+        days = trades.select("stock", F.col("trade_date").alias("price_date")).distinct()
     marked = obs.withColumn("kind", F.lit(0)).unionByName(
         days.withColumn("kind", F.lit(1)).withColumn("close", F.lit(None).cast("double"))
         .withColumn("close_ts", F.lit(None).cast("timestamp_ntz")),
@@ -114,7 +125,7 @@ def asof_next_price(trades: DataFrame, closes: DataFrame) -> DataFrame:
         .select("stock", "price_date", F.col("nx.close").alias("after_close"), F.col("nx.close_ts").alias("after_ts"))
     )
     lookup = after.join(obs, ["stock", "price_date"], "left").withColumnRenamed("price_date", "trade_date")
-    joined = join_small(trades, lookup, ["stock", "trade_date"], "left")
+    joined = join_small(trades, Side(lookup, bound) if bound is not None else lookup, ["stock", "trade_date"], "left")
     same_day = F.col("close_ts") > F.col("trade_ts")
     return joined.select(
         "trade_id", "stock", "trade_ts",

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tradewatch import schemas
 from tradewatch.functions.parsing import seconds_of_day, time_on_date
 from tradewatch.operators import alerts, clean, prices, score, stats, summaries
+from tradewatch.operators.joins import small_side
 from tradewatch.plans import pipeline
 from tradewatch.profiles import LATEST_PAIR, LOOKBACK_DAYS, POST_TRADE
 from tradewatch.session import configure, scratch_path
@@ -158,7 +159,8 @@ def q_trades_with_latest_price(spark, sf):
 
 def q_asof_next_price(spark, sf):
     t = _trades(spark, sf)
-    return _r4(prices.asof_next_price(t, ev.daily_closes(t)))
+    closes = small_side(ev.daily_closes(t), "closes")  # one pass; every trade day has a close
+    return _r4(prices.asof_next_price(t, closes, days_from_closes=True))
 
 
 def _lookback_closes(t: DataFrame) -> DataFrame:
