@@ -165,3 +165,22 @@ def test_join_form_equals_window_form(spark):
     large_join = {r.trade_id for r in stats.large_trades(t, 3.0, "samp").collect()}
     large_win = {r.trade_id for r in t.join(windowed, "trade_id").where(F.col("quantity") > F.col("a") + 3 * F.col("s")).collect()}
     assert large_join == large_win and len(large_join) == 18
+
+
+def test_exact_median_of_a_hot_group_spread_over_slices(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [("HOT", float(rnd.randint(0, 4000))) for _ in range(9001)]  # odd count, many duplicates
+    rows += [("EVEN", float(v)) for v in (5, 1, 9, 3)] + [("ONE", 2.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    # keep the 8 range slices apart (AQE would merge slices this small into one)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        slices = df.groupBy("g", "v").count().repartitionByRange("g", "v").withColumn("s", F.spark_partition_id())
+        assert slices.where("g = 'HOT'").select("s").distinct().count() > 1
+        got = {r.g: r.median for r in stats.exact_median(df, "g", "v").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert got == want and got["EVEN"] == 4.0 and got["ONE"] == 2.5

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions import scoring
 from tradewatch.functions.ordering import time_then_id_key
-from tradewatch.operators.joins import Side, join_small
+from tradewatch.operators.joins import Side, join_small, small_side
 
 _SPREAD = {"samp": F.stddev_samp, "pop": F.stddev_pop}
 
@@ -111,19 +111,30 @@ def trade_zscore(trades: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Exact (interpolated) median of ``value`` per ``group``: columns group, median.
 
-    Counts (group, value) pairs first - distributed over both keys, so a hot
-    group is spread out - then walks each group's sorted distinct values with
-    a running count and averages the two middle ones.  Memory follows the
-    number of distinct values of a group, and the window frame spills, unlike
-    a per-group in-memory value map.
+    1. Count (group, value) pairs - a hash aggregate, distributed over both keys.
+    2. Range-partition those pairs by (group, value) and tag each with its
+       range partition; written once, so every later pass sees the same ranges.
+       A hot group's distinct values are spread over several range slices.
+    3. Per (group, slice) totals are tiny; their running sum per group gives
+       each slice's offset.  The running count is then taken only inside a
+       slice, so no task ever sorts a whole group.
+    4. The two middle ranks are located and averaged.
     """
     freq = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
-    running = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = freq.select(
-        group, value, "c",
-        F.sum("c").over(running).alias("upto"),
-        F.sum("c").over(Window.partitionBy(group)).alias("n"),
+    tagged = small_side(freq.repartitionByRange(group, value).withColumn("slice", F.spark_partition_id()), "median_slices")
+
+    totals = tagged.df.groupBy(group, "slice").agg(F.sum("c").alias("t"))
+    earlier = Window.partitionBy(group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        group, "slice",
+        F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("before"),
+        F.sum("t").over(Window.partitionBy(group)).alias("n"),
     )
+    # at most one offset row per (group, slice): bounded by the slices' row count
+    with_offsets = join_small(tagged.df, Side(offsets, tagged.rows), [group, "slice"], "inner")
+    inside = Window.partitionBy(group, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = with_offsets.select(group, value, "c", "n", (F.col("before") + F.sum("c").over(inside)).alias("upto"))
+
     lo = F.floor((F.col("n") - 1) / 2)
     hi = F.ceil((F.col("n") - 1) / 2)
 
