@@ -181,3 +181,22 @@ def test_lookback_window_reaches_the_scan(spark):
     text = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
     assert any("GreaterThanOrEqual(ts,2023-12-26T00:00)" in p and "LessThan(ts,2024-01-26T00:00)" in p for p in pushed)
+
+
+def test_byte_bound_also_limits_broadcast(spark):
+    from tradewatch.operators.joins import join_small, row_bytes
+
+    t = load_trades(spark, SF)
+    stats = t.groupBy("stock").agg(F.avg("quantity").alias("a"))
+    assert row_bytes(stats.schema) == (8 + 32) + (8 + 8)
+    spark.conf.set("tradewatch.broadcast.maxBytes", str(5 * 56 - 1))  # 5 stocks just over the bound
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan_of(join_small(t, stats, "stock", "left"))
+        spark.conf.set("tradewatch.broadcast.maxBytes", str(5 * 56))
+        assert "BroadcastHashJoin" in plan_of(join_small(t, stats, "stock", "left"))
+    finally:
+        for k in ("tradewatch.broadcast.maxBytes", "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)

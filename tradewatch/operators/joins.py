@@ -15,7 +15,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.session import broadcast_max_rows, materialize_counted
+from pyspark.sql import types as T
+
+from tradewatch.session import broadcast_max_bytes, broadcast_max_rows, materialize_counted
+
+# Estimated in-memory width per value (strings: a generous average for keys).
+_WIDTH = {T.StringType: 32, T.DateType: 4, T.IntegerType: 4, T.BooleanType: 1}
+
+
+def row_bytes(schema: T.StructType) -> int:
+    """Estimated bytes per row of a broadcast relation (8 bytes of slot per field plus payload)."""
+    return sum(8 + _WIDTH.get(type(f.dataType), 8) for f in schema.fields)
 
 
 @dataclass(frozen=True)
@@ -33,10 +43,13 @@ def small_side(df: DataFrame, name: str = "small_side") -> Side:
 
 
 def bounded_small(small: DataFrame | Side, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` unless it already is; report whether it is within the broadcast bound."""
+    """Materialise ``small`` unless it already is; report whether it is within the
+    broadcast bounds (row count, and row count times estimated row width)."""
     side = small if isinstance(small, Side) else small_side(small)
-    bound = broadcast_max_rows(side.df.sparkSession) if max_rows is None else max_rows
-    return side.df, side.rows <= bound
+    spark = side.df.sparkSession
+    rows_ok = side.rows <= (broadcast_max_rows(spark) if max_rows is None else max_rows)
+    bytes_ok = side.rows * row_bytes(side.df.schema) <= broadcast_max_bytes(spark)
+    return side.df, rows_ok and bytes_ok
 
 
 def join_small(big: DataFrame, small: DataFrame | Side, on, how: str = "left", max_rows: int | None = None) -> DataFrame:

@@ -14,17 +14,23 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Row bound under which a derived side (one row per stock, or per stock and
-# day) is broadcast.  The bound is checked against the materialised row count,
-# never assumed; a session can lower or raise it with BROADCAST_ROWS_CONF.
-BROADCAST_MAX_ROWS = 1_000_000
+# Bounds under which a derived side (one row per stock, or per stock and day)
+# is broadcast.  They are checked against the materialised row count times an
+# estimated row width, never assumed; a session can change them.
+BROADCAST_MAX_ROWS = 10_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS_CONF = "tradewatch.broadcast.maxRows"
+BROADCAST_BYTES_CONF = "tradewatch.broadcast.maxBytes"
 
 
 def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
 
 
+def broadcast_max_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_MAX_BYTES)))
+
+
 def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tradewatch") -> SparkSession:
     """Session with the settings the plans are written for."""
     builder = (
