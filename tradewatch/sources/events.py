@@ -184,17 +184,19 @@ def dirty_lines(events: DataFrame) -> DataFrame:
 
 
 def dirty_typed_orders(events: DataFrame) -> DataFrame:
-    """The five-field order lines as a CSV reader yields them: text columns,
-    '' -> null.  Built from the same spoiled fields as ``order_line``; lines
-    with another field count (8, 11, 13, 14) are not rows of such a file."""
-    p = _pieces(events)
-    v = F.col("ov")
-    f = order_fields(v, F.col("tr"), F.col("st"), F.col("q"), F.col("px"), F.col("tm"))
-    header = ORDER_HEADER.split(",")
+    """The five-field lines as a CSV reader yields them: text columns, '' -> null.
+
+    Split from the mixed raw lines (their text is fixed once per line by the
+    explode there); only order lines have five fields.
+    """
+    from tradewatch.functions.parsing import field, fields, strip
+
+    split = dirty_lines(events).select(fields("value", ",").alias("parts"))
+    parts = F.col("parts")
     cols = ["trader_id", "stock", "quantity", "price", "timestamp"]
-    typed = [F.when(v == 10, F.lit(h)).otherwise(x) for h, x in zip(header, f)]
-    return p.where(~v.isin(8, 11, 13, 14)).select(
-        *[F.when(c != "", c).alias(name) for c, name in zip(typed, cols)]
+    stripped = [strip(field(parts, i)) for i in range(5)]
+    return split.where(F.size(parts) == 5).select(
+        *[F.when(c != "", c).alias(name) for c, name in zip(stripped, cols)]
     )
 
 
