@@ -8,7 +8,7 @@
     clean x moments x closes --> score --> flagged --> results table
 
 Clean orders are scanned four times (moments, trader summary, large trades,
-scoring) instead of once per output.
+scoring) instead of once per output; the four outputs run as concurrent jobs.
 
 The clean orders are written once and every later step reads that written
 table, so lineage is cut at the stage boundary and an executor lost later
@@ -18,6 +18,7 @@ taken with ``observe`` on the write itself (no extra counting job).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,23 +81,34 @@ def run(
 
     # one aggregate per stock feeds the stock summary, the large-trade bound and the scoring stats
     moments = small_side(stats.stock_moments(orders), "stock_moments")
-    files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), layer("hive", "stock_summary"), header=False)
-
-    bound = stats.stats_from_moments(moments, profile.spread)
-    large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread, bound), "large_trades")
-    files.write_csv(large.drop("trade_id"), layer("pig", "large_trades"), header=False)
-
-    trader_path = layer("hive", "trader_summary")
-    files.write_csv(summaries.trader_summary(orders), trader_path, header=False)
-    written = spark.read.schema(schemas.TRADER_SUMMARY).csv(trader_path)
-    files.write_csv(summaries.high_volume_from(written), layer("hive", "high_volume_traders"), header=False)
-
-    scoring_stats = stats.stats_from_moments(moments, "samp")
-    hits, obs["flagged"] = _observed(flagged(orders, closes, profile, scoring_stats), "flagged")
-    if results_table:
-        refresh_results(spark, hits, results_table, detected_at, files.folder(out, "results"))
-    else:
-        to_results(hits, detected_at).write.mode("overwrite").parquet(layer("results"))
+
+    def stock_summary() -> None:
+        files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), layer("hive", "stock_summary"), header=False)
+
+    def large_trades() -> None:
+        bound = stats.stats_from_moments(moments, profile.spread)
+        large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread, bound), "large_trades")
+        files.write_csv(large.drop("trade_id"), layer("pig", "large_trades"), header=False)
+
+    def trader_summaries() -> None:
+        trader_path = layer("hive", "trader_summary")
+        files.write_csv(summaries.trader_summary(orders), trader_path, header=False)
+        written = spark.read.schema(schemas.TRADER_SUMMARY).csv(trader_path)
+        files.write_csv(summaries.high_volume_from(written), layer("hive", "high_volume_traders"), header=False)
+
+    def scoring() -> None:
+        scoring_stats = stats.stats_from_moments(moments, "samp")
+        hits, obs["flagged"] = _observed(flagged(orders, closes, profile, scoring_stats), "flagged")
+        if results_table:
+            refresh_results(spark, hits, results_table, detected_at, files.folder(out, "results"))
+        else:
+            to_results(hits, detected_at).write.mode("overwrite").parquet(layer("results"))
+
+    # the four outputs are independent actions: submitted from separate threads,
+    # Spark runs their jobs side by side and keeps executors busy through each tail
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(f) for f in (stock_summary, large_trades, trader_summaries, scoring)]:
+            done.result()  # re-raises the first failure
 
     counts = {name: int(o.get.get("rows", 0)) for name, o in obs.items()}
     return RunResult(counts=counts, clean_path=clean_base, out=out)
