@@ -222,3 +222,9 @@ def test_fractional_quantity_per_profile(spark, tmp_dir):
     cluster = {(r.trader_id, r.quantity) for r in src.read_orders_csv(spark, path, POST_TRADE.truncate_quantity).collect()}
     assert local == {("T1", 1), ("T2", 7)}
     assert cluster == {("T1", None), ("T2", 7)}  # unparsed -> dropped by the validity rule
+
+
+def test_pipeline_failure_in_a_concurrent_output_is_raised(spark, tmp_dir):
+    bad_closes = sample_closes(spark).withColumn("close", F.raise_error(F.lit("price feed broken")).cast("double"))
+    with pytest.raises(Exception, match="price feed broken"):
+        pipeline.run(spark, sample_trades(spark), bad_closes, os.path.join(tmp_dir, "out"), LATEST_PAIR, "r1")
