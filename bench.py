@@ -57,6 +57,7 @@ def main() -> None:
     cold = timed_pass()  # JVM start, JIT and codegen compilation land here
     warm = [timed_pass() for _ in range(3)]  # best of three: the host is shared and noisy
     times = {name: min(p[name] for p in warm) for name in HEADLINE}
+    version = spark.version
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
@@ -68,6 +69,8 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cold_total": round(sum(cold.values()), 3),
+                "cpus": cpus,
+                "spark": version,
             }
         )
     )
