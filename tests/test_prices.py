@@ -63,3 +63,15 @@ def test_asof_strictly_after(spark):
     got = {r.trade_id: (r.next_price) for r in prices.asof_next_price(t, c).collect()}
     # first trade: the same-day close is later; second trade: observed at the same instant -> next day
     assert got == {1: 5.0, 2: 8.0}
+
+
+def test_trades_between_day_bounds(spark):
+    from tradewatch import schemas
+    from tradewatch.sources.events import trades_between
+
+    stamps = [dt.datetime(2024, 1, 4, 23, 59, 59, 999999), dt.datetime(2024, 1, 5, 0, 0), dt.datetime(2024, 1, 7, 23, 59),
+              dt.datetime(2024, 1, 8, 0, 0)]
+    rows = [(i, "T", "S", 1, 1.0, "00:00", ts.date(), ts) for i, ts in enumerate(stamps)]
+    t = spark.createDataFrame(rows, schemas.TRADES)
+    got = sorted(r.trade_id for r in trades_between(t, "2024-01-05", "2024-01-07").collect())
+    assert got == [1, 2]
