@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, quality_rules, sharding, url_filters
+from . import byte_bpe, chat_format, quality_rules, sharding, suffix_dedup, url_filters
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op7_chat_format": op7_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
