@@ -130,6 +130,11 @@ class Rounds:
             return self.packs.mapInPandas(first, schema)
         return self.packs.groupBy("pack_id").cogroup(self.replies.groupBy("pack_id")).applyInPandas(run, schema)
 
+    def add(self, replies: DataFrame) -> None:
+        """Counts a table made elsewhere (REPLY_SCHEMA, numbered with the next round) as that round's answers."""
+        self.replies = self.replies.unionByName(replies)
+        self.done += 1
+
     def round(self, ask: Callable[[Pack, dict], Iterable[tuple[int, bytes]]], resolve: Callable[[list[int], list[bytes]], list[bytes]]) -> None:
         """One round: ``ask`` gives (bucket, payload) of a pack; ``resolve`` gets all packs' payloads of a bucket."""
         number = self.done
