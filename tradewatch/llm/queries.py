@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, jaccard_join, quality_rules, sharding, suffix_dedup, url_filters
+from . import byte_bpe, chat_format, decontamination, jaccard_join, quality_rules, sharding, suffix_dedup, url_filters
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = r"\### Assistant: </turn> ok"
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
+    "op6_decontamination": op6_decontamination,
     "op7_chat_format": op7_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
 }

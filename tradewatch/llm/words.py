@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .packs import Pack, U, mix
 
@@ -10,6 +12,8 @@ from .packs import Pack, U, mix
 SEGMENT = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything in ASCII that is neither letter nor digit (bytes of other letters are part of a word).
+_PUNCT = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = np.ones(0, np.uint64)
@@ -24,8 +28,21 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def word_hashes(pack: Pack, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the word offsets of the documents."""
+def batch_pack(batch: pa.RecordBatch, id_col: str, text_col: str) -> Pack:
+    """An Arrow batch as a pack (a null text is an empty one; a null id is 0)."""
+    texts = pc.fill_null(batch.column(text_col), "").cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    ids = pc.fill_null(batch.column(id_col), 0).to_numpy(zero_copy_only=False)
+    return Pack(0, ids, offsets - offsets[0], data[offsets[0] : offsets[-1]])
+
+
+def word_hashes(pack: Pack, lower: bool = True, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the word offsets of the documents.
+
+    Words are cut at white space, with ``letters_only`` at all ASCII punctuation too.
+    """
+    cut = _PUNCT if letters_only else _SPACE
     data, n = pack.data, len(pack.data)
     begins = np.zeros(n + 1, bool)
     begins[pack.offsets] = True  # a document's first byte begins a word even after a letter
@@ -33,11 +50,11 @@ def word_hashes(pack: Pack, lower: bool = True) -> tuple[np.ndarray, np.ndarray]
     a = 0
     while a < n:
         b = min(a + SEGMENT, n)
-        while b < n and not _SPACE[data[b]]:  # up to the end of a word
-            step = _SPACE[data[b : b + 4096]]
+        while b < n and not cut[data[b]]:  # up to the end of a word
+            step = cut[data[b : b + 4096]]
             b += int(step.argmax()) if step.any() else len(step)
         part = data[a:b]
-        word = ~_SPACE[part]
+        word = ~cut[part]
         first = word & (np.concatenate(([True], ~word[:-1])) | begins[a:b])
         starts = np.flatnonzero(first)
         if len(starts):
