@@ -16,6 +16,7 @@ Packs hold about ``PACK_BYTES``; a longer document is a pack of its own.  The nu
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -87,7 +88,13 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield close()
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    placed = src.mapInArrow(gather, PACK_SCHEMA).repartition(partitions(spark), "pack_id")
+    return place_by(src.mapInArrow(gather, PACK_SCHEMA), "pack_id")
+
+
+def place_by(df: DataFrame, column: str) -> DataFrame:
+    """Checkpoint of ``df`` dealt by ``column``: later rounds on that column do not shuffle it again."""
+    spark = df.sparkSession
+    placed = df.repartition(partitions(spark), column)
     # a checkpoint of an adaptive plan forgets how it is partitioned, and every round would shuffle the packs
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -97,11 +104,35 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Equally long arrays as one compressed payload (bytes of a kind side by side: sorted keys and small counts shrink well)."""
+    import zstandard
+
+    head = f"{len(arrays[0])} {' '.join(a.dtype.str for a in arrays)}\n".encode()
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
+
+
+def unsqueeze(payload: bytes) -> list[np.ndarray]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    head, _, body = raw.partition(b"\n")
+    n, *kinds = head.decode().split()
+    out, at, n = [], 0, int(n)
+    for kind in map(np.dtype, kinds):
+        size = n * kind.itemsize
+        planes = np.frombuffer(body, np.uint8, size, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += size
+    return out
+
+
 class Rounds:
     """Packs and the answers they have got so far."""
 
-    def __init__(self, packs: DataFrame, buckets: int | None = None):
-        self.packs = packs
+    def __init__(self, packs: DataFrame, buckets: int | None = None, opener: Callable = open_pack):
+        self.packs, self.opener = packs, opener
         self.spark = packs.sparkSession
         self.buckets = buckets or 2 * partitions(self.spark)
         self.replies = self.spark.createDataFrame([], REPLY_SCHEMA)
@@ -109,7 +140,7 @@ class Rounds:
 
     def per_pack(self, work: Callable[[Pack, dict[int, dict[int, bytes]]], Iterable[tuple]], schema: str) -> DataFrame:
         """Rows that ``work`` gives for each pack and its answers ({round: {bucket: payload}})."""
-        names = [x.split()[0] for x in schema.split(", ")]
+        names, opener = [x.split()[0] for x in schema.split(", ")], self.opener
 
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             rows = []
@@ -117,7 +148,7 @@ class Rounds:
             for r, b, payload in zip(right["round"], right["bucket"], right["payload"], strict=True):
                 answers.setdefault(int(r), {})[int(b)] = payload
             for row in left.itertuples(index=False):
-                rows.extend(work(open_pack(*row), answers))
+                rows.extend(work(opener(*row), answers))
             return pd.DataFrame(rows, columns=names)
 
         if not self.done:
@@ -125,7 +156,7 @@ class Rounds:
             def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
                 for frame in batches:
                     for row in frame.itertuples(index=False):
-                        yield pd.DataFrame(list(work(open_pack(*row), {})), columns=names)
+                        yield pd.DataFrame(list(work(opener(*row), {})), columns=names)
 
             return self.packs.mapInPandas(first, schema)
         return self.packs.groupBy("pack_id").cogroup(self.replies.groupBy("pack_id")).applyInPandas(run, schema)
@@ -135,23 +166,44 @@ class Rounds:
         self.replies = self.replies.unionByName(replies)
         self.done += 1
 
-    def round(self, ask: Callable[[Pack, dict], Iterable[tuple[int, bytes]]], resolve: Callable[[list[int], list[bytes]], list[bytes]]) -> None:
-        """One round: ``ask`` gives (bucket, payload) of a pack; ``resolve`` gets all packs' payloads of a bucket."""
+    def round(self, ask: Callable[[Pack, dict], Iterable[tuple[int, bytes]]], resolve: Callable[..., list[bytes]], side: DataFrame | None = None) -> DataFrame:
+        """One round: ``ask`` gives (bucket, payload) of a pack; ``resolve`` gets all packs' payloads of a bucket.
+
+        With ``side`` (bucket int, kind int, payload binary), ``resolve`` also gets the bucket's side rows as
+        {kind: payload} and its number, and may answer more than it was asked: those payloads go to pack -1.
+        """
         number = self.done
 
         def asked(pack: Pack, answers: dict) -> Iterator[tuple[int, int, bytes]]:
             for bucket, payload in ask(pack, answers):
                 yield bucket, pack.pack_id, payload
 
-        def resolved(frame: pd.DataFrame) -> pd.DataFrame:
+        def answer(frame: pd.DataFrame, bucket: int, *more) -> pd.DataFrame:
             frame = frame.sort_values("pack_id")
-            out = resolve(frame["pack_id"].tolist(), frame["payload"].tolist())
-            return pd.DataFrame({"pack_id": frame["pack_id"].to_numpy(), "round": np.int32(number), "bucket": frame["bucket"].to_numpy(), "payload": out})
+            packs = frame["pack_id"].tolist()
+            out = resolve(packs, frame["payload"].tolist(), *more)
+            packs += [-1] * (len(out) - len(packs))
+            return pd.DataFrame({"pack_id": np.array(packs, np.int64), "round": np.int32(number), "bucket": np.int32(bucket), "payload": out})
+
+        def resolved(frame: pd.DataFrame) -> pd.DataFrame:
+            return answer(frame, int(frame["bucket"].iloc[0]))
+
+        def resolved_with(key: tuple, frame: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            return answer(frame, int(key[0]), dict(zip(rows["kind"].tolist(), rows["payload"], strict=True)), int(key[0]))
 
-        asks = self.per_pack(asked, ASK_SCHEMA)
-        new, _ = materialize_counted(asks.groupBy("bucket").applyInPandas(resolved, REPLY_SCHEMA), f"replies-{number}")
+        asks = self.per_pack(asked, ASK_SCHEMA).groupBy("bucket")
+        made = asks.applyInPandas(resolved, REPLY_SCHEMA) if side is None else asks.cogroup(side.groupBy("bucket")).applyInPandas(resolved_with, REPLY_SCHEMA)
+        new, _ = materialize_counted(made, f"replies-{number}")
         self.replies = self.replies.unionByName(new) if number else new
         self.done += 1
+        release(self.spark)
+        return new
+
+
+def release(spark) -> None:
+    """Lets the executors drop shuffle files of finished rounds now, not when the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 U = np.uint64

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, decontamination, html_extract, jaccard_join, quality_rules, sharding, suffix_dedup, url_filters
+from . import byte_bpe, chat_format, decontamination, html_extract, jaccard_join, lm_scoring, quality_rules, sharding, suffix_dedup, url_filters
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_chat_format": op7_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extract": op10_html_extract,
 }
 
