@@ -327,19 +327,22 @@ def _results(buckets: int, with_text: bool):
             edges = np.flatnonzero(np.diff(np.concatenate(([False], out, [False]))))
             row = (int(pack.ids[i]), int(hi - lo), int(out.sum()), len(edges) // 2, hashlib.sha256(kept).hexdigest())
             if with_text:
-                row += (hashlib.sha256(text.tobytes()).hexdigest(), edges.tolist(), kept)
+                # decoded piece by piece: halves of two characters never make a new one
+                pieces = np.split(text, edges)[::2]
+                row += (hashlib.sha256(text.tobytes()).hexdigest(), edges.tolist(), "".join(p.tobytes().decode("utf-8", "ignore") for p in pieces))
             yield row
 
     return work
 
 
 DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-TEXT_SCHEMA = DIGEST_SCHEMA + ", text_sha256 string, span_edges array<long>, kept binary"
+TEXT_SCHEMA = DIGEST_SCHEMA + ", text_sha256 string, span_edges array<long>, kept_text string"
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """Per document: sizes, spans and digest of what stays; with ``with_text`` also the digest of the input
-    text, the byte edges [from, to, from, to, ...] of the removed spans, and the bytes that stay."""
+    text, the byte edges [from, to, from, to, ...] of the removed spans, and the text that stays (a character that
+    a cut divides goes whole)."""
     rounds = Rounds(pack_documents(docs, id_col, text_col, **({"pack_bytes": pack_bytes} if pack_bytes else {})))
     n = rounds.buckets
     rounds.round(_ask_triggers(n), _resolve_triggers)
