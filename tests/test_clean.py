@@ -36,7 +36,8 @@ DIRTY = [
 
 def test_clean_orders(spark):
     got = {tuple(r) for r in clean.clean_orders(lines(spark, DIRTY)).collect()}
-    assert got == {("T1", "TCS", 10, 3.5, "10:10"), ("T7", "TCS", 5, 3.5, "")}
+    # quantities are 64-bit: 99999999999 is kept, as in the reference
+    assert got == {("T1", "TCS", 10, 3.5, "10:10"), ("T7", "TCS", 5, 3.5, ""), ("T12", "TCS", 99999999999, 3.5, "10:10")}
 
 
 def test_clean_prices(spark):
@@ -70,7 +71,7 @@ def test_tag_and_parse_round_trip(spark):
     assert "PRICE\t2026-03-04,TCS,3125.4200" in values
     assert "PRICE\t,TCS,5.0000" in values
     parsed = {tuple(r) for r in clean.parse_tagged(tagged).collect()}
-    assert parsed == {("T1", "TCS", 10, 3.5, "10:10"), ("T7", "TCS", 5, 3.5, "")}
+    assert parsed == {("T1", "TCS", 10, 3.5, "10:10"), ("T7", "TCS", 5, 3.5, ""), ("T12", "TCS", 99999999999, 3.5, "10:10")}
     by_regex = {tuple(r) for r in clean.parse_tagged_regex(tagged).collect()}
     assert by_regex == parsed
     prices = {tuple(r) for r in clean.parse_tagged_prices(tagged).collect()}

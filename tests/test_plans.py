@@ -184,17 +184,19 @@ def test_lookback_window_reaches_the_scan(spark):
 
 
 def test_byte_bound_also_limits_broadcast(spark):
-    from tradewatch.operators.joins import join_small, row_bytes
+    from tradewatch.operators.joins import join_small, small_side
 
     t = load_trades(spark, SF)
     stats = t.groupBy("stock").agg(F.avg("quantity").alias("a"))
-    assert row_bytes(stats.schema) == (8 + 32) + (8 + 8)
-    spark.conf.set("tradewatch.broadcast.maxBytes", str(5 * 56 - 1))  # 5 stocks just over the bound
+    side = small_side(stats)
+    texts = sum(len(r.stock) for r in stats.collect())
+    assert (side.rows, side.text_bytes, side.size()) == (5, texts, texts + 5 * (8 + 16))  # texts are measured, not guessed
+    spark.conf.set("tradewatch.broadcast.maxBytes", str(side.size() - 1))  # just over the bound
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" not in plan_of(join_small(t, stats, "stock", "left"))
-        spark.conf.set("tradewatch.broadcast.maxBytes", str(5 * 56))
+        spark.conf.set("tradewatch.broadcast.maxBytes", str(side.size()))
         assert "BroadcastHashJoin" in plan_of(join_small(t, stats, "stock", "left"))
     finally:
         for k in ("tradewatch.broadcast.maxBytes", "spark.sql.autoBroadcastJoinThreshold",

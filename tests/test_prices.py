@@ -1,6 +1,9 @@
 """Price-side operators on small literal fixtures."""
 
 import datetime as dt
+import time
+
+from pyspark.sql import functions as F
 
 from fixtures import closes_from_rows, trades_from_rows
 from tradewatch.operators import prices
@@ -75,3 +78,30 @@ def test_trades_between_day_bounds(spark):
     t = spark.createDataFrame(rows, schemas.TRADES)
     got = sorted(r.trade_id for r in trades_between(t, "2024-01-05", "2024-01-07").collect())
     assert got == [1, 2]
+
+
+def test_closes_of_one_day_follow_their_time_not_their_price(spark):
+    at = lambda h: dt.datetime(2026, 3, 4, h)
+    day = dt.date(2026, 3, 4)
+    rows = [("A", day, 100.0, at(10)), ("A", day, 90.0, at(15)), ("B", day, 90.0, at(10)), ("B", day, 100.0, at(15))]
+    closes = spark.createDataFrame(rows, "stock string, price_date date, close double, close_ts timestamp_ntz")
+    assert {r.stock: r.close for r in prices.latest_price(closes).collect()} == {"A": 90.0, "B": 100.0}
+    assert {r.stock: round(r.price_change_pct, 2) for r in prices.price_change_latest_pair(closes).collect()} == {"A": -10.0, "B": 11.11}
+    assert {(r.stock, r.close): r.next_close for r in prices.next_close(closes).collect()}[("A", 100.0)] == 90.0
+    assert {(r.stock, r.recency): r.close for r in prices.last_two_prices(closes).collect()}[("A", 1)] == 90.0
+
+
+def test_asof_next_price_of_many_days_of_one_stock(spark):
+    """30,000 days in one window partition, in seconds; both ways of finding the days agree."""
+    hours = lambda n: F.expr(f"interval {n} hours")
+    days = spark.range(30_000).select(
+        "id", F.lit("A").alias("stock"), F.date_add(F.to_date(F.lit("1950-01-01")), F.col("id").cast("int")).alias("price_date"), F.col("id").cast("double").alias("close")
+    ).withColumn("close_ts", F.col("price_date").cast("timestamp_ntz") + hours(15))
+    trade_ts = F.col("close_ts") + F.when(F.col("id") % 2 == 0, hours(1)).otherwise(hours(-1))
+    trades = days.select(F.col("id").alias("trade_id"), "stock", F.col("price_date").alias("trade_date"), trade_ts.alias("trade_ts"))
+    began = time.time()
+    for from_closes in (False, True):
+        got = prices.asof_next_price(trades, days.drop("id"), from_closes)
+        # before the close: that day's; after it: the next day's
+        assert got.where("next_price = trade_id + (1 - trade_id % 2)").count() == 30_000
+    assert time.time() - began < 60

@@ -184,3 +184,15 @@ def test_exact_median_of_a_hot_group_spread_over_slices(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert got == want and got["EVEN"] == 4.0 and got["ONE"] == 2.5
+
+
+def test_summaries_and_alerts_come_in_order(spark):
+    """Global order of the summaries and of the ranked alerts, over several partitions."""
+    from tradewatch.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    t = QUERIES["alerts_ranked"](spark, sf).collect()
+    assert t and [r.suspicion_score for r in t] == sorted((r.suspicion_score for r in t), reverse=True)
+    for name, key in (("trader_summary", "total_quantity"), ("stock_summary", "avg_quantity"), ("high_volume_traders", "total_volume")):
+        values = [r[key] for r in QUERIES[name](spark, sf).collect()]
+        assert values == sorted(values, reverse=True), name

@@ -1,6 +1,7 @@
 """Sources, sinks, the results table and the file-arrival stream."""
 
 import os
+import time
 import uuid
 
 import pytest
@@ -26,7 +27,7 @@ def test_orders_csv_reader_checks_columns_and_extension(spark, tmp_dir):
     files.write_csv(t, good)
     t.select(F.col("stock").alias("value")).write.mode("append").text(good)  # .txt parts ignored
     back = src.read_orders_csv(spark, good)
-    assert back.count() == 15 and back.schema["quantity"].dataType.simpleString() == "int"
+    assert back.count() == 15 and back.schema["quantity"].dataType.simpleString() == "bigint"
     bad = os.path.join(tmp_dir, "bad")
     files.write_csv(t.drop("timestamp"), bad)
     with pytest.raises(src.MissingColumnsError):
@@ -147,20 +148,117 @@ def test_second_upload_replaces_first(spark, tmp_dir):
     landing, ckpt, res = (os.path.join(tmp_dir, d) for d in ("landing", "ckpt", "res"))
     table = _name("suspicious_trades")
     t = sample_trades(spark)
-    files.write_csv(t, os.path.join(tmp_dir, "up1"))
+    os.makedirs(landing)
+    files.write_csv(t.repartition(3), os.path.join(tmp_dir, "up1"))
     files.write_csv(t.where("stock = 'TCS'"), os.path.join(tmp_dir, "up2"))
-    os.rename(os.path.join(tmp_dir, "up1"), landing)  # a finished upload moves in at once
+    os.rename(os.path.join(tmp_dir, "up1"), os.path.join(landing, "up1"))  # a finished upload moves in at once
     run_on_arrival(spark, landing, sample_closes(spark), table, ckpt, LATEST_PAIR, None, res).awaitTermination()
     assert src.read_results(spark, table).count() == 4
-    for f in os.listdir(os.path.join(tmp_dir, "up2")):
-        if f.endswith(".csv"):
-            os.rename(os.path.join(tmp_dir, "up2", f), os.path.join(landing, "second-" + f))
+    os.rename(os.path.join(tmp_dir, "up2"), os.path.join(landing, "up2"))
     run_on_arrival(spark, landing, sample_closes(spark), table, ckpt, LATEST_PAIR, None, res).awaitTermination()
     # TCS alone: 4 trades, sample spread of its own; results hold only this upload's flags
     got = {(r.trader_id, r.suspicion_score) for r in src.read_results(spark, table).collect()}
     assert got == {("T201", 51), ("T213", 54)}
 
 
+def test_two_uploads_in_one_trigger_are_scored_apart(spark, tmp_dir):
+    """The later upload's results stay, and they equal a batch run over that upload alone."""
+    landing, res = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "res")
+    t = sample_trades(spark)
+    files.write_csv(t.withColumn("quantity", F.lit(10).cast("long")), os.path.join(landing, "a"))
+    time.sleep(1.1)
+    timeless = F.when(F.col("trader_id") != "T201", F.col("timestamp"))
+    second = t.withColumn("timestamp", timeless)
+    files.write_csv(second, os.path.join(landing, "b"))
+    table = _name("suspicious_trades")
+    run_on_arrival(spark, landing, sample_closes(spark), table, os.path.join(tmp_dir, "ckpt"), LATEST_PAIR, None, res).awaitTermination()
+    key = lambda rows: sorted((r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in rows)
+    got = key(src.read_results(spark, table).collect())
+    pipeline.run(spark, second, sample_closes(spark), os.path.join(tmp_dir, "batch"), LATEST_PAIR, "r1")
+    batch = spark.read.parquet(os.path.join(tmp_dir, "batch", "results", "run_id=r1"))
+    assert got == key(batch.collect()) and got
+    assert "T201" not in {g[0] for g in got}  # no time: dropped by the same rule as in a batch run
+    # both uploads ran all steps
+    assert len(os.listdir(os.path.join(res, "hive", "trader_summary"))) == 2
+
+
+def test_upload_with_other_columns_is_refused(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "o.csv"), "w") as fh:
+        fh.write("stock,trader_id,quantity,price,timestamp\nTCS,T1,5,3.5,10:10\n")
+    q = run_on_arrival(spark, landing, sample_closes(spark), _name("t"), os.path.join(tmp_dir, "ckpt"), LATEST_PAIR,
+                       None, os.path.join(tmp_dir, "res"), layout="orders", run_date="2026-03-04")
+    with pytest.raises(Exception, match="(?i)header"):
+        q.awaitTermination()
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "orders")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price,timestamp\nT1,TCS,5,3.5,10:10\n")
+    with open(os.path.join(folder, "b.csv"), "w") as fh:
+        fh.write("stock,trader_id,quantity,price,timestamp\nINFY,T2,5,3.5,10:10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_orders_csv(spark, folder).collect()
+
+
+def test_alert_ids_do_not_depend_on_splits(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "orders")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "o.csv"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price,timestamp\n")
+        fh.writelines(f"T{i % 50},S{i % 7},{i % 90 + 1},3.5,10:{i % 60:02d}\n" for i in range(4000))
+    ids = []
+    for size in ("2k", "64m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        trades = src.orders_to_trades(src.read_orders_csv(spark, folder, keep_file=True), F.to_date(F.lit("2026-03-04")))
+        rows = results.to_results(trades.withColumn("reason", F.lit("r")).withColumn("suspicion_score", F.lit(1)), "2026-03-04 12:00:00")
+        ids.append(sorted(r.id for r in rows.select("id").collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ids[0] == ids[1] and len(set(ids[0])) == 4000  # identical lines are numbered
+
+
+def test_price_rows_do_not_depend_on_the_columns_selected(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "prices")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "p.csv"), "w") as fh:
+        fh.write("datetime,stock,price\n2026-03-04,TCS,5\n2026-03-04,TCS,x\n2026-03-04,TCS,0\n2026-03-04,,5\nbad,TCS,5\n2026-03-05,TCS,\n")
+    p = src.read_prices_csv(spark, folder)
+    assert len(p.collect()) == p.count() == p.select("stock").count() == 1
+
+
+def test_large_quantities_and_bad_last_prices_on_the_csv_path(spark, tmp_dir):
+    """A quantity beyond 32 bits is kept; a zero or empty last price is not the last price."""
+    for name, lines in {
+        "orders": ["trader_id,stock,quantity,price,timestamp", "T1,TCS,3000000000,5,10:10", *[f"T{i},TCS,1,5,10:10" for i in range(2, 12)], "T20,XYZ,1,1,10:00"],
+        "prices": ["datetime,stock,price", "2026-03-02,TCS,100", "2026-03-03,TCS,110", "2026-03-04,TCS,0", "2026-03-05,TCS,", "2025-01-01,XYZ,5"],
+    }.items():
+        os.makedirs(os.path.join(tmp_dir, name))
+        with open(os.path.join(tmp_dir, name, f"{name}.csv"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    out = os.path.join(tmp_dir, "out")
+    res = pipeline.run_from_csv(spark, os.path.join(tmp_dir, "orders"), os.path.join(tmp_dir, "prices"), out, LATEST_PAIR, "2026-03-05", "r1")
+    rows = spark.read.parquet(os.path.join(out, "results", "run_id=r1")).collect()
+    # 3.0 spreads (45 points) and +10 % (40 points)
+    assert [(r.trader_id, r.quantity, r.suspicion_score) for r in rows] == [("T1", 3000000000, 85)]
+    assert [r.stock for r in res.unpriced.collect()] == ["XYZ"]  # its price is older than the window
+    exported = spark.read.option("header", True).csv(os.path.join(out, "suspicious_trades", "run_id=r1")).collect()
+    assert [r.trader_id for r in exported] == ["T1"]
+    assert spark.read.text(os.path.join(out, "raw", "run_id=r1")).count() == 13
+
+
+def test_landed_lines_keep_carriage_returns(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "in.txt")
+    with open(path, "wb") as fh:
+        fh.write(b"a,b\r\nc,d\r\n")
+    out = files.land_raw(src.read_lines(spark, path).coalesce(1), os.path.join(tmp_dir, "raw"))
+    part = next(f for f in os.listdir(out) if f.startswith("part-"))
+    with open(os.path.join(out, part), "rb") as fh:
+        assert fh.read() == b"a,b\r\nc,d\r\n"
+
+
 def test_untruncated_print_of_results(spark, capsys):
     hits = score.flagged(sample_trades(spark), sample_closes(spark), LATEST_PAIR)
     hits.show(truncate=False)

@@ -6,8 +6,9 @@
 
 ``run`` reads orders with a header (trader_id, stock, quantity, price,
 timestamp = HH:mm; only ``*.csv`` files) and daily closes (datetime, stock,
-price), places the order times on ``--as-of``, and writes every layer under
-``DIR/<layer>/run_id=<id>``.  ``alerts`` prints the dashboard figures (total,
+price), cleans both, places the order times on ``--as-of``, uses the prices of
+the traded symbols in the look-back window before it, and writes every layer
+under ``DIR/<layer>/run_id=<id>``.  ``alerts`` prints the dashboard figures (total,
 critical, moderate) and the highest-scored alerts.
 """
 
@@ -16,31 +17,23 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 from tradewatch.operators import alerts
 from tradewatch.plans import pipeline
 from tradewatch.profiles import PROFILES
 from tradewatch.session import build_session
-from tradewatch.sources.files import orders_to_trades, read_orders_csv, read_prices_csv
-
 
-def prices_as_closes(prices):
-    return prices.select(
-        "stock", F.col("datetime").alias("price_date"), F.col("price").alias("close"),
-        F.lit(None).cast("timestamp_ntz").alias("close_ts"),
-    )
+SHOWN_SYMBOLS = 20  # symbols without prices that ``run`` prints
 
 
 def cmd_run(args) -> int:
     spark = build_session(master=args.master)
-    profile = PROFILES[args.profile]
-    orders = read_orders_csv(spark, args.orders, profile.truncate_quantity)
-    trades = orders_to_trades(orders, F.to_date(F.lit(args.as_of)))
-    closes = prices_as_closes(read_prices_csv(spark, args.prices))
-    res = pipeline.run(spark, trades, closes, args.out, profile, args.run_id)
+    res = pipeline.run_from_csv(spark, args.orders, args.prices, args.out, PROFILES[args.profile], args.as_of, args.run_id)
     for stage in pipeline.STAGES:
         print(f"{stage}: {res.counts[stage]}")
+    unpriced = res.unpriced.count()
+    print(f"symbols without prices: {unpriced}")
+    if unpriced:
+        res.unpriced.orderBy("stock").show(SHOWN_SYMBOLS, truncate=False)
     return 0
 
 

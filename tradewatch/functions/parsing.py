@@ -29,10 +29,15 @@ def strip(c: str | Column) -> Column:
     return F.btrim(col(c), F.lit(WHITESPACE))
 
 
-def strict_int(c: str | Column) -> Column:
-    """``int(s)`` or null: digits with an optional sign, in int range."""
+def strict_int(c: str | Column, kind: str = "int") -> Column:
+    """``int(s)`` or null: digits with an optional sign, in the range of ``kind``."""
     c = col(c)
-    return F.when(c.rlike(INT_PATTERN), c.try_cast("int"))
+    return F.when(c.rlike(INT_PATTERN), c.try_cast(kind))
+
+
+def whole(c: str | Column) -> Column:
+    """``int(float(s))`` or null: a finite number cut to a 64-bit integer."""
+    return strict_double(c).try_cast("bigint")
 
 
 def strict_double(c: str | Column) -> Column:
@@ -52,11 +57,6 @@ def field(arr: Column, i: int) -> Column:
     return F.get(arr, i)
 
 
-def empty_to_null(c: str | Column) -> Column:
-    c = col(c)
-    return F.when(c != "", c)
-
-
 def seconds_of_day(c: str | Column) -> Column:
     """``HH:mm`` -> seconds since midnight; null when malformed (zone-free)."""
     parts = fields(c, ":")

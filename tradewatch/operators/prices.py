@@ -29,20 +29,30 @@ def one_close_per_day(closes: DataFrame) -> DataFrame:
     return last.select("stock", "price_date", F.col("c.close").alias("close"), F.col("c.close_ts").alias("close_ts"))
 
 
+def _timed(closes: DataFrame) -> DataFrame:
+    """Closes with a ``close_ts`` (null where the source has no time)."""
+    return closes if "close_ts" in closes.columns else closes.withColumn("close_ts", F.lit(None).cast("timestamp_ntz"))
+
+
+# Closes of a stock follow each other by day, then by time.  Only where no time is known does the price
+# decide between closes of one day; such a pair then always reads as a rise.
+_ORDER = ("price_date", "close_ts", "close")
+
+
 def latest_price(closes: DataFrame) -> DataFrame:
-    """Newest close per stock; ties on date broken by the higher price.
+    """Newest close per stock: by day, then time, then price.
 
     Deterministic ``max_by`` instead of sort + dropDuplicates.
     """
-    key = F.struct("price_date", "close")
-    latest = closes.groupBy("stock").agg(F.max_by(key, key).alias("l"))
+    key = F.struct(*_ORDER)
+    latest = _timed(closes).groupBy("stock").agg(F.max_by(key, key).alias("l"))
     return latest.select("stock", F.col("l.price_date").alias("price_date"), F.col("l.close").alias("close"))
 
 
 def next_close(closes: DataFrame) -> DataFrame:
-    """Each close with the stock's following close (lead by date)."""
-    w = Window.partitionBy("stock").orderBy("price_date", "close")
-    return closes.select("stock", "price_date", "close", F.lead("close", 1).over(w).alias("next_close"))
+    """Each close with the stock's following close."""
+    w = Window.partitionBy("stock").orderBy(*_ORDER)
+    return _timed(closes).select("stock", "price_date", "close", F.lead("close", 1).over(w).alias("next_close"))
 
 
 def last_two_prices(closes: DataFrame) -> DataFrame:
@@ -51,8 +61,8 @@ def last_two_prices(closes: DataFrame) -> DataFrame:
     ``row_number() <= 2`` is planned with a partial window group limit ahead
     of the shuffle, so each task ships at most two rows per stock.
     """
-    w = Window.partitionBy("stock").orderBy(F.desc("price_date"), F.desc("close"))
-    ranked = closes.select("stock", "price_date", "close", F.row_number().over(w).alias("recency"))
+    w = Window.partitionBy("stock").orderBy(*map(F.desc, _ORDER))
+    ranked = _timed(closes).select("stock", "price_date", "close", F.row_number().over(w).alias("recency"))
     return ranked.where(F.col("recency") <= 2)
 
 
@@ -100,32 +110,27 @@ def asof_next_price(trades: DataFrame, closes: DataFrame | Side, days_from_close
     separate pass over trades for them.  With materialised closes the lookup
     then has at most the closes' row count and is broadcast without a write.
     """
-    bound = closes.rows if isinstance(closes, Side) and days_from_closes else None
+    known = closes if isinstance(closes, Side) and days_from_closes else None
     if isinstance(closes, Side):
         closes = closes.df
     obs = one_close_per_day(closes)
     if days_from_closes:
-        days = obs.select("stock", "price_date")
+        by_day = Window.partitionBy("stock").orderBy("price_date")
+        lookup = obs.select("*", F.lead("close").over(by_day).alias("after_close"), F.lead("close_ts").over(by_day).alias("after_ts"))
     else:
         days = trades.select("stock", F.col("trade_date").alias("price_date")).distinct()
-    marked = obs.withColumn("kind", F.lit(0)).unionByName(
-        days.withColumn("kind", F.lit(1)).withColumn("close", F.lit(None).cast("double"))
-        .withColumn("close_ts", F.lit(None).cast("timestamp_ntz")),
-    )
-    following = (
-        Window.partitionBy("stock")
-        .orderBy("price_date", "kind")
-        .rowsBetween(1, Window.unboundedFollowing)
-    )
-    obs_only = F.when(F.col("kind") == 0, F.struct("close", "close_ts"))
-    nxt = F.first(obs_only, ignorenulls=True).over(following)
-    after = (
-        marked.withColumn("nx", F.when(F.col("kind") == 1, nxt))
-        .where(F.col("kind") == 1)
-        .select("stock", "price_date", F.col("nx.close").alias("after_close"), F.col("nx.close_ts").alias("after_ts"))
-    )
-    lookup = after.join(obs, ["stock", "price_date"], "left").withColumnRenamed("price_date", "trade_date")
-    joined = join_small(trades, Side(lookup, bound) if bound is not None else lookup, ["stock", "trade_date"], "left")
+        marked = obs.withColumn("kind", F.lit(0)).unionByName(days.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+        # newest first, so "the next close" is the last one already passed: the frame only grows and stays linear
+        later = Window.partitionBy("stock").orderBy(F.desc("price_date"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+        passed = F.last(F.when(F.col("kind") == 0, F.struct("close", "close_ts")), ignorenulls=True).over(later)
+        after = (
+            marked.withColumn("nx", passed)
+            .where(F.col("kind") == 1)
+            .select("stock", "price_date", F.col("nx.close").alias("after_close"), F.col("nx.close_ts").alias("after_ts"))
+        )
+        lookup = after.join(obs, ["stock", "price_date"], "left")
+    lookup = lookup.withColumnRenamed("price_date", "trade_date")
+    joined = join_small(trades, Side(lookup, known.rows, known.text_bytes) if known is not None else lookup, ["stock", "trade_date"], "left")
     same_day = F.col("close_ts") > F.col("trade_ts")
     return joined.select(
         "trade_id", "stock", "trade_ts",

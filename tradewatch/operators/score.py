@@ -30,12 +30,12 @@ def with_price_move(trades: DataFrame, closes: DataFrame | Side, profile: Profil
     day, then a window; or one row per stock), so the closes' count is its
     proven broadcast bound and the derivation runs inside the broadcast.
     """
-    bound = closes.rows if isinstance(closes, Side) else None
+    known = closes if isinstance(closes, Side) else None
     if isinstance(closes, Side):
         closes = closes.df
 
     def side(df: DataFrame) -> DataFrame | Side:
-        return Side(df, bound) if bound is not None else df
+        return Side(df, known.rows, known.text_bytes) if known is not None else df
 
     if profile.price_move == "post_trade":
         nx = next_close(one_close_per_day(closes)).withColumnRenamed("price_date", "trade_date")

@@ -41,7 +41,7 @@ def stock_moments(trades: DataFrame) -> DataFrame:
 def stats_from_moments(moments: Side, spread: str) -> Side:
     """The (stock, avg_qty, stddev_qty, trade_count) side for one spread estimator."""
     df = moments.df.select("stock", "avg_qty", F.col(f"stddev_{spread}").alias("stddev_qty"), "trade_count")
-    return Side(df, moments.rows)
+    return Side(df, moments.rows, moments.text_bytes)
 
 
 def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
@@ -70,7 +70,8 @@ def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
     path = scratch_path(spark, "stock_day_sides")
     obs = Observation("stock_day_sides")
     level = F.col("level")
-    both.observe(obs, F.count_if(level == 1).alias("stocks"), F.count_if(level == 0).alias("days")).write.mode(
+    texts = [F.sum(F.when(level == k, F.octet_length("stock")).otherwise(0)).alias(f"texts_{k}") for k in (0, 1)]
+    both.observe(obs, F.count_if(level == 1).alias("stocks"), F.count_if(level == 0).alias("days"), *texts).write.mode(
         "overwrite"
     ).partitionBy("level").parquet(path)
     table = spark.read.schema(both.schema).parquet(path)
@@ -79,7 +80,7 @@ def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
     closes = table.where(level == 0).select(
         "stock", F.col("trade_date").alias("price_date"), "close", "close_ts"
     )
-    return Side(stats, int(counts["stocks"])), Side(closes, int(counts["days"]))
+    return Side(stats, int(counts["stocks"]), int(counts["texts_1"] or 0)), Side(closes, int(counts["days"]), int(counts["texts_0"] or 0))
 
 
 def trades_with_stats(trades: DataFrame, stats: DataFrame, how: str = "left") -> DataFrame:
@@ -109,18 +110,22 @@ def trade_zscore(trades: DataFrame) -> DataFrame:
 
 
 def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Exact (interpolated) median of ``value`` per ``group``: columns group, median.
+    """Exact (interpolated) median of ``value`` per ``group``: columns group, median."""
+    return median_of_counts(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("c")), group, value)
 
-    1. Count (group, value) pairs - a hash aggregate, distributed over both keys.
-    2. Range-partition those pairs by (group, value) and tag each with its
+
+def median_of_counts(freq: DataFrame, group: str, value: str) -> DataFrame:
+    """Exact median from counted (group, value) pairs (``c``), a hash aggregate distributed over both keys.
+
+    1. Range-partition the pairs by (group, value) and tag each with its
        range partition; written once, so every later pass sees the same ranges.
        A hot group's distinct values are spread over several range slices.
-    3. Per (group, slice) totals are tiny; their running sum per group gives
+    2. Per (group, slice) totals are tiny; their running sum per group gives
        each slice's offset.  The running count is then taken only inside a
        slice, so no task ever sorts a whole group.
-    4. The two middle ranks are located and averaged.
+    3. The two middle ranks are located and averaged.
     """
-    freq = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    freq = freq.where(F.col(value).isNotNull()).select(group, value, "c")
     tagged = small_side(freq.repartitionByRange(group, value).withColumn("slice", F.spark_partition_id()), "median_slices")
 
     totals = tagged.df.groupBy(group, "slice").agg(F.sum("c").alias("t"))
@@ -131,7 +136,7 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
         F.sum("t").over(Window.partitionBy(group)).alias("n"),
     )
     # at most one offset row per (group, slice): bounded by the slices' row count
-    with_offsets = join_small(tagged.df, Side(offsets, tagged.rows), [group, "slice"], "inner")
+    with_offsets = join_small(tagged.df, Side(offsets, tagged.rows, tagged.text_bytes), [group, "slice"], "inner")
     inside = Window.partitionBy(group, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = with_offsets.select(group, value, "c", "n", (F.col("before") + F.sum("c").over(inside)).alias("upto"))
 
@@ -149,8 +154,15 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def stock_profile(trades: DataFrame) -> DataFrame:
     """Median price, largest and mean quantity, and the concentration mark."""
-    agg = trades.groupBy("stock").agg(F.max("quantity").alias("max_qty"), F.avg("quantity").alias("avg_qty"))
-    med = exact_median(trades, "stock", "price").withColumnRenamed("median", "median_price")
+    # one scan of the trades: (stock, price) pairs carry all three figures
+    pairs = small_side(
+        trades.groupBy("stock", "price").agg(
+            F.count(F.lit(1)).alias("c"), F.max("quantity").alias("q_max"), F.sum("quantity").alias("q_sum"), F.count("quantity").alias("q_n")
+        ),
+        "stock_prices",
+    ).df
+    agg = pairs.groupBy("stock").agg(F.max("q_max").alias("max_qty"), F.try_divide(F.sum("q_sum"), F.sum("q_n")).alias("avg_qty"))
+    med = median_of_counts(pairs, "stock", "price").withColumnRenamed("median", "median_price")
     prof = agg.join(med, "stock", "left")
     return prof.select(
         "stock", "median_price", "max_qty", "avg_qty", (F.col("max_qty") > F.col("avg_qty") * 2).alias("concentrated")

@@ -8,7 +8,7 @@ truncating, so ``trunc`` first).
 
 from __future__ import annotations
 
-from tradewatch.plans.queries import AS_OF, DETECTED_AT, HIGH_VOLUME_QUERY_MIN, RUN_ID
+from tradewatch.plans.queries import AS_OF, CSV_AS_OF, DETECTED_AT, EARLIER_RUN_ID, HIGH_VOLUME_QUERY_MIN, LARGE_QUANTITY, NARROW_DAYS, RUN_ID
 
 FLOAT_RE = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INT_RE = r"^[+-]?[0-9]+$"
@@ -18,7 +18,7 @@ raw_trades AS (
   SELECT event_id AS trade_id,
          'T' || CAST(user_id AS VARCHAR) AS trader_id,
          event_type AS stock,
-         CAST(round(value * 100) AS INTEGER) AS quantity,
+         CAST(round(value * 100) AS BIGINT) AS quantity,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1 AS price,
          strftime(ts, '%H:%M') AS "timestamp",
          CAST(ts AS DATE) AS trade_date,
@@ -177,7 +177,7 @@ pieces AS (
   SELECT event_id, event_id % 16 AS ov, event_id % 7 AS pv,
          'T' || CAST(user_id AS VARCHAR) AS tr,
          event_type AS st,
-         CAST(CAST(round(value * 100) AS INTEGER) AS VARCHAR) AS q,
+         CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS q,
          CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS VARCHAR) || '.'
            || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS px,
          strftime(ts, '%H:%M') AS tm,
@@ -226,9 +226,9 @@ o5 AS (
          trim(parts[5]) AS "timestamp"
   FROM body WHERE len(parts) = 5),
 clean_o AS (
-  SELECT trader_id, stock, TRY_CAST(q AS INTEGER) AS quantity, TRY_CAST(p AS DOUBLE) AS price, "timestamp"
+  SELECT trader_id, stock, TRY_CAST(q AS BIGINT) AS quantity, TRY_CAST(p AS DOUBLE) AS price, "timestamp"
   FROM o5
-  WHERE regexp_matches(q, '{INT_RE}') AND TRY_CAST(q AS INTEGER) > 0
+  WHERE regexp_matches(q, '{INT_RE}') AND TRY_CAST(q AS BIGINT) > 0
     AND regexp_matches(p, '{FLOAT_RE}') AND TRY_CAST(p AS DOUBLE) > 0 AND isfinite(TRY_CAST(p AS DOUBLE))
     AND stock <> '' AND trader_id <> ''),
 p3 AS (
@@ -351,9 +351,37 @@ lookback AS (
 ORACLE["prices_lookback"] = _with(_TRADES, _CLOSES, _LOOKBACK) + """
 SELECT stock, price_date, round(close, 4) AS close FROM lookback"""
 
-ORACLE["symbols_without_prices"] = _with(_TRADES, _CLOSES, _LOOKBACK) + """
-SELECT DISTINCT t.stock FROM trades t
-WHERE t.stock IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lookback l WHERE l.stock = t.stock)"""
+ORACLE["symbols_without_prices"] = _with(_TRADES) + f""",
+s AS (SELECT stock || '/' || trader_id AS stock, trade_date FROM trades)
+SELECT DISTINCT stock FROM s WHERE stock NOT IN (
+  SELECT stock FROM s WHERE trade_date BETWEEN DATE '{AS_OF}' - {NARROW_DAYS} AND DATE '{AS_OF}')"""
+
+_HALF = """,
+halves AS (
+  SELECT stock, price_date, close, close_ts FROM (
+    SELECT stock, trade_date AS price_date, price AS close, trade_ts AS close_ts,
+           row_number() OVER (PARTITION BY stock, trade_date, hour(trade_ts) >= 12 ORDER BY trade_ts DESC, trade_id DESC) AS rn
+    FROM trades) x
+  WHERE rn = 1),
+ordered AS (
+  SELECT stock, price_date, close, row_number() OVER (PARTITION BY stock ORDER BY close_ts DESC) AS recency,
+         lead(close) OVER (PARTITION BY stock ORDER BY close_ts) AS next_close
+  FROM halves)"""
+
+ORACLE["latest_price_intraday"] = _with(_TRADES, _HALF) + """
+SELECT stock, price_date, round(close, 4) AS close FROM ordered WHERE recency = 1"""
+
+ORACLE["next_close_intraday"] = _with(_TRADES, _HALF) + """
+SELECT stock, price_date, round(close, 4) AS close, round(next_close, 4) AS next_close FROM ordered"""
+
+ORACLE["last_two_prices_intraday"] = _with(_TRADES, _HALF) + """
+SELECT stock, price_date, round(close, 4) AS close, CAST(recency AS INTEGER) AS recency FROM ordered WHERE recency <= 2"""
+
+ORACLE["price_change_intraday"] = _with(_TRADES, _HALF) + """
+SELECT n.stock, round(p.close, 4) AS prev_close, round(n.close, 4) AS last_close,
+       round(coalesce((n.close - p.close) / nullif(greatest(p.close, 0), 0) * 100, 0.0), 4) AS price_change_pct
+FROM ordered n LEFT JOIN ordered p ON p.stock = n.stock AND p.recency = 2
+WHERE n.recency = 1"""
 
 ORACLE["union_prices"] = _with(_TRADES, _CLOSES, ",", _CLEAN) + """
 SELECT CAST(price_date AS VARCHAR) AS datetime, stock, round(round(close, 2), 4) AS price FROM closes
@@ -390,7 +418,24 @@ FROM res"""
 
 ORACLE["results_refresh"] = _RES + """
 SELECT id, trader_id, stock, quantity, reason, suspicion_score FROM res"""
-ORACLE["file_arrival_run"] = ORACLE["results_refresh"]
+
+# uploads: the run's trades stand in place of all trades; closes come from all of them
+_ALL = _TRADES.replace("\ntrades AS (", "\nall_trades AS (")
+_ALL_CLOSES = _CLOSES.replace("FROM trades)", "FROM all_trades)")
+
+ORACLE["file_arrival_run"] = _with(_ALL, _ALL_CLOSES, """,
+trades AS (SELECT * FROM all_trades WHERE trade_id % 16 <> 7)""", _flagged("latest_pair")) + """
+SELECT trader_id, stock, quantity, reason, suspicion_score FROM flagged"""
+
+ORACLE["pipeline_from_csv"] = _with(_ALL, _ALL_CLOSES.replace("closes AS (", "every_close AS (", 1), f""",
+trades AS (
+  SELECT * REPLACE (CASE WHEN trade_id % 16 = 8 THEN CAST({LARGE_QUANTITY} AS BIGINT) ELSE quantity END AS quantity)
+  FROM all_trades WHERE trade_id % 16 NOT IN (1, 2, 4, 5, 6, 7)),
+closes AS (
+  SELECT * FROM every_close
+  WHERE price_date BETWEEN DATE '{CSV_AS_OF}' - 30 AND DATE '{CSV_AS_OF}' AND stock IN (SELECT stock FROM trades))""",
+    _flagged("latest_pair")) + """
+SELECT trader_id, stock, quantity, reason, suspicion_score FROM flagged"""
 
 ORACLE["results_clear"] = _RES + """
 SELECT (SELECT count(*) FROM res) AS rows_before, CAST(0 AS BIGINT) AS rows_after"""
@@ -428,7 +473,7 @@ kept AS (
   FROM typed_rows
   WHERE trader_id IS NOT NULL AND stock IS NOT NULL AND quantity IS NOT NULL AND price IS NOT NULL
     AND "timestamp" IS NOT NULL)
-SELECT trader_id, stock, CAST(trunc(qd) AS INTEGER) AS quantity, pd AS price, "timestamp"
+SELECT trader_id, stock, CAST(trunc(qd) AS BIGINT) AS quantity, pd AS price, "timestamp"
 FROM kept WHERE qd > 0 AND pd > 0"""
 
 ORACLE["clean_typed_prices"] = _with(_PIECES) + f""",
@@ -486,5 +531,5 @@ SELECT 'ORDER' AS record_type, trader_id, stock, quantity, round(price, 4) AS pr
 FROM trades"""
 
 ORACLE["run_partitioned_write"] = _with(_TRADES) + f"""
-SELECT trade_id, trader_id, stock, quantity, price, "timestamp", trade_date, trade_ts, '{RUN_ID}' AS run_id
-FROM trades"""
+SELECT trade_id, trader_id, stock, quantity, price, "timestamp", trade_date, trade_ts, run_id
+FROM trades, (VALUES ('{EARLIER_RUN_ID}'), ('{RUN_ID}')) r(run_id)"""

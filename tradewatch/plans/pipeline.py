@@ -18,20 +18,23 @@ taken with ``observe`` on the write itself (no extra counting job).
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tradewatch import profiles as P
 from tradewatch import schemas
-from tradewatch.operators import stats, summaries
+from tradewatch.operators import prices, stats, summaries
 from tradewatch.operators.joins import small_side
 from tradewatch.operators.score import flagged
 from tradewatch.profiles import POST_TRADE, Profile
 from tradewatch.sinks import files
 from tradewatch.sinks.results import refresh_results, to_results
-from tradewatch.sources.events import valid_trade
+from tradewatch.sources.events import kept_trade
+from tradewatch.sources.files import orders_to_trades, read_lines, read_orders_csv, read_prices_csv, read_results
 
 STAGES = ("orders_in", "orders_clean", "large_trades", "flagged")
 
@@ -41,10 +44,11 @@ class RunResult:
     counts: dict[str, int]
     clean_path: str
     out: str
+    unpriced: DataFrame | None = None  # traded symbols without a price in the look-back window
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")  # runs of one session must not share a name
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
@@ -68,9 +72,9 @@ def run(
         run_id = spark.range(1).select(files.run_id_from(F.current_timestamp())).first()[0]
     obs = {}
     trades_in, obs["orders_in"] = _observed(trades, "orders_in")
-    clean = trades_in.where(valid_trade())
-    if profile.require_timestamp:
-        clean = clean.where(F.col("timestamp").isNotNull() & (F.col("timestamp") != ""))
+    clean = trades_in.where(kept_trade(profile))
+    # a missing, zero or negative close is no close: it must not become a stock's last price
+    closes = closes.where("stock is not null and stock <> '' and price_date is not null and close > 0")
     clean, obs["orders_clean"] = _observed(clean, "orders_clean")
     clean_base = files.folder(out, "clean")
     files.write_run(clean, clean_base, run_id)
@@ -87,7 +91,7 @@ def run(
 
     def large_trades() -> None:
         bound = stats.stats_from_moments(moments, profile.spread)
-        large, obs["large_trades"] = _observed(stats.large_trades(orders, 3.0, profile.spread, bound), "large_trades")
+        large, obs["large_trades"] = _observed(stats.large_trades(orders, P.LARGE_TRADE_SIGMA, profile.spread, bound), "large_trades")
         files.write_csv(large.drop("trade_id"), layer("pig", "large_trades"), header=False)
 
     def trader_summaries() -> None:
@@ -98,11 +102,17 @@ def run(
 
     def scoring() -> None:
         scoring_stats = stats.stats_from_moments(moments, "samp")
-        hits, obs["flagged"] = _observed(flagged(orders, closes, profile, scoring_stats), "flagged")
+        hits = flagged(orders, closes, profile, scoring_stats)
         if results_table:
             refresh_results(spark, hits, results_table, detected_at, files.folder(out, "results"))
+            stored = read_results(spark, results_table)
         else:
             to_results(hits, detected_at).write.mode("overwrite").parquet(layer("results"))
+            stored = spark.read.schema(schemas.RESULTS_DDL).parquet(layer("results"))
+        # the suspicious trades as a file, from what is stored (no second scoring)
+        # (counted here, straight on a scan: below a shuffle that turns out empty, AQE drops the metric)
+        exported, obs["flagged"] = _observed(stored.select(*schemas.ALERTS_EXPORT.fieldNames()), "flagged")
+        files.write_csv(exported, layer("suspicious_trades"))
 
     # the four outputs are independent actions: submitted from separate threads,
     # Spark runs their jobs side by side and keeps executors busy through each tail
@@ -112,3 +122,43 @@ def run(
 
     counts = {name: int(o.get.get("rows", 0)) for name, o in obs.items()}
     return RunResult(counts=counts, clean_path=clean_base, out=out)
+
+
+def prices_as_closes(history: DataFrame) -> DataFrame:
+    """A cleaned price history as closes (no time of day is known)."""
+    return history.select(
+        "stock", F.col("datetime").alias("price_date"), F.col("price").alias("close"),
+        F.lit(None).cast("timestamp_ntz").alias("close_ts"),
+    )
+
+
+def run_from_csv(
+    spark: SparkSession,
+    orders_path: str,
+    prices_path: str,
+    out: str,
+    profile: Profile = POST_TRADE,
+    as_of: str | None = None,
+    run_id: str | None = None,
+    results_table: str | None = None,
+    detected_at: str | None = None,
+) -> RunResult:
+    """The user's path: orders CSV(s) and prices CSV(s) in, every output under ``out``.
+
+    The raw order lines are landed, prices are cleaned and limited to the
+    traded symbols and the look-back window that ends ``as_of`` (the date the
+    order times are placed on, by default the session's current date).
+    """
+    day = F.to_date(F.lit(as_of)) if as_of else F.current_date()
+    as_of = as_of or spark.range(1).select(F.current_date().cast("string")).first()[0]
+    if run_id is None:
+        run_id = spark.range(1).select(files.run_id_from(F.current_timestamp())).first()[0]
+    files.land_raw(read_lines(spark, orders_path), files.folder(out, "raw", f"run_id={run_id}"))
+    orders = read_orders_csv(spark, orders_path, profile.truncate_quantity, keep_file=True)
+    trades = orders_to_trades(orders, day)
+    closes = prices_as_closes(read_prices_csv(spark, prices_path))
+    symbols = prices.traded_symbols(trades.where(kept_trade(profile)))
+    window = prices.prices_lookback(closes, symbols, as_of)
+    result = run(spark, trades, window, out, profile, run_id, results_table, detected_at)
+    result.unpriced = prices.symbols_without_prices(symbols, window)
+    return result

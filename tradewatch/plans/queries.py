@@ -32,6 +32,10 @@ from tradewatch.streaming.arrival import run_on_arrival
 # Query parameters (arguments of the operators, fixed here for repeatability).
 AS_OF = "2024-01-25"  # price look-back end date
 RUN_ID = "20240131_000000"  # run folder name
+EARLIER_RUN_ID = "20240130_000000"
+NARROW_DAYS = 5  # price look-back of symbols_without_prices
+LARGE_QUANTITY = 3_000_000_000  # beyond 32 bits
+CSV_AS_OF = "2024-01-31"  # day on which uploaded order times are placed
 DETECTED_AT = "2024-01-31 00:00:00"  # detection time stamped on results
 HIGH_VOLUME_QUERY_MIN = 350000  # trader total-quantity threshold for the query
 
@@ -139,6 +143,22 @@ def q_next_close(spark, sf):
     return _r4(prices.next_close(_closes(spark, sf)))
 
 
+def q_latest_price_intraday(spark, sf):
+    return _r4(prices.latest_price(ev.half_day_closes(_trades(spark, sf))))
+
+
+def q_next_close_intraday(spark, sf):
+    return _r4(prices.next_close(ev.half_day_closes(_trades(spark, sf))))
+
+
+def q_last_two_prices_intraday(spark, sf):
+    return _r4(prices.last_two_prices(ev.half_day_closes(_trades(spark, sf))))
+
+
+def q_price_change_intraday(spark, sf):
+    return _r4(prices.price_change_latest_pair(ev.half_day_closes(_trades(spark, sf))))
+
+
 def q_last_two_prices(spark, sf):
     return _r4(prices.last_two_prices(_closes(spark, sf)))
 
@@ -176,9 +196,12 @@ def q_prices_lookback(spark, sf):
 
 
 def q_symbols_without_prices(spark, sf):
-    t = _trades(spark, sf)
-    window = prices.prices_lookback(_lookback_closes(t), prices.traded_symbols(t), AS_OF)
-    return prices.symbols_without_prices(prices.traded_symbols(t), window)
+    """Symbols here are (event type, user): many of them have no trade, so no price, in the window."""
+    t = _trades(spark, sf).withColumn("stock", F.concat_ws("/", "stock", "trader_id"))
+    symbols = prices.traded_symbols(t)
+    first = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=NARROW_DAYS)).isoformat()
+    window = prices.prices_lookback(ev.daily_closes(ev.trades_between(t, first, AS_OF)), symbols, AS_OF, NARROW_DAYS)
+    return prices.symbols_without_prices(symbols, window)
 
 
 def q_union_prices(spark, sf):
@@ -215,20 +238,23 @@ def q_flagged_latest_pair(spark, sf):
     return _scored(spark, sf, LATEST_PAIR, True)
 
 
-def _results_frame(spark, sf) -> DataFrame:
-    return results.to_results(q_flagged_post_trade(spark, sf), DETECTED_AT)
+def _stored_results(spark, sf) -> DataFrame:
+    """The results table after a refresh: alerts are read from what is stored, not scored again."""
+    table = _table_name("suspicious_trades")
+    results.refresh_results(spark, q_flagged_post_trade(spark, sf), table, DETECTED_AT, scratch_path(spark, "results"))
+    return src.read_results(spark, table)
 
 
 def q_alerts_ranked(spark, sf):
-    return alerts.alerts_ranked(_results_frame(spark, sf))
+    return alerts.alerts_ranked(_stored_results(spark, sf))
 
 
 def q_alert_stats(spark, sf):
-    return alerts.alert_stats(_results_frame(spark, sf))
+    return alerts.alert_stats(_stored_results(spark, sf))
 
 
 def q_alerts_display(spark, sf):
-    return alerts.alerts_display(_results_frame(spark, sf))
+    return alerts.alerts_display(_stored_results(spark, sf))
 
 
 # --- cleaning, tagging, parsing, times ------------------------------------
@@ -345,9 +371,10 @@ def q_external_table_scan(spark, sf):
 def q_run_partitioned_write(spark, sf):
     base = scratch_path(spark, "runs")
     t = _trades(spark, sf)
-    files.write_run(t, base, "20240130_000000")  # an earlier run that must survive
-    files.write_run(t, base, RUN_ID)
-    return files.read_run(spark, base, schemas.TRADES, RUN_ID)
+    files.write_run(t, base, EARLIER_RUN_ID)  # an earlier run that must survive
+    files.write_run(t.where("quantity > 1000"), base, RUN_ID)
+    files.write_run(t, base, RUN_ID)  # replaces only its own run
+    return files.read_run(spark, base, schemas.TRADES, EARLIER_RUN_ID).unionByName(files.read_run(spark, base, schemas.TRADES, RUN_ID))
 
 
 def q_results_refresh(spark, sf):
@@ -378,17 +405,48 @@ def q_stage_counts(spark, sf):
     return spark.createDataFrame(rows, "stage string, row_count long")
 
 
+def _order_text(t: DataFrame) -> DataFrame:
+    """The five columns of an orders CSV as text."""
+    return t.select(*[F.col(c).cast("string").alias(c) for c in schemas.ORDER_COLUMNS], "trade_id")
+
+
 def q_file_arrival_run(spark, sf):
-    landing = scratch_path(spark, "landing")
+    """Two uploads in one trigger, in the five-column layout, some rows without a time: each is a full run
+    of its own, and the later one's results stay."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "arrival")
     t = _trades(spark, sf)
-    files.write_csv(t, landing)  # one upload, written as parallel part files
+    rows = _order_text(t)
+    files.write_csv(rows.where("quantity < 5000").drop("trade_id"), f"{landing}/first")
+    timeless = F.pmod(F.col("trade_id"), F.lit(16)) == 7
+    files.write_csv(rows.withColumn("timestamp", F.when(~timeless, F.col("timestamp"))).drop("trade_id"), f"{landing}/second")
     table = _table_name("suspicious_trades")
     q = run_on_arrival(
-        spark, landing, ev.daily_closes(t), table, scratch_path(spark, "arrival_ckpt"), POST_TRADE, DETECTED_AT,
-        scratch_path(spark, "results"),
+        spark, landing, ev.daily_closes(t), table, scratch_path(spark, "arrival_ckpt"), LATEST_PAIR, DETECTED_AT, out,
+        layout="orders", run_date=CSV_AS_OF,
     )
     q.awaitTermination()
-    return src.read_results(spark, table).drop("detected_at")
+    return src.read_results(spark, table).drop("id", "detected_at")
+
+
+def q_pipeline_from_csv(spark, sf):
+    """The user's path over dirty files: orders with bad and very large quantities, empty fields and bad prices;
+    prices with zero, empty and bad values beside the right one of each day."""
+    orders, history, out = (scratch_path(spark, x) for x in ("orders_csv", "prices_csv", "from_csv"))
+    t = _trades(spark, sf)
+    v, text = F.pmod(F.col("trade_id"), F.lit(16)), _order_text(t)
+    spoiled = {
+        "trader_id": F.when(v == 5, F.lit("")).otherwise(F.col("trader_id")),
+        "stock": F.when(v == 4, F.lit("")).otherwise(F.col("stock")),
+        "quantity": F.when(v == 1, F.lit("0")).when(v == 2, F.concat(F.lit("-"), "quantity")).when(v == 3, F.concat("quantity", F.lit(".5"))).when(v == 8, F.lit(str(LARGE_QUANTITY))).otherwise(F.col("quantity")),
+        "price": F.when(v == 6, F.lit("abc")).otherwise(F.col("price")),
+        "timestamp": F.when(v == 7, F.lit("")).otherwise(F.col("timestamp")),
+    }
+    files.write_csv(text.select(*[c.alias(n) for n, c in spoiled.items()]), orders)
+    price = F.col("close").cast("string")
+    each = F.explode(F.array(price, F.lit("0"), F.lit(""), F.lit("x"), F.lit("-1")))
+    files.write_csv(ev.daily_closes(t).select(F.col("price_date").alias("datetime"), "stock", each.alias("price")), history)
+    pipeline.run_from_csv(spark, orders, history, out, LATEST_PAIR, CSV_AS_OF, RUN_ID, None, DETECTED_AT)
+    return spark.read.schema(schemas.ALERTS_EXPORT).option("header", True).csv(f"{out}/suspicious_trades/run_id={RUN_ID}")
 
 
 QUERIES: dict[str, Query] = {
@@ -411,14 +469,19 @@ QUERIES: dict[str, Query] = {
     "large_trades_sample": q_large_trades_sample,
     "large_trades_export": q_large_trades_export,
     "last_two_prices": q_last_two_prices,
+    "last_two_prices_intraday": q_last_two_prices_intraday,
     "latest_price": q_latest_price,
+    "latest_price_intraday": q_latest_price_intraday,
     "next_close": q_next_close,
+    "next_close_intraday": q_next_close_intraday,
     "order_timestamps": q_order_timestamps,
     "orders_csv_roundtrip": q_orders_csv_roundtrip,
     "parse_tagged": q_parse_tagged,
     "parse_tagged_prices": q_parse_tagged_prices,
     "parse_tagged_regex": q_parse_tagged_regex,
+    "pipeline_from_csv": q_pipeline_from_csv,
     "post_trade_change": q_post_trade_change,
+    "price_change_intraday": q_price_change_intraday,
     "price_change_latest_pair": q_price_change_latest_pair,
     "prices_csv_roundtrip": q_prices_csv_roundtrip,
     "prices_lookback": q_prices_lookback,

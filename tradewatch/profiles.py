@@ -34,6 +34,7 @@ FLOOR_FRACTION = 0.01  # latest_pair spread floor: 1 % of mean ...
 FLOOR_MIN = 1.0  # ... and never below 1
 CRITICAL_AT = 90  # severity bands of the dashboard
 MODERATE_AT = 70
+LARGE_TRADE_SIGMA = 3.0  # spreads above the mean that make a trade large in the large-trades step
 HIGH_VOLUME_MIN = 20000  # high-volume trader total quantity
 LOOKBACK_DAYS = 30  # price history look-back
 ORDER_HEADER_FIRST = "trader_id"  # header rows recognised by first field (any case)

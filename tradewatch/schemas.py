@@ -10,7 +10,7 @@ TRADES = T.StructType(
         T.StructField("trade_id", T.LongType()),
         T.StructField("trader_id", T.StringType()),
         T.StructField("stock", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.LongType()),
         T.StructField("price", T.DoubleType()),
         T.StructField("timestamp", T.StringType()),
         T.StructField("trade_date", T.DateType()),
@@ -29,14 +29,14 @@ PRICES = T.StructType(
 
 # Six-column tab-delimited external table over clean orders.
 ORDER_TABLE_DDL = (
-    "record_type STRING, trader_id STRING, stock STRING, quantity INT, price DOUBLE, trade_time STRING"
+    "record_type STRING, trader_id STRING, stock STRING, quantity BIGINT, price DOUBLE, trade_time STRING"
 )
 
 LARGE_TRADES = T.StructType(
     [
         T.StructField("trader_id", T.StringType()),
         T.StructField("stock", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.LongType()),
         T.StructField("price", T.DoubleType()),
         T.StructField("timestamp", T.StringType()),
         T.StructField("avg_qty", T.DoubleType()),
@@ -58,7 +58,7 @@ ALERTS_EXPORT = T.StructType(
     [
         T.StructField("trader_id", T.StringType()),
         T.StructField("stock", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.LongType()),
         T.StructField("reason", T.StringType()),
         T.StructField("suspicion_score", T.IntegerType()),
     ]
@@ -66,6 +66,6 @@ ALERTS_EXPORT = T.StructType(
 
 # Stored results table (the dashboard's source).
 RESULTS_DDL = (
-    "id STRING, trader_id STRING, stock STRING, quantity INT, reason STRING, "
+    "id STRING, trader_id STRING, stock STRING, quantity BIGINT, reason STRING, "
     "suspicion_score INT, detected_at TIMESTAMP_NTZ"
 )

@@ -11,12 +11,12 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Bounds under which a derived side (one row per stock, or per stock and day)
-# is broadcast.  They are checked against the materialised row count times an
-# estimated row width, never assumed; a session can change them.
+# is broadcast.  They are checked against the materialised row count and the
+# measured bytes, never assumed; a session can change them.
 BROADCAST_MAX_ROWS = 10_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS_CONF = "tradewatch.broadcast.maxRows"
@@ -96,10 +96,16 @@ def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[Data
     ``checkpoint()`` would compute the plan twice (once for the action, once
     for writing the checkpoint) unless cached first.
     """
+    table, rows, _ = materialize_measured(df, name, F.lit(0))
+    return table, rows
+
+
+def materialize_measured(df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, int, int]:
+    """``materialize_counted`` that also sums ``measure`` over the rows, on the same write."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    figures = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(measure), F.lit(0)).alias("measure")]
+    df.observe(obs, *figures).write.mode("overwrite").parquet(path)
     # the schema is known: reading back skips footer-based schema discovery
-    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
-
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"]), int(obs.get["measure"])

@@ -12,8 +12,8 @@ from tradewatch.operators.clean import split_tag
 
 
 def land_raw(lines: DataFrame, path: str) -> str:
-    """Bronze copy of raw text lines, unchanged (overwrite)."""
-    lines.select("value").write.mode("overwrite").text(path)
+    """Bronze copy of raw text lines (overwrite): each line's characters unchanged, one line feed after each."""
+    lines.select("value").write.mode("overwrite").option("lineSep", "\n").text(path)
     return path
 
 

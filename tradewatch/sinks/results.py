@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
@@ -37,11 +37,15 @@ def to_results(flagged: DataFrame, detected_at: str | None = None) -> DataFrame:
     # UTC wall-clock time without zone, as the reference's CURRENT_TIMESTAMP default
     when = F.lit(detected_at) if detected_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     when = when.cast("timestamp_ntz")
-    return flagged.select(
-        alert_id("trade_id", "trader_id", "stock").alias("id"),
+    # rows that agree in the trade's keys (identical input lines) are told apart by a running number
+    keys = ["trade_id", "trader_id", "stock"]
+    again = F.row_number().over(Window.partitionBy(*keys).orderBy("quantity", "suspicion_score"))
+    numbered = flagged.withColumn("again", F.when(again > 1, again))
+    return numbered.select(
+        alert_id(*keys, "again").alias("id"),
         "trader_id",
         "stock",
-        F.col("quantity").cast("int").alias("quantity"),
+        F.col("quantity").cast("long").alias("quantity"),
         "reason",
         F.col("suspicion_score").cast("int").alias("suspicion_score"),
         when.alias("detected_at"),

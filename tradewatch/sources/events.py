@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.functions.ordering import time_then_id_key
+from tradewatch.profiles import Profile
+
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
@@ -41,7 +43,7 @@ def raw_trades_from_events(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("trade_id"),
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("trader_id"),
         F.col("event_type").alias("stock"),
-        F.round(F.col("value") * 100).cast("int").alias("quantity"),
+        F.round(F.col("value") * 100).try_cast("bigint").alias("quantity"),
         (k + 1).alias("price"),
         F.date_format("ts", "HH:mm").alias("timestamp"),
         F.col("ts").cast("date").alias("trade_date"),
@@ -61,6 +63,13 @@ def valid_trade() -> Column:
     )
 
 
+def kept_trade(profile: Profile) -> Column:
+    """The validity rule of a run: typed validity, and a time where the profile asks for one."""
+    if profile.require_timestamp:
+        return valid_trade() & F.col("timestamp").isNotNull() & (F.col("timestamp") != "")
+    return valid_trade()
+
+
 def trades_from_events(events: DataFrame) -> DataFrame:
     """Typed trades; rows that fail the typed validity rules are dropped."""
     return raw_trades_from_events(events).where(valid_trade())
@@ -92,6 +101,13 @@ def daily_closes(trades: DataFrame) -> DataFrame:
     )
 
 
+def half_day_closes(trades: DataFrame) -> DataFrame:
+    """Two closes per (stock, day): the last trade before noon and the last one from noon on."""
+    order = time_then_id_key("trade_ts", "trade_id")
+    half = trades.groupBy("stock", F.col("trade_date").alias("price_date"), (F.hour("trade_ts") >= 12).alias("late"))
+    return half.agg(F.max_by("price", order).alias("close"), F.max("trade_ts").alias("close_ts")).drop("late")
+
+
 # --- dirty text ------------------------------------------------------------
 
 
@@ -103,7 +119,7 @@ def _pieces(events: DataFrame) -> DataFrame:
         F.pmod(F.col("event_id"), F.lit(7)).alias("pv"),
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("tr"),
         F.col("event_type").alias("st"),
-        F.round(F.col("value") * 100).cast("int").cast("string").alias("q"),
+        F.round(F.col("value") * 100).try_cast("bigint").cast("string").alias("q"),
         F.concat(
             (k + 1).cast("string"),
             F.lit("."),
@@ -168,11 +184,6 @@ def price_line(v: Column, dt: Column, st: Column, px: Column) -> Column:
     )
 
 
-def dirty_order_lines(events: DataFrame) -> DataFrame:
-    p = _pieces(events)
-    return p.select(order_line(F.col("ov"), F.col("tr"), F.col("st"), F.col("q"), F.col("px"), F.col("tm")).alias("value"))
-
-
 def dirty_lines(events: DataFrame) -> DataFrame:
     """Orders and prices mixed in one text input (``value`` column)."""
     p = _pieces(events)

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
-from tradewatch.functions.parsing import strict_double, strict_int, time_on_date
+from tradewatch.functions.parsing import strict_double, strict_int, time_on_date, whole
+from tradewatch.operators.clean import clean_typed_prices
 
+SOURCE_FILE = "source_file"
 CSV_GLOB = "*.[cC][sS][vV]"  # only .csv inputs, any case
 
 
@@ -27,8 +29,9 @@ def type_orders(raw: DataFrame, truncate_quantity: bool = False) -> DataFrame:
     ``truncate_quantity``: a finite fractional quantity is truncated (1.5 -> 1)
     as the typed cleaner does; otherwise only integers are accepted.
     """
-    qty = strict_double("quantity").cast("int") if truncate_quantity else strict_int("quantity")
+    qty = whole("quantity") if truncate_quantity else strict_int("quantity", "bigint")
     return raw.select(
+        *[c for c in raw.columns if c == SOURCE_FILE],
         "trader_id",
         "stock",
         qty.alias("quantity"),
@@ -37,25 +40,34 @@ def type_orders(raw: DataFrame, truncate_quantity: bool = False) -> DataFrame:
     )
 
 
-def read_orders_csv(spark: SparkSession, path: str, truncate_quantity: bool = False) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str, truncate_quantity: bool = False, keep_file: bool = False) -> DataFrame:
     """Orders CSV(s) with a header; only ``.csv`` files; the five columns must exist.
 
+    ``keep_file`` adds the file's name (for ``orders_to_trades``).
+
     The header is read as text (extra columns and any order are allowed, as
     with a header-driven reader); values are then typed with strict parsing.
+    Every file's header is checked: a file with other columns, or the same in
+    another order, is refused instead of being read into the wrong columns.
     """
-    raw = spark.read.option("header", True).option("pathGlobFilter", CSV_GLOB).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("pathGlobFilter", CSV_GLOB).csv(path)
     require_columns(raw.columns)
-    return type_orders(raw, truncate_quantity)
+    named = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name")) if keep_file else raw
+    return type_orders(named, truncate_quantity)
 
 
 def orders_to_trades(orders: DataFrame, day: Column) -> DataFrame:
-    """Typed orders -> trades: ids from the scan, the time of day placed on ``day``.
+    """Typed orders -> trades: the time of day placed on ``day``, and an id.
 
+    The id is a hash of the file's name and the line's content, so it depends
+    neither on how files are split nor on the order of reading; identical
+    lines of one file share it and are numbered where alerts are stored.
     Uploaded orders carry only a time of day; like the reference, the run's
     date supplies the rest.
     """
+    parts = [c for c in (SOURCE_FILE, *schemas.ORDER_COLUMNS) if c in orders.columns]
     return orders.select(
-        F.monotonically_increasing_id().alias("trade_id"),
+        F.xxhash64(*parts).alias("trade_id"),
         "trader_id", "stock", "quantity", "price", "timestamp",
         day.alias("trade_date"),
         time_on_date(day, "timestamp").alias("trade_ts"),
@@ -63,18 +75,21 @@ def orders_to_trades(orders: DataFrame, day: Column) -> DataFrame:
 
 
 def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(schemas.PRICES)
-        .option("header", True)
-        .option("pathGlobFilter", CSV_GLOB)
-        .option("mode", "DROPMALFORMED")
-        .csv(path)
-    )
+    """Prices CSV(s) with a header: datetime, stock, price, cleaned.
+
+    Read as text and then typed, so which rows stay does not depend on the
+    columns a query selects: rows without a date, a stock or a finite price
+    above 0 are dropped.  Every file's header is checked.
+    """
+    text = ", ".join(f"{f.name} string" for f in schemas.PRICES)
+    raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).option("pathGlobFilter", CSV_GLOB).csv(path)
+    typed = clean_typed_prices(raw).withColumn("datetime", F.col("datetime").try_cast("date"))
+    return typed.where(F.col("datetime").isNotNull())
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """Text lines of one or more folders read as one input (``value``)."""
-    return spark.read.text(list(paths))
+    """Text lines of one or more folders read as one input (``value``); a carriage return stays part of its line."""
+    return spark.read.option("lineSep", "\n").text(list(paths))
 
 
 def external_order_table(spark: SparkSession, table: str, location: str) -> DataFrame:

@@ -1,12 +1,14 @@
-"""File arrival: each orders CSV dropped in a landing folder triggers a full run.
+"""File arrival: each upload dropped in a landing folder triggers a full run of the pipeline.
 
-Structured Streaming file source (only ``*.csv``) -> ``foreachBatch``.  The
-files that arrived since the last trigger form one run: they are scored
-against their own statistics (not history) and replace the previous
-results, as an upload does in the reference.  An upload may be many part
-files written in parallel; writers should move a finished upload into the
-landing folder at once.  The checkpoint lives in the shared folder, so a
-restarted query resumes with the next unseen files.
+Structured Streaming file source (only ``*.csv``) -> ``foreachBatch``.  An
+upload is a sub-folder of the landing folder with all its files, or a single
+file directly in it; writers should move a finished upload in at once.  Every
+upload is a run of its own: all six steps, scored against its own statistics
+(not history), outputs under its own run id.  Uploads that arrive in one
+trigger run in order of their newest file (ties by name), and each replaces
+the results of the one before, as in the reference.  Every file's header is
+checked; a file with other columns stops the query.  The checkpoint lives in
+the shared folder, so a restarted query resumes with the next unseen files.
 """
 
 from __future__ import annotations
@@ -16,20 +18,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch import schemas
-from tradewatch.operators.score import flagged
+from tradewatch.plans import pipeline
 from tradewatch.profiles import POST_TRADE, Profile
-from tradewatch.sinks.results import refresh_results
-from tradewatch.sources.events import valid_trade
-from tradewatch.sources.files import CSV_GLOB, orders_to_trades, type_orders
-
+from tradewatch.session import scratch_path
+from tradewatch.sources.files import CSV_GLOB, SOURCE_FILE, orders_to_trades, type_orders
 
 # Upload layouts: the reference's five text columns, or full trades.
 ORDERS_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in schemas.ORDER_COLUMNS])
 
 
 def arrival_stream(spark: SparkSession, landing: str, layout: str = "trades") -> DataFrame:
+    """New rows with their upload (first part of the path under ``landing``), file name and file time."""
     schema = schemas.TRADES if layout == "trades" else ORDERS_TEXT
-    return spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", CSV_GLOB).csv(landing)
+    options = {"header": True, "enforceSchema": False, "pathGlobFilter": CSV_GLOB, "recursiveFileLookup": True}
+    rows = spark.readStream.schema(schema).options(**options).csv(landing)
+    folder = landing.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index(F.col("_metadata.file_path"), f"/{folder}/", -1)
+    return rows.select(
+        "*",
+        F.substring_index(below, "/", 1).alias("upload"),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+    )
 
 
 def run_on_arrival(
@@ -40,7 +50,7 @@ def run_on_arrival(
     checkpoint: str,
     profile: Profile = POST_TRADE,
     detected_at: str | None = None,
-    results_location: str | None = None,
+    out: str | None = None,
     available_now: bool = True,
     layout: str = "trades",
     run_date: str | None = None,
@@ -49,15 +59,22 @@ def run_on_arrival(
 
     ``layout='orders'`` takes uploads as the reference writes them (five
     text columns, time of day only); the times are placed on ``run_date``
-    (default: the batch's current date).
+    (default: the batch's current date).  All outputs go under ``out``
+    (default: a fresh folder under the shared one).
     """
+    out = out or scratch_path(spark, "arrival-out")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if layout == "orders":
-            day = F.to_date(F.lit(run_date)) if run_date else F.current_date()
-            batch = orders_to_trades(type_orders(batch, profile.truncate_quantity), day)
-        trades = batch.where(valid_trade())
-        refresh_results(batch.sparkSession, flagged(trades, closes, profile), table, detected_at, results_location)
+        # one row per upload of this trigger
+        uploads = batch.groupBy("upload").agg(F.max("file_time").alias("t")).orderBy("t", "upload").collect()
+        for n, row in enumerate(uploads):
+            rows = batch.where(F.col("upload") == row["upload"])
+            if layout == "orders":
+                day = F.to_date(F.lit(run_date)) if run_date else F.current_date()
+                trades = orders_to_trades(type_orders(rows, profile.truncate_quantity), day)
+            else:
+                trades = rows.select(*schemas.TRADES.fieldNames())
+            pipeline.run(batch.sparkSession, trades, closes, out, profile, f"arrival-{epoch_id}-{n}", table, detected_at)
 
     writer = arrival_stream(spark, landing, layout).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
