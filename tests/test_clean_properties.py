@@ -35,7 +35,7 @@ def model(line: str):
 
     if len(f) == 5:
         tr, stock, q, p, tm = f
-        if not re.fullmatch(INT_PATTERN[1:-1], q) or not (-(2**31) <= int(q) < 2**31):
+        if not re.fullmatch(INT_PATTERN[1:-1], q) or not (-(2**63) <= int(q) < 2**63):
             return None
         qty, px = int(q), num(p)
         if px is None or qty <= 0 or px <= 0 or not stock or not tr:
