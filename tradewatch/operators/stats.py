@@ -7,6 +7,8 @@ broadcast rather than a window over all trades of a stock.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +46,14 @@ def stats_from_moments(moments: Side, spread: str) -> Side:
     return Side(df, moments.rows, moments.text_bytes)
 
 
-def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
-    """Per-stock statistics and per-(stock, day) closes from ONE pass over trades.
+def moments_and_closes(trades: DataFrame) -> tuple[Side, Side]:
+    """Per-stock moments and per-(stock, day) closes from ONE pass over trades.
 
     ``GROUPING SETS ((stock), (stock, trade_date))`` aggregates both levels in
     one scan with map-side partial aggregation; the result is written once to
     the shared folder, partitioned by level (reads of one level prune the
-    other), and both row counts are observed on that write.  Used when the
-    closes derive from the same trades (the driver-table binding).
+    other), and row counts and text bytes are observed on that write.  Used when
+    the closes derive from the same trades (the driver-table binding).
     """
     from pyspark.sql import Observation
 
@@ -60,27 +62,33 @@ def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
     order = time_then_id_key("trade_ts", "trade_id")  # fixed width: keeps hash aggregation
     both = trades.groupingSets([["stock"], ["stock", "trade_date"]], "stock", "trade_date").agg(
         F.grouping_id().alias("level"),  # 1: per stock, 0: per stock and day
-        F.avg("quantity").alias("avg_qty"),
-        F.stddev_samp("quantity").alias("stddev_qty"),
         F.count(F.lit(1)).alias("trade_count"),
+        F.avg("quantity").alias("avg_qty"),
+        F.stddev_samp("quantity").alias("stddev_samp"),
+        F.stddev_pop("quantity").alias("stddev_pop"),
+        F.avg("price").alias("avg_price"),
         F.max_by("price", order).alias("close"),
         F.max("trade_ts").alias("close_ts"),
     )
     spark = trades.sparkSession
     path = scratch_path(spark, "stock_day_sides")
-    obs = Observation("stock_day_sides")
+    obs = Observation(f"stock_day_sides_{uuid.uuid4().hex[:8]}")
     level = F.col("level")
-    texts = [F.sum(F.when(level == k, F.octet_length("stock")).otherwise(0)).alias(f"texts_{k}") for k in (0, 1)]
-    both.observe(obs, F.count_if(level == 1).alias("stocks"), F.count_if(level == 0).alias("days"), *texts).write.mode(
-        "overwrite"
-    ).partitionBy("level").parquet(path)
+    figures = []
+    for k, name in ((1, "stocks"), (0, "days")):
+        figures += [F.count_if(level == k).alias(name), F.sum(F.when(level == k, F.octet_length("stock")).otherwise(0)).alias(f"{name}_text")]
+    both.observe(obs, *figures).write.mode("overwrite").partitionBy("level").parquet(path)
     table = spark.read.schema(both.schema).parquet(path)
-    counts = obs.get
-    stats = table.where(level == 1).select("stock", "avg_qty", "stddev_qty", "trade_count")
-    closes = table.where(level == 0).select(
-        "stock", F.col("trade_date").alias("price_date"), "close", "close_ts"
-    )
-    return Side(stats, int(counts["stocks"]), int(counts["texts_1"] or 0)), Side(closes, int(counts["days"]), int(counts["texts_0"] or 0))
+    seen = obs.get
+    moments = table.where(level == 1).select("stock", "trade_count", "avg_qty", "stddev_samp", "stddev_pop", "avg_price")
+    closes = table.where(level == 0).select("stock", F.col("trade_date").alias("price_date"), "close", "close_ts")
+    return tuple(Side(df, int(seen[name]), int(seen[f"{name}_text"] or 0)) for df, name in ((moments, "stocks"), (closes, "days")))
+
+
+def stats_and_closes(trades: DataFrame) -> tuple[Side, Side]:
+    """Scoring statistics (sample spread) and closes from one pass."""
+    moments, closes = moments_and_closes(trades)
+    return stats_from_moments(moments, "samp"), closes
 
 
 def trades_with_stats(trades: DataFrame, stats: DataFrame, how: str = "left") -> DataFrame:

@@ -55,7 +55,7 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def run(
     spark: SparkSession,
     trades: DataFrame,
-    closes: DataFrame,
+    closes: DataFrame | None,
     out: str,
     profile: Profile = POST_TRADE,
     run_id: str | None = None,
@@ -65,6 +65,9 @@ def run(
     """Run every step over ``trades`` and write all outputs under ``out``,
     each layer in its own ``<layer>/run_id=<id>`` folder.
 
+    Without ``closes`` the day's last clean trade is its close; moments and
+    closes then come from one pass over the clean orders.
+
     ``run_id`` names the run folders; by default it is taken from the session
     clock (``yyyyMMdd_HHmmss``), once, on the driver.
     """
@@ -74,7 +77,8 @@ def run(
     trades_in, obs["orders_in"] = _observed(trades, "orders_in")
     clean = trades_in.where(kept_trade(profile))
     # a missing, zero or negative close is no close: it must not become a stock's last price
-    closes = closes.where("stock is not null and stock <> '' and price_date is not null and close > 0")
+    if closes is not None:
+        closes = closes.where("stock is not null and stock <> '' and price_date is not null and close > 0")
     clean, obs["orders_clean"] = _observed(clean, "orders_clean")
     clean_base = files.folder(out, "clean")
     files.write_run(clean, clean_base, run_id)
@@ -84,7 +88,10 @@ def run(
         return files.folder(out, *parts, f"run_id={run_id}")
 
     # one aggregate per stock feeds the stock summary, the large-trade bound and the scoring stats
-    moments = small_side(stats.stock_moments(orders), "stock_moments")
+    if closes is None:
+        moments, closes = stats.moments_and_closes(orders)
+    else:
+        moments = small_side(stats.stock_moments(orders), "stock_moments")
 
     def stock_summary() -> None:
         files.write_csv(summaries.stock_summary_from(moments.df, profile.spread), layer("hive", "stock_summary"), header=False)

@@ -399,8 +399,7 @@ def q_results_clear(spark, sf):
 def q_stage_counts(spark, sf):
     e = _events(spark, sf)
     out = scratch_path(spark, "pipeline")
-    closes = ev.daily_closes(ev.trades_from_events(e))
-    res = pipeline.run(spark, ev.raw_trades_from_events(e), closes, out, POST_TRADE, RUN_ID, None, DETECTED_AT)
+    res = pipeline.run(spark, ev.raw_trades_from_events(e), None, out, POST_TRADE, RUN_ID, None, DETECTED_AT)
     rows = [(name, res.counts[name]) for name in pipeline.STAGES]
     return spark.createDataFrame(rows, "stage string, row_count long")
 
