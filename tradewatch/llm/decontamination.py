@@ -7,8 +7,8 @@ bits, and a window looks up all block values within ``RADIUS`` // ``BLOCKS`` bit
 item within ``RADIUS`` bits in all (pigeonhole).  Candidates are then checked by their exact weighted Jaccard
 similarity.
 
-Only windows that can reach the similarity are hashed: the weight of their shingles that occur in any item
-must be at least ``SIMILARITY`` times the weight of the lightest item of that size (a necessary condition, so
+Only windows that can reach the similarity are hashed: the weight of their shingles that occur in any item of
+that size must be at least ``SIMILARITY`` times the weight of the lightest of them (a necessary condition, so
 nothing is lost by it).
 
 The benchmark is the query set.  It is broadcast in blocks of items of at most ``BLOCK_BYTES`` of text each,
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
-from .packs import Pack, U, mix
+from .packs import Pack, U, group_edges, mix
 from .words import batch_pack, shingles, word_hashes
 
 SHINGLE = 5
@@ -110,6 +110,10 @@ class Benchmark:
         self.by_size: dict[int, list[_Item]] = {}
         for x in self.items:
             self.by_size.setdefault(x.size, []).append(x)
+        # sizes of the items that hold a known shingle
+        held = sorted({(k, x.size) for x in self.items for k in np.searchsorted(self.known, x.features).tolist()})
+        self.size_of = np.array([n for _, n in held], np.int64)
+        self.size_from = np.searchsorted(np.array([k for k, _ in held], np.int64), np.arange(len(self.known) + 1))
         self.index = {n: HammingIndex([x.print for x in xs]) for n, xs in self.by_size.items()}
         # a first look that rules out nearly all shingles of the texts
         self.maybe = np.zeros(1 << 20, bool)
@@ -121,15 +125,14 @@ class Benchmark:
         at = np.minimum(np.searchsorted(self.known, features), len(self.known) - 1)
         return np.where(self.known[at] == features, self.known_weight[at], self.rare)
 
-    def hits(self, features: np.ndarray) -> np.ndarray:
-        """Weight of each shingle that occurs in some item, else 0."""
-        out = np.zeros(len(features))
+    def hits(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of shingles that occur in some item, and which known shingles they are."""
         at = np.flatnonzero(self.maybe[(features & U(0xFFFFF)).astype(np.int64)])
-        if len(at):
-            k = np.minimum(np.searchsorted(self.known, features[at]), len(self.known) - 1)
-            same = self.known[k] == features[at]
-            out[at[same]] = self.known_weight[k[same]]
-        return out
+        if not len(at):
+            return at, at
+        k = np.minimum(np.searchsorted(self.known, features[at]), len(self.known) - 1)
+        same = self.known[k] == features[at]
+        return at[same], k[same]
 
     def compare(self, item: _Item, features: np.ndarray, counts: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item and a window's distinct shingles."""
@@ -143,31 +146,40 @@ class Benchmark:
         """(row, item_id, first word, words, bits apart, similarity): the best window of each row and item."""
         words, at = word_hashes(pack, letters_only=True)
         for k in sorted({min(self.shingle, n) for n in self.by_size}):
-            sizes = [n for n in self.by_size if min(self.shingle, n) == k]
             features, offsets = shingles(words, at, k)
-            hit = self.hits(features)
-            total = np.concatenate(([0.0], np.cumsum(hit)))
-            rows = np.searchsorted(offsets, np.flatnonzero(hit), "right") - 1
-            for row in np.unique(rows).tolist():
-                a, b = int(offsets[row]), int(offsets[row + 1])
-                if at[row + 1] - at[row] < k:
-                    continue  # the row's only feature is shorter than these shingles
-                best: dict[int, tuple] = {}
-                for n in sizes:
-                    span = n - k + 1
-                    # a text shorter than the item is one window
-                    starts = np.arange(a, max(b - span, a) + 1)
-                    ends = np.minimum(starts + span, b)
-                    least = self.similarity * min(x.total for x in self.by_size[n])
-                    for s, e in zip(*(x[total[ends] - total[starts] >= least - 1e-9] for x in (starts, ends)), strict=True):
-                        f, c = np.unique(features[s:e], return_counts=True)
-                        fingerprint = simhash(f, self.weight(f) * c)
-                        for q in self.index[n].near(fingerprint):
-                            item = self.by_size[n][q]
-                            value = self.compare(item, f, c)
-                            if value >= self.similarity - 1e-12 and (item.item_id not in best or value > best[item.item_id][5]):
-                                best[item.item_id] = (row, item.item_id, int(s - a), n, (item.print ^ fingerprint).bit_count(), value)
-                yield from best.values()
+            hit, known = self.hits(features)
+            rows = np.searchsorted(offsets, hit, "right") - 1
+            # every hit counts for the sizes of the items that hold it
+            many = self.size_from[known + 1] - self.size_from[known]
+            inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            size = self.size_of[np.repeat(self.size_from[known], many) + inner]
+            row, place, weight = np.repeat(rows, many), np.repeat(hit, many), np.repeat(self.known_weight[known], many)
+            order = np.lexsort((place, size, row))
+            row, place, weight, size = row[order], place[order], weight[order], size[order]
+            first = group_edges(row, size)
+            best: dict[tuple[int, int], tuple] = {}
+            for f, e in zip(first.tolist(), [*first[1:].tolist(), len(row)][: len(first)], strict=True):
+                r, n = int(row[f]), int(size[f])
+                least = self.similarity * min(x.total for x in self.by_size[n]) - 1e-9
+                if min(self.shingle, n) != k or at[r + 1] - at[r] < k or weight[f:e].sum() < least:
+                    continue
+                a, b = int(offsets[r]), int(offsets[r + 1])
+                span = n - k + 1
+                # windows that hold the first to the last hit (a text shorter than the item is one window)
+                starts = np.arange(max(a, int(place[f]) - span + 1), min(int(place[e - 1]), max(b - span, a)) + 1)
+                ends = np.minimum(starts + span, b)
+                total = np.concatenate(([0.0], np.cumsum(weight[f:e])))
+                inside = total[np.searchsorted(place[f:e], ends)] - total[np.searchsorted(place[f:e], starts)]
+                for s in starts[inside >= least].tolist():
+                    w, c = np.unique(features[s : min(s + span, b)], return_counts=True)
+                    fingerprint = simhash(w, self.weight(w) * c)
+                    for q in self.index[n].near(fingerprint):
+                        item = self.by_size[n][q]
+                        value = self.compare(item, w, c)
+                        key = (r, item.item_id)
+                        if value >= self.similarity - 1e-12 and (key not in best or value > best[key][5]):
+                            best[key] = (r, item.item_id, s - a, n, (item.print ^ fingerprint).bit_count(), value)
+            yield from best.values()
 
 
 SCHEMA = "doc_id long, item_id long, first_word long, n_words long, bits_apart int, similarity double"
