@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize_counted
-from .packs import Pack, Rounds, U, group_edges, mix, pack_documents, place_by, release, squeeze, unsqueeze
+from .packs import Pack, Rounds, U, group_edges, mix, place_by, release, squeeze, unsqueeze
 from .words import word_hashes
 
 PACK_BYTES = 8 << 20
@@ -413,11 +413,10 @@ def _score(buckets: int, model: Model, train_tokens: int, train_docs: int, sampl
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES, sweeps: int = SWEEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
-    texts = Rounds(pack_documents(docs, id_col, text_col, pack_bytes))
+    texts = Rounds.over(docs, id_col, text_col, pack_bytes)
     n = texts.buckets
     texts.round(_ask_pairs(n), _resolve_pairs)
-    sent = texts.per_pack(_send_counts(n), "bucket int, payload binary")
-    state, _ = materialize_counted(sent.groupBy("bucket").applyInPandas(_merge_counts(n), STATE_SCHEMA), "lm-counts")
+    state, _ = materialize_counted(texts.per_pack(_send_counts(n), "bucket int, payload binary").groupBy("bucket").applyInPandas(_merge_counts(n), STATE_SCHEMA), "lm-counts")
     release(texts.spark)
     sums = state.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "once", "twice")]).first()
     train_tokens, types, once, twice = (int(x) for x in sums)

@@ -10,8 +10,8 @@ a task gathers its documents into packs of a few MB, written once to the shared
 3. the answers, written as a small table, meet the packs again by pack id; the packs themselves are
    not shuffled again, because the checkpoint keeps their partitioning.
 
-Packs hold about ``PACK_BYTES``; a longer document is a pack of its own.  The number of buckets follows
-``spark.sql.shuffle.partitions``, which is sized to the input.  Rows with a null id are left out.
+Packs hold about ``PACK_BYTES``; a longer document is a pack of its own.  The number of buckets follows the
+number of packs, one for every ``BUCKET_BYTES`` of text.  Rows with a null id are left out.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from ..session import materialize_counted
 from .common import partitions, prepare
 
 PACK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+LEAST_BUCKETS = 8
 PACK_SCHEMA = "pack_id long, ids binary, lens binary, body binary"
 ASK_SCHEMA = "bucket int, pack_id long, payload binary"
 REPLY_SCHEMA = "pack_id long, round int, bucket int, payload binary"
@@ -99,9 +101,12 @@ def place_by(df: DataFrame, column: str) -> DataFrame:
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return placed.checkpoint()
+        out = placed.checkpoint()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    del placed
+    release(spark)
+    return out
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -131,13 +136,17 @@ def unsqueeze(payload: bytes) -> list[np.ndarray]:
 class Rounds:
     """Packs and the answers they have got so far."""
 
-    def __init__(self, packs: DataFrame, buckets: int | None = None, opener: Callable = open_pack):
-        self.packs, self.opener = packs, opener
+    def __init__(self, packs: DataFrame, buckets: int, opener: Callable = open_pack):
+        self.packs, self.opener, self.buckets = packs, opener, buckets
         self.spark = packs.sparkSession
-        self.buckets = buckets or 2 * partitions(self.spark)
         self.replies = self.spark.createDataFrame([], REPLY_SCHEMA)
         self.done = 0
 
+    @classmethod
+    def over(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES) -> Rounds:
+        packs = pack_documents(docs, id_col, text_col, pack_bytes)
+        return cls(packs, max(LEAST_BUCKETS, -(-packs.count() * pack_bytes // BUCKET_BYTES)))
+
     def per_pack(self, work: Callable[[Pack, dict[int, dict[int, bytes]]], Iterable[tuple]], schema: str) -> DataFrame:
         """Rows that ``work`` gives for each pack and its answers ({round: {bucket: payload}})."""
         names, opener = [x.split()[0] for x in schema.split(", ")], self.opener
@@ -194,6 +203,7 @@ class Rounds:
         asks = self.per_pack(asked, ASK_SCHEMA).groupBy("bucket")
         made = asks.applyInPandas(resolved, REPLY_SCHEMA) if side is None else asks.cogroup(side.groupBy("bucket")).applyInPandas(resolved_with, REPLY_SCHEMA)
         new, _ = materialize_counted(made, f"replies-{number}")
+        del asks, made  # nothing may hold the round's shuffles any more
         self.replies = self.replies.unionByName(new) if number else new
         self.done += 1
         release(self.spark)

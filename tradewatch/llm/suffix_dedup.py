@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .packs import Pack, Rounds, U, bucket_bounds, group_edges, mix, pack_documents, to_slots
+from .packs import PACK_BYTES, Pack, Rounds, U, bucket_bounds, group_edges, mix, to_slots
 
 LENGTH = 50
 GRAM = 24
@@ -339,11 +339,11 @@ DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_s
 TEXT_SCHEMA = DIGEST_SCHEMA + ", text_sha256 string, span_edges array<long>, kept_text string"
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """Per document: sizes, spans and digest of what stays; with ``with_text`` also the digest of the input
     text, the byte edges [from, to, from, to, ...] of the removed spans, and the text that stays (a character that
     a cut divides goes whole)."""
-    rounds = Rounds(pack_documents(docs, id_col, text_col, **({"pack_bytes": pack_bytes} if pack_bytes else {})))
+    rounds = Rounds.over(docs, id_col, text_col, pack_bytes)
     n = rounds.buckets
     rounds.round(_ask_triggers(n), _resolve_triggers)
     rounds.round(_ask_phrases(n), _resolve_phrases)
