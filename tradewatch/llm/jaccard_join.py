@@ -31,13 +31,19 @@ from pyspark.sql import functions as F
 
 from ..session import materialize_counted
 from .components import components
-from .packs import Pack, Rounds, U, bucket_bounds, group_edges, mix, open_pack, pack_documents, to_slots
+from .packs import REPLY_SCHEMA, Pack, Rounds, U, bucket_bounds, group_edges, mix, open_pack, release, to_slots
 from .words import shingles, word_hashes
 
 WORDS = 3
 PERCENT = 90
-LINK_SCHEMA = "a long, b long"
-SHIP_SCHEMA = "pack_id long, doc long, features binary"
+#: Larger packs than elsewhere: a holder is sent once to each pack that shares a signature with it.
+PACK_BYTES = 8 << 20
+#: kind SET: a feature set sent to a pack; kind ROWS: the pack's own rows that hold shared signatures.
+SHIP_SCHEMA = "pack_id long, kind int, doc long, features binary"
+SET, ROWS = 0, 1
+#: kind LINK: (id, id); kind SIZE: (id, set size); kind HOLDER: (id, pack, row).
+FOUND_SCHEMA = "kind int, a long, b long, c long"
+LINK, SIZE, HOLDER = 0, 1, 2
 
 
 def bands(largest: int, percent: int) -> list[int]:
@@ -50,16 +56,25 @@ def bands(largest: int, percent: int) -> list[int]:
     return edges
 
 
+def some_rows(pack: Pack, rows: np.ndarray) -> Pack:
+    """The pack with these documents only."""
+    texts = [pack.text(i) for i in rows.tolist()]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+    return Pack(pack.pack_id, pack.ids[rows], offsets, np.concatenate(texts) if texts else np.zeros(0, np.uint8))
+
+
 class Sets:
-    """The distinct feature sets of a pack."""
+    """The distinct feature sets of a pack, or of some of its rows."""
 
-    def __init__(self, pack: Pack, words: int):
+    def __init__(self, pack: Pack, words: int, rows: np.ndarray | None = None):
+        if rows is not None:
+            pack = some_rows(pack, rows)
         hashes, offsets = shingles(*word_hashes(pack), words)
         self.sizes = np.zeros(len(pack.ids), np.int64)
         found: dict[tuple[int, int, int], int] = {}
         self.features: list[np.ndarray] = []
-        self.lead: list[int] = []  # smallest id that has the set
-        self.copies: list[tuple[int, int]] = []  # (lead, id) of documents with equal sets
+        lead_rows: list[int] = []  # row of the smallest id that has the set
+        self.copies: list[tuple[int, int]] = []  # (lead id, id) of documents with equal sets
         for i in np.argsort(pack.ids, kind="stable").tolist():
             v = np.unique(hashes[offsets[i] : offsets[i + 1]])
             self.sizes[i] = len(v)
@@ -68,11 +83,20 @@ class Sets:
                 at = found.setdefault(name, len(self.features))
                 if at == len(self.features):
                     self.features.append(v)
-                    self.lead.append(int(pack.ids[i]))
-                elif self.lead[at] != pack.ids[i]:
-                    self.copies.append((self.lead[at], int(pack.ids[i])))
+                    lead_rows.append(i)
+                elif pack.ids[lead_rows[at]] != pack.ids[i]:
+                    self.copies.append((int(pack.ids[lead_rows[at]]), int(pack.ids[i])))
+        self.lead = pack.ids[lead_rows] if lead_rows else np.zeros(0, np.int64)
+        self.rows = np.array(lead_rows, np.int64) if rows is None else rows[lead_rows] if lead_rows else np.zeros(0, np.int64)
         self.counts = np.array([len(v) for v in self.features], np.int64)
 
+    def only(self, rows: np.ndarray) -> Sets:
+        """The sets that stand at these rows."""
+        out = Sets.__new__(Sets)
+        at = np.flatnonzero(np.isin(self.rows, rows)).tolist()
+        out.features, out.lead, out.rows, out.counts = [self.features[i] for i in at], self.lead[at], self.rows[at], self.counts[at]
+        return out
+
 
 def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
     """Signatures of a sorted feature set for its own band and the next one."""
@@ -164,13 +188,13 @@ def _shared(keys: Keys, answers: dict[int, bytes], buckets: int) -> np.ndarray:
     return out
 
 
-def _send(sets: Sets, wanted: set[tuple[int, int]]) -> Iterator[tuple[int, int, bytes]]:
+def _send(sets: Sets, wanted: set[tuple[int, int]]) -> Iterator[tuple[int, int, int, bytes]]:
     for target, i in sorted(wanted):
-        yield target, sets.lead[i], sets.features[i].tobytes()
+        yield target, SET, int(sets.lead[i]), sets.features[i].tobytes()
 
 
 def _ship_first(words: int, percent: int, buckets: int):
-    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, bytes]]:
+    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, int, bytes]]:
         sets = Sets(pack, words)
         keys = Keys(sets, percent, buckets)
         wanted: set[tuple[int, int]] = set()
@@ -182,6 +206,8 @@ def _ship_first(words: int, percent: int, buckets: int):
         for i in np.unique(keys.owner[keys.first[(keys.end - keys.first) > 1]]).tolist():
             wanted.add((pack.pack_id, i))
         yield from _send(sets, wanted)
+        shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
+        yield pack.pack_id, ROWS, 0, np.sort(sets.rows[np.unique(keys.owner[shared])]).tobytes()
 
     return work
 
@@ -205,59 +231,67 @@ class Index:
         return np.flatnonzero((common > 0) & (100 * common >= percent * (len(v) + self.counts - common)))
 
 
-def _check(words: int, percent: int):
-    """Verified links of the sets sent to a pack; one per sent set and known component of the pack's sets."""
+def _shipped(right: pd.DataFrame) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+    """Sets sent to a pack (in order of id, whatever the order of arrival), and its own rows that count."""
+    is_set = right["kind"] == SET
+    sets = sorted(zip(right["doc"][is_set].tolist(), right["features"][is_set], strict=True), key=lambda x: x[0])
+    own = [np.frombuffer(x, np.int64) for x in right["features"][~is_set]]
+    return [(doc, np.frombuffer(x, np.uint64)) for doc, x in sets], own[0] if own else np.zeros(0, np.int64)
+
+
+def _links(sets: Sets, shipped: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[int, int, int, int]]:
+    index = Index(sets)
+    for doc, v in shipped:
+        for i in index.links(v, percent).tolist():
+            if sets.lead[i] != doc:
+                yield LINK, doc, int(sets.lead[i]), 0
+
+
+def _check_first(words: int, percent: int):
+    """Verified links of the sets sent to a pack; links of equal sets; sizes of all; the holders of shared signatures."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[int, int]] = []
+        rows: list[tuple[int, int, int, int]] = []
         for row in left.itertuples(index=False):
             pack = open_pack(*row[:4])
             sets = Sets(pack, words)
-            rows.extend(sets.copies)
-            if len(right):
-                index = Index(sets)
-                lead = np.array(sets.lead, np.int64)
-                # order of arrival is not fixed; one result whatever it is
-                for doc, blob in sorted(zip(right["doc"].tolist(), right["features"], strict=True), key=lambda x: x[0]):
-                    for i in index.links(np.frombuffer(blob, np.uint64), percent).tolist():
-                        if lead[i] != doc:
-                            rows.append((doc, int(lead[i])))
-        return pd.DataFrame(rows, columns=["a", "b"])
+            shipped, own = _shipped(right)
+            rows.extend((SIZE, i, n, 0) for i, n in zip(pack.ids.tolist(), sets.sizes.tolist(), strict=True))
+            rows.extend((LINK, a, b, 0) for a, b in sets.copies)
+            rows.extend((HOLDER, int(pack.ids[i]), pack.pack_id, i) for i in own.tolist())
+            rows.extend(_links(sets.only(own), shipped, percent))
+        return pd.DataFrame(rows, columns=["kind", "a", "b", "c"])
 
     return run
 
 
-def _labels_schema() -> str:
-    return "doc long, pack_id long, at int"
-
-
-def _holders(words: int, percent: int, buckets: int):
-    """Sets that hold a shared signature."""
+def _check_rest(words: int, percent: int):
+    """Verified links of the sets sent to a pack."""
 
-    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, int]]:
-        sets = Sets(pack, words)
-        keys = Keys(sets, percent, buckets)
-        shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
-        for i in np.unique(keys.owner[shared]).tolist():
-            yield sets.lead[i], pack.pack_id, i
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple[int, int, int, int]] = []
+        shipped, own = _shipped(right)
+        if shipped:
+            for row in left.itertuples(index=False):
+                rows.extend(_links(Sets(open_pack(*row[:4]), words, own), shipped, percent))
+        return pd.DataFrame(rows, columns=["kind", "a", "b", "c"])
 
-    return work
+    return run
 
 
 _PAIR = np.dtype([("key", "<u4"), ("component", "<i8")])
 
 
 class Labelled:
-    """Shared keys of a pack with the components of their holders: distinct (key, component) in order."""
-
-    def __init__(self, sets: Sets, percent: int, buckets: int, answers: dict):
-        keys = Keys(sets, percent, buckets)
-        shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
-        label = np.array(sets.lead, np.int64)
-        for payload in answers.get(1, {}).values():
-            known = np.frombuffer(payload, "<i8").reshape(-1, 2)
-            label[known[:, 0]] = known[:, 1]
-        slots, owner = keys.slots[shared], keys.owner[shared]
+    """Signatures of the pack's holders with their components: distinct (key, component) in order."""
+
+    def __init__(self, pack: Pack, words: int, percent: int, buckets: int, answers: dict):
+        known = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in answers.get(1, {}).values()]
+        pairs = np.concatenate(known) if known else np.zeros((0, 2), np.int64)
+        self.sets = Sets(pack, words, pairs[:, 0])
+        keys = Keys(self.sets, percent, buckets)
+        label = pairs[np.searchsorted(pairs[:, 0], self.sets.rows), 1]
+        slots, owner = keys.slots, keys.owner
         component = label[owner]
         order = np.lexsort((owner, component, slots))
         self.owner = owner[order]
@@ -269,7 +303,7 @@ class Labelled:
 
 def _ask_components(words: int, percent: int, buckets: int):
     def ask(pack: Pack, answers: dict) -> Iterator[tuple[int, bytes]]:
-        q = Labelled(Sets(pack, words), percent, buckets, answers)
+        q = Labelled(pack, words, percent, buckets, answers)
         out = np.empty(len(q.slots), _PAIR)
         out["key"], out["component"] = q.slots & U(0xFFFFFFFF), q.component
         for b, lo, hi in bucket_bounds(q.slots, buckets):
@@ -303,9 +337,8 @@ def _resolve_components(packs: list[int], payloads: list[bytes]) -> list[bytes]:
 
 
 def _ship_rest(words: int, percent: int, buckets: int):
-    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, bytes]]:
-        sets = Sets(pack, words)
-        q = Labelled(sets, percent, buckets, answers)
+    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, int, bytes]]:
+        q = Labelled(pack, words, percent, buckets, answers)
         wanted: set[tuple[int, int]] = set()
         for b, lo, _ in bucket_bounds(q.slots, buckets):
             position, many, targets, _n = _orders(answers[2][b])
@@ -315,7 +348,8 @@ def _ship_rest(words: int, percent: int, buckets: int):
                 begin += m
                 for i in set(q.owner[q.first[p] : q.end[p]].tolist()):
                     wanted.update((t, i) for t in to)
-        yield from _send(sets, wanted)
+        yield from _send(q.sets, wanted)
+        yield pack.pack_id, ROWS, 0, np.sort(q.sets.rows).tobytes()
 
     return work
 
@@ -325,35 +359,30 @@ def _pack_labels(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pack_id": [int(frame["pack_id"].iloc[0])], "round": [1], "bucket": [0], "payload": [pairs.astype("<i8").tobytes()]})
 
 
-def _sizes(words: int):
-    def work(pack: Pack, _: dict) -> Iterator[tuple[int, int]]:
-        for i, n in zip(pack.ids.tolist(), Sets(pack, words).sizes.tolist(), strict=True):
-            yield i, n
-
-    return work
-
-
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int | None = None) -> DataFrame:
+def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) for every document."""
-    from .packs import REPLY_SCHEMA
-
-    rounds = Rounds(pack_documents(docs, id_col, text_col, **({"pack_bytes": pack_bytes} if pack_bytes else {})))
+    rounds = Rounds.over(docs, id_col, text_col, pack_bytes)
     n = rounds.buckets
-    sizes, _ = materialize_counted(rounds.per_pack(_sizes(words), "doc_id long, n_shingles long"), "set-sizes")
 
-    def checked(shipped: DataFrame) -> DataFrame:
-        meet = rounds.packs.groupBy("pack_id").cogroup(shipped.groupBy("pack_id")).applyInPandas(_check(words, percent), LINK_SCHEMA)
-        return materialize_counted(meet, "links")[0]
+    def checked(ship, check) -> DataFrame:
+        shipped = rounds.per_pack(ship(words, percent, n), SHIP_SCHEMA)
+        meet = rounds.packs.groupBy("pack_id").cogroup(shipped.groupBy("pack_id")).applyInPandas(check(words, percent), FOUND_SCHEMA)
+        found, _ = materialize_counted(meet, "found")
+        del shipped, meet
+        release(rounds.spark)
+        return found
 
     rounds.round(_ask_keys(words, percent, n), _resolve_keys)
-    links = checked(rounds.per_pack(_ship_first(words, percent, n), SHIP_SCHEMA))
+    found = checked(_ship_first, _check_first)
+    links = found.filter(F.col("kind") == LINK).select("a", "b")
+    sizes = found.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
+    holders = found.filter(F.col("kind") == HOLDER).select(F.col("a").alias("doc"), F.col("b").alias("pack_id"), F.col("c").alias("at"))
     stars = components(links)
-    held = rounds.per_pack(_holders(words, percent, n), _labels_schema())
-    labels = held.join(stars, held["doc"] == stars["node"]).select("pack_id", "at", "component")
+    labels = holders.join(stars, holders["doc"] == stars["node"], "left").select("pack_id", "at", F.coalesce("component", "doc").alias("component"))
     known, _ = materialize_counted(labels.groupBy("pack_id").applyInPandas(_pack_labels, REPLY_SCHEMA), "labels")
     rounds.add(known)
     rounds.round(_ask_components(words, percent, n), _resolve_components)
-    more = checked(rounds.per_pack(_ship_rest(words, percent, n), SHIP_SCHEMA))
-    whole = components(links.unionByName(more))
+    more = checked(_ship_rest, _check_rest)
+    whole = components(links.unionByName(more.select("a", "b")))
     ids = sizes.join(whole, sizes["doc_id"] == whole["node"], "left")
     return ids.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
