@@ -10,8 +10,8 @@ A pair is unmerged when no token across the border is made earlier than the toke
 sides of it; walking up the two chains of merges that touch the border decides it.
 
 ``encode`` runs over a DataFrame: texts are split by a pattern, and each match is encoded by itself.
-A task remembers encodings of short matches it has seen, in a memory of bounded size (it only saves
-work; a match not remembered is computed).
+A task remembers encodings of short matches, and last tokens of their prefixes, in memories of bounded
+size (they only save work: what is not remembered is computed).
 
 Edge cases: a null text is an empty text with no tokens; a match of any length is encoded in linear
 work; repeated rows and null ids are encoded row by row; an empty table gives an empty result.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-#: Entries that a task remembers at most (matches, pairs); the memory is emptied when full.
+#: Entries of each memory of a task (matches, prefixes, pairs); a memory is emptied when full.
 MEMORY = 400_000
 #: Longer matches are not remembered.
 SHORT = 48
@@ -46,6 +46,13 @@ class Codec:
         self.longest = max(map(len, ranks))
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        # byte string that ends some token: its id, or -1 if it is no token itself
+        self.ends: dict[bytes, int] = {}
+        for t in ranks:
+            for i in range(1, len(t)):
+                self.ends.setdefault(t[i:], -1)
+        self.ends.update(ranks)
+        self.last_of: dict[bytes, int] = {}  # remembered prefix: its last token
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the last merge of ``token`` joined (None: a single byte)."""
@@ -93,20 +100,22 @@ class Codec:
             else:
                 j += 1
 
+    def candidates(self, data: bytes, i: int) -> list[tuple[int, int]]:
+        """(size, token) of the tokens that end at ``i``, shortest first."""
+        ends, out = self.ends, []
+        for size in range(1, i + 1):
+            t = ends.get(data[i - size : i])
+            if t is None:
+                break
+            if t >= 0:
+                out.append((size, t))
+        return out
+
     def extend(self, data: bytes, last: list[int], start: int, stop: int) -> None:
         """Sets ``last[i]`` for the prefixes of length start+1..stop (``last[0]`` stands for no token)."""
-        ranks, tokens, longest, pairs, unmerged = self.ranks, self.tokens, self.longest, self.pairs, self.unmerged
         for i in range(start + 1, stop + 1):
-            for size in range(min(i, longest), 0, -1):
-                t = ranks.get(data[i - size : i])
-                if t is None:
-                    continue
-                if size == i:
-                    last[i] = t
-                    break
-                key = (last[i - size], t)
-                ok = pairs.get(key)
-                if unmerged(*key) if ok is None else ok:
+            for size, t in reversed(self.candidates(data, i)):
+                if size == i or self.unmerged(last[i - size], t):
                     last[i] = t
                     break
 
@@ -125,6 +134,30 @@ class Codec:
     def encode(self, data: bytes) -> list[int]:
         return self.read(self.prefixes(data))
 
+    def encode_short(self, data: bytes) -> list[int]:
+        """Like ``encode``; prefixes met before, in whichever string, are looked up."""
+        known, unmerged = self.last_of, self.pairs
+        if len(known) >= MEMORY:
+            known.clear()
+        n = len(data)
+        i = n
+        while i and data[:i] not in known:
+            i -= 1
+        for i in range(i + 1, n + 1):
+            for size, t in reversed(self.candidates(data, i)):
+                if size == i:
+                    break
+                key = (known[data[: i - size]], t)
+                ok = unmerged.get(key)
+                if self.unmerged(*key) if ok is None else ok:
+                    break
+            known[data[:i]] = t
+        out = []
+        while n:
+            out.append(known[data[:n]])
+            n -= len(self.tokens[out[-1]])
+        return out[::-1]
+
     def append(self, data: bytes, last: list[int], more: bytes) -> tuple[bytes, list[int]]:
         """State of data + more; only the new prefixes are computed."""
         joined = data + more
@@ -169,11 +202,12 @@ class _Remembered(dict):
         self.codec = codec
 
     def __missing__(self, match: str) -> tuple[int, ...]:
-        ids = tuple(self.codec.encode(match.encode()))
-        if len(match) <= SHORT:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[match] = ids
+        if len(match) > SHORT:
+            return tuple(self.codec.encode(match.encode()))
+        ids = tuple(self.codec.encode_short(match.encode()))
+        if len(self) >= MEMORY:
+            self.clear()
+        self[match] = ids
         return ids
 
 
