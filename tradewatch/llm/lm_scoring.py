@@ -416,14 +416,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_
     texts = Rounds.over(docs, id_col, text_col, pack_bytes)
     n = texts.buckets
     texts.round(_ask_pairs(n), _resolve_pairs)
-    state, _ = materialize_counted(texts.per_pack(_send_counts(n), "bucket int, payload binary").groupBy("bucket").applyInPandas(_merge_counts(n), STATE_SCHEMA), "lm-counts")
-    release(texts.spark)
+    # one checkpoint holds the words' counts and the buckets of pairs, dealt for the sweeps
+    state = place_by(texts.per_pack(_send_counts(n), "bucket int, payload binary").groupBy("bucket").applyInPandas(_merge_counts(n), STATE_SCHEMA), "pack_id")
     sums = state.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "once", "twice")]).first()
     train_tokens, types, once, twice = (int(x) for x in sums)
     train_docs = docs.select(F.col(id_col).cast("long").alias("i")).filter("i is not null").filter(F.crc32(F.col("i").cast("string")) % 7 != 2).count()
     model = Model(once / (once + 2 * twice) if once and twice else 0.75, types)
     words = state.filter(F.col("pack_id") < n).select(F.col("pack_id").cast("int").alias("bucket"), F.lit(WORDS_KIND).alias("kind"), "payload")
-    pairs = Rounds(place_by(state.filter(F.col("pack_id") >= n).select("pack_id", "payload"), "pack_id"), n, open_pairs)
+    pairs = Rounds(state.filter(F.col("pack_id") >= n).select("pack_id", "payload"), n, open_pairs)
     side = words
     for r in range(sweeps):
         answers = pairs.round(_ask_tables(n, model), _resolve_tables(r), words)
