@@ -23,6 +23,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -76,10 +77,12 @@ class Sets:
         lead_rows: list[int] = []  # row of the smallest id that has the set
         self.copies: list[tuple[int, int]] = []  # (lead id, id) of documents with equal sets
         for i in np.argsort(pack.ids, kind="stable").tolist():
-            v = np.unique(hashes[offsets[i] : offsets[i + 1]])
+            v = np.sort(hashes[offsets[i] : offsets[i + 1]])
+            if len(v) > 1:
+                v = v[np.append(True, v[1:] != v[:-1])]
             self.sizes[i] = len(v)
             if len(v):
-                name = (len(v), int(np.bitwise_xor.reduce(v)), int(mix(v).sum()))
+                name = (len(v), int(np.bitwise_xor.reduce(v)), int(v.sum()))
                 at = found.setdefault(name, len(self.features))
                 if at == len(self.features):
                     self.features.append(v)
@@ -102,20 +105,32 @@ def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
     """Signatures of a sorted feature set for its own band and the next one."""
     band = int(np.searchsorted(edges, len(v), "right")) - 1
     out = []
-    low = mix(v)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(low)))
-    high = v >> U(32)
+    # the features are mixed hashes, so the sum of a partition's features stands for their set
+    sums = np.empty(len(v) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(v, out=sums[1:])
     for instance in (band, band + 1):
-        k = 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent)
-        groups = k // 2 + 1
-        # a feature's partition is the range its hash falls in, so partitions are runs of the sorted set
-        parts = 3 * groups
-        cut = np.searchsorted(high, (np.arange(1, parts, dtype=np.uint64) << U(32)) // U(parts))
-        s = np.diff(sums[np.concatenate(([0], cut, [len(v)]))]).reshape(groups, 3)
-        pairs = np.stack((s[:, 0] + s[:, 1], s[:, 0] + s[:, 2], s[:, 1] + s[:, 2]), 1) if k else s.sum(1, keepdims=True)
-        tags = (U(instance) << U(34)) + np.arange(pairs.size, dtype=np.uint64).reshape(pairs.shape)
-        out.append(mix(mix(pairs) ^ mix(tags + U(0x5851F42D))).reshape(-1))
-    return np.concatenate(out)
+        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent))
+        at = sums[np.searchsorted(v, limits)]
+        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 3)
+        if len(tags) == 1:
+            out.append(s.sum(1) ^ tags)
+        else:
+            out.append((s.sum(1, keepdims=True) - s).reshape(-1) ^ tags)  # without one partition: the pair of the others
+    return mix(np.concatenate(out))
+
+
+@lru_cache(maxsize=512)
+def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the partitions of a band begin, and a random tag for each of its signatures.
+
+    A feature's partition is the range its hash falls in, so partitions are runs of a sorted set.
+    """
+    groups = k // 2 + 1
+    step = (1 << 64) // (3 * groups)
+    limits = np.arange(3 * groups, dtype=np.uint64) * U(step)
+    n = 3 * groups if k else 1
+    return limits, mix((U(instance) << U(34)) + np.arange(n, dtype=np.uint64) + U(0x5851F42D))
 
 
 class Keys:
