@@ -3,10 +3,11 @@
 A document's features are its distinct word shingles.  Two sets of sizes a <= b with Jaccard >= t differ in at
 most (a + b)(1 - t)/(1 + t) features, and b <= a / t.  Sizes are cut into bands so that linked sets lie in the
 same or in neighbouring bands; a set signs for its own band and the next one.  For a band with largest size u
-and k = 2u(1 - t)/(1 + t) the feature domain is cut into k // 2 + 1 groups of three partitions: k differences
-leave some group with at most one, which touches at most one of its partitions, so the two sets agree on the
-other two.  Each pair of partitions of each group, with the set's features inside it, is one signature:
-sufficiently similar sets share at least one.
+and k = 2u(1 - t)/(1 + t) the feature domain is cut into k // (s + 1) + 1 groups of 2s + 1 partitions: k differences
+leave some group with at most s, which touch at most s of its partitions, so the two sets agree on the other s + 1.
+Each choice of s + 1 partitions of each group, with the set's features inside it, is one signature:
+sufficiently similar sets share at least one.  s is 1 from a similarity of 0.9 on and 2 below it, where s = 1 would
+leave signatures of so few features that unrelated sets share them.
 
 Checking stays linear in the copies of a group: sets equal within a pack are one set; for every signature one
 holder is sent to the packs of the others (round 1) and checked there exactly against all sets of the pack by an
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -57,6 +59,11 @@ def bands(largest: int, percent: int) -> list[int]:
     return edges
 
 
+def spare_partitions(percent: int) -> int:
+    """Partitions of a group that may differ: more at lower similarities, where groups hold fewer features."""
+    return 1 if percent >= 90 else 2
+
+
 def some_rows(pack: Pack, rows: np.ndarray) -> Pack:
     """The pack with these documents only."""
     texts = [pack.text(i) for i in rows.tolist()]
@@ -101,7 +108,7 @@ class Sets:
         return out
 
 
-def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
+def signatures(v: np.ndarray, edges: list[int], percent: int, spare: int) -> np.ndarray:
     """Signatures of a sorted feature set for its own band and the next one."""
     band = int(np.searchsorted(edges, len(v), "right")) - 1
     out = []
@@ -110,26 +117,32 @@ def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
     sums[0] = 0
     np.cumsum(v, out=sums[1:])
     for instance in (band, band + 1):
-        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent))
+        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent), spare)
         at = sums[np.searchsorted(v, limits)]
-        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 3)
+        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 2 * spare + 1)
         if len(tags) == 1:
             out.append(s.sum(1) ^ tags)
         else:
-            out.append((s.sum(1, keepdims=True) - s).reshape(-1) ^ tags)  # without one partition: the pair of the others
+            out.append(s[:, _subsets(spare)].sum(2).reshape(-1) ^ tags)
     return mix(np.concatenate(out))
 
 
+@lru_cache(maxsize=8)
+def _subsets(spare: int) -> np.ndarray:
+    """The choices of spare + 1 partitions out of 2 spare + 1."""
+    return np.array(list(combinations(range(2 * spare + 1), spare + 1)))
+
+
 @lru_cache(maxsize=512)
-def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _instance(instance: int, k: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
     """Where the partitions of a band begin, and a random tag for each of its signatures.
 
     A feature's partition is the range its hash falls in, so partitions are runs of a sorted set.
     """
-    groups = k // 2 + 1
-    step = (1 << 64) // (3 * groups)
-    limits = np.arange(3 * groups, dtype=np.uint64) * U(step)
-    n = 3 * groups if k else 1
+    groups = k // (spare + 1) + 1
+    parts = (2 * spare + 1) * groups
+    limits = np.arange(parts, dtype=np.uint64) * U((1 << 64) // parts)
+    n = len(_subsets(spare)) * groups if k else 1
     return limits, mix((U(instance) << U(34)) + np.arange(n, dtype=np.uint64) + U(0x5851F42D))
 
 
@@ -138,7 +151,7 @@ class Keys:
 
     def __init__(self, sets: Sets, percent: int, buckets: int):
         edges = bands(int(sets.counts.max()) if len(sets.counts) else 1, percent)
-        each = [signatures(v, edges, percent) for v in sets.features]
+        each = [signatures(v, edges, percent, spare_partitions(percent)) for v in sets.features]
         slots = to_slots(np.concatenate(each), buckets) if each else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)
         order = np.argsort(slots, kind="stable")
