@@ -41,9 +41,10 @@ WORDS = 3
 PERCENT = 90
 #: Larger packs than elsewhere: a holder is sent once to each pack that shares a signature with it.
 PACK_BYTES = 8 << 20
-#: kind SET: a feature set sent to a pack; kind ROWS: the pack's own rows that hold shared signatures.
+#: kind SET: a feature set sent to a pack; kind ROWS: the pack's own rows that hold shared signatures; kind FIRST:
+#: those of its own rows that are to be checked against the others.
 SHIP_SCHEMA = "pack_id long, kind int, doc long, features binary"
-SET, ROWS = 0, 1
+SET, ROWS, FIRST = 0, 1, 2
 #: kind LINK: (id, id); kind SIZE: (id, set size); kind HOLDER: (id, pack, row).
 FOUND_SCHEMA = "kind int, a long, b long, c long"
 LINK, SIZE, HOLDER = 0, 1, 2
@@ -230,10 +231,10 @@ def _ship_first(words: int, percent: int, buckets: int):
             position, many, targets, _n = _orders(answers[0][b])
             holder = keys.owner[keys.first[lo + position]]
             wanted.update(zip(targets.tolist(), np.repeat(holder, many).tolist(), strict=True))
-        # signatures with several holders in this pack: their first one is checked here
-        for i in np.unique(keys.owner[keys.first[(keys.end - keys.first) > 1]]).tolist():
-            wanted.add((pack.pack_id, i))
         yield from _send(sets, wanted)
+        # signatures with several holders in this pack: their first one is checked here, no set need travel
+        inner = np.unique(keys.owner[keys.first[(keys.end - keys.first) > 1]])
+        yield pack.pack_id, FIRST, 0, np.sort(sets.rows[inner]).tobytes()
         shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
         yield pack.pack_id, ROWS, 0, np.sort(sets.rows[np.unique(keys.owner[shared])]).tobytes()
 
@@ -263,7 +264,7 @@ def _shipped(right: pd.DataFrame) -> tuple[list[tuple[int, np.ndarray]], np.ndar
     """Sets sent to a pack (in order of id, whatever the order of arrival), and its own rows that count."""
     is_set = right["kind"] == SET
     sets = sorted(zip(right["doc"][is_set].tolist(), right["features"][is_set], strict=True), key=lambda x: x[0])
-    own = [np.frombuffer(x, np.int64) for x in right["features"][~is_set]]
+    own = [np.frombuffer(x, np.int64) for x in right["features"][right["kind"] == ROWS]]
     return [(doc, np.frombuffer(x, np.uint64)) for doc, x in sets], own[0] if own else np.zeros(0, np.int64)
 
 
@@ -287,7 +288,10 @@ def _check_first(words: int, percent: int):
             rows.extend((SIZE, i, n, 0) for i, n in zip(pack.ids.tolist(), sets.sizes.tolist(), strict=True))
             rows.extend((LINK, a, b, 0) for a, b in sets.copies)
             rows.extend((HOLDER, int(pack.ids[i]), pack.pack_id, i) for i in own.tolist())
-            rows.extend(_links(sets.only(own), shipped, percent))
+            first = [np.frombuffer(x, np.int64) for x in right["features"][right["kind"] == FIRST]]
+            inner = sets.only(first[0]) if first else None
+            here = list(zip(inner.lead.tolist(), inner.features, strict=True)) if inner else []
+            rows.extend(_links(sets.only(own), shipped + here, percent))
         return pd.DataFrame(rows, columns=["kind", "a", "b", "c"])
 
     return run
