@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -6,7 +7,9 @@ from collections import Counter
 import numpy as np
 from conftest_llm import frame
 
+from tradewatch.llm import lm_scoring
 from tradewatch.llm.lm_scoring import MOVES, Model, score, seat
+from tradewatch.llm.packs import Pack
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -82,3 +85,62 @@ def test_empty_table_and_held_out_only(spark, no_docs):
     held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = score(frame(spark, ["a b"], [held])).collect()[0]
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_every_sample_sums_to_one(spark, monkeypatch):
+    """Pairs seen often: each averaged sample combines the tables, context sums and root of one round."""
+    learn = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:60]
+    r = random.Random(3)
+    texts = [" ".join(r.choice("abcde") for _ in range(30)) for _ in learn]
+    kept, sides = {}, {}
+
+    def keep(df, name):
+        out = materialize(df, name)
+        kept[name] = out[0].collect()
+        return out
+
+    def resolve(buckets, samples):
+        sides["samples"], sides["buckets"] = samples, buckets
+        return resolve_model(buckets, samples)
+
+    def round_(self, ask, answer, side=None):
+        if "samples" in sides:
+            sides["side"] = side.collect()
+        return run_round(self, ask, answer, side)
+
+    def scorer(buckets, model, *more):
+        sides["model"] = model
+        return make_scorer(buckets, model, *more)
+
+    materialize, resolve_model, run_round, make_scorer = lm_scoring.materialize_counted, lm_scoring._resolve_model, lm_scoring.Rounds.round, lm_scoring._score
+    monkeypatch.setattr(lm_scoring, "materialize_counted", keep)
+    monkeypatch.setattr(lm_scoring, "_resolve_model", resolve)
+    monkeypatch.setattr(lm_scoring, "_score", scorer)
+    monkeypatch.setattr(lm_scoring.Rounds, "round", round_)
+    assert len(score(frame(spark, texts, learn)).collect()) == len(learn)
+    n, samples, model = sides["buckets"], sides["samples"], sides["model"]
+    seated = {}
+    for row in kept["lm-seating"]:
+        key, *columns = lm_scoring.unsqueeze(row["payload"])
+        assert len(columns) == len(samples) == 2
+        seated |= {(row["bucket"] - n, k): t for k, t in zip(key.tolist(), zip(*[c.tolist() for c in columns], strict=True), strict=True)}
+    body = [t.encode() for t in texts]
+    pack = Pack(0, np.array(learn), np.concatenate(([0], np.cumsum([len(b) for b in body]))), np.frombuffer(b"".join(body), np.uint8))
+    t = lm_scoring.Tokens(pack, n)
+    where = lambda p: (int(p) >> 48, int(p) & ((1 << 48) - 1))
+    count = Counter(t.pair.tolist())
+    assert sum(c > 1 for c in count.values()) > 20
+    payloads = {(row["bucket"], row["kind"]): row["payload"] for row in sides["side"]}
+    for k, s in enumerate(samples):
+        figures = {}
+        for b in {where(p)[0] for p in t.words}:
+            key = lm_scoring.unsqueeze(payloads[b, lm_scoring.WORDS_KIND])[0]
+            figures |= {(b, x): f for x, f in zip(key.tolist(), zip(*[c.tolist() for c in lm_scoring.unsqueeze(payloads[b, lm_scoring.TOTAL_KIND + s])], strict=True), strict=True)}
+        of = [figures[where(p)] for p in t.words]
+        root = model.root_probability(np.array([f[1] for f in of], float), np.array([f[2] for f in of], float), s)
+        assert math.isclose(root.sum(), 1.0, rel_tol=1e-9)  # the begin mark, never a word, stands for the unseen
+        for u in set(t.context.tolist()):
+            mine = [p for p in count if t.context[t.pair_at[p]] == u]
+            c_u = sum(count[p] for p in mine)
+            own = sum(count[p] - model.discount * (seated[where(t.pairs[p])][k] if count[p] > 1 else 1) for p in mine)
+            assert math.isclose((own + lm_scoring.STRENGTH + model.discount * of[u][0]) / (lm_scoring.STRENGTH + c_u), 1.0, rel_tol=1e-9)

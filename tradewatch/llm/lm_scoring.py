@@ -340,7 +340,7 @@ def _totals(frame: DataFrame) -> tuple[int, int]:
 def _send_seating(buckets: int, model: Model):
     def work(pairs: Pairs, answers: dict) -> Iterator[tuple[int, int, bytes]]:
         s = Seating(pairs, buckets, answers, model)
-        yield pairs.pack_id, 0, squeeze(pairs.key, *[t.astype(np.uint32) for t in s.history[2:]])
+        yield pairs.pack_id, 0, squeeze(pairs.key, *[t.astype(np.uint32) for t in s.history[1:]])
 
     return work
 
@@ -390,7 +390,8 @@ def _score(buckets: int, model: Model, train_tokens: int, train_docs: int, sampl
         tables = np.zeros((len(samples), len(t.pairs)))
         tables[:, pair_count == 1] = 1
         if often.any():
-            tables[:, often] = np.array(_answer(t.pairs[often], buckets, answers[1], buckets))
+            for k, column in zip(range(len(samples)), _answer(t.pairs[often], buckets, answers[1], buckets), strict=True):
+                tables[k, often] = column
         base = np.log10((count + 1.0) / (train_tokens + 1.0 * (model.types + 1)))[t.word]
         as_context = count.astype(float)
         as_context[t.begin] = train_docs
