@@ -8,7 +8,7 @@ import numpy as np
 from conftest_llm import frame
 
 from tradewatch.llm import lm_scoring
-from tradewatch.llm.lm_scoring import MOVES, Model, score, seat
+from tradewatch.llm.lm_scoring import MOVES, Model, draw_tables, score, seat
 from tradewatch.llm.packs import Pack
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -144,3 +144,50 @@ def test_every_sample_sums_to_one(spark, monkeypatch):
             c_u = sum(count[p] for p in mine)
             own = sum(count[p] - model.discount * (seated[where(t.pairs[p])][k] if count[p] > 1 else 1) for p in mine)
             assert math.isclose((own + lm_scoring.STRENGTH + model.discount * of[u][0]) / (lm_scoring.STRENGTH + c_u), 1.0, rel_tol=1e-9)
+
+
+def stirling_row(n, d):
+    """log of the weights of all seatings of n customers, by number of tables."""
+    row, tables = np.full(n, -np.inf), np.arange(1, n + 1)
+    row[0] = 0.0
+    for m in range(1, n):
+        new = np.full(n, -np.inf)
+        new[:m] = row[:m] + np.log(m - tables[:m] * d)
+        new[1 : m + 1] = np.logaddexp(new[1 : m + 1], row[:m])
+        row = new
+    return row
+
+
+def test_drawn_tables_follow_the_exact_distribution():
+    """Few customers, and many with few and many tables: the whole distribution, not a bounded number of tables."""
+    n = 20_000
+    for count, mass, slope, d in ((2, 0.8, 0.3, 0.6), (3, 0.8, 0.3, 0.6), (20, 3.0, 0.1, 0.75), (400, 40.0, 0.1, 0.7), (600, 60.0, 0.3, 0.75), (3000, 1.0, 0.01, 0.6), (3000, 300.0, 0.1, 0.75)):
+        weight = stirling_row(count, d) + np.cumsum(np.log(mass + slope * np.arange(count)))
+        p = np.exp(weight - weight.max())
+        p /= p.sum()
+        got = draw_tables(np.full(n, count), np.full(n, mass), np.full(n, slope), d, np.random.default_rng(4))
+        assert 1 <= got.min() and got.max() <= count
+        assert np.abs(np.cumsum(np.bincount(got, minlength=count + 1)[1:] / n) - np.cumsum(p)).max() < 0.04
+    # as customer after customer gives it; the mass of ``seat`` is that of a second table
+    sizes = np.zeros((5000, 20), np.int64)
+    sizes[:, 0] = 20
+    seat(sizes, np.full(5000, 20.0), np.full(5000, 3.0), np.full(5000, 0.1), 0.75, 400, np.random.default_rng(0))
+    drawn = draw_tables(np.full(5000, 20), np.full(5000, 2.9), np.full(5000, 0.1), 0.75, np.random.default_rng(1))
+    assert abs((sizes > 0).sum(1).mean() - drawn.mean()) < 0.5
+
+
+def test_frequent_root_words_get_the_tables_of_the_real_mass():
+    """A word with 3,000 customers, in a root where others have many tables: far more tables than the 25 of 24 draws."""
+    model = Model(0.7, 2, ((6000, 1000),))
+    key = np.array([5, 9], np.uint64)
+    customers = np.array([3000, 3000], np.int64)
+    side = {
+        lm_scoring.WORDS_KIND: lm_scoring.squeeze(key, customers, customers, customers),
+        lm_scoring.TOTAL_KIND: lm_scoring.squeeze(np.zeros(2, np.int64), customers, np.array([500, 500], np.int64)),
+    }
+    tables = lm_scoring.unsqueeze(lm_scoring._resolve_tables(1, model)([], [], side, 0)[-1])[2]
+    weight = stirling_row(3000, 0.6) + np.cumsum(np.log((1 + 0.6 * (500 + np.arange(3000))) / 3))
+    p = np.exp(weight - weight.max())
+    p /= p.sum()
+    mean = (p * np.arange(1, 3001)).sum()
+    assert mean > 50 and np.abs(tables - mean).max() < 6 * math.sqrt((p * (np.arange(1, 3001) - mean) ** 2).sum())

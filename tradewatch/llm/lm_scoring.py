@@ -2,10 +2,11 @@
 
 The root restaurant seats words over a uniform base; every previous word has a context restaurant whose parent is
 the root.  A word of count c after a context is c customers of one dish at t tables; its tables are customers of
-the root.  Seating is sampled by Gibbs: a customer, drawn at random, leaves and sits down again at a table in
-proportion to (table size - discount), or at a new one in proportion to (strength + discount * tables of the
-restaurant) * parent probability.  ``SWEEPS`` sweeps are made, each with ``MOVES`` draws per (context, word); the
-predictive probabilities of the sweeps after the first are averaged.
+the root.  Seating is sampled by Gibbs: a customer sits at a table in proportion to (table size - discount), or at a
+new one in proportion to (strength + discount * tables of the restaurant) * parent probability.  ``SWEEPS`` sweeps are
+made; in each, all customers of every (context, word) and of every root word are seated anew at once, by a draw of
+their number of tables given the rest (``draw_tables``).  The predictive probabilities of the sweeps after the first
+are averaged.
 
     P(w | u) = (c_uw - d t_uw + (a + d T_u) P_root(w)) / (a + c_u)
 
@@ -28,9 +29,11 @@ token has the base probability; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,12 +46,17 @@ from .words import word_hashes
 
 PACK_BYTES = 8 << 20
 SWEEPS = 3
+#: Draws of single customers, for ``seat``.
 MOVES = 8
 STRENGTH = 1.0
 ROOT_STRENGTH = 1.0
 ROOT_DISCOUNT = 0.6
-#: Tables followed per pair in one array; pairs with room for as many are sampled together.
-WIDTHS = (2, 3, 4, 8, 16, 32, 64)
+#: Up to so many customers, the Stirling numbers behind the number of tables are exact; beyond, they are carried on.
+EXACT = 512
+#: Above so many tables of more customers than that, the number of tables is drawn as a normal variable.
+MANY = 128
+#: Weights held at once.
+CELLS = 1 << 20
 
 END, BEGIN = U(0xE1D0E1D0E1D0E1D1), U(0xB0E5B0E5B0E5B0E3)
 KEY_BITS = U(48)
@@ -217,7 +225,10 @@ class Model:
 
 
 def seat(sizes: np.ndarray, count: np.ndarray, mass: np.ndarray, slope: np.ndarray, discount: float, moves: int, rng: np.random.Generator) -> None:
-    """``moves`` Gibbs draws on the table sizes [pair, table]; a new table weighs mass + slope * (tables - first tables)."""
+    """``moves`` Gibbs draws on the table sizes [pair, table]; a new table weighs mass + slope * (tables - first tables).
+
+    Single customers, one after the other: what ``draw_tables`` draws at once is compared with this.
+    """
     n, width = sizes.shape
     every = np.arange(n)
     tables = (sizes > 0).sum(1)
@@ -243,6 +254,93 @@ def seat(sizes: np.ndarray, count: np.ndarray, mass: np.ndarray, slope: np.ndarr
         sizes[every, at] += 1
 
 
+@lru_cache(maxsize=8)
+def stirling(discount: float) -> np.ndarray:
+    """[n, t - 1]: log of the weight of all seatings of n customers at t tables, each of size m weighing (1 - d) ... (m - 1 - d)."""
+    out = np.full((EXACT + 1, EXACT), -np.inf)
+    out[1, 0] = 0.0
+    tables = np.arange(1, EXACT + 1)
+    for n in range(1, EXACT):
+        stay = out[n, :n] + np.log(n - tables[:n] * discount)
+        out[n + 1, :n] = stay
+        out[n + 1, 1 : n + 1] = np.logaddexp(out[n + 1, 1 : n + 1], out[n, :n])
+    return out
+
+
+def _pick(weight: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """1 + the column drawn by the log weights of each row."""
+    total = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
+    return 1 + np.minimum((total <= (draw * total[:, -1])[:, None]).sum(1), weight.shape[1] - 1)
+
+
+def _most(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """Most likely number of tables of many customers and its variance (saddle point of the generating function)."""
+
+    def spread(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tables whose saddle point is x = 1 - exp(-g), and the log of the variance there."""
+        x, f = -np.expm1(-g), -np.expm1(-d * g)
+        mean = x * d * np.exp((1 - d) * g) / f
+        bend = 1 / np.expm1(g) + (1 - d) - d / np.expm1(d * g)
+        return count / mean, np.log(count * np.maximum(bend, 1e-300) * x) + g
+
+    def at(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """t, and the log of the weight of t + 1/2 tables against t - 1/2."""
+        t, _ = spread(g)
+        (t0, v0), (t1, v1) = spread(g * 1.001), spread(g / 1.001)
+        ratio = np.log(-np.expm1(-d * g)) - 0.5 * (v1 - v0) / (t1 - t0)
+        return t, ratio + np.log(mass + slope * np.maximum(t - 0.5, 0.0)) - np.log(d * (t + 0.5))
+
+    lo, hi = np.full(len(count), 1e-6), np.log(count / d) / (1 - d)
+    hi = np.minimum(hi, 600.0)
+    for _ in range(50):
+        g = np.sqrt(lo * hi)
+        less = at(g)[1] < 0
+        lo, hi = np.where(less, g, lo), np.where(less, hi, g)
+    (t0, r0), (t1, r1) = at(g * 1.001), at(g / 1.001)
+    return at(g)[0], (t1 - t0) / np.maximum(r0 - r1, 1e-12)
+
+
+def draw_tables(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of ``count`` customers of one dish, all seated anew; with t tables of its own, a new one weighs mass + slope * t.
+
+    P(t) is proportional to the Stirling number of (count, t) times the masses of the tables.  Above ``EXACT`` customers
+    log S(n, t) = const - (t - 1) log d - log (t - 1)! + log h(n, t), where h depends on (t - 1) / n^d nearly alone
+    and is read from the last exact row; where most likely more than ``MANY`` tables are, t is drawn from a normal
+    distribution at the saddle point.  So the work for a dish does not grow with its customers.
+    """
+    out = np.ones(len(count), np.int64)
+    draw, z = rng.random(len(count)), rng.standard_normal(len(count))
+    mass = np.maximum(mass, 1e-300)
+    exact = stirling(discount)
+    lo = 1
+    while lo < EXACT:
+        width = min(EXACT, 2 if lo == 1 else lo + max(1, lo // 2))
+        mine = np.flatnonzero((count > lo) & (count <= width))
+        for a in range(0, len(mine), CELLS // width):
+            i = mine[a : a + CELLS // width]
+            masses = np.log(mass[i, None] + slope[i, None] * np.arange(width))
+            out[i] = _pick(exact[count[i], :width] + np.cumsum(masses, 1), draw[i])
+        lo = width
+    heavy = np.flatnonzero(count > EXACT)
+    if not len(heavy):
+        return out
+    most, variance = _most(count[heavy].astype(float), mass[heavy], slope[heavy], discount)
+    many = most > MANY
+    i = heavy[many]
+    out[i] = np.clip(np.rint(most[many] + np.sqrt(variance[many]) * z[i]), 1, count[i])
+    others = np.arange(EXACT)
+    factorial = np.concatenate(([0.0], np.cumsum(np.log(others[1:]))))
+    h = exact[EXACT] - exact[EXACT, 0] + others * math.log(discount) + factorial
+    power = lambda n: math.lgamma(n - 2 * discount) - math.lgamma(n - discount)  # noqa: E731  (n^-d)
+    rest = heavy[~many]
+    for a in range(0, len(rest), CELLS // EXACT):
+        i = rest[a : a + CELLS // EXACT]
+        scale = np.exp(np.array([power(n) for n in count[i].tolist()]) - power(EXACT))
+        masses = np.log(mass[i, None] + slope[i, None] * others)
+        out[i] = _pick(np.interp(others * scale[:, None], others, h) - others * math.log(discount) - factorial + np.cumsum(masses, 1), draw[i])
+    return out
+
+
 class Seating:
     """Tables of a bucket's pairs, replayed from the answers so far (start: one table per pair)."""
 
@@ -251,26 +349,13 @@ class Seating:
         self.places, inverse = np.unique(placed(np.concatenate((pairs.context, pairs.word)), buckets), return_inverse=True)
         self.context, self.word = inverse[:n], inverse[n:]
         self.history = [np.ones(n, np.int64)]
-        rounds = len(model.root)
-        # at most one more table per draw: the array that holds all that can come
-        need = np.minimum(pairs.count.astype(np.int64), 1 + rounds * MOVES)
-        edges = [0, *WIDTHS, max(WIDTHS[-1], int(need.max()) if n else 0)]
-        self.groups = []
-        for lo, hi in zip(edges, edges[1:], strict=False):
-            at = np.flatnonzero((need > lo) & (need <= hi))
-            if len(at):
-                sizes = np.zeros((len(at), hi), np.int64)
-                sizes[:, 0] = pairs.count[at]
-                self.groups.append((at, sizes))
-        for r in range(rounds):
+        count = pairs.count.astype(np.int64)
+        for r in range(len(model.root)):
             of_context, customers, tables = _answer(self.places, buckets, answers[r])
             probability = model.root_probability(customers.astype(float), tables.astype(float), r)[self.word]
-            mass = (STRENGTH + model.discount * of_context[self.context]) * probability
-            t = np.empty(n, np.int64)
-            for g, (at, sizes) in enumerate(self.groups):
-                seat(sizes, pairs.count[at].astype(float), mass[at], model.discount * probability[at], model.discount, MOVES, np.random.default_rng([pairs.pack_id, r, g]))
-                t[at] = (sizes > 0).sum(1)
-            self.history.append(t)
+            others = of_context[self.context] - self.history[-1]
+            mass = (STRENGTH + model.discount * others) * probability
+            self.history.append(draw_tables(count, mass, model.discount * probability, model.discount, np.random.default_rng([pairs.pack_id, r])))
 
 
 def _ask_tables(buckets: int, model: Model):
@@ -288,7 +373,7 @@ def _ask_tables(buckets: int, model: Model):
 WORDS_KIND, TOTAL_KIND = 0, 1000
 
 
-def _resolve_tables(number: int):
+def _resolve_tables(number: int, model: Model):
     def resolve(packs: list[int], payloads: list[bytes], side: dict[int, bytes], bucket: int) -> list[bytes]:
         """Per asked word: tables of its context restaurant, its customers and tables in the root; then all words' and their sums."""
         if WORDS_KIND not in side:
@@ -300,22 +385,12 @@ def _resolve_tables(number: int):
             at, _known = lookup(key, k)
             np.add.at(customers, at, d)
             np.add.at(of_context, at, c)
-        tables = np.minimum(customers, 1)
-        at = np.flatnonzero(customers > 1)
-        if len(at):
-            rng = np.random.default_rng([bucket, number, 7])
-            moves = MOVES * (number + 1)
-            for lo, hi in ((1, 2), (2, 4), (4, 8), (8, 1 << 62)):
-                mine = at[(customers[at] > lo) & (customers[at] <= hi)]
-                width = int(min(hi, 1 + moves))
-                for a in range(0, len(mine), 50_000):
-                    part = mine[a : a + 50_000]
-                    sizes = np.zeros((len(part), width), np.int64)
-                    sizes[:, 0] = customers[part]
-                    # the base is uniform, and nearly every word has a table: a new one weighs about the discount
-                    mass = np.full(len(part), ROOT_DISCOUNT)
-                    seat(sizes, customers[part].astype(float), mass, np.zeros(len(part)), ROOT_DISCOUNT, moves, rng)
-                    tables[part] = (sizes > 0).sum(1)
+        # tables of the root without the word's own, in the round before (at first one per word)
+        own = unsqueeze(side[TOTAL_KIND])[2] if TOTAL_KIND in side else np.minimum(customers, 1)
+        others = (model.root[-1][1] if model.root else model.types) - own
+        mass = (ROOT_STRENGTH + ROOT_DISCOUNT * others) / (model.types + 1)
+        slope = np.full(len(key), ROOT_DISCOUNT / (model.types + 1))
+        tables = np.minimum(customers, draw_tables(customers, mass, slope, ROOT_DISCOUNT, np.random.default_rng([bucket, number, 7])))
         out = []
         for k, _, _ in parts:
             at, _known = lookup(key, k)
@@ -425,11 +500,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_
     model = Model(once / (once + 2 * twice) if once and twice else 0.75, types)
     words = state.filter(F.col("pack_id") < n).select(F.col("pack_id").cast("int").alias("bucket"), F.lit(WORDS_KIND).alias("kind"), "payload")
     pairs = Rounds(state.filter(F.col("pack_id") >= n).select("pack_id", "payload"), n, open_pairs)
-    side = words
+    side = before = words
     for r in range(sweeps):
-        answers = pairs.round(_ask_tables(n, model), _resolve_tables(r), words)
+        answers = pairs.round(_ask_tables(n, model), _resolve_tables(r, model), before)
         model = Model(model.discount, types, (*model.root, _totals(answers)))
-        side = side.unionByName(answers.filter("pack_id = -1").select("bucket", F.lit(TOTAL_KIND + r).alias("kind"), "payload"))
+        sums = answers.filter("pack_id = -1").select("bucket", "payload")
+        side = side.unionByName(sums.withColumn("kind", F.lit(TOTAL_KIND + r)))
+        before = words.unionByName(sums.withColumn("kind", F.lit(TOTAL_KIND)))
     # the first round's sums belong to the start, one table per pair; the others to sampled seatings
     samples = tuple(range(1, sweeps))
     replay = Model(model.discount, types, model.root[:-1])
