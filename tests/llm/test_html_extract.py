@@ -66,3 +66,22 @@ def test_against_the_template_of_the_test_pages(spark):
         inner = re.search(r"<article>(.*)</article>", source[r.page_id], re.S)[1]
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n".join(x for x in parts if x)
+
+
+def test_optional_head_end_and_unclosed_spans_lose_no_text():
+    texts = lambda page: [b.text for b in blocks(page)]
+    for page in (
+        "<html><head><title>t</title><meta charset=a><body><article><p>one</p><p>two</p></article>",
+        "<head><title>t</title><link rel=a><article><p>one<p>two</article>",
+        "<head><title>t</title><script>x</script> one <p>two",
+        "<head><title>t</title></head><body><p>one</p><p>two</p></body>",
+    ):
+        assert texts(page) == ["one", "two"], page
+    assert texts("<article><p>one <svg class='a'/> two</p><p>three</p></article>") == ["one two", "three"]
+    for tag in ("object", "iframe", "svg", "noscript", "template"):
+        assert texts(f"<p>one <{tag} data=x> two</p><p>three</p>") == ["one two", "three"]
+        assert texts(f"<p>one <{tag}>no</{tag}> two</p><p>three <{tag}> four</p>") == ["one two", "three four"]
+        assert texts(f"<p>one <{tag}><{tag}>no</{tag}> no</{tag}> two</p><!-- </{tag}> <{tag}> --><p>three</p>") == ["one two", "three"]
+    for raw in ("script", "style", "textarea"):
+        assert texts(f"<p>one</p><{raw}>no <p>no") == ["one"]
+    assert texts("<p>one</p><!-- no <p>no") == ["one"]

@@ -13,7 +13,8 @@ tags, class and id words, link share, length and punctuation, so it also judges
 Extraction covers every page whole, without a shuffle.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and
-joined by one newline in page order; scripts, styles, comments and markup never are text.
+joined by one newline in page order; scripts, styles, comments and markup never are text, nor is the inside of
+closed templates, noscripts, svgs, iframes and objects.  A head ends where something opens that cannot stand in it.
 
 Edge cases: a null or empty page, or one without content, has an empty text; unclosed and stray tags are
 tolerated; repeated rows and null ids are extracted row by row; an empty table gives an empty result and leaves
@@ -58,8 +59,14 @@ HIDDEN_TAGS = frozenset("head title".split())
 _CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "select", "optgroup", "legend", "caption", "html", "body", "head", "title"}
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
+# Tags whose inside is no text if they are closed; tags that may stand in a head.
+SPAN_TAGS = frozenset("template noscript svg iframe object".split())
+HEAD_TAGS = frozenset("html head title base basefont bgsound link meta noframes".split()) | SPAN_TAGS - {"svg", "iframe", "object"}
+
+_RAW = r"<!--.*?(?:-->|\Z)|<(script|style|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+_SPAN = re.compile(_RAW + r"|<(/?)(template|noscript|svg|iframe|object)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|iframe|object|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>",
+    _RAW + r"|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -101,6 +108,22 @@ def _describe(tag: str, seen: dict[str, tuple[str, bool, tuple[str, ...]]]) -> t
     return known
 
 
+def _spans(page: str) -> dict[int, int]:
+    """Start and end of the elements of ``SPAN_TAGS`` that are closed; <svg/> is whole, others without an end tag are left out."""
+    out: dict[int, int] = {}
+    open_at: dict[str, list[int]] = {}
+    for m in _SPAN.finditer(page):
+        if not m[3]:
+            continue
+        starts = open_at.setdefault(m[3].lower(), [])
+        if not m[2]:
+            if not (m[4].endswith("/") and m[3].lower() == "svg"):
+                starts.append(m.start())
+        elif starts:
+            out[starts.pop()] = m.end()
+    return out
+
+
 def blocks(page: str, seen: dict | None = None) -> list[Block]:
     """Blocks of text in page order."""
     seen = {} if seen is None else seen
@@ -127,10 +150,19 @@ def blocks(page: str, seen: dict | None = None) -> list[Block]:
             if stack[i][1] in stops:
                 return
 
+    def leave_head() -> None:
+        """What cannot stand in a head ends it (its end tag may be left out)."""
+        close()
+        pop(("head",), ())
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    spans: dict[int, int] | None = None
+    tokens = _TOKEN.finditer(page)
+    while (m := next(tokens, None)) is not None:
         start = m.start()
         if start > at:
+            if stack and stack[-1][1] == "head" and page[at:start].strip():
+                leave_head()
             parts.append(page[at:start])
             link_chars += (start - at) * (links > 0)
         at = m.end()
@@ -138,6 +170,14 @@ def blocks(page: str, seen: dict | None = None) -> list[Block]:
         if m[1] or tag[1] in "!?":
             continue
         name, is_end, words = _describe(tag, seen)
+        if name in SPAN_TAGS and not is_end:
+            spans = _spans(page) if spans is None else spans
+            if start in spans:
+                at = spans[start]
+                tokens = _TOKEN.finditer(page, at)
+                continue
+        if not is_end and stack and (name == "body" or stack[-1][1] == "head" and name not in HEAD_TAGS):
+            leave_head()
         if name == "a":
             links = 0 if is_end else 1
         elif name == "br":
@@ -156,6 +196,8 @@ def blocks(page: str, seen: dict | None = None) -> list[Block]:
             number += 1
             stack.append((number, name, words))
     if at < len(page):
+        if stack and stack[-1][1] == "head" and page[at:].strip():
+            leave_head()
         parts.append(page[at:])
     close()
     return out
