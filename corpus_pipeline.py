@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes e
 shared folder and reads it back as the next stage's ``docs``.  All stages but the last return the columns of
 ``documents``; the last returns the encoded documents.
 
-Rows with a null doc_id cannot be named by the pair and span results; they pass the quality rules like others and
-leave with the near-duplicate stage.  Rows with equal doc_id: the near-duplicate stage keeps one of them.
+Rows with a null doc_id cannot be named by the span and benchmark results and pass those stages unchanged.  The
+near-duplicate stage goes by the texts, not by the ids, so rows without an id or with equal ids are judged like others.
 """
 
 from __future__ import annotations
@@ -32,11 +32,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the smallest id."""
-    groups = jaccard_join.join(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    leads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_lead")).distinct()
-    kept = docs.join(leads, docs["doc_id"] == leads["_lead"], "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each component of near duplicates: the one with the smallest id (without an id only if none has one).
+
+    Rows are named by a 64-bit hash of their text, so ids may be missing or repeated; of rows that agree in id and text
+    the one with the smallest hash of all columns stays.  Texts without words are near duplicates of nothing.
+    """
+    node = F.xxhash64(F.coalesce("text", F.lit("")))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), F.col("text"), F.col("doc_id").alias("_id"), node.alias("_node"), whole.alias("_whole"))
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0d]"), F.lit(False))
+    worded = rows.filter(words)
+    groups = jaccard_join.join(worded.select("_node", "text"), SHINGLE_WORDS, SIMILARITY_PERCENT, id_col="_node")
+    groups = groups.select(F.col("doc_id").alias("_node"), F.col("component_id").alias("_component")).distinct()
+    firsts = worded.groupBy("_node").agg(F.min("_id").alias("_id")).join(groups, "_node")
+    lead = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_node"))).alias("lead")
+    leads = firsts.groupBy("_component").agg(lead).select(F.col("lead._id").alias("_lead_id"), F.col("lead._node").alias("_lead"))
+    kept = worded.join(leads, (worded["_node"] == leads["_lead"]) & worded["_id"].eqNullSafe(leads["_lead_id"]), "left_semi")
+    kept = kept.groupBy("_node").agg(F.min_by("row", "_whole").alias("row"))
+    return kept.select("row.*").unionByName(rows.filter(~words).select("row.*"))
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

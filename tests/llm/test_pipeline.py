@@ -78,3 +78,14 @@ def test_repeated_text_is_cut_once(spark, cp):
     assert out[1] == f"a start {passage} an end"
     assert "passage30" not in out[2] and out[2].startswith("other words") and out[2].endswith("more words")
     assert 3 not in out
+
+
+def test_rows_without_or_with_equal_ids_stay_if_their_text_is_clean(spark, cp):
+    text = lambda k: " ".join(f"word{k}x{i}" for i in range(40))
+    near = text(2).replace("word2x39", "other")
+    rows = [(None, text(0)), (None, text(1)), (None, text(2)), (5, near), (5, text(3)), (5, text(3)), (5, text(4)), (6, text(4)), (None, text(4)), (7, None), (8, " "), (None, "")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    out = cp.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(None, text(0)), (None, text(1)), (5, near), (5, text(3)), (5, text(4)), (7, None), (8, " "), (None, "")]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in out.collect()])) == sorted(map(str, want))
