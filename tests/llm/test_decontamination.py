@@ -86,3 +86,14 @@ def test_empty_tables(spark, no_docs, docs):
     assert find(docs, none).count() == 0
     assert find(no_docs, some).count() == 0
     assert Benchmark([]).by_size == {}
+
+
+def test_blocks_of_the_benchmark_give_the_pairs_of_one_block(spark):
+    """Items of a common template: the weights, and so the similarities, are those of the whole benchmark."""
+    common = " ".join(f"common{i}" for i in range(20))
+    items = [(k, f"{common} " + " ".join(f"own{k}x{i}" for i in range(25))) for k in range(12)]
+    texts = [t.replace(f"own{k}x{i}", "other") for k, t in items for i in (24, 23, 22, 12)] + [t.replace("common0 ", "other ").replace("common10", "other") for _, t in items]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = [{(r.doc_id, r.item_id): round(r.similarity, 9) for r in find(docs, bench, block_bytes=b).collect()} for b in (1 << 20, 700)]
+    assert got[0] and got[0] == got[1]

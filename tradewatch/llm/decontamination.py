@@ -12,7 +12,9 @@ that size must be at least ``SIMILARITY`` times the weight of the lightest of th
 nothing is lost by it).
 
 The benchmark is the query set.  It is broadcast in blocks of items of at most ``BLOCK_BYTES`` of text each,
-measured first, and every block is run against all documents; documents are not shuffled at all.
+measured first, and every block is run against all documents; documents are not shuffled at all.  Weights are those
+of the whole benchmark: with several blocks, Spark counts the holders of the shingles that several items hold, and
+these counts go to every block.
 
 Words are lower-cased (A-Z) runs of letters and digits, so punctuation and line breaks do not hide a copy.
 
@@ -87,7 +89,8 @@ class HammingIndex:
 class Benchmark:
     """The items of one block, ready to be searched for."""
 
-    def __init__(self, items: list[tuple[int, str | None]], shingle: int = SHINGLE, similarity: float = SIMILARITY):
+    def __init__(self, items: list[tuple[int, str | None]], shingle: int = SHINGLE, similarity: float = SIMILARITY, whole: tuple[int, np.ndarray, np.ndarray] | None = None):
+        """``whole``: of the whole benchmark the items with words, and the shingles (sorted) that several items hold, with their holders."""
         self.shingle, self.similarity = shingle, similarity
         texts = [(t or "").encode() for _, t in items]
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
@@ -101,8 +104,10 @@ class Benchmark:
                 self.items.append(_Item(item_id, f, n))
         every = np.concatenate([x.features for x in self.items]) if self.items else np.zeros(0, np.uint64)
         self.known, holders = np.unique(every, return_counts=True)
-        self.rare = float(np.log(1 + max(1, len(self.items))))
-        self.known_weight = np.log(1 + len(self.items) / holders)
+        count, self.shared, self.holders = whole or (len(self.items), self.known[holders > 1], holders[holders > 1])
+        self.count = max(1, count)
+        self.rare = float(np.log(1 + self.count))
+        self.known_weight = self.weight(self.known)
         for x in self.items:
             x.weights = self.weight(x.features) * x.counts
             x.total = float(x.weights.sum())
@@ -120,10 +125,11 @@ class Benchmark:
         self.maybe[(self.known & U(0xFFFFF)).astype(np.int64)] = True
 
     def weight(self, features: np.ndarray) -> np.ndarray:
-        if not len(self.known):
+        """A shingle that one item or none holds weighs ``rare``."""
+        if not len(self.shared):
             return np.full(len(features), self.rare)
-        at = np.minimum(np.searchsorted(self.known, features), len(self.known) - 1)
-        return np.where(self.known[at] == features, self.known_weight[at], self.rare)
+        at = np.minimum(np.searchsorted(self.shared, features), len(self.shared) - 1)
+        return np.where(self.shared[at] == features, np.log(1 + self.count / self.holders[at]), self.rare)
 
     def hits(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of shingles that occur in some item, and which known shingles they are."""
@@ -182,6 +188,24 @@ class Benchmark:
             yield from best.values()
 
 
+def count_holders(items: DataFrame, shingle: int = SHINGLE) -> tuple[int, np.ndarray, np.ndarray]:
+    """Items with words, the shingles that several items hold (sorted) and how many hold each, of the whole benchmark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [x.features for x in Benchmark([(0, t) for t in batch.column("t").to_pylist()], shingle).items]
+            f = np.concatenate([np.zeros(0, np.uint64), *held]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()), pa.array(np.ones(len(f), np.int64))], names=["f", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([len(held)], pa.int64())], names=["f", "n"])
+
+    rows = items.select("t").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).filter("f is null or n > 1").collect()
+    count = sum(r["n"] for r in rows if r["f"] is None)
+    shared = np.array([r["f"] for r in rows if r["f"] is not None], np.int64).view(np.uint64)
+    holders = np.array([r["n"] for r in rows if r["f"] is not None], np.int64)
+    order = np.argsort(shared)
+    return count, shared[order], holders[order]
+
+
 SCHEMA = "doc_id long, item_id long, first_word long, n_words long, bits_apart int, similarity double"
 
 
@@ -193,13 +217,14 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     size = items.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    whole = spark.sparkContext.broadcast(count_holders(items) if blocks > 1 else None)
     out = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()
         shared = spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark(shared.value)
+            bench = Benchmark(shared.value, whole=whole.value)
             for batch in batches:
                 pack = batch_pack(batch, "id", "text")
                 rows = sorted(bench.search(pack))
