@@ -55,3 +55,8 @@ def docs(spark, texts):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return frame(spark, [])
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.01"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, decontamination, html_extract, jaccard_join, lm_scoring, quality_rules, sharding, suffix_dedup, url_filters
+from . import byte_bpe, chat_format, conversation_repair, decontamination, html_extract, jaccard_join, lm_scoring, quality_rules, sharding, suffix_dedup, url_filters
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard_join": op2_jaccard_join,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extract": op10_html_extract,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
