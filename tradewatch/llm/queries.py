@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, conversation_repair, decontamination, html_extract, jaccard_join, lm_scoring, quality_rules, sharding, suffix_dedup, url_filters
+from . import byte_bpe, chat_format, conversation_repair, decontamination, html_extract, jaccard_join, lm_scoring, prefix_trie, quality_rules, sharding, suffix_dedup, toxicity, url_filters
 from .common import table
 
 
@@ -56,6 +56,15 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.repair(conversation_repair.damage(conversations), conversations)
@@ -72,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extract": op10_html_extract,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
