@@ -1,0 +1,113 @@
+"""Uploads: their names, their own files, and batches that are offered again."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import SAMPLE_FLAGGED, SAMPLE_ORDERS, sample_closes, sample_trades
+from tradewatch.plans import pipeline
+from tradewatch.profiles import LATEST_PAIR
+from tradewatch.sinks import files
+from tradewatch.sources import files as src
+from tradewatch.storage import Storage
+from tradewatch.streaming import arrival
+from tradewatch.streaming.arrival import Upload, run_on_arrival, uploads_of
+
+
+def _name(p):
+    return f"{p}_{uuid.uuid4().hex[:8]}"
+
+
+def _start(spark, tmp_dir, landing, table, **more):
+    return run_on_arrival(spark, landing, sample_closes(spark), table, os.path.join(tmp_dir, "ckpt"), LATEST_PAIR, None, os.path.join(tmp_dir, "res"), **more)
+
+
+def test_uploads_by_name_and_time():
+    root = "file:/a b/landing"
+    found = [
+        (f"{root}/second/x/landing/1.csv", 5), (f"{root}/second/2.csv", 9), (f"{root}/first/landing/1.csv", 7),
+        (f"{root}/one%20file.csv", 9), (f"{root}/landing/1.csv", 1),
+    ]
+    assert uploads_of(found, root + "/") == [
+        Upload("landing", (f"{root}/landing/1.csv",)),
+        Upload("first", (f"{root}/first/landing/1.csv",)),
+        Upload("one%20file.csv", (f"{root}/one%20file.csv",)),
+        Upload("second", (f"{root}/second/2.csv", f"{root}/second/x/landing/1.csv")),
+    ]
+    with pytest.raises(ValueError):
+        uploads_of([("file:/a b/landing2/x.csv", 1)], root)
+
+
+@pytest.mark.parametrize("landing", ["landing", "my landing", "100% [a]{b}", "landing/x/landing"])
+def test_two_uploads_are_two_runs_whatever_the_folder_is_called(spark, tmp_dir, landing):
+    at = os.path.join(tmp_dir, landing)
+    t = sample_trades(spark)
+    files.write_csv(t.withColumn("quantity", F.lit(10).cast("long")), os.path.join(at, "a 1%"))
+    files.write_csv(t, os.path.join(at, "b", os.path.basename(landing)))
+    for folder, newest in (("a 1%", 1_000_000_000), (f"b/{os.path.basename(landing)}", 2_000_000_000)):
+        for f in os.listdir(os.path.join(at, folder)):
+            os.utime(os.path.join(at, folder, f), (newest, newest))
+    table = _name("suspicious_trades")
+    _start(spark, tmp_dir, at, table).awaitTermination()
+    assert sorted(os.listdir(os.path.join(tmp_dir, "res", "hive", "trader_summary"))) == ["run_id=arrival-0-0", "run_id=arrival-0-1"]
+    got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in src.read_results(spark, table).collect()}
+    assert got == SAMPLE_FLAGGED
+
+
+def test_an_upload_reads_its_own_files_only(spark, tmp_dir, monkeypatch):
+    landing = os.path.join(tmp_dir, "landing")
+    t = sample_trades(spark)
+    for name in ("a", "b", "c"):
+        files.write_csv(t.coalesce(1), os.path.join(landing, name))
+    read = {}
+    real = pipeline.run
+
+    def run(spark, trades, closes, out, profile, run_id, *more):
+        read[run_id] = {f.rsplit("/", 2)[1] for f in trades.inputFiles()}
+        return real(spark, trades, closes, out, profile, run_id, *more)
+
+    monkeypatch.setattr(pipeline, "run", run)
+    _start(spark, tmp_dir, landing, _name("t")).awaitTermination()
+    assert sorted(map(sorted, read.values())) == [["a"], ["b"], ["c"]]
+
+
+def test_columns_in_another_order(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(os.path.join(landing, "up"))
+    for i, part in enumerate((SAMPLE_ORDERS[:7], SAMPLE_ORDERS[7:])):
+        with open(os.path.join(landing, "up", f"{i}.csv"), "w") as fh:
+            fh.write("trader_id,stock,quantity,price,timestamp\n" if i else "timestamp,desk,stock,price,trader_id,quantity\n")
+            fh.writelines(f"{a},{b},{c},{d},{e}\n" if i else f"{e},x,{b},{d},{a},{c}\n" for a, b, c, d, e in part)
+    table = _name("suspicious_trades")
+    _start(spark, tmp_dir, landing, table, layout="orders", run_date="2026-03-04").awaitTermination()
+    got = {(r.trader_id, r.stock, r.quantity, r.suspicion_score) for r in src.read_results(spark, table).collect()}
+    assert got == SAMPLE_FLAGGED
+
+
+def test_a_batch_offered_again_runs_only_what_was_not_finished(spark, tmp_dir, monkeypatch):
+    """The second of three uploads fails; when the query starts again, the first one's results are not published again."""
+    landing, ckpt = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "ckpt")
+    t = sample_trades(spark)
+    for n, name in enumerate(("a", "b", "c")):
+        files.write_csv(t.where("stock = 'TCS'") if name == "a" else t, os.path.join(landing, name))
+        for f in os.listdir(os.path.join(landing, name)):
+            os.utime(os.path.join(landing, name, f), (1_000_000_000 + n, 1_000_000_000 + n))
+    real, runs = pipeline.run, []
+
+    def run(spark, trades, closes, out, profile, run_id, *more):
+        runs.append(run_id)
+        if runs == ["arrival-0-0", "arrival-0-1"]:
+            raise RuntimeError("executor lost")
+        return real(spark, trades, closes, out, profile, run_id, *more)
+
+    monkeypatch.setattr(pipeline, "run", run)
+    table = _name("suspicious_trades")
+    with pytest.raises(Exception, match="executor lost"):
+        _start(spark, tmp_dir, landing, table).awaitTermination()
+    assert src.read_results(spark, table).count() == 2
+    _start(spark, tmp_dir, landing, table).awaitTermination()
+    assert runs == ["arrival-0-0", "arrival-0-1", "arrival-0-1", "arrival-0-2"]
+    assert src.read_results(spark, table).count() == 4
+    assert sorted(e.name for e in Storage(spark).entries(f"{ckpt}/{arrival.LEDGER}") if not e.name.startswith(".")) == ["arrival-0-0", "arrival-0-1", "arrival-0-2"]

@@ -14,6 +14,7 @@ from tradewatch.plans import pipeline
 from tradewatch.profiles import LATEST_PAIR, POST_TRADE
 from tradewatch.sinks import files, results
 from tradewatch.sources import files as src
+from tradewatch.storage import literally
 from tradewatch.streaming.arrival import run_on_arrival
 
 
@@ -182,26 +183,47 @@ def test_two_uploads_in_one_trigger_are_scored_apart(spark, tmp_dir):
     assert len(os.listdir(os.path.join(res, "hive", "trader_summary"))) == 2
 
 
-def test_upload_with_other_columns_is_refused(spark, tmp_dir):
+def test_upload_without_a_required_column_is_refused(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
     with open(os.path.join(landing, "o.csv"), "w") as fh:
-        fh.write("stock,trader_id,quantity,price,timestamp\nTCS,T1,5,3.5,10:10\n")
+        fh.write("stock,trader_id,quantity,price\nTCS,T1,5,3.5\n")
     q = run_on_arrival(spark, landing, sample_closes(spark), _name("t"), os.path.join(tmp_dir, "ckpt"), LATEST_PAIR,
                        None, os.path.join(tmp_dir, "res"), layout="orders", run_date="2026-03-04")
-    with pytest.raises(Exception, match="(?i)header"):
+    with pytest.raises(Exception, match="timestamp"):
         q.awaitTermination()
 
 
-def test_files_with_different_headers_are_refused(spark, tmp_dir):
-    folder = os.path.join(tmp_dir, "orders")
+def test_files_are_read_each_by_its_own_header(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "orders [x]{1}")
     os.makedirs(folder)
-    with open(os.path.join(folder, "a.csv"), "w") as fh:
-        fh.write("trader_id,stock,quantity,price,timestamp\nT1,TCS,5,3.5,10:10\n")
-    with open(os.path.join(folder, "b.csv"), "w") as fh:
-        fh.write("stock,trader_id,quantity,price,timestamp\nINFY,T2,5,3.5,10:10\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        src.read_orders_csv(spark, folder).collect()
+    contents = {
+        "a.csv": "trader_id,stock,quantity,price,timestamp\nT1,TCS,5,3.5,10:10\n",
+        "b [1]*?.csv": "stock,trader_id,note,quantity,price,timestamp\nINFY,T2,n,6,4.5,10:11\n",
+        "c.CSV": "\ufeff\"trader_id\",\"timestamp\",price,quantity,stock,price\nT3,10:12,5.5,7,TCS,9\n",
+        "d.csv": "",
+        "e.csv": "trader_id,stock,quantity,price,timestamp\n",
+        "f.txt": "nothing",
+    }
+    for name, text in contents.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    rows = src.read_orders_csv(spark, literally(folder)).collect()
+    assert sorted(tuple(r) for r in rows) == [("T1", "TCS", 5, 3.5, "10:10"), ("T2", "INFY", 6, 4.5, "10:11"), ("T3", "TCS", 7, 5.5, "10:12")]
+    with open(os.path.join(folder, "g.csv"), "w") as fh:
+        fh.write("trader_id,stock,quantity,price\nT1,TCS,5,3.5\n")
+    with pytest.raises(src.MissingColumnsError, match="timestamp"):
+        src.read_orders_csv(spark, literally(folder))
+
+
+def test_unsorted_csv_files_are_rebalanced(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "csv")
+    files.write_csv(spark.range(0, 5000, 1, 64), path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) <= 8
+    files.write_csv(spark.range(0, 5000, 1, 4).orderBy(F.desc("id")), path, ordered=True)
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    values = [int(x) for f in parts for x in open(os.path.join(path, f)).read().split()[1:]]
+    assert values == sorted(values, reverse=True)
 
 
 def test_alert_ids_do_not_depend_on_splits(spark, tmp_dir):

@@ -351,6 +351,8 @@ lookback AS (
 ORACLE["prices_lookback"] = _with(_TRADES, _CLOSES, _LOOKBACK) + """
 SELECT stock, price_date, round(close, 4) AS close FROM lookback"""
 
+ORACLE["price_store_lookback"] = ORACLE["prices_lookback"]
+
 ORACLE["symbols_without_prices"] = _with(_TRADES) + f""",
 s AS (SELECT stock || '/' || trader_id AS stock, trade_date FROM trades)
 SELECT DISTINCT stock FROM s WHERE stock NOT IN (

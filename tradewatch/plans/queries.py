@@ -27,6 +27,7 @@ from tradewatch.session import configure, scratch_path
 from tradewatch.sinks import files, results
 from tradewatch.sources import events as ev
 from tradewatch.sources import files as src
+from tradewatch.sources import price_store
 from tradewatch.streaming.arrival import run_on_arrival
 
 # Query parameters (arguments of the operators, fixed here for repeatability).
@@ -195,6 +196,16 @@ def q_prices_lookback(spark, sf):
     return _r4(prices.prices_lookback(_lookback_closes(t).drop("close_ts"), prices.traded_symbols(t), AS_OF))
 
 
+def q_price_store_lookback(spark, sf):
+    """The look-back window read from the price store; a second load corrects some days of the first."""
+    t = _trades(spark, sf)
+    store, closes = scratch_path(spark, "price_store"), ev.daily_closes(t)
+    wrong = F.pmod(F.xxhash64("stock", "price_date"), F.lit(5)) == 0
+    price_store.load_prices(spark, store, closes.withColumn("close", F.when(wrong, F.col("close") + 1).otherwise(F.col("close"))))
+    price_store.load_prices(spark, store, closes.where(wrong))
+    return _r4(price_store.window(spark, store, prices.traded_symbols(t), AS_OF).drop("close_ts"))
+
+
 def q_symbols_without_prices(spark, sf):
     """Symbols here are (event type, user): many of them have no trade, so no price, in the window."""
     t = _trades(spark, sf).withColumn("stock", F.concat_ws("/", "stock", "trader_id"))
@@ -412,7 +423,7 @@ def _order_text(t: DataFrame) -> DataFrame:
 def q_file_arrival_run(spark, sf):
     """Two uploads in one trigger, in the five-column layout, some rows without a time: each is a full run
     of its own, and the later one's results stay."""
-    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "arrival")
+    landing, out = f"{scratch_path(spark, 'my landing 100%')}/landing", scratch_path(spark, "arrival")
     t = _trades(spark, sf)
     rows = _order_text(t)
     files.write_csv(rows.where("quantity < 5000").drop("trade_id"), f"{landing}/first")
@@ -429,7 +440,8 @@ def q_file_arrival_run(spark, sf):
 
 def q_pipeline_from_csv(spark, sf):
     """The user's path over dirty files: orders with bad and very large quantities, empty fields and bad prices;
-    prices with zero, empty and bad values beside the right one of each day."""
+    prices with zero, empty and bad values beside the right one of each day.  Two kinds of orders files: their columns
+    stand in different orders."""
     orders, history, out = (scratch_path(spark, x) for x in ("orders_csv", "prices_csv", "from_csv"))
     t = _trades(spark, sf)
     v, text = F.pmod(F.col("trade_id"), F.lit(16)), _order_text(t)
@@ -440,11 +452,14 @@ def q_pipeline_from_csv(spark, sf):
         "price": F.when(v == 6, F.lit("abc")).otherwise(F.col("price")),
         "timestamp": F.when(v == 7, F.lit("")).otherwise(F.col("timestamp")),
     }
-    files.write_csv(text.select(*[c.alias(n) for n, c in spoiled.items()]), orders)
+    orders_text = text.select(*[c.alias(n) for n, c in spoiled.items()], F.lit("x").alias("desk"), F.pmod(F.col("trade_id"), F.lit(3)).alias("part"))
+    files.write_csv(orders_text.where("part = 0").drop("part", "desk"), f"{orders}/a")
+    # the same columns in another order, and one more
+    files.write_csv(orders_text.where("part <> 0").select("desk", "price", "stock", "timestamp", "quantity", "trader_id"), f"{orders}/b")
     price = F.col("close").cast("string")
     each = F.explode(F.array(price, F.lit("0"), F.lit(""), F.lit("x"), F.lit("-1")))
     files.write_csv(ev.daily_closes(t).select(F.col("price_date").alias("datetime"), "stock", each.alias("price")), history)
-    pipeline.run_from_csv(spark, orders, history, out, LATEST_PAIR, CSV_AS_OF, RUN_ID, None, DETECTED_AT)
+    pipeline.run_from_csv(spark, f"{orders}/*", history, out, LATEST_PAIR, CSV_AS_OF, RUN_ID, None, DETECTED_AT)
     return spark.read.schema(schemas.ALERTS_EXPORT).option("header", True).csv(f"{out}/suspicious_trades/run_id={RUN_ID}")
 
 
@@ -483,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "price_change_intraday": q_price_change_intraday,
     "price_change_latest_pair": q_price_change_latest_pair,
     "prices_csv_roundtrip": q_prices_csv_roundtrip,
+    "price_store_lookback": q_price_store_lookback,
     "prices_lookback": q_prices_lookback,
     "raw_landing": q_raw_landing,
     "results_clear": q_results_clear,

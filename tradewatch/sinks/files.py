@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.operators.clean import split_tag
+from tradewatch.sinks.versions import Versions
 
 
 def land_raw(lines: DataFrame, path: str) -> str:
@@ -22,25 +24,38 @@ def run_id_from(ts) -> F.Column:
     return F.date_format(ts, "yyyyMMdd_HHmmss")
 
 
+def _run_versions(spark: SparkSession, base: str, run_id: str) -> Versions:
+    return Versions(spark, folder(base, f"run_id={quote(run_id, safe='')}"))
+
+
 def write_run(df: DataFrame, base: str, run_id: str) -> str:
-    """Write ``df`` under ``base/run_id=<id>``, replacing only that run (dynamic overwrite)."""
-    (
-        df.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(base)
-    )
+    """Write ``df`` as the run ``base/run_id=<id>``, replacing only that run.
+
+    The files go to a version folder of their own and become the run when they are complete, so a write that fails
+    leaves an earlier one of the same run as it was, on any storage.
+    """
+    versions = _run_versions(df.sparkSession, base, run_id)
+    name = versions.begin()
+    try:
+        df.write.mode("errorifexists").parquet(versions.path(name))
+    except Exception:
+        versions.discard(name)
+        raise
+    versions.publish(name)
     return base
 
 
 def read_run(spark: SparkSession, base: str, schema, run_id: str) -> DataFrame:
-    """One run's rows; the ``run_id`` filter prunes the other folders."""
-    # StructType.add mutates; build a new schema instead
-    full = T.StructType(list(schema.fields) + [T.StructField("run_id", T.StringType())])
-    if "run_id" in schema.fieldNames():
-        full = schema
-    return spark.read.schema(full).parquet(base).where(F.col("run_id") == run_id)
+    """One run's rows, from its live version (none: no rows)."""
+    fields = [f for f in schema.fields if f.name != "run_id"]
+    live = _run_versions(spark, base, run_id).live_path()
+    rows = spark.read.schema(T.StructType(fields)).parquet(live) if live else spark.createDataFrame([], T.StructType(fields))
+    return rows.withColumn("run_id", F.lit(run_id))
+
+
+def clean_run(spark: SparkSession, base: str, run_id: str, unfinished_hours: float = 24) -> list[str]:
+    """Deletes a run's replaced and abandoned versions."""
+    return _run_versions(spark, base, run_id).clean(unfinished_hours)
 
 
 def write_tagged(tagged: DataFrame, path: str) -> str:
@@ -57,8 +72,14 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.concat_ws("\t", "record_type", "value").alias("value"))
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> str:
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", ordered: bool = False) -> str:
+    """Write CSV files near the session's advisory partition size.
+
+    Rows are rebalanced first (small pieces together, large ones apart); ``ordered`` rows keep their order, and the
+    shuffle that sorted them has coalesced them already.
+    """
+    sized = df if ordered else df.hint("rebalance")
+    sized.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
     return path
 
 

@@ -1,22 +1,27 @@
 """The results table: created if missing, fully replaced each run, clearable.
 
 Rows are written by executors, never collected.  A table kept in the shared
-folder is replaced by *publishing*: each run writes a fresh version folder and
-then points the table at it (``ALTER TABLE ... SET LOCATION``, metadata only),
-so readers see the old or the new result set, never a half-written one, and a
-failed job leaves the previous results in place.  Alert ids are content
+folder is replaced by *publishing*: each run writes a fresh version folder
+(``sinks/versions.py``) and then points the table at the newest published one
+(``ALTER TABLE ... SET LOCATION``, metadata only), so readers see the old or the
+new result set, never a half-written one, a failed job leaves the previous
+results in place, and a run that started earlier but ends later does not
+replace those of a newer run.  Alert ids are content
 hashes of the trade keys, so a retried job rewrites the same ids (no global
 counter).
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
+from tradewatch.sinks.versions import Versions
+
 
 def alert_id(*cols) -> F.Column:
     return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)
@@ -57,32 +62,66 @@ def _is_managed(spark: SparkSession, table: str) -> bool:
     return info is not None and info[0] == "MANAGED"
 
 
-def publish(spark: SparkSession, rows: DataFrame, table: str, location: str) -> str:
-    """Write ``rows`` to a new version folder under ``location``, then switch ``table`` to it."""
-    version = f"{location.rstrip('/')}/v={uuid.uuid4().hex}"
-    rows.write.mode("errorifexists").parquet(version)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    else:
-        create_results_table(spark, table, version)
-    return version
+def point_at_newest(spark: SparkSession, table: str, versions: Versions) -> None:
+    """Let the table show the newest published version.
+
+    The switch is repeated until no newer version has appeared behind it, so of runs that switch at the same time the
+    last one to look leaves the newest in place.
+    """
+    newest = None
+    while newest != versions.newest():
+        newest = versions.newest()
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions.path(newest)}'")
+        else:
+            create_results_table(spark, table, versions.path(newest))
+    spark.catalog.refreshTable(table)
+
+
+def publish(spark: SparkSession, rows: DataFrame, table: str, location: str, ticket: str | None = None) -> str:
+    """Write ``rows`` to a new version folder under ``location``, then switch ``table`` to the newest version.
+
+    ``ticket`` (``Versions.begin``) says when the run started; by default it starts now.
+    """
+    versions = Versions(spark, location)
+    ticket = ticket or versions.begin()
+    try:
+        rows.write.mode("errorifexists").parquet(versions.path(ticket))
+    except Exception:
+        versions.discard(ticket)
+        raise
+    versions.publish(ticket)
+    point_at_newest(spark, table, versions)
+    return versions.path(ticket)
+
+
+def clean_results(spark: SparkSession, location: str, unfinished_hours: float = 24, lease_hours: float = 24) -> list[str]:
+    """Deletes replaced and abandoned versions under ``location`` but those that are being read (``reading_results``)."""
+    return Versions(spark, location).clean(unfinished_hours, lease_hours)
+
+
+@contextmanager
+def reading_results(spark: SparkSession, location: str) -> Iterator[DataFrame]:
+    """The live results as one version, kept from the cleaner while the block runs."""
+    with Versions(spark, location).reading() as path:
+        rows = spark.read.schema(schemas.RESULTS_DDL)
+        yield rows.parquet(path) if path else spark.createDataFrame([], schemas.RESULTS_DDL)
 
 
 def refresh_results(
-    spark: SparkSession, flagged: DataFrame, table: str, detected_at: str | None = None, location: str | None = None
-) -> None:
+    spark: SparkSession, flagged: DataFrame, table: str, detected_at: str | None = None, location: str | None = None, ticket: str | None = None
+) -> str | None:
     """Replace all rows of ``table`` with ``flagged`` (an empty set empties it).
 
-    With ``location`` (shared folder) the new set is published as a version;
-    without, a managed table is overwritten in place.
+    With ``location`` (shared folder) the new set is published as a version,
+    whose folder is returned; without, a managed table is overwritten in place.
     """
     rows = to_results(flagged, detected_at)
     if location and not (spark.catalog.tableExists(table) and _is_managed(spark, table)):
-        publish(spark, rows, table, location)
-        return
+        return publish(spark, rows, table, location, ticket)
     create_results_table(spark, table)
     rows.write.insertInto(table, overwrite=True)
+    return None
 
 
 def clear_results(spark: SparkSession, table: str, location: str | None = None) -> None:

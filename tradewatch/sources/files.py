@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewatch import schemas
 from tradewatch.functions.parsing import strict_double, strict_int, time_on_date, whole
 from tradewatch.operators.clean import clean_typed_prices
+from tradewatch.storage import Storage, literally
 
 SOURCE_FILE = "source_file"
 CSV_GLOB = "*.[cC][sS][vV]"  # only .csv inputs, any case
@@ -40,20 +44,46 @@ def type_orders(raw: DataFrame, truncate_quantity: bool = False) -> DataFrame:
     )
 
 
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The ``.csv`` files of a folder (or a pattern, or one file); their contents are not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(path)
+    return sorted(r["path"] for r in listed.select("path").collect())
+
+
+def read_by_header(spark: SparkSession, paths: list[str], required=schemas.ORDER_COLUMNS, types: T.StructType | None = None) -> DataFrame:
+    """CSV files read each by its own header: the required columns by name, and the file's name.
+
+    Files with the same header are one scan; a file may have its columns in another order and more columns, and one
+    without a required column is refused.  Values are text unless ``types`` gives their types; empty files are skipped.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, Storage(spark).headers(paths), strict=True):
+        if header:
+            require_columns(header, required)
+            layouts.setdefault(header, []).append(path)
+    if not layouts:
+        require_columns((), required)
+    known = {f.name: f.dataType for f in types} if types else {}
+    frames = []
+    for header, files in sorted(layouts.items()):
+        # a repeated name counts where it stands first
+        names = [n if header.index(n) == i else f"{n}#{i}" for i, n in enumerate(header)]
+        schema = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+        rows = spark.read.schema(schema).option("header", True).csv([literally(f) for f in files])
+        frames.append(rows.select(*required, F.col("_metadata.file_name").alias(SOURCE_FILE)))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_orders_csv(spark: SparkSession, path: str, truncate_quantity: bool = False, keep_file: bool = False) -> DataFrame:
     """Orders CSV(s) with a header; only ``.csv`` files; the five columns must exist.
 
     ``keep_file`` adds the file's name (for ``orders_to_trades``).
 
-    The header is read as text (extra columns and any order are allowed, as
-    with a header-driven reader); values are then typed with strict parsing.
-    Every file's header is checked: a file with other columns, or the same in
-    another order, is refused instead of being read into the wrong columns.
+    Every file is read by its own header (extra columns and any order are
+    allowed); values are text and then typed with strict parsing.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).option("pathGlobFilter", CSV_GLOB).csv(path)
-    require_columns(raw.columns)
-    named = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name")) if keep_file else raw
-    return type_orders(named, truncate_quantity)
+    raw = read_by_header(spark, csv_files(spark, path))
+    return type_orders(raw if keep_file else raw.drop(SOURCE_FILE), truncate_quantity)
 
 
 def orders_to_trades(orders: DataFrame, day: Column) -> DataFrame:
