@@ -1,10 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest_llm import frame
 
-from tradewatch.llm.jaccard_join import bands, join
+from tradewatch.llm.jaccard_join import Sets, Sketched, bands, fold, join, sketch
+from tradewatch.llm.packs import Pack
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -55,6 +57,63 @@ def test_large_group_of_near_copies_in_many_packs(spark):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == brute(rows, 3, 90)
 
 
+def test_near_copies_with_long_texts_and_shared_passages(spark):
+    """Many unlike texts around one passage (shared signatures without links), near copies across packs, one long text."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(80)]
+    rows = []
+    for i in range(120):
+        kind = i % 4
+        if kind == 0:
+            w = passage + [word() for _ in range(r.randint(1, 60))]
+        elif kind == 1 and rows:
+            w = r.choice(rows)[1].split(" ")
+            for _ in range(r.randint(0, max(1, len(w) // 12))):
+                w[r.randrange(len(w))] = word()
+        else:
+            w = [word() for _ in range(r.randint(2, 200))]
+        rows.append((i, " ".join(w)))
+    long = [word() for _ in range(30_000)]
+    rows += [(200, " ".join(long)), (201, " ".join(long[:29_500])), (202, " ".join(long[:20_000]))]
+    for size, percent in ((3, 90), (5, 80)):
+        out = join(frame(spark, [t for _, t in rows], [i for i, _ in rows]), size, percent, pack_bytes=8000).collect()
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == brute(rows, size, percent)
+
+
+def test_rows_without_an_id(spark):
+    """Each is a row of the result; it links like others, and never gives its component an id."""
+    same = "one two three four five six"
+    texts = [same, same, "seven eight nine ten", "seven eight nine ten", "alone here now", "", None]
+    ids = [None, 7, None, None, None, None, 9]
+    out = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in join(frame(spark, texts, ids)).collect()), key=str)
+    assert out == sorted([(None, 4, 7), (7, 4, 7), (None, 2, None), (None, 2, None), (None, 1, None), (None, 0, None), (9, 0, 9)], key=str)
+    with pytest.raises(ValueError):
+        join(frame(spark, ["a b c", "a"], [None, 1 << 62])).count()
+
+
+def test_sketches_lose_no_link():
+    r = np.random.default_rng(4)
+    for percent in (80, 90):
+        for n in (1, 5, 60, 64, 65, 127, 128, 129, 700):
+            for _ in range(20):
+                a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+                keep = r.random(len(a)) > r.random() * 0.2
+                b = np.unique(np.concatenate((a[keep], r.integers(0, 1 << 63, r.integers(0, n // 6 + 2)).astype(np.uint64))))
+                differ = len(np.setxor1d(a, b))
+                x, y = sketch(a), sketch(b)
+                while len(x) > len(y):
+                    x = fold(x)
+                while len(y) > len(x):
+                    y = fold(y)
+                assert np.bitwise_count(x ^ y).sum() <= differ
+                sets = Sets(Pack(0, np.array([5]), np.array([0, 0]), np.zeros(0, np.uint8)), 3)
+                sets.features, sets.counts = [b], np.array([len(b)])
+                common = len(np.intersect1d(a, b))
+                if common and 100 * common >= percent * (len(a) + len(b) - common):
+                    assert Sketched(sets, percent).like(len(a), sketch(a)).tolist() == [0]
+
+
 def test_empty_table(spark, no_docs):
     assert join(no_docs).count() == 0
 

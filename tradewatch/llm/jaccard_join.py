@@ -6,19 +6,22 @@ same or in neighbouring bands; a set signs for its own band and the next one.  F
 and k = 2u(1 - t)/(1 + t) the feature domain is cut into k // (s + 1) + 1 groups of 2s + 1 partitions: k differences
 leave some group with at most s, which touch at most s of its partitions, so the two sets agree on the other s + 1.
 Each choice of s + 1 partitions of each group, with the set's features inside it, is one signature:
-sufficiently similar sets share at least one.  s is 1 from a similarity of 0.9 on and 2 below it, where s = 1 would
-leave signatures of so few features that unrelated sets share them.
-
-Checking stays linear in the copies of a group: sets equal within a pack are one set; for every signature one
-holder is sent to the packs of the others (round 1) and checked there exactly against all sets of the pack by an
-inverted index.  After components, only signatures whose holders still lie in different components matter: the
-holders outside the commonest component are sent to the packs of the others (round 2).  Two linked sets share a
-signature, so either they are in one component already or they meet in round 2: no link between components is
-lost, and pairs inside a component need no check.
+sufficiently similar sets share at least one (s = 1 here: three signatures a group).
+
+Checking stays linear in the copies of a group, and no feature set travels before a candidate pair has passed a test
+that loses nothing.  For every signature one holder is announced to the packs of the others (round 1): its size, a
+128-bit name of its set, and a parity sketch, in which every feature flips one of about as many bits as the set has
+features.  Two sketches never differ in more bits than the sets differ in features, so a pair with more differing bits
+than a link allows, or with incompatible sizes, is none; equal names are a link at once.  Of what is left one pair of
+each two names is verified exactly: the one set is sent to the pack of the other, once for all its pairs there.  After
+components, only shared signatures whose holders still lie in different components matter: holders outside the
+commonest component are announced to the packs of the others, each pair of packs in one direction (round 2).  Two
+linked sets share a signature, so either they are in one component already or they meet in round 2: no link between
+components is lost, and pairs inside a component need no check.
 
 Edge cases: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than
-a shingle: the whole sequence is one feature; rows with equal ids are one node; rows with a null id are left out;
-an empty table gives an empty result.
+a shingle: the whole sequence is one feature; rows with equal ids are one node; a row with a null id is a node of its
+own with its result row, and a component has a null id if no row of it has one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,20 +37,27 @@ from pyspark.sql import functions as F
 
 from ..session import materialize_counted
 from .components import components
-from .packs import REPLY_SCHEMA, Pack, Rounds, U, bucket_bounds, group_edges, mix, open_pack, release, to_slots
+from .packs import REPLY_SCHEMA, Pack, Rounds, U, bucket_bounds, group_edges, mix, open_pack, release, squeeze, to_slots, unsqueeze
 from .words import shingles, word_hashes
 
 WORDS = 3
 PERCENT = 90
-#: Larger packs than elsewhere: a holder is sent once to each pack that shares a signature with it.
+#: Larger packs than elsewhere: a holder is announced once to each pack that shares a signature with it.
 PACK_BYTES = 8 << 20
-#: kind SET: a feature set sent to a pack; kind ROWS: the pack's own rows that hold shared signatures; kind FIRST:
-#: those of its own rows that are to be checked against the others.
-SHIP_SCHEMA = "pack_id long, kind int, doc long, features binary"
-SET, ROWS, FIRST = 0, 1, 2
-#: kind LINK: (id, id); kind SIZE: (id, set size); kind HOLDER: (id, pack, row).
-FOUND_SCHEMA = "kind int, a long, b long, c long"
-LINK, SIZE, HOLDER = 0, 1, 2
+#: Partitions of a group that may differ.
+SPARE = 1
+#: kind SKETCH: a set announced to a pack (document, its pack and row, size, name, sketch); kind ROWS: the pack's own
+#: rows that hold shared signatures; kind FIRST: those of its own rows that are to be checked against the others.
+SHIP_SCHEMA = "pack_id long, kind int, doc long, source long, row long, size long, x long, s long, payload binary"
+SKETCH, ROWS, FIRST = 0, 1, 2
+#: kind LINK: (id, id); kind SIZE: (id, set size); kind HOLDER: (id, pack, row); kind PAIR: two sets that may be linked,
+#: each with its document, pack, row and name.
+FOUND_SCHEMA = "kind int, a long, b long, c long, pa long, ra long, xa long, sa long, pb long, rb long, xb long, sb long"
+LINK, SIZE, HOLDER, PAIR = 0, 1, 2, 3
+#: Rows of FOUND_SCHEMA end with these where nothing is to be said.
+NOTHING = (0,) * 8
+#: A whole set sent to a pack (features), or one of the pack's own rows that it is to be checked with (features null).
+CHECK_SCHEMA = "pack_id long, source long, row long, doc long, own long, id long, features binary"
 
 
 def bands(largest: int, percent: int) -> list[int]:
@@ -60,11 +70,6 @@ def bands(largest: int, percent: int) -> list[int]:
     return edges
 
 
-def spare_partitions(percent: int) -> int:
-    """Partitions of a group that may differ: more at lower similarities, where groups hold fewer features."""
-    return 1 if percent >= 90 else 2
-
-
 def some_rows(pack: Pack, rows: np.ndarray) -> Pack:
     """The pack with these documents only."""
     texts = [pack.text(i) for i in rows.tolist()]
@@ -83,6 +88,7 @@ class Sets:
         found: dict[tuple[int, int, int], int] = {}
         self.features: list[np.ndarray] = []
         lead_rows: list[int] = []  # row of the smallest id that has the set
+        names: list[tuple[int, int]] = []
         self.copies: list[tuple[int, int]] = []  # (lead id, id) of documents with equal sets
         for i in np.argsort(pack.ids, kind="stable").tolist():
             v = np.sort(hashes[offsets[i] : offsets[i + 1]])
@@ -95,21 +101,24 @@ class Sets:
                 if at == len(self.features):
                     self.features.append(v)
                     lead_rows.append(i)
+                    names.append(name[1:])
                 elif pack.ids[lead_rows[at]] != pack.ids[i]:
                     self.copies.append((int(pack.ids[lead_rows[at]]), int(pack.ids[i])))
         self.lead = pack.ids[lead_rows] if lead_rows else np.zeros(0, np.int64)
         self.rows = np.array(lead_rows, np.int64) if rows is None else rows[lead_rows] if lead_rows else np.zeros(0, np.int64)
         self.counts = np.array([len(v) for v in self.features], np.int64)
+        self.names = np.array(names, np.uint64).reshape(-1, 2).view(np.int64)
 
     def only(self, rows: np.ndarray) -> Sets:
         """The sets that stand at these rows."""
         out = Sets.__new__(Sets)
         at = np.flatnonzero(np.isin(self.rows, rows)).tolist()
         out.features, out.lead, out.rows, out.counts = [self.features[i] for i in at], self.lead[at], self.rows[at], self.counts[at]
+        out.names = self.names[at]
         return out
 
 
-def signatures(v: np.ndarray, edges: list[int], percent: int, spare: int) -> np.ndarray:
+def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
     """Signatures of a sorted feature set for its own band and the next one."""
     band = int(np.searchsorted(edges, len(v), "right")) - 1
     out = []
@@ -118,32 +127,32 @@ def signatures(v: np.ndarray, edges: list[int], percent: int, spare: int) -> np.
     sums[0] = 0
     np.cumsum(v, out=sums[1:])
     for instance in (band, band + 1):
-        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent), spare)
+        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent))
         at = sums[np.searchsorted(v, limits)]
-        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 2 * spare + 1)
+        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 2 * SPARE + 1)
         if len(tags) == 1:
             out.append(s.sum(1) ^ tags)
         else:
-            out.append(s[:, _subsets(spare)].sum(2).reshape(-1) ^ tags)
+            out.append(s[:, _subsets()].sum(2).reshape(-1) ^ tags)
     return mix(np.concatenate(out))
 
 
-@lru_cache(maxsize=8)
-def _subsets(spare: int) -> np.ndarray:
-    """The choices of spare + 1 partitions out of 2 spare + 1."""
-    return np.array(list(combinations(range(2 * spare + 1), spare + 1)))
+@lru_cache(maxsize=1)
+def _subsets() -> np.ndarray:
+    """The choices of SPARE + 1 partitions out of 2 SPARE + 1."""
+    return np.array(list(combinations(range(2 * SPARE + 1), SPARE + 1)))
 
 
 @lru_cache(maxsize=512)
-def _instance(instance: int, k: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
+def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Where the partitions of a band begin, and a random tag for each of its signatures.
 
     A feature's partition is the range its hash falls in, so partitions are runs of a sorted set.
     """
-    groups = k // (spare + 1) + 1
-    parts = (2 * spare + 1) * groups
+    groups = k // (SPARE + 1) + 1
+    parts = (2 * SPARE + 1) * groups
     limits = np.arange(parts, dtype=np.uint64) * U((1 << 64) // parts)
-    n = len(_subsets(spare)) * groups if k else 1
+    n = len(_subsets()) * groups if k else 1
     return limits, mix((U(instance) << U(34)) + np.arange(n, dtype=np.uint64) + U(0x5851F42D))
 
 
@@ -152,7 +161,7 @@ class Keys:
 
     def __init__(self, sets: Sets, percent: int, buckets: int):
         edges = bands(int(sets.counts.max()) if len(sets.counts) else 1, percent)
-        each = [signatures(v, edges, percent, spare_partitions(percent)) for v in sets.features]
+        each = [signatures(v, edges, percent) for v in sets.features]
         slots = to_slots(np.concatenate(each), buckets) if each else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)
         order = np.argsort(slots, kind="stable")
@@ -162,6 +171,55 @@ class Keys:
         self.keys = self.slots[self.first]
 
 
+def sketch(v: np.ndarray) -> np.ndarray:
+    """Parity sketch of a feature set: as many bits as features, rounded up to a power of two (64 at least)."""
+    bits = max(64, 1 << (len(v) - 1).bit_length())
+    odd = np.bincount((v & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def fold(sketches: np.ndarray) -> np.ndarray:
+    """The sketches of half as many bits (a bit's place modulo half the length)."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+class Sketched:
+    """Sketches of a pack's sets by length, and the sets that may be linked with a given one."""
+
+    def __init__(self, sets: Sets, percent: int):
+        self.sets, self.percent = sets, percent
+        by: dict[int, list[int]] = {}
+        each = [sketch(v) for v in sets.features]
+        for i in np.argsort(sets.counts, kind="stable").tolist():
+            by.setdefault(len(each[i]), []).append(i)
+        #: words of a sketch: (sets by size, their sizes, sketches, sketches folded once)
+        self.by = {}
+        for words, at in by.items():
+            m = np.stack([each[i] for i in at])
+            self.by[words] = (np.array(at), sets.counts[at], m, fold(m) if words > 1 else m)
+
+    def like(self, size: int, words: np.ndarray) -> np.ndarray:
+        """Sets whose size and sketch allow a link with a set of this size and sketch (linked ones are all among them)."""
+        out, n, p = [], len(words), self.percent
+        for mine, theirs, at_fold in ((n, words, 2), (2 * n, words, 3), (n // 2, None, 2)):
+            if mine not in self.by or (mine == 0):
+                continue
+            at, sizes, *tables = self.by[mine]
+            lo, hi = np.searchsorted(sizes, -(-size * p // 100), "left"), np.searchsorted(sizes, size * 100 // p, "right")
+            if lo < hi:
+                other = fold(words) if theirs is None else theirs
+                differ = np.bitwise_count(tables[at_fold - 2][lo:hi] ^ other).sum(1, dtype=np.int64)
+                out.append(at[lo:hi][differ * (100 + p) <= (size + sizes[lo:hi]) * (100 - p)])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def linked(v: np.ndarray, w: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough, exactly."""
+    common = len(np.intersect1d(v, w, assume_unique=True))
+    return 100 * common >= percent * (len(v) + len(w) - common) and common > 0
+
+
 def _orders(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(position, number of targets, targets) of a reply, and how many bytes they take."""
     n, m = np.frombuffer(payload, "<i8", 2)
@@ -182,14 +240,14 @@ def _ask_keys(words: int, percent: int, buckets: int):
     def ask(pack: Pack, _: dict) -> Iterator[tuple[int, bytes]]:
         k = Keys(Sets(pack, words), percent, buckets).keys
         for b, lo, hi in bucket_bounds(k, buckets):
-            yield b, (k[lo:hi] & U(0xFFFFFFFF)).astype("<u4").tobytes()
+            yield b, squeeze(np.diff((k[lo:hi] & U(0xFFFFFFFF)).astype("<u4"), prepend=np.uint32(0)))
 
     return ask
 
 
 def _resolve_keys(packs: list[int], payloads: list[bytes]) -> list[bytes]:
     """Which keys other packs hold too (bits), and for their first pack: to which packs to send a holder."""
-    arrays = [np.frombuffer(x, "<u4") for x in payloads]
+    arrays = [np.cumsum(unsqueeze(x)[0], dtype="<u4") for x in payloads]
     key = np.concatenate(arrays)
     pack = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
     position = np.concatenate([np.arange(len(a)) for a in arrays])
@@ -217,13 +275,21 @@ def _shared(keys: Keys, answers: dict[int, bytes], buckets: int) -> np.ndarray:
     return out
 
 
-def _send(sets: Sets, wanted: set[tuple[int, int]]) -> Iterator[tuple[int, int, int, bytes]]:
+def _announce(pack: Pack, sets: Sets, wanted: set[tuple[int, int]]) -> Iterator[tuple]:
+    made: dict[int, bytes] = {}
     for target, i in sorted(wanted):
-        yield target, SET, int(sets.lead[i]), sets.features[i].tobytes()
+        if i not in made:
+            made[i] = sketch(sets.features[i]).tobytes()
+        x, s = sets.names[i].tolist()
+        yield target, SKETCH, int(sets.lead[i]), pack.pack_id, int(sets.rows[i]), int(sets.counts[i]), x, s, made[i]
+
+
+def _own(pack: Pack, kind: int, rows: np.ndarray) -> tuple:
+    return pack.pack_id, kind, 0, 0, 0, 0, 0, 0, np.sort(rows).tobytes()
 
 
 def _ship_first(words: int, percent: int, buckets: int):
-    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, int, bytes]]:
+    def work(pack: Pack, answers: dict) -> Iterator[tuple]:
         sets = Sets(pack, words)
         keys = Keys(sets, percent, buckets)
         wanted: set[tuple[int, int]] = set()
@@ -231,100 +297,132 @@ def _ship_first(words: int, percent: int, buckets: int):
             position, many, targets, _n = _orders(answers[0][b])
             holder = keys.owner[keys.first[lo + position]]
             wanted.update(zip(targets.tolist(), np.repeat(holder, many).tolist(), strict=True))
-        yield from _send(sets, wanted)
-        # signatures with several holders in this pack: their first one is checked here, no set need travel
+        yield from _announce(pack, sets, wanted)
+        # signatures with several holders in this pack: their first one is checked here
         inner = np.unique(keys.owner[keys.first[(keys.end - keys.first) > 1]])
-        yield pack.pack_id, FIRST, 0, np.sort(sets.rows[inner]).tobytes()
+        yield _own(pack, FIRST, sets.rows[inner])
         shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
-        yield pack.pack_id, ROWS, 0, np.sort(sets.rows[np.unique(keys.owner[shared])]).tobytes()
+        yield _own(pack, ROWS, sets.rows[np.unique(keys.owner[shared])])
 
     return work
 
 
-class Index:
-    """Inverted index of a pack's sets: exact intersection sizes of one set with all of them at once."""
+def _mentioned(right: pd.DataFrame, kind: int) -> np.ndarray:
+    """The pack's own rows of a kind."""
+    rows = [np.frombuffer(x, np.int64) for x in right["payload"][right["kind"] == kind]]
+    return rows[0] if rows else np.zeros(0, np.int64)
 
-    def __init__(self, sets: Sets):
-        flat = np.concatenate(sets.features) if sets.features else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(sets.counts)), sets.counts)
-        order = np.argsort(flat, kind="stable")
-        self.flat, self.owner, self.counts = flat[order], owner[order], sets.counts
 
-    def links(self, v: np.ndarray, percent: int) -> np.ndarray:
-        lo, hi = np.searchsorted(self.flat, v, "left"), np.searchsorted(self.flat, v, "right")
-        n = hi - lo
-        hit = n > 0
-        lo, n = lo[hit], n[hit]
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        common = np.bincount(self.owner[at], minlength=len(self.counts))
-        return np.flatnonzero((common > 0) & (100 * common >= percent * (len(v) + self.counts - common)))
+def _candidates(pack: Pack, sets: Sets, right: pd.DataFrame, inner: Sets | None, percent: int) -> Iterator[tuple]:
+    """Links with sets that were announced here (where they are certain), pairs to be verified, and links inside the pack."""
+    table = Sketched(sets, percent)
+    told = right[right["kind"] == SKETCH].sort_values(["source", "row"])
+    columns = [told[c].tolist() for c in ("doc", "source", "row", "size", "x", "s", "payload")]
+    for doc, source, row, size, x, s, payload in zip(*columns, strict=True):
+        for i in table.like(size, np.frombuffer(payload, np.uint64)).tolist():
+            y, t = sets.names[i].tolist()
+            if (x, s) == (y, t) and size == sets.counts[i]:
+                if sets.lead[i] != doc:
+                    yield LINK, doc, int(sets.lead[i]), 0, *NOTHING
+            elif source != pack.pack_id:
+                yield PAIR, doc, int(sets.lead[i]), 0, source, row, x, s, pack.pack_id, int(sets.rows[i]), y, t
+            elif sets.lead[i] != doc and linked(sets.features[int(np.flatnonzero(sets.rows == row)[0])], sets.features[i], percent):
+                yield LINK, doc, int(sets.lead[i]), 0, *NOTHING
+    for k in range(len(inner.features) if inner is not None else 0):
+        for i in table.like(int(inner.counts[k]), sketch(inner.features[k])).tolist():
+            if sets.lead[i] != inner.lead[k] and linked(inner.features[k], sets.features[i], percent):
+                yield LINK, int(inner.lead[k]), int(sets.lead[i]), 0, *NOTHING
 
 
-def _shipped(right: pd.DataFrame) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
-    """Sets sent to a pack (in order of id, whatever the order of arrival), and its own rows that count."""
-    is_set = right["kind"] == SET
-    sets = sorted(zip(right["doc"][is_set].tolist(), right["features"][is_set], strict=True), key=lambda x: x[0])
-    own = [np.frombuffer(x, np.int64) for x in right["features"][right["kind"] == ROWS]]
-    return [(doc, np.frombuffer(x, np.uint64)) for doc, x in sets], own[0] if own else np.zeros(0, np.int64)
-
-
-def _links(sets: Sets, shipped: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[int, int, int, int]]:
-    index = Index(sets)
-    for doc, v in shipped:
-        for i in index.links(v, percent).tolist():
-            if sets.lead[i] != doc:
-                yield LINK, doc, int(sets.lead[i]), 0
+def _found(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
 
 
 def _check_first(words: int, percent: int):
-    """Verified links of the sets sent to a pack; links of equal sets; sizes of all; the holders of shared signatures."""
+    """Sizes of all sets, links of equal ones, the holders of shared signatures, and candidates of the sets announced to a pack."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[int, int, int, int]] = []
+        rows: list[tuple] = []
         for row in left.itertuples(index=False):
             pack = open_pack(*row[:4])
             sets = Sets(pack, words)
-            shipped, own = _shipped(right)
-            rows.extend((SIZE, i, n, 0) for i, n in zip(pack.ids.tolist(), sets.sizes.tolist(), strict=True))
-            rows.extend((LINK, a, b, 0) for a, b in sets.copies)
-            rows.extend((HOLDER, int(pack.ids[i]), pack.pack_id, i) for i in own.tolist())
-            first = [np.frombuffer(x, np.int64) for x in right["features"][right["kind"] == FIRST]]
-            inner = sets.only(first[0]) if first else None
-            here = list(zip(inner.lead.tolist(), inner.features, strict=True)) if inner else []
-            rows.extend(_links(sets.only(own), shipped + here, percent))
-        return pd.DataFrame(rows, columns=["kind", "a", "b", "c"])
+            own = _mentioned(right, ROWS)
+            rows.extend((SIZE, i, n, 0, *NOTHING) for i, n in zip(pack.ids.tolist(), sets.sizes.tolist(), strict=True))
+            rows.extend((LINK, a, b, 0, *NOTHING) for a, b in sets.copies)
+            rows.extend((HOLDER, int(pack.ids[i]), pack.pack_id, i, *NOTHING) for i in own.tolist())
+            rows.extend(_candidates(pack, sets.only(own), right, sets.only(_mentioned(right, FIRST)), percent))
+        return _found(rows)
 
     return run
 
 
 def _check_rest(words: int, percent: int):
-    """Verified links of the sets sent to a pack."""
+    """Candidates of the sets announced to a pack."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[int, int, int, int]] = []
-        shipped, own = _shipped(right)
-        if shipped:
+        rows: list[tuple] = []
+        if (right["kind"] == SKETCH).any():
             for row in left.itertuples(index=False):
-                rows.extend(_links(Sets(open_pack(*row[:4]), words, own), shipped, percent))
-        return pd.DataFrame(rows, columns=["kind", "a", "b", "c"])
+                pack = open_pack(*row[:4])
+                rows.extend(_candidates(pack, Sets(pack, words, _mentioned(right, ROWS)), right, None, percent))
+        return _found(rows)
 
     return run
 
 
-_PAIR = np.dtype([("key", "<u4"), ("component", "<i8")])
+def _features(pack: Pack, rows: np.ndarray, words: int) -> dict[int, np.ndarray]:
+    """The sorted feature sets of some rows."""
+    hashes, offsets = shingles(*word_hashes(some_rows(pack, rows)), words)
+    return {r: np.unique(hashes[offsets[i] : offsets[i + 1]]) for i, r in enumerate(rows.tolist())}
+
+
+def _send_sets(words: int):
+    """The sets that were asked for (rows of CHECK_SCHEMA)."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(right):
+            for row in left.itertuples(index=False):
+                pack = open_pack(*row[:4])
+                sets = _features(pack, np.unique(right["row"].to_numpy(np.int64)), words)
+                for target, r, doc in sorted(zip(right["target"].tolist(), right["row"].tolist(), right["doc"].tolist(), strict=True)):
+                    rows.append((target, pack.pack_id, r, doc, -1, 0, sets[r].tobytes()))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in CHECK_SCHEMA.split(", ")])
+
+    return run
+
+
+def _verify_sets(words: int, percent: int):
+    """Links (a, b) of the sets that were sent with the pack's own rows."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(right):
+            sent = right["own"] < 0
+            sets = {(p, r): np.frombuffer(f, np.uint64) for p, r, f in zip(right["source"][sent].tolist(), right["row"][sent].tolist(), right["features"][sent], strict=True)}
+            asked = right[~sent]
+            for row in left.itertuples(index=False):
+                mine = _features(open_pack(*row[:4]), np.unique(asked["own"].to_numpy(np.int64)), words)
+                for p, r, doc, own, i in zip(*[asked[c].tolist() for c in ("source", "row", "doc", "own", "id")], strict=True):
+                    if linked(sets[p, r], mine[own], percent):
+                        rows.append((doc, i))
+        return pd.DataFrame(rows, columns=["a", "b"])
+
+    return run
 
 
 class Labelled:
-    """Signatures of the pack's holders with their components: distinct (key, component) in order."""
+    """Shared signatures of the pack's sets with their components: distinct (key, component) in order."""
 
     def __init__(self, pack: Pack, words: int, percent: int, buckets: int, answers: dict):
         known = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in answers.get(1, {}).values()]
         pairs = np.concatenate(known) if known else np.zeros((0, 2), np.int64)
-        self.sets = Sets(pack, words, pairs[:, 0])
+        self.sets = Sets(pack, words)
         keys = Keys(self.sets, percent, buckets)
-        label = pairs[np.searchsorted(pairs[:, 0], self.sets.rows), 1]
-        slots, owner = keys.slots, keys.owner
-        component = label[owner]
+        shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
+        slots, owner = keys.slots[shared], keys.owner[shared]
+        # every set with a shared signature has a label
+        component = pairs[np.searchsorted(pairs[:, 0], self.sets.rows[owner]), 1] if len(owner) else np.zeros(0, np.int64)
         order = np.lexsort((owner, component, slots))
         self.owner = owner[order]
         slots, component = slots[order], component[order]
@@ -336,40 +434,42 @@ class Labelled:
 def _ask_components(words: int, percent: int, buckets: int):
     def ask(pack: Pack, answers: dict) -> Iterator[tuple[int, bytes]]:
         q = Labelled(pack, words, percent, buckets, answers)
-        out = np.empty(len(q.slots), _PAIR)
-        out["key"], out["component"] = q.slots & U(0xFFFFFFFF), q.component
         for b, lo, hi in bucket_bounds(q.slots, buckets):
-            yield b, out[lo:hi].tobytes()
+            yield b, squeeze((q.slots[lo:hi] & U(0xFFFFFFFF)).astype("<u4"), q.component[lo:hi].astype("<i8"))
 
     return ask
 
 
 def _resolve_components(packs: list[int], payloads: list[bytes]) -> list[bytes]:
-    """For keys held in several components: holders outside the commonest one go to all packs with the key."""
-    arrays = [np.frombuffer(x, _PAIR) for x in payloads]
-    every = np.concatenate(arrays)
-    pack = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
-    position = np.concatenate([np.arange(len(a)) for a in arrays])
-    order = np.lexsort((every["component"], every["key"]))
-    key, component, pack, position = every["key"][order], every["component"][order], pack[order], position[order]
+    """For keys held in several components: holders outside the commonest one go to the packs with the key.
+
+    Of two such holders the one in the later pack goes to the other's; holders of the commonest component go nowhere.
+    """
+    arrays = [unsqueeze(x) for x in payloads]
+    key, component = np.concatenate([a[0] for a in arrays]), np.concatenate([a[1] for a in arrays])
+    pack = np.repeat(np.arange(len(arrays)), [len(a[0]) for a in arrays])
+    position = np.concatenate([np.arange(len(a[0])) for a in arrays])
+    order = np.lexsort((component, key))
+    key, component, pack, position = key[order], component[order], pack[order], position[order]
     first = group_edges(key)
     end = np.append(first[1:], len(key))
-    mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
+    mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first) if len(key) else np.zeros(0, bool)
     orders: list[list[tuple[int, np.ndarray]]] = [[] for _ in arrays]
     ids = np.array(packs, np.int64)
     for f, e in zip(first[mixed].tolist(), end[mixed].tolist(), strict=True):
         inner = group_edges(component[f:e])
         sizes = np.diff(np.append(inner, e - f))
         common = component[f + inner[sizes.argmax()]]
-        targets = ids[np.unique(pack[f:e])]
-        for j in range(f, e):
-            if component[j] != common:
-                orders[pack[j]].append((int(position[j]), targets))
+        rest = component[f:e] != common
+        others, at_common = np.unique(pack[f:e][rest]), np.unique(pack[f:e][~rest])
+        for j in (f + np.flatnonzero(rest)).tolist():
+            targets = np.union1d(others[others <= pack[j]], at_common)
+            orders[pack[j]].append((int(position[j]), ids[targets]))
     return [_order_bytes(o) for o in orders]
 
 
 def _ship_rest(words: int, percent: int, buckets: int):
-    def work(pack: Pack, answers: dict) -> Iterator[tuple[int, int, int, bytes]]:
+    def work(pack: Pack, answers: dict) -> Iterator[tuple]:
         q = Labelled(pack, words, percent, buckets, answers)
         wanted: set[tuple[int, int]] = set()
         for b, lo, _ in bucket_bounds(q.slots, buckets):
@@ -380,8 +480,8 @@ def _ship_rest(words: int, percent: int, buckets: int):
                 begin += m
                 for i in set(q.owner[q.first[p] : q.end[p]].tolist()):
                     wanted.update((t, i) for t in to)
-        yield from _send(q.sets, wanted)
-        yield pack.pack_id, ROWS, 0, np.sort(q.sets.rows).tobytes()
+        yield from _announce(pack, q.sets, wanted)
+        yield _own(pack, ROWS, q.sets.rows[np.unique(q.owner)])
 
     return work
 
@@ -392,21 +492,40 @@ def _pack_labels(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable over links) for every document."""
-    rounds = Rounds.over(docs, id_col, text_col, pack_bytes)
+    """doc_id, n_shingles, component_id (smallest id reachable over links) for every row."""
+    if percent < 50:
+        raise ValueError("sketches of linked sets are compared up to twice the size: a similarity of 50 percent at least")
+    rounds = Rounds.over(docs, id_col, text_col, pack_bytes, apart=True)
     n = rounds.buckets
 
-    def checked(ship, check) -> DataFrame:
-        shipped = rounds.per_pack(ship(words, percent, n), SHIP_SCHEMA)
-        meet = rounds.packs.groupBy("pack_id").cogroup(shipped.groupBy("pack_id")).applyInPandas(check(words, percent), FOUND_SCHEMA)
-        found, _ = materialize_counted(meet, "found")
-        del shipped, meet
+    def meet(sent: DataFrame, check, schema: str, name: str) -> DataFrame:
+        both = rounds.packs.groupBy("pack_id").cogroup(sent.groupBy("pack_id")).applyInPandas(check, schema)
+        found, _ = materialize_counted(both, name)
+        del both
         release(rounds.spark)
         return found
 
+    def checked(ship, check) -> DataFrame:
+        return meet(rounds.per_pack(ship(words, percent, n), SHIP_SCHEMA), check(words, percent), FOUND_SCHEMA, "found")
+
+    def verified(found: DataFrame) -> DataFrame:
+        """The links of a round: certain ones, and of the candidates one pair of each two names, checked exactly."""
+        turned = F.struct("xa", "sa") > F.struct("xb", "sb")
+        names = [F.when(turned, F.col(f"{k}{j}")).otherwise(F.col(f"{k}{i}")).alias(f"{k}{m}") for i, j, m in (("a", "b", 1), ("b", "a", 2)) for k in "xs"]
+        one = found.filter(F.col("kind") == PAIR).groupBy(*names).agg(F.min(F.struct("a", "pa", "ra", "b", "pb", "rb")).alias("one"))
+        pairs, _ = materialize_counted(one.select("one.*"), "pairs")
+        asked = pairs.select(F.col("pa").alias("pack_id"), F.col("ra").alias("row"), F.col("pb").alias("target"), F.col("a").alias("doc")).distinct()
+        sets = rounds.packs.groupBy("pack_id").cogroup(asked.groupBy("pack_id")).applyInPandas(_send_sets(words), CHECK_SCHEMA)
+        own = pairs.select(
+            F.col("pb").alias("pack_id"), F.col("pa").alias("source"), F.col("ra").alias("row"), F.col("a").alias("doc"),
+            F.col("rb").alias("own"), F.col("b").alias("id"), F.lit(None).cast("binary").alias("features"),
+        )
+        links = meet(sets.unionByName(own), _verify_sets(words, percent), "a long, b long", "links")
+        return links.unionByName(found.filter(F.col("kind") == LINK).select("a", "b"))
+
     rounds.round(_ask_keys(words, percent, n), _resolve_keys)
     found = checked(_ship_first, _check_first)
-    links = found.filter(F.col("kind") == LINK).select("a", "b")
+    links = verified(found)
     sizes = found.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     holders = found.filter(F.col("kind") == HOLDER).select(F.col("a").alias("doc"), F.col("b").alias("pack_id"), F.col("c").alias("at"))
     stars = components(links)
@@ -414,7 +533,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: st
     known, _ = materialize_counted(labels.groupBy("pack_id").applyInPandas(_pack_labels, REPLY_SCHEMA), "labels")
     rounds.add(known)
     rounds.round(_ask_components(words, percent, n), _resolve_components)
-    more = checked(_ship_rest, _check_rest)
-    whole = components(links.unionByName(more.select("a", "b")))
-    ids = sizes.join(whole, sizes["doc_id"] == whole["node"], "left")
-    return ids.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    more = verified(checked(_ship_rest, _check_rest))
+    whole = components(links.unionByName(more))
+    ids = sizes.join(whole, sizes["doc_id"] == whole["node"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    return ids.select(rounds.known("doc_id").alias("doc_id"), "n_shingles", rounds.known("component_id").alias("component_id"))

@@ -11,7 +11,8 @@ a task gathers its documents into packs of a few MB, written once to the shared
    not shuffled again, because the checkpoint keeps their partitioning.
 
 Packs hold about ``PACK_BYTES``; a longer document is a pack of its own.  The number of buckets follows the
-number of packs, one for every ``BUCKET_BYTES`` of text.  Rows with a null id are left out.
+number of packs, one for every ``BUCKET_BYTES`` of text.  Rows with a null id travel under numbers above all ids
+(``Rounds.known`` gives the null back): one number for all of them, or one for each.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize_counted
@@ -57,8 +58,24 @@ def open_pack(pack_id: int, ids: bytes, lens: bytes, body: bytes) -> Pack:
     return Pack(int(pack_id), np.frombuffer(ids, np.int64), offsets, np.frombuffer(data, np.uint8))
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES) -> DataFrame:
-    """Checkpointed packs of all rows with an id (a null text is an empty one), partitioned by pack_id."""
+def first_free(docs: DataFrame, id_col: str) -> int | None:
+    """The number above all ids if there are rows without one, else nothing."""
+    ids = F.col(id_col).cast("long")
+    last, without = docs.agg(F.max(ids), F.count(F.when(ids.isNull(), 1))).first()
+    if not without:
+        return None
+    if last is not None and last >= 1 << 62:
+        raise ValueError("ids of 2**62 and more leave no numbers for rows without an id")
+    return max(last or 0, 0) + 1
+
+
+def pack_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES, free: int | None = None, apart: bool = False
+) -> DataFrame:
+    """Checkpointed packs of all rows (a null text is an empty one), partitioned by pack_id.
+
+    A row without an id gets the number ``free``, or with ``apart`` one of its own from there on.
+    """
     spark = docs.sparkSession
     prepare(spark)
 
@@ -69,7 +86,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         part, squeeze, made = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=1), 0
         ids: list[int] = []
         texts: list[bytes] = []
-        held = 0
+        held = without = 0
 
         def close() -> pa.RecordBatch:
             row = [[(part << 32) + made], [np.array(ids, np.int64).tobytes()], [np.array([len(t) for t in texts], np.int64).tobytes()], [squeeze.compress(b"".join(texts))]]
@@ -83,13 +100,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     made, held = made + 1, 0
                     ids.clear()
                     texts.clear()
+                if i is None:
+                    i = free + ((part << 32) + without if apart else 0)
+                    without += 1
                 ids.append(i)
                 texts.append(t or b"")
                 held += len(t or b"")
         if texts:
             yield close()
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return place_by(src.mapInArrow(gather, PACK_SCHEMA), "pack_id")
 
 
@@ -136,16 +156,25 @@ def unsqueeze(payload: bytes) -> list[np.ndarray]:
 class Rounds:
     """Packs and the answers they have got so far."""
 
-    def __init__(self, packs: DataFrame, buckets: int, opener: Callable = open_pack):
-        self.packs, self.opener, self.buckets = packs, opener, buckets
+    def __init__(self, packs: DataFrame, buckets: int, opener: Callable = open_pack, free: int | None = None):
+        self.packs, self.opener, self.buckets, self.free = packs, opener, buckets, free
         self.spark = packs.sparkSession
         self.replies = self.spark.createDataFrame([], REPLY_SCHEMA)
         self.done = 0
 
     @classmethod
-    def over(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES) -> Rounds:
-        packs = pack_documents(docs, id_col, text_col, pack_bytes)
-        return cls(packs, max(LEAST_BUCKETS, -(-packs.count() * pack_bytes // BUCKET_BYTES)))
+    def over(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES, apart: bool = False, choose: Callable[[int], int] | None = None) -> Rounds:
+        """Packs of all rows; ``choose`` may take a later number than the first free one for rows without an id."""
+        free = first_free(docs, id_col)
+        if free is not None and choose is not None:
+            free = choose(free)
+        packs = pack_documents(docs, id_col, text_col, pack_bytes, free, apart)
+        return cls(packs, max(LEAST_BUCKETS, -(-packs.count() * pack_bytes // BUCKET_BYTES)), free=free)
+
+    def known(self, name: str) -> Column:
+        """A column of ids in which the numbers of rows without one are null again."""
+        c = F.col(name)
+        return c if self.free is None else F.when(c < self.free, c)
 
     def per_pack(self, work: Callable[[Pack, dict[int, dict[int, bytes]]], Iterable[tuple]], schema: str) -> DataFrame:
         """Rows that ``work`` gives for each pack and its answers ({round: {bucket: payload}})."""
