@@ -3,7 +3,7 @@ from itertools import product
 
 import pytest
 
-from tradewatch.llm.html_extract import blocks, extract, fit, main_text, min_cut, train
+from tradewatch.llm.html_extract import blocks, extract, fit, main_text, min_cut, named
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p>";</script></head><body class="page">
 <header><h2>Site name</h2></header><nav><ul><li><a href="/">Home</a><li><a href="/x">News</a></ul></nav>
@@ -51,9 +51,76 @@ def test_min_cut_against_all_labellings(seed):
     assert cost(min_cut(odds, edges)) <= min(map(cost, product([False, True], repeat=n))) + 1e-9
 
 
-def test_training_separates_named_markup():
-    model = train([])
-    assert model.log_odds(("name:nav", "tag:nav")) < 0 < model.log_odds(("name:article", "tag:article"))
+def test_named_markup_says_what_it_is():
+    says = lambda *path: named(tuple((i, t, tuple(n.split())) for i, (t, n) in enumerate(path)))[0]
+    assert says(("div", "cookie-notice")) == says(("div", "comment-list")) == says(("div", "related-posts")) == says(("nav", "")) == says(("div", "ad_3")) == 0
+    assert says(("div", "post-content")) == says(("div", "x article-body")) == says(("main", "")) == 1
+    assert says(("div", "popup-art")) is says(("div", "columns")) is says(("div", "legal-analysis")) is says(("section", "")) is None
+    assert says(("article", ""), ("div", "popup-art")) == says(("article", ""), ("header", "")) == says(("article", ""), ("header", "entry-header")) == 1
+    assert says(("article", ""), ("section", "comments"), ("article", "comment")) == says(("aside", ""), ("article", "")) == says(("article", ""), ("form", ""), ("div", "content")) == 0
+    assert says(("form", ""), ("article", "")) == 1 and says(("form", ""), ("nav", ""), ("article", "")) == 0
+
+
+#: Unlike pages, each with its answer: the article's blocks.
+TEMPLATES = {
+    "comments inside": (
+        "<article><h1>T</h1><p>First words here.</p><section class='comments'><h3>2 comments</h3><p>I disagree with this.</p><article class='comment'><p>Me too, at great length, and with many words.</p></article></section><p>After them.</p></article>",
+        ["T", "First words here.", "After them."],
+    ),
+    "linked items": (
+        "<nav><ul><li><a href=/>Home</a></li></ul></nav><article><p>See these:</p><ul><li><a href=x>linked item</a></li><li><a href=y>another one</a></li></ul></article>",
+        ["See these:", "linked item", "another one"],
+    ),
+    "look-alike names": (
+        "<article><p>About art.</p><div class='popup-art'>Popup art is folded.</div><div class='legal-analysis'><p>A court ruled.</p></div></article><div class='popup'>Join us!</div>",
+        ["About art.", "Popup art is folded.", "A court ruled."],
+    ),
+    "divisions only": (
+        "<div id=top-nav><a href=/>Home</a> <a href=/b>Blog</a></div><div id='main-content'><h2>Title</h2><div>One paragraph of the text.</div><div>Short.</div></div><div class='site-footer'>(c) me</div>",
+        ["Title", "One paragraph of the text.", "Short."],
+    ),
+    "page in a form": (
+        "<form id=aspnet><nav><a href=/>Home</a></nav><article><p>Text inside of a form.</p></article><div><input name=q><label>Search</label></div></form>",
+        ["Text inside of a form."],
+    ),
+    "headers and footers": (
+        "<header><h2>The Site</h2></header><article><header class='entry-header'><h1>The Title</h1></header><p>Words.</p><footer>Filed under things</footer></article><footer>Imprint</footer>",
+        ["The Title", "Words."],
+    ),
+    "tables": (
+        "<main><p>Prices:</p><table><tr><th>Fruit</th><th>Price</th></tr><tr><td>Apple</td><td>3</td></tr></table></main><table class=widget><tr><td>Weather</td></tr></table>",
+        ["Prices:", "Fruit", "Price", "Apple", "3"],
+    ),
+    "boxes inside": (
+        "<div class='post'><p>Begin.</p><aside class='related-posts'><article><h4>Read this too</h4></article></aside><div class=newsletter><p>Subscribe to our letter!</p><form><button>Go</button></form></div><div class='ad-slot'>Buy.</div><p>End.</p></div>",
+        ["Begin.", "End."],
+    ),
+    "notices and quotes": (
+        "<div role=alert class='cookie-banner'><p>We use cookies on this site.</p></div><div role=main><blockquote>To be.</blockquote><pre>x = 1</pre><figure><figcaption>A picture</figcaption></figure><dl><dt>term<dd>meaning</dl></div><div role=contentinfo>Imprint</div>",
+        ["To be.", "x = 1", "A picture", "term", "meaning"],
+    ),
+    "no names at all": (
+        "<div><a href=/>Home</a> <a href=/n>News</a> <a href=/c>Contact</a></div><div><h1>A day out</h1><p>We went to the sea, and it rained the whole day, but nobody minded that at all.</p>"
+        "<p>In the evening we had soup, which was hot, and a long talk about the weather of the week.</p></div><div><ul><li><a href=/a>Older</a></li><li><a href=/b>Newer</a></li></ul></div>",
+        ["A day out", "We went to the sea, and it rained the whole day, but nobody minded that at all.", "In the evening we had soup, which was hot, and a long talk about the weather of the week."],
+    ),
+    "old page": (
+        "<table><tr><td class=menu><a href=a>One</a><br><a href=b>Two</a></td><td class=content><b>Hello</b><p>Text of an old page.<p>More of it.</td></tr></table>",
+        ["Hello", "Text of an old page.", "More of it."],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_unlike_pages(spark, name):
+    global _MODEL
+    if _MODEL is None:
+        _MODEL = fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    page, want = TEMPLATES[name]
+    assert main_text(f"<!DOCTYPE html><html><head><title>t</title></head><body class='single-post'>{page}</body></html>", _MODEL).split("\n") == want
+
+
+_MODEL = None
 
 
 def test_against_the_template_of_the_test_pages(spark):

@@ -6,11 +6,13 @@ terminals.  Neighbouring blocks, and more strongly blocks under the same parent,
 The minimum cut (found as a maximum flow) is the labelling of least total cost.  Blocks whose own cost outweighs
 all their ties keep their side in every minimum cut, so they are settled first and the flow runs on the rest.
 
-The classifier is trained here, on blocks of a bounded sample of pages (``SAMPLE_PAGES`` with the smallest hash of
-their id; at most ``SAMPLE_KINDS`` distinct feature combinations, counted by Spark).  Its labels are weak ones
-from markup that names its purpose (``BOILERPLATE_NAMES`` / ``CONTENT_NAMES``); what it learns are weights for all
-tags, class and id words, link share, length and punctuation, so it also judges markup without such names.
-Extraction covers every page whole, without a shuffle.
+Markup that names its purpose (``BOILERPLATE_NAMES`` / ``CONTENT_NAMES``, as a tag or as a whole name in class, id or
+role) is taken at its word: of a block's ancestors the innermost named one decides, but what stands in boilerplate
+stays there (a comment may be an ``article``; only a form may hold the whole page).  The classifier judges all other
+markup by tags, other names, link share, length and punctuation.  It is trained here, on blocks of a bounded sample of
+pages (``SAMPLE_PAGES`` with the smallest hash of their id; at most ``SAMPLE_KINDS`` distinct feature combinations,
+counted by Spark), labelled by their named ancestors and seen as if these had no names.  Extraction covers every page
+whole, without a shuffle.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined by one newline in page order; scripts, styles, comments and markup never are text, nor is the inside of
@@ -18,7 +20,7 @@ closed templates, noscripts, svgs, iframes and objects.  A head ends where somet
 
 Edge cases: a null or empty page, or one without content, has an empty text; unclosed and stray tags are
 tolerated; repeated rows and null ids are extracted row by row; an empty table gives an empty result and leaves
-the classifier with the named markup alone.
+the classifier with two general rules.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +48,17 @@ NEAR, SIBLING = 0.3, 0.7
 # Markup names that say what a part of a page is.
 BOILERPLATE_NAMES = frozenset(
     "nav navbar navigation menu header footer aside sidebar form button select option label input ad ads advert advertisement banner promo sponsor sponsored "
-    "cookie cookies notice consent popup modal newsletter subscribe signup login share social related recommended breadcrumb breadcrumbs pagination pager "
-    "comment comments respond reply replies discussion copyright legal widget toolbar".split()
+    "cookie cookies notice notices alert gdpr consent popup modal newsletter subscribe signup login share sharing social related recommended breadcrumb breadcrumbs "
+    "pagination pager comment comments respond reply replies discussion copyright legal widget toolbar complementary contentinfo".split()
 )
 CONTENT_NAMES = frozenset("article main content post entry story".split())
+# Words that say nothing of their own in a compound name (comment-list, article-body, ad-slot).
+PLAIN_WORDS = frozenset(
+    "area articles bar block body box bottom button buttons card col column container content entry group holder icons inner item items left link links list main media outer page panel posts "
+    "region right row section site slot space stories text thread top unit wrap wrapper zone".split()
+)
+#: Log-odds of a block whose markup says what it is.
+NAMED = 6.0
 # Tags that begin a new block of text, tags without an end, tags whose inside is no text.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup "
@@ -77,30 +87,58 @@ _WORD = re.compile(r"[a-z]+")
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[int, str, tuple[str, ...]], ...]  # (element number, tag, name words) from the root
+    path: tuple[tuple[int, str, tuple[str, ...]], ...]  # (element number, tag, names) from the root
     link_chars: int = 0
     parts: list[str] = field(default_factory=list)
 
-    def names(self) -> set[str]:
-        return {t for _, t, _ in self.path} | {w for _, _, ws in self.path for w in ws}
-
     def features(self) -> tuple[str, ...]:
-        out = {f"tag:{t}" for _, t, _ in self.path} | {f"name:{w}" for _, _, ws in self.path for w in ws}
-        parents = [t for _, t, _ in self.path]
+        """What the classifier sees: everything below the element that names the block's purpose."""
+        path = self.path[named(self.path)[1] :]
+        out = {f"tag:{t}" for _, t, _ in path} | {f"name:{w}" for _, _, names in path for w in names}
         share = self.link_chars / max(1, len(self.text))
-        out.add(f"in:{parents[-1] if parents else ''}")
+        out.add(f"in:{path[-1][1] if path else ''}")
         out.add(f"links:{min(3, int(share * 4))}")
         out.add(f"length:{min(4, int(math.log10(max(1, len(self.text))) * 2))}")
         out.add(f"ends:{self.text[-1] in '.!?:;…。'}")
         return tuple(sorted(out))
 
 
+@lru_cache(maxsize=20_000)
+def _says(name: str) -> int | None:
+    """1 for a whole name of content, 0 for one of boilerplate: a listed word, or a compound that such a word ends or
+    that has none but such and plain words."""
+    words = _WORD.findall(name)
+    if words[-1:] == ["header"] and CONTENT_NAMES.intersection(words):
+        return None  # as a header inside an article
+    for known, other, answer in ((BOILERPLATE_NAMES, CONTENT_NAMES, 0), (CONTENT_NAMES, BOILERPLATE_NAMES, 1)):
+        if words and (words[-1] in known or all(w in known or w in PLAIN_WORDS for w in words) and any(w in known and w not in other for w in words)):
+            return answer
+    return None
+
+
+def named(path: tuple[tuple[int, str, tuple[str, ...]], ...]) -> tuple[int | None, int]:
+    """What the markup says of a block (1 content, 0 boilerplate, None nothing), and how many elements lead to the one that says it."""
+    says, at, page_form = None, 0, False
+    for i, (_, tag, names) in enumerate(path):
+        own = [_says(n) for n in names]
+        if tag in BOILERPLATE_NAMES or 0 in own:
+            if says == 1 and tag == "header" and 0 not in own:
+                continue  # the heading of an article, not of the site
+            if says != 0:
+                page_form, says, at = says is None and tag == "form" and 0 not in own, 0, i + 1
+            elif tag != "form" or 0 in own:
+                page_form = False
+        elif (tag in CONTENT_NAMES or 1 in own) and (says is None or page_form):
+            says, at, page_form = 1, i + 1, False
+    return says, at
+
+
 def _describe(tag: str, seen: dict[str, tuple[str, bool, tuple[str, ...]]]) -> tuple[str, bool, tuple[str, ...]]:
-    """(name, is an end tag, words of class, id and role)."""
+    """(name, is an end tag, names in class, id and role)."""
     known = seen.get(tag)
     if known is None:
         name = _NAME.match(tag)[1].lower()
-        words = tuple(dict.fromkeys(w for m in _ATTR.finditer(tag) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower()))) if name in BLOCK_TAGS or name == "span" else ()
+        words = tuple(dict.fromkeys(w for m in _ATTR.finditer(tag) for w in (m[1] or m[2] or m[3] or "").lower().split())) if name in BLOCK_TAGS and name not in ("html", "body") else ()
         known = (name, tag[1] == "/", words)
         if len(seen) > 50_000:
             seen.clear()
@@ -203,16 +241,6 @@ def blocks(page: str, seen: dict | None = None) -> list[Block]:
     return out
 
 
-def weak_label(b: Block) -> int | None:
-    """1 content, 0 boilerplate, None if the markup does not say."""
-    names = b.names()
-    if names & BOILERPLATE_NAMES:
-        return 0
-    if names & CONTENT_NAMES:
-        return 1
-    return None
-
-
 @dataclass
 class Classifier:
     weights: dict[str, float]
@@ -221,13 +249,19 @@ class Classifier:
     def log_odds(self, features: tuple[str, ...]) -> float:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features)
 
+    def judge(self, b: Block) -> float:
+        says = named(b.path)[0]
+        return self.log_odds(b.features()) if says is None else NAMED if says else -NAMED
+
 
 def train(rows: list[tuple[tuple[str, ...], int, int]], steps: int = 300, ridge: float = 1e-4) -> Classifier:
-    """Logistic regression by gradient steps over (features, label, count); named markup is always among the rows."""
-    seeds = [(("name:" + w, "tag:" + w), 0, 1) for w in sorted(BOILERPLATE_NAMES)] + [(("name:" + w, "tag:" + w), 1, 1) for w in sorted(CONTENT_NAMES)]
+    """Logistic regression by gradient steps over (features, label, count).
+
+    A little of what is known without any page goes along: links alone speak for menus, long sentences for content.
+    """
+    known = [(("links:3", "ends:False"), 0, 1), (("links:0", "length:4", "ends:True"), 1, 1)]
     total = sum(n for _, _, n in rows) or 1
-    # each seed counts as one part in 200 of the sample
-    rows = [(f, y, n / total) for f, y, n in rows] + [(f, y, 0.005) for f, y, _ in seeds]
+    rows = [(f, y, n / total) for f, y, n in rows] + [(f, y, 0.05) for f, y, _ in known]
     names = sorted({x for f, _, _ in rows for x in f})
     column = {x: i for i, x in enumerate(names)}
     row_of = np.concatenate([np.full(len(f), i) for i, (f, _, _) in enumerate(rows)])
@@ -298,7 +332,7 @@ def min_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool
 
 def main_text(page: str, model: Classifier, seen: dict | None = None) -> str:
     found = blocks(page or "", seen)
-    odds = [model.log_odds(b.features()) for b in found]
+    odds = [model.judge(b) for b in found]
     edges = []
     last_child: dict[int, int] = {}
     for i, b in enumerate(found):
@@ -312,7 +346,7 @@ def main_text(page: str, model: Classifier, seen: dict | None = None) -> str:
     return "\n".join(b.text for b, keep in zip(found, min_cut(odds, edges), strict=True) if keep)
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Classifier:
+def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES, sample_kinds: int = SAMPLE_KINDS) -> Classifier:
     """Classifier from the weakly labelled blocks of at most ``sample_pages`` pages."""
     prepare(pages.sparkSession)
 
@@ -321,7 +355,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
             kinds, labels = [], []
             for page in batch.column("html").to_pylist():
                 for b in blocks(page or ""):
-                    y = weak_label(b)
+                    y = named(b.path)[0]
                     if y is not None:
                         kinds.append("\n".join(b.features()))
                         labels.append(y)
@@ -330,7 +364,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     chosen = pages.select(F.col(id_col), F.xxhash64(id_col).alias("h")).orderBy("h", id_col).limit(sample_pages).select(F.col(id_col).alias("chosen")).distinct()
     sample = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).join(F.broadcast(chosen), F.col("id") == F.col("chosen")).select("html")
     counted = sample.mapInArrow(rows, "kind string, label int").groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n"))
-    best = counted.orderBy(F.desc("n"), "kind", "label").limit(SAMPLE_KINDS).collect()
+    best = counted.orderBy(F.desc("n"), "kind", "label").limit(sample_kinds).collect()
     return train([(tuple(r["kind"].split("\n")), r["label"], r["n"]) for r in best])
 
 
