@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import byte_bpe, chat_format, conversation_repair, decontamination, html_extract, jaccard_join, lm_scoring, prefix_trie, quality_rules, sharding, suffix_dedup, toxicity, url_filters
 from .common import table
+from .oracle import ORACLE as MORE_ORACLE
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    **MORE_ORACLE,
     "op1_url_filters": r"""
         with u as (
           select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end as rest from pages
