@@ -55,6 +55,20 @@ def test_learns_a_planted_conjunction(spark):
     assert sum(r.ok for r in out) >= 0.99 * len(out)
 
 
+def test_the_fit_measures_the_labelled_rows_only(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    real, read = q.measures, []
+
+    def measures(rows, *more, **named):
+        read.append((rows.inputFiles(), rows.count()))
+        return real(rows, *more, **named)
+
+    monkeypatch.setattr(q, "measures", measures)
+    q.learn(docs, labels, max_labelled=50)
+    assert [n for _, n in read] == [50] and all("labelled-sample" in f for f in read[0][0])
+
+
 def test_held_out_accuracy_on_test_data(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize_counted
 from .common import SPACE
 
 WINDOW_WORDS = 5
@@ -144,7 +145,8 @@ def verdict(rules: list[DecisionRule]) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text") -> list[DecisionRule]:
     """Decision list for ``label_col`` = 0, from at most ``max_labelled`` labelled rows."""
     sample = labels.select(id_col, F.col(label_col).alias("_good")).dropna().orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
-    joined = docs.select(id_col, text_col).join(F.broadcast(sample), id_col)  # bounded by max_labelled
+    # bounded by max_labelled; written, so that only these rows are measured (filters on measures would move below the join)
+    joined, _ = materialize_counted(docs.select(id_col, text_col).join(F.broadcast(sample), id_col), "labelled-sample")
     known = measures(joined, text_col, keep=(id_col, "_good")).filter(~base_failed())
     named = known.select(id_col, "_good", *[c.alias(n) for n, c in features().items()])
     # one Spark job gives the rows to be binned once; both aggregates below read its result
