@@ -71,6 +71,15 @@ def test_odd_rows(spark, cp, docs, no_docs):
     assert cp.STAGES[-1][1](spark, odd, SF).count() == odd.count()
 
 
+def test_rows_without_an_id_are_cut_and_decontaminated(spark, cp):
+    passage = " ".join(f"passage{i}" for i in range(60))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 100").first().text
+    docs = frame(spark, [f"a start {passage} an end", f"other words {passage} more words", f"x {item} y", "clean text of its own", f"z {item}"], [1, None, None, None, 4])
+    cut = [r.text for r in cp.repeated_text(spark, docs, SF).collect() if r.doc_id is None]
+    assert len(cut) == 3 and not any("passage30" in t for t in cut)
+    assert sorted(r.text for r in cp.decontaminate(spark, docs, SF).collect()) == sorted([f"a start {passage} an end", f"other words {passage} more words", "clean text of its own"])
+
+
 def test_repeated_text_is_cut_once(spark, cp):
     passage = " ".join(f"passage{i}" for i in range(60))
     docs = frame(spark, [f"a start {passage} an end", f"other words {passage} more words", passage], [1, 2, 3])

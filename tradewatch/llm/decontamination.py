@@ -20,12 +20,12 @@ Words are lower-cased (A-Z) runs of letters and digits, so punctuation and line
 
 Edge cases: items shorter than a shingle are one feature; items without words match nothing; null or empty
 texts match nothing; repeated items are reported each; repeated documents are reported each; rows with a null
-doc_id are left out of the report; empty tables give an empty report.
+doc_id are reported with it (``clean`` judges row by row); empty tables give an empty report.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -209,32 +209,56 @@ def count_holders(items: DataFrame, shingle: int = SHINGLE) -> tuple[int, np.nda
 SCHEMA = "doc_id long, item_id long, first_word long, n_words long, bits_apart int, similarity double"
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document and benchmark item it contains (best window)."""
-    spark = docs.sparkSession
-    prepare(spark)
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[Callable[[], Benchmark]]:
+    """Openers of the benchmark's blocks, for use inside tasks."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).cast("string").alias("t")).filter("i is not null")
     size = items.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     whole = spark.sparkContext.broadcast(count_holders(items) if blocks > 1 else None)
-    out = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()
         shared = spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part])
+        yield lambda shared=shared: Benchmark(shared.value, whole=whole.value)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per document and benchmark item it contains (best window)."""
+    prepare(docs.sparkSession)
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    out = None
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark(shared.value, whole=whole.value)
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            bench = block()
             for batch in batches:
-                pack = batch_pack(batch, "id", "text")
-                rows = sorted(bench.search(pack))
+                rows = sorted(bench.search(batch_pack(batch, "id", "text")))
                 if rows:
                     cols = list(zip(*rows, strict=True))
+                    ids = batch.column("id").take(pa.array(cols[0], pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(pack.ids[list(cols[0])], pa.int64()), *[pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)]],
+                        [ids, *[pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)]],
                         names=["doc_id", "item_id", "first_word", "n_words", "bits_apart", "similarity"],
                     )
 
         found = src.mapInArrow(run, SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without a passage of the benchmark, row by row (whatever their ids), in one narrow pass per block."""
+    prepare(docs.sparkSession)
+    out, names = docs, docs.columns
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            bench = block()
+            for batch in batches:
+                texts = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(names.index(text_col))], names=["id", "text"])
+                dirty = np.zeros(batch.num_rows, bool)
+                dirty[[row[0] for row in bench.search(batch_pack(texts, "id", "text"))]] = True
+                yield batch.filter(pa.array(~dirty))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
