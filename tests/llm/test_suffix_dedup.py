@@ -54,5 +54,16 @@ def test_spans_and_text_agree(docs, texts):
         assert r.kept_text == "".join(p.decode("utf-8", "ignore") for p in pieces)
 
 
+def test_rows_without_an_id_come_last(spark):
+    a, b, c = "first text " * 8, "second text " * 8, "third " * 12
+    ids, texts = [None, 5, None, None, None, 3], [a, a + b, b, c, c, "x"]
+    rows = dedup(frame(spark, texts, ids)).collect()
+    # ids above all others, equal ones: what documents with ids have goes, what only they have stays
+    want = brute([(5, a + b), (3, "x"), *((100, t) for t in (a, b, c, c))])
+    out = sorted((r.n_bytes, r.n_removed, r.n_spans) for r in rows if r.doc_id is None)
+    assert out == sorted([(len(a), len(a), 1), (len(b), len(b), 1), (len(c), 0, 0), (len(c), 0, 0)])
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows if r.doc_id is not None} == {i: want[i] for i in (5, 3)}
+
+
 def test_empty_table(no_docs):
     assert dedup(no_docs).count() == 0

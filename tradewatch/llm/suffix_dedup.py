@@ -21,7 +21,8 @@ it holds, and a bucket gets a share of all triggers or strings, never one text's
 string identity is a 64-bit hash under a further 32 bits or more of trigger hash.
 
 Edge cases: a null text is an empty text; texts shorter than ``LENGTH`` keep every byte; rows with equal
-ids do not remove one another's text; rows with a null id are left out; an empty table gives an empty
+ids do not remove one another's text; rows with a null id
+come after all others and do not remove one another's text; an empty table gives an empty
 result.  Matches never cross documents.
 """
 
@@ -348,4 +349,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
     rounds.round(_ask_triggers(n), _resolve_triggers)
     rounds.round(_ask_phrases(n), _resolve_phrases)
     rounds.round(_ask_strings(n), _resolve_strings)
-    return rounds.per_pack(_results(n, with_text), TEXT_SCHEMA if with_text else DIGEST_SCHEMA)
+    return rounds.per_pack(_results(n, with_text), TEXT_SCHEMA if with_text else DIGEST_SCHEMA).withColumn("doc_id", rounds.known("doc_id"))
