@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from conftest_llm import frame
 
 from tradewatch.llm import lm_scoring
@@ -80,6 +81,17 @@ def test_seating_follows_the_exact_distribution():
     assert MOVES > 0
 
 
+def test_rows_without_an_id_are_scored_and_teach_nothing(spark):
+    texts = ["one two three", "one two", "one one one three", "two five five"]
+    with_ids = {r.doc_id: r for r in score(frame(spark, texts)).collect()}
+    out = score(frame(spark, [*texts, "one five nine", None, "one five nine"], [0, 1, 2, 3, None, None, None])).collect()
+    assert {r.doc_id: r.score for r in out if r.doc_id is not None} == pytest.approx({i: r.score for i, r in with_ids.items()})
+    none = sorted([r for r in out if r.doc_id is None], key=lambda r: r.n_tokens)
+    assert [r.n_tokens for r in none] == [1, 4, 4] and all(r.held_out for r in none)
+    assert none[1].score == none[2].score < 0 and none[1].n_known == (2 if with_ids[3].held_out else 3)
+    assert {r.train_tokens for r in out} == {with_ids[0].train_tokens}
+
+
 def test_empty_table_and_held_out_only(spark, no_docs):
     assert score(no_docs).count() == 0
     held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)

@@ -23,12 +23,13 @@ their counts are kept under 48 bits of them inside a bucket.  The discount of th
 the pairs seen once and twice.
 
 Edge cases: a null or empty text is one end token; unseen words and contexts get the parent's probability; rows with
-equal ids are scored each (and learnt from each); rows with a null id are left out; without training documents every
+equal ids are scored each (and learnt from each); rows with a null id are held out; without training documents every
 token has the base probability; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -489,7 +490,8 @@ def _score(buckets: int, model: Model, train_tokens: int, train_docs: int, sampl
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_bytes: int = PACK_BYTES, sweeps: int = SWEEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
-    texts = Rounds.over(docs, id_col, text_col, pack_bytes)
+    # rows without an id travel under a number that is held out
+    texts = Rounds.over(docs, id_col, text_col, pack_bytes, choose=lambda free: next(i for i in itertools.count(free) if not is_training(i)))
     n = texts.buckets
     texts.round(_ask_pairs(n), _resolve_pairs)
     # one checkpoint holds the words' counts and the buckets of pairs, dealt for the sweeps
@@ -513,4 +515,4 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pack_
     seated, _ = materialize_counted(pairs.per_pack(_send_seating(n, replay), "bucket int, kind int, payload binary"), "lm-seating")
     release(texts.spark)
     texts.round(_ask_model(n), _resolve_model(n, samples), side.unionByName(seated))
-    return texts.per_pack(_score(n, model, train_tokens, train_docs, samples), SCORE_SCHEMA)
+    return texts.per_pack(_score(n, model, train_tokens, train_docs, samples), SCORE_SCHEMA).withColumn("doc_id", texts.known("doc_id"))
