@@ -4,8 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes e
 shared folder and reads it back as the next stage's ``docs``.  All stages but the last return the columns of
 ``documents``; the last returns the encoded documents.
 
-Rows with a null doc_id cannot be named by the span and benchmark results and pass those stages unchanged.  The
-near-duplicate stage goes by the texts, not by the ids, so rows without an id or with equal ids are judged like others.
+All stages judge row by row or by the texts, so rows without an id or with equal ids are judged like others.
 """
 
 from __future__ import annotations
@@ -47,8 +46,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     firsts = worded.groupBy("_node").agg(F.min("_id").alias("_id")).join(groups, "_node")
     lead = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_node"))).alias("lead")
     leads = firsts.groupBy("_component").agg(lead).select(F.col("lead._id").alias("_lead_id"), F.col("lead._node").alias("_lead"))
-    kept = worded.join(leads, (worded["_node"] == leads["_lead"]) & worded["_id"].eqNullSafe(leads["_lead_id"]), "left_semi")
-    kept = kept.groupBy("_node").agg(F.min_by("row", "_whole").alias("row"))
+    chosen = worded.select("_node", "_id", "_whole").join(leads, (F.col("_node") == leads["_lead"]) & F.col("_id").eqNullSafe(leads["_lead_id"]), "left_semi")
+    chosen = chosen.groupBy("_node").agg(F.min("_whole").alias("_whole")).select("_whole")
+    # whole rows are shuffled once: join and deduplication are on the same key
+    kept = worded.select("row", "_whole").join(chosen, "_whole", "left_semi").groupBy("_whole").agg(F.first("row").alias("row"))
     return kept.select("row.*").unionByName(rows.filter(~words).select("row.*"))
 
 
@@ -64,7 +65,7 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         .dropDuplicates(["_id", "_sha"])
     )
     rows = docs.withColumn("_text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    joined = rows.join(cut, (rows["doc_id"] == cut["_id"]) & (rows["_text_sha"] == cut["_sha"]), "left").filter("_id is null or length(_kept) > 0")
+    joined = rows.join(cut, rows["doc_id"].eqNullSafe(cut["_id"]) & (rows["_text_sha"] == cut["_sha"]), "left").filter("_id is null or length(_kept) > 0")
     new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.coalesce(F.length("_kept").cast(docs.schema["n_chars"].dataType), "n_chars")
@@ -73,8 +74,7 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = decontamination.find(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_found"], "left_anti")
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
