@@ -239,7 +239,7 @@ def plan(turns: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     if ids is not None:
         marks = ids.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
         small = small.unionByName(marks.withColumn("real", F.lit(False)), allowMissingColumns=True)
-    ordered = _by_conversation(small, "real", "turn", "role", "digest").select("conv_id", "real", "turn", "initial", "blank", "again", "broken")
+    ordered = _by_conversation(small, "real", "turn", "role", "digest", "again").select("conv_id", "real", "turn", "initial", "blank", "again", "broken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in PLAN_SCHEMA.split(", ")]

@@ -127,11 +127,12 @@ OP13 = rf"""
       select conv_id, turn, case when kind = 4 then 'user' else role end as role,
         case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
       from (select * from kinds where kind <> 0 union all select * from kinds where kind = 3)
+    ), seen as (
+      select *, row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as again from damaged
     ), marked as (
-      select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
-        row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as again,
+      select *, row_number() over (partition by conv_id order by turn nulls first, role, text, again) as i,
         not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as broken
-      from damaged
+      from seen
     ), turns as (
       select *, left(role, 1) as initial, blank or again as faulty, broken and not blank and not again as truncated,
         lag(left(role, 1)) over (partition by conv_id order by i) as before

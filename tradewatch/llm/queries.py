@@ -58,7 +58,8 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))))
+    turns = prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns)).drop("node")
 
 
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
