@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from conftest_llm import frame
 
-from tradewatch.llm.jaccard_join import Sets, Sketched, bands, fold, join, sketch
+from tradewatch.llm.jaccard_join import Sets, Sketched, bands, fold, join, signatures, sketch
 from tradewatch.llm.packs import Pack
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -92,6 +92,24 @@ def test_rows_without_an_id(spark):
         join(frame(spark, ["a b c", "a"], [None, 1 << 62])).count()
 
 
+def test_linked_sets_share_a_signature():
+    """Also at the limit, and where many partitions are empty."""
+    r = np.random.default_rng(2)
+    for percent in (80, 90):
+        edges = bands(3000, percent)
+        for n in (1, 2, 5, 9, 10, 11, 19, 30, 64, 150, 700):
+            for _ in range(60):
+                a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64) << np.uint64(1))
+                if r.random() < 0.3:  # hashes in a part of the domain only
+                    a >>= np.uint64(r.integers(1, 4))
+                most = int(len(a) * (100 - percent) / percent)
+                drop = int(r.integers(0, most + 1))
+                b = np.unique(np.concatenate((r.permutation(a)[drop:], r.integers(0, 1 << 63, r.integers(0, most - drop + 1)).astype(np.uint64))))
+                common = len(np.intersect1d(a, b))
+                if common and 100 * common >= percent * (len(a) + len(b) - common):
+                    assert len(np.intersect1d(signatures(a, edges, percent), signatures(b, edges, percent)))
+
+
 def test_sketches_lose_no_link():
     r = np.random.default_rng(4)
     for percent in (80, 90):

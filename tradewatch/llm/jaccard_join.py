@@ -8,6 +8,11 @@ leave some group with at most s, which touch at most s of its partitions, so the
 Each choice of s + 1 partitions of each group, with the set's features inside it, is one signature:
 sufficiently similar sets share at least one (s = 1 here: three signatures a group).
 
+Signatures without any feature say nothing, but unlike sets share them.  So there are some groups more than that, e =
+max(2, an eighth): sufficiently similar sets then agree so in e + 1 groups, and a set in which at most e groups have a
+signature without features leaves all such signatures out; one of its e + 1 groups still has a shared one.  The other
+sets (few and small ones) keep all theirs.
+
 Checking stays linear in the copies of a group, and no feature set travels before a candidate pair has passed a test
 that loses nothing.  For every signature one holder is announced to the packs of the others (round 1): its size, a
 128-bit name of its set, and a parity sketch, in which every feature flips one of about as many bits as the set has
@@ -127,13 +132,15 @@ def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
     sums[0] = 0
     np.cumsum(v, out=sums[1:])
     for instance in (band, band + 1):
-        limits, tags = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent))
-        at = sums[np.searchsorted(v, limits)]
-        s = (np.append(at[1:], sums[-1]) - at).reshape(-1, 2 * SPARE + 1)
+        limits, tags, more = _instance(instance, 2 * (edges[instance + 1] - 1) * (100 - percent) // (100 + percent))
+        at = np.searchsorted(v, limits)
+        s = np.diff(sums[np.append(at, len(v))]).reshape(-1, 2 * SPARE + 1)
         if len(tags) == 1:
             out.append(s.sum(1) ^ tags)
-        else:
-            out.append(s[:, _subsets()].sum(2).reshape(-1) ^ tags)
+            continue
+        signs = s[:, _subsets()].sum(2).reshape(-1) ^ tags
+        empty = np.diff(np.append(at, len(v))).reshape(-1, 2 * SPARE + 1)[:, _subsets()].sum(2) == 0
+        out.append(signs[~empty.reshape(-1)] if empty.any(1).sum() <= more else signs)
     return mix(np.concatenate(out))
 
 
@@ -144,16 +151,17 @@ def _subsets() -> np.ndarray:
 
 
 @lru_cache(maxsize=512)
-def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the partitions of a band begin, and a random tag for each of its signatures.
+def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Where the partitions of a band begin, a random tag for each of its signatures, and how many groups are to spare.
 
     A feature's partition is the range its hash falls in, so partitions are runs of a sorted set.
     """
     groups = k // (SPARE + 1) + 1
-    parts = (2 * SPARE + 1) * groups
+    more = max(2, groups // 8) if k else 0
+    parts = (2 * SPARE + 1) * (groups + more)
     limits = np.arange(parts, dtype=np.uint64) * U((1 << 64) // parts)
-    n = len(_subsets()) * groups if k else 1
-    return limits, mix((U(instance) << U(34)) + np.arange(n, dtype=np.uint64) + U(0x5851F42D))
+    n = len(_subsets()) * (groups + more) if k else 1
+    return limits, mix((U(instance) << U(34)) + np.arange(n, dtype=np.uint64) + U(0x5851F42D)), more
 
 
 class Keys:
