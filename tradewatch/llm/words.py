@@ -16,16 +16,19 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PUNCT = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = np.ones(0, np.uint64)
+#: Base of the words' polynomial hash, and its inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        p = np.full(2 * n, 0x9E3779B97F4A7C15, np.uint64)
+def powers(base: int, n: int) -> np.ndarray:
+    """The first powers of a number modulo 2 ** 64 (``n`` at least)."""
+    if len(_powers.get(base, ())) < n:
+        p = np.full(2 * n, base, np.uint64)
         p[0] = 1
-        _powers = np.cumprod(p)
-    return _powers
+        _powers[base] = np.cumprod(p)
+    return _powers[base]
 
 
 def batch_pack(batch: pa.RecordBatch, id_col: str, text_col: str) -> Pack:
@@ -55,17 +58,17 @@ def word_hashes(pack: Pack, lower: bool = True, letters_only: bool = False) -> t
             b += int(step.argmax()) if step.any() else len(step)
         part = data[a:b]
         word = ~cut[part]
-        first = word & (np.concatenate(([True], ~word[:-1])) | begins[a:b])
-        starts = np.flatnonzero(first)
+        first = word.copy()
+        first[1:] &= ~word[:-1] | begins[a + 1 : b]
+        last = word.copy()
+        last[:-1] &= ~word[1:] | first[1:]
+        starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         if len(starts):
-            at = np.flatnonzero(word)
-            which = np.cumsum(first)[at] - 1
-            inside = at - starts[which]
-            # bytes of one word are neighbours in ``at``
-            edge = np.searchsorted(at, starts)
-            p = powers(int(inside.max()) + 1)
-            values = ((_LOWER[part] if lower else part)[at].astype(np.uint64) + U(1)) * p[inside]
-            hashes.append(mix(np.add.reduceat(values, edge)))
+            # running sums of byte * base ** place; a word is a difference of two, moved back to place 0
+            sums = np.empty(len(part) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(((_LOWER[part] if lower else part).astype(np.uint64) + U(1)) * powers(_BASE, len(part))[: len(part)], out=sums[1:])
+            hashes.append(mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(part))[starts]))
             places.append(starts + a)
         a = b
     if not hashes:
