@@ -188,6 +188,15 @@ def test_drawn_tables_follow_the_exact_distribution():
     assert abs((sizes > 0).sum(1).mean() - drawn.mean()) < 0.5
 
 
+@pytest.mark.parametrize("count", [100_000, 10_000_000])
+def test_tables_of_very_many_customers_have_the_exact_mean(count):
+    """With mass = strength and slope = discount, the mean number of tables has a closed form."""
+    for d, mass, within in ((0.6, 5.0, 0.02), (0.75, 5.0, 0.02), (0.9, 5.0, 0.02), (0.75, 500.0, 0.002), (0.75, 0.5, 0.08)):
+        mean = math.exp(math.lgamma(mass + count + d) + math.lgamma(mass + 1) - math.lgamma(mass + count) - math.lgamma(mass + d)) / d - mass / d
+        drawn = draw_tables(np.full(4000, count), np.full(4000, mass), np.full(4000, d), d, np.random.default_rng(1))
+        assert abs(drawn.mean() / mean - 1) < within
+
+
 def test_frequent_root_words_get_the_tables_of_the_real_mass():
     """A word with 3,000 customers, in a root where others have many tables: far more tables than the 25 of 24 draws."""
     model = Model(0.7, 2, ((6000, 1000),))

@@ -54,7 +54,7 @@ ROOT_STRENGTH = 1.0
 ROOT_DISCOUNT = 0.6
 #: Up to so many customers, the Stirling numbers behind the number of tables are exact; beyond, they are carried on.
 EXACT = 512
-#: Above so many tables of more customers than that, the number of tables is drawn as a normal variable.
+#: Above so many tables of more customers than that, the number of tables is drawn from the saddle point's density.
 MANY = 128
 #: Weights held at once.
 CELLS = 1 << 20
@@ -87,6 +87,18 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == wanted
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, the place of one of each, and where every value stands among them (by hashing: most repeat)."""
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    inverse = rank[codes]
+    place = np.empty(len(found), np.int64)
+    place[inverse] = np.arange(len(values))
+    return found[order], place, inverse
+
+
 class Tokens:
     """Tokens of a pack, its distinct words (with the begin mark) and distinct pairs."""
 
@@ -105,14 +117,14 @@ class Tokens:
         self.held_out = np.array([not is_training(i) for i in pack.ids.tolist()], bool)
         self.train = ~self.held_out[self.doc]
         # words: all tokens, and the begin mark
-        self.words, first, inverse = np.unique(placed(np.append(self.token, BEGIN), buckets), return_index=True, return_inverse=True)
+        self.words, first, inverse = distinct(placed(np.append(self.token, BEGIN), buckets))
         self.word_hash = np.append(self.token, BEGIN)[first]
         self.word = inverse[:-1]
         begin = inverse[-1]
         self.context = np.concatenate(([begin], self.word[:-1]))
         self.context[self.edges[:-1]] = begin
         self.begin = int(begin)
-        self.pairs, self.pair_at, self.pair = np.unique(placed(mix(mix(before) + self.token), buckets), return_index=True, return_inverse=True)
+        self.pairs, self.pair_at, self.pair = distinct(placed(mix(mix(before) + self.token), buckets))
         self.pair_train = np.bincount(self.pair, weights=self.train, minlength=len(self.pairs)).astype(np.uint32)
 
 
@@ -268,29 +280,38 @@ def stirling(discount: float) -> np.ndarray:
     return out
 
 
+#: Places of the grid on which many tables are drawn, and how many standard deviations it reaches from the mode.
+GRID, GRID_WIDTH = 129, 12.0
+
+
 def _pick(weight: np.ndarray, draw: np.ndarray) -> np.ndarray:
     """1 + the column drawn by the log weights of each row."""
     total = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
     return 1 + np.minimum((total <= (draw * total[:, -1])[:, None]).sum(1), weight.shape[1] - 1)
 
 
-def _most(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
-    """Most likely number of tables of many customers and its variance (saddle point of the generating function)."""
+def _saddle(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float):
+    """For many customers, as functions of the saddle point x = 1 - exp(-g) of the generating function: the tables that
+    belong to g, and the log of the weight of one table more against one less (between t - 1/2 and t + 1/2)."""
 
     def spread(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tables whose saddle point is x = 1 - exp(-g), and the log of the variance there."""
         x, f = -np.expm1(-g), -np.expm1(-d * g)
         mean = x * d * np.exp((1 - d) * g) / f
         bend = 1 / np.expm1(g) + (1 - d) - d / np.expm1(d * g)
         return count / mean, np.log(count * np.maximum(bend, 1e-300) * x) + g
 
     def at(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """t, and the log of the weight of t + 1/2 tables against t - 1/2."""
         t, _ = spread(g)
         (t0, v0), (t1, v1) = spread(g * 1.001), spread(g / 1.001)
         ratio = np.log(-np.expm1(-d * g)) - 0.5 * (v1 - v0) / (t1 - t0)
         return t, ratio + np.log(mass + slope * np.maximum(t - 0.5, 0.0)) - np.log(d * (t + 0.5))
 
+    return at
+
+
+def _most(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Most likely number of tables of many customers, the variance there, and its saddle point."""
+    at = _saddle(count, mass, slope, d)
     lo, hi = np.full(len(count), 1e-6), np.log(count / d) / (1 - d)
     hi = np.minimum(hi, 600.0)
     for _ in range(50):
@@ -298,7 +319,25 @@ def _most(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float) -> t
         less = at(g)[1] < 0
         lo, hi = np.where(less, g, lo), np.where(less, hi, g)
     (t0, r0), (t1, r1) = at(g * 1.001), at(g / 1.001)
-    return at(g)[0], (t1 - t0) / np.maximum(r0 - r1, 1e-12)
+    return at(g)[0], (t1 - t0) / np.maximum(r0 - r1, 1e-12), g
+
+
+def _draw_many(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, d: float, most: np.ndarray, variance: np.ndarray, g: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """Tables drawn from the saddle point's density: its log is the running sum of the log ratios over a grid around the mode."""
+    at = _saddle(count[:, None], mass[:, None], slope[:, None], d)
+    per_step = np.abs(at((g * 1.001)[:, None])[0][:, 0] - most) / math.log(1.001)  # tables per unit of log g
+    wide = np.minimum(GRID_WIDTH * np.sqrt(variance) / np.maximum(per_step, 1e-9), 5.0)
+    steps = np.linspace(1.0, -1.0, GRID)  # falling g: rising t
+    t, ratio = at(np.maximum(g[:, None] * np.exp(wide[:, None] * steps), 1e-9))
+    gap = np.diff(t, axis=1)
+    log = np.concatenate((np.zeros((len(g), 1)), np.cumsum(0.5 * (ratio[:, 1:] + ratio[:, :-1]) * gap, 1)), 1)
+    density = np.exp(log - log.max(1, keepdims=True))
+    total = np.concatenate((np.zeros((len(g), 1)), np.cumsum(0.5 * (density[:, 1:] + density[:, :-1]) * gap, 1)), 1)
+    wanted = draw * total[:, -1]
+    k = np.clip((total <= wanted[:, None]).sum(1) - 1, 0, GRID - 2)
+    row = np.arange(len(g))
+    inside = (wanted - total[row, k]) / np.maximum(total[row, k + 1] - total[row, k], 1e-300)
+    return t[row, k] + inside * gap[row, k]
 
 
 def draw_tables(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -306,11 +345,11 @@ def draw_tables(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, discount
 
     P(t) is proportional to the Stirling number of (count, t) times the masses of the tables.  Above ``EXACT`` customers
     log S(n, t) = const - (t - 1) log d - log (t - 1)! + log h(n, t), where h depends on (t - 1) / n^d nearly alone
-    and is read from the last exact row; where most likely more than ``MANY`` tables are, t is drawn from a normal
-    distribution at the saddle point.  So the work for a dish does not grow with its customers.
+    and is read from the last exact row; where most likely more than ``MANY`` tables are, t is drawn from the saddle
+    point's density on a grid around its mode.  So the work for a dish does not grow with its customers.
     """
     out = np.ones(len(count), np.int64)
-    draw, z = rng.random(len(count)), rng.standard_normal(len(count))
+    draw = rng.random(len(count))
     mass = np.maximum(mass, 1e-300)
     exact = stirling(discount)
     lo = 1
@@ -325,10 +364,13 @@ def draw_tables(count: np.ndarray, mass: np.ndarray, slope: np.ndarray, discount
     heavy = np.flatnonzero(count > EXACT)
     if not len(heavy):
         return out
-    most, variance = _most(count[heavy].astype(float), mass[heavy], slope[heavy], discount)
+    most, variance, saddle = _most(count[heavy].astype(float), mass[heavy], slope[heavy], discount)
     many = most > MANY
     i = heavy[many]
-    out[i] = np.clip(np.rint(most[many] + np.sqrt(variance[many]) * z[i]), 1, count[i])
+    for a in range(0, len(i), CELLS // EXACT):
+        j, m = i[a : a + CELLS // EXACT], np.flatnonzero(many)[a : a + CELLS // EXACT]
+        t = _draw_many(count[j].astype(float), mass[j], slope[j], discount, most[m], variance[m], saddle[m], draw[j])
+        out[j] = np.clip(np.rint(t), 1, count[j])
     others = np.arange(EXACT)
     factorial = np.concatenate(([0.0], np.cumsum(np.log(others[1:]))))
     h = exact[EXACT] - exact[EXACT, 0] + others * math.log(discount) + factorial
