@@ -24,6 +24,7 @@ DEFAULT = [
     "trader_summary",
     "clean_orders",
     "prices_lookback",
+    "price_store_lookback",
 ]
 
 
@@ -31,7 +32,10 @@ def tree(df) -> str:
     df.collect()
     jvm = df.sparkSession.sparkContext._jvm
     text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-    return text.split("\n\n\n")[0].strip()
+    shown, _, details = text.partition("\n\n\n")
+    # what the scans skip: folders and row groups
+    filters = [line for line in details.split("\n") if line.startswith(("PartitionFilters:", "PushedFilters:"))]
+    return "\n".join([shown.strip(), *dict.fromkeys(filters)])
 
 
 def main() -> None:
