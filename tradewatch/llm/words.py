@@ -25,7 +25,7 @@ _powers: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """The first powers of a number modulo 2 ** 64 (``n`` at least)."""
     if len(_powers.get(base, ())) < n:
-        p = np.full(2 * n, base, np.uint64)
+        p = np.full(max(2 * SEGMENT, n + n // 4), base, np.uint64)
         p[0] = 1
         _powers[base] = np.cumprod(p)
     return _powers[base]
