@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from conftest_llm import frame
 
+from tradewatch.llm import jaccard_join as jj
 from tradewatch.llm.jaccard_join import Sets, Sketched, bands, fold, join, signatures, sketch
 from tradewatch.llm.packs import Pack
 
@@ -143,3 +144,53 @@ def test_bands_hold_all_pairs_that_can_link():
         for a in range(1, 500):
             largest = a * 100 // percent
             assert band(min(largest, 500)) - band(a) <= 1
+
+
+def test_a_family_below_the_threshold_is_hardly_announced(spark, monkeypatch):
+    """Texts that share most signatures but no link are not sent to each other's packs; links among them are found."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for k in r.sample(range(400), 20):
+            w[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(w)))
+    for i in range(0, 120, 30):
+        w = rows[i][1].split(" ")
+        w[r.randrange(400)] = "another"
+        rows.append((200 + i, " ".join(w)))
+    sent, per_pack = [], jj.Rounds.per_pack
+
+    def counted(self, work, schema):
+        out = per_pack(self, work, schema)
+        if schema == jj.SHIP_SCHEMA:
+            sent.append(out.filter(f"kind = {jj.SKETCH}").count())
+        return out
+
+    monkeypatch.setattr(jj.Rounds, "per_pack", counted)
+    out = join(frame(spark, [t for _, t in rows], [i for i, _ in rows]), 5, 80, pack_bytes=8000).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == brute(rows, 5, 80)
+    assert len(sent) == 2 and sent[1] < len(rows)
+
+
+def test_linked_sets_share_a_signature_with_chains_that_agree():
+    """Also at the limit, with differences in one part of the domain, and where many partitions are empty."""
+    r = np.random.default_rng(12)
+    for percent in (80, 90):
+        edges = bands(3000, percent)
+        for n in (1, 2, 5, 9, 10, 11, 19, 30, 64, 150, 700):
+            for _ in range(60):
+                a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64) << np.uint64(1))
+                most = int(len(a) * (100 - percent) / percent)
+                drop = int(r.integers(0, most + 1))
+                lost = r.permutation(a)[:drop] if r.random() < 0.5 else a[(at := r.integers(0, len(a) - drop + 1)) : at + drop]
+                b = np.unique(np.concatenate((np.setdiff1d(a, lost), r.integers(0, 1 << 63, most - drop).astype(np.uint64))))
+                common = len(np.intersect1d(a, b))
+                if common and 100 * common >= percent * (len(a) + len(b) - common):
+                    x, y = [], []
+                    p, q = signatures(a, edges, percent, x), signatures(b, edges, percent, y)
+                    x, y = np.concatenate(x), np.concatenate(y)
+                    assert len(x) == len(p) and len(y) == len(q)
+                    _, i, j = np.intersect1d(p, q, return_indices=True)
+                    assert jj.chains_agree(x[i], y[j]).any()

@@ -19,10 +19,18 @@ that loses nothing.  For every signature one holder is announced to the packs of
 features.  Two sketches never differ in more bits than the sets differ in features, so a pair with more differing bits
 than a link allows, or with incompatible sizes, is none; equal names are a link at once.  Of what is left one pair of
 each two names is verified exactly: the one set is sent to the pack of the other, once for all its pairs there.  After
-components, only shared signatures whose holders still lie in different components matter: holders outside the
-commonest component are announced to the packs of the others, each pair of packs in one direction (round 2).  Two
-linked sets share a signature, so either they are in one component already or they meet in round 2: no link between
-components is lost, and pairs inside a component need no check.
+components, only shared signatures whose holders still lie in different components matter.  Their holders are compared
+where the signature lives (round 2), each sent there once for a signature, of equal sets of a component one: by size and
+by the chain of the signature, 16 parities for its group and for each of the seven groups after it in a ring.  Only
+holders that pass are announced to each other's packs, each pair in one direction (never from the commonest component).
+
+No link is lost by the chains: let group j of G = k // 2 + 1 + e have d_j differences, k in all, so that the steps 2 - d_j
+sum up to 2G - k > 2e.  Around the ring, a group is good if the sums of the steps from it on are all positive, that is, if
+it and the l - 1 groups after it have at most 2l - 1 differences for every l.  The least sum still to come rises at good
+groups only, by at most 2 at each and by 2G - k in a round, so e + 1 groups at least are good.  A good group has at most
+one difference, so its signatures are shared as above, and parities differ no more than features.  Two linked sets
+thus share a signature whose chains pass, so either they are in one component already or they meet in round 2; pairs
+inside a component need no check.
 
 Edge cases: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than
 a shingle: the whole sequence is one feature; rows with equal ids are one node; a row with a null id is a node of its
@@ -51,6 +59,10 @@ PERCENT = 90
 PACK_BYTES = 8 << 20
 #: Partitions of a group that may differ.
 SPARE = 1
+#: Groups in the chain of a signature, 16 bits each.
+CHAIN = 8
+#: Pairs of holders compared at a time.
+PAIRS = 1 << 20
 #: kind SKETCH: a set announced to a pack (document, its pack and row, size, name, sketch); kind ROWS: the pack's own
 #: rows that hold shared signatures; kind FIRST: those of its own rows that are to be checked against the others.
 SHIP_SCHEMA = "pack_id long, kind int, doc long, source long, row long, size long, x long, s long, payload binary"
@@ -123,8 +135,8 @@ class Sets:
         return out
 
 
-def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
-    """Signatures of a sorted feature set for its own band and the next one."""
+def signatures(v: np.ndarray, edges: list[int], percent: int, chained: list[np.ndarray] | None = None) -> np.ndarray:
+    """Signatures of a sorted feature set for its own band and the next one; with ``chained`` their chains go there."""
     band = int(np.searchsorted(edges, len(v), "right")) - 1
     out = []
     # the features are mixed hashes, so the sum of a partition's features stands for their set
@@ -137,13 +149,39 @@ def signatures(v: np.ndarray, edges: list[int], percent: int) -> np.ndarray:
         s = np.diff(sums[np.append(at, len(v))]).reshape(-1, 2 * SPARE + 1)
         if len(tags) == 1:
             out.append(s.sum(1) ^ tags)
+            if chained is not None:
+                chained.append(np.zeros((1, CHAIN // 4), np.uint64))
             continue
         signs = s[:, _subsets()].sum(2).reshape(-1) ^ tags
         empty = np.diff(np.append(at, len(v))).reshape(-1, 2 * SPARE + 1)[:, _subsets()].sum(2) == 0
-        out.append(signs[~empty.reshape(-1)] if empty.any(1).sum() <= more else signs)
+        stay = ~empty.reshape(-1) if empty.any(1).sum() <= more else np.ones(len(signs), bool)
+        out.append(signs[stay])
+        if chained is not None:
+            chained.append(np.repeat(_chains(v, np.append(at[:: 2 * SPARE + 1], len(v))), len(_subsets()), axis=0)[stay])
     return mix(np.concatenate(out))
 
 
+def _chains(v: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """For each group of a sorted set (``limits``: where they begin, and the end) the parities of it and those after it."""
+    groups = len(limits) - 1
+    cells = np.repeat(np.arange(groups), np.diff(limits)) << 4 | (v & U(15)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=16 * groups) & 1).astype(np.uint8)
+    ring = np.packbits(odd, bitorder="little").view("<u2")
+    out = np.zeros((groups, CHAIN), "<u2")
+    for k in range(min(CHAIN, groups)):
+        out[:, k] = np.roll(ring, -k)
+    return out.view("<u8")
+
+
+def chains_agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether chains differ in at most 2l - 1 parities of their first l groups, for every l."""
+    differ = a ^ b
+    out = np.bitwise_count(differ).sum(1) < 2 * CHAIN
+    each = np.bitwise_count(differ[out].view("<u2")).cumsum(1)
+    out[out] = (each < 2 * np.arange(1, CHAIN + 1)).all(1)
+    return out
+
+
 @lru_cache(maxsize=1)
 def _subsets() -> np.ndarray:
     """The choices of SPARE + 1 partitions out of 2 SPARE + 1."""
@@ -167,13 +205,15 @@ def _instance(instance: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
 class Keys:
     """(slot, set) of all signatures of a pack, sorted."""
 
-    def __init__(self, sets: Sets, percent: int, buckets: int):
+    def __init__(self, sets: Sets, percent: int, buckets: int, chained: bool = False):
         edges = bands(int(sets.counts.max()) if len(sets.counts) else 1, percent)
-        each = [signatures(v, edges, percent) for v in sets.features]
+        chains: list[np.ndarray] | None = [] if chained else None
+        each = [signatures(v, edges, percent, chains) for v in sets.features]
         slots = to_slots(np.concatenate(each), buckets) if each else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)
         order = np.argsort(slots, kind="stable")
         self.slots, self.owner = slots[order], owner[order]
+        self.chains = np.concatenate(chains)[order] if chains else np.zeros((0, CHAIN // 4), np.uint64)
         self.first = group_edges(self.slots)
         self.end = np.append(self.first[1:], len(self.slots))
         self.keys = self.slots[self.first]
@@ -422,17 +462,18 @@ def _verify_sets(words: int, percent: int):
 class Labelled:
     """Shared signatures of the pack's sets with their components: distinct (key, component) in order."""
 
-    def __init__(self, pack: Pack, words: int, percent: int, buckets: int, answers: dict):
+    def __init__(self, pack: Pack, words: int, percent: int, buckets: int, answers: dict, chained: bool = False):
         known = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in answers.get(1, {}).values()]
         pairs = np.concatenate(known) if known else np.zeros((0, 2), np.int64)
         self.sets = Sets(pack, words)
-        keys = Keys(self.sets, percent, buckets)
+        keys = Keys(self.sets, percent, buckets, chained)
         shared = np.repeat(_shared(keys, answers.get(0, {}), buckets), keys.end - keys.first)
         slots, owner = keys.slots[shared], keys.owner[shared]
         # every set with a shared signature has a label
         component = pairs[np.searchsorted(pairs[:, 0], self.sets.rows[owner]), 1] if len(owner) else np.zeros(0, np.int64)
         order = np.lexsort((owner, component, slots))
         self.owner = owner[order]
+        self.chains = keys.chains[shared][order] if chained else keys.chains
         slots, component = slots[order], component[order]
         self.first = group_edges(slots, component)
         self.end = np.append(self.first[1:], len(slots))
@@ -449,47 +490,120 @@ def _ask_components(words: int, percent: int, buckets: int):
 
 
 def _resolve_components(packs: list[int], payloads: list[bytes]) -> list[bytes]:
-    """For keys held in several components: holders outside the commonest one go to the packs with the key.
-
-    Of two such holders the one in the later pack goes to the other's; holders of the commonest component go nowhere.
-    """
+    """Which keys are held in several components (bits)."""
     arrays = [unsqueeze(x) for x in payloads]
     key, component = np.concatenate([a[0] for a in arrays]), np.concatenate([a[1] for a in arrays])
-    pack = np.repeat(np.arange(len(arrays)), [len(a[0]) for a in arrays])
-    position = np.concatenate([np.arange(len(a[0])) for a in arrays])
-    order = np.lexsort((component, key))
-    key, component, pack, position = key[order], component[order], pack[order], position[order]
-    first = group_edges(key)
-    end = np.append(first[1:], len(key))
-    mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first) if len(key) else np.zeros(0, bool)
-    orders: list[list[tuple[int, np.ndarray]]] = [[] for _ in arrays]
-    ids = np.array(packs, np.int64)
-    for f, e in zip(first[mixed].tolist(), end[mixed].tolist(), strict=True):
-        inner = group_edges(component[f:e])
-        sizes = np.diff(np.append(inner, e - f))
-        common = component[f + inner[sizes.argmax()]]
-        rest = component[f:e] != common
-        others, at_common = np.unique(pack[f:e][rest]), np.unique(pack[f:e][~rest])
-        for j in (f + np.flatnonzero(rest)).tolist():
-            targets = np.union1d(others[others <= pack[j]], at_common)
-            orders[pack[j]].append((int(position[j]), ids[targets]))
-    return [_order_bytes(o) for o in orders]
+    order = np.argsort(key, kind="stable")
+    first = group_edges(key[order])
+    several = np.zeros(len(key), bool)
+    if len(key):
+        mixed = np.minimum.reduceat(component[order], first) != np.maximum.reduceat(component[order], first)
+        several[order] = np.repeat(mixed, np.diff(np.append(first, len(key))))
+    return [np.packbits(x).tobytes() for x in np.split(several, np.cumsum([len(a[0]) for a in arrays])[:-1])]
+
+
+def _ask_holders(words: int, percent: int, buckets: int):
+    """The holders of signatures that are held in several components: key, component, size, name, row and chain."""
+
+    def ask(pack: Pack, answers: dict) -> Iterator[tuple[int, bytes]]:
+        q = Labelled(pack, words, percent, buckets, answers, chained=True)
+        for b, lo, hi in bucket_bounds(q.slots, buckets):
+            several = np.unpackbits(np.frombuffer(answers[2][b], np.uint8), count=hi - lo).astype(bool)
+            many = (q.end - q.first)[lo:hi]
+            at = int(q.first[lo]) + np.flatnonzero(np.repeat(several, many))
+            if len(at):
+                key, component = np.repeat(q.slots[lo:hi][several], many[several]), np.repeat(q.component[lo:hi][several], many[several])
+                own = q.owner[at]
+                yield b, squeeze(
+                    (key & U(0xFFFFFFFF)).astype("<u4"), component.astype("<i8"), q.sets.counts[own].astype("<u4"),
+                    q.sets.names[own, 0].astype("<i8"), q.sets.rows[own].astype("<i4"), *q.chains[at].astype("<u8").T,
+                )
+
+    return ask
+
+
+def _outside_first(key: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order in which the holders outside a key's commonest component come first, and which ones these are (in that order)."""
+    by = np.lexsort((component, key))
+    first = group_edges(key[by], component[by])
+    size = np.diff(np.append(first, len(key)))
+    runs = np.lexsort((-size, key[by][first]))
+    commonest = np.zeros(len(first), bool)
+    commonest[runs[group_edges(key[by][first][runs])]] = True
+    outside = np.empty(len(key), bool)
+    outside[by] = ~np.repeat(commonest, size)
+    order = np.lexsort((~outside, key))  # stable
+    return order, outside[order]
+
+
+def _resolve_holders(percent: int):
+    """Of two holders of a key in different components whose sizes and chains allow a link, one goes to the other's pack.
+
+    That is the one outside the commonest component, of two such ones the one in the later pack.  A pack is told which of
+    its rows go where, and which rows are of such a pair.
+    """
+
+    def resolve(packs: list[int], payloads: list[bytes]) -> list[bytes]:
+        arrays = [unsqueeze(x) for x in payloads]
+        pack = np.repeat(np.arange(len(arrays)), [len(a[0]) for a in arrays])
+        key, component, size, name, row = (np.concatenate([a[k] for a in arrays]) for k in range(5))
+        chain = np.stack([np.concatenate([a[k] for a in arrays]) for k in range(5, 5 + CHAIN // 4)], 1)
+        # of equal sets in one component, one stands for all: the same one at all keys
+        order = np.lexsort((row, pack, *chain.T, size, name, component, key))
+        order = order[group_edges(*(x[order] for x in (key, component, name, size, *chain.T)))]
+        order = order[np.lexsort((row[order], pack[order], key[order]))]
+        by, outside = _outside_first(key[order], component[order])
+        order = order[by]
+        key, component, size, row, chain, pack = key[order], component[order], size[order].astype(np.int64), row[order], chain[order], pack[order]
+        first = group_edges(key)
+        end = np.repeat(np.append(first[1:], len(key)), np.diff(np.append(first, len(key))))
+        # every holder outside the commonest component with all that come after it
+        holders = np.flatnonzero(outside)
+        upto = np.concatenate(([0], np.cumsum(end[holders] - holders - 1)))
+        moves, pairs = [np.zeros((0, 3), np.int64)], [np.zeros((0, 2), np.int64)]
+        lo = 0
+        while lo < len(holders):
+            hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + PAIRS, "right")) - 1)
+            many = np.diff(upto[lo : hi + 1])
+            i = np.repeat(holders[lo:hi], many)
+            j = i + 1 + np.arange(len(i)) - np.repeat(upto[lo:hi] - upto[lo], many)
+            near = (component[i] != component[j]) & (100 * size[i] >= percent * size[j]) & (100 * size[j] >= percent * size[i])
+            i, j = i[near], j[near]
+            agree = chains_agree(chain[i], chain[j])
+            i, j = i[agree], j[agree]
+            agree = np.bitwise_count(chain[i] ^ chain[j]).sum(1, dtype=np.int64) * (100 + percent) <= (size[i] + size[j]) * (100 - percent)
+            i, j = i[agree], j[agree]
+            goes, stays = np.where(outside[j], j, i), np.where(outside[j], i, j)
+            moves.append(np.unique(np.stack((pack[goes], row[goes], pack[stays]), 1), axis=0))
+            pairs.append(np.unique(np.stack((pack[np.append(i, j)], row[np.append(i, j)]), 1), axis=0))
+            lo = hi
+        move, pair = np.unique(np.concatenate(moves), axis=0), np.unique(np.concatenate(pairs), axis=0)
+        ids, out = np.array(packs, np.int64), []
+        for p in range(len(arrays)):
+            _, at, to = move[slice(*np.searchsorted(move[:, 0], [p, p + 1]))].T
+            edges = group_edges(at)
+            targets = np.split(ids[to], edges[1:]) if len(at) else []
+            rows = pair[slice(*np.searchsorted(pair[:, 0], [p, p + 1])), 1]
+            out.append(_order_bytes(list(zip(at[edges].tolist(), targets, strict=True))) + rows.astype("<i4").tobytes())
+        return out
+
+    return resolve
 
 
 def _ship_rest(words: int, percent: int, buckets: int):
     def work(pack: Pack, answers: dict) -> Iterator[tuple]:
-        q = Labelled(pack, words, percent, buckets, answers)
-        wanted: set[tuple[int, int]] = set()
-        for b, lo, _ in bucket_bounds(q.slots, buckets):
-            position, many, targets, _n = _orders(answers[2][b])
-            begin = 0
-            for p, m in zip((lo + position).tolist(), many.tolist(), strict=True):
-                to = targets[begin : begin + m].tolist()
-                begin += m
-                for i in set(q.owner[q.first[p] : q.end[p]].tolist()):
-                    wanted.update((t, i) for t in to)
-        yield from _announce(pack, q.sets, wanted)
-        yield _own(pack, ROWS, q.sets.rows[np.unique(q.owner)])
+        moves: set[tuple[int, int]] = set()
+        rows = [np.zeros(0, np.int64)]
+        for payload in answers.get(3, {}).values():
+            row, many, targets, used = _orders(payload)
+            moves.update(zip(targets.tolist(), np.repeat(row, many).tolist(), strict=True))
+            rows.append(np.frombuffer(payload, "<i4", offset=used).astype(np.int64))
+        own = np.unique(np.concatenate(rows))
+        if len(own):
+            sets = Sets(pack, words, own)
+            at = {r: i for i, r in enumerate(sets.rows.tolist())}
+            yield from _announce(pack, sets, {(target, at[r]) for target, r in moves})
+            yield _own(pack, ROWS, own)
 
     return work
 
@@ -541,6 +655,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: st
     known, _ = materialize_counted(labels.groupBy("pack_id").applyInPandas(_pack_labels, REPLY_SCHEMA), "labels")
     rounds.add(known)
     rounds.round(_ask_components(words, percent, n), _resolve_components)
+    rounds.round(_ask_holders(words, percent, n), _resolve_holders(percent))
     more = verified(checked(_ship_rest, _check_rest))
     whole = components(links.unionByName(more))
     ids = sizes.join(whole, sizes["doc_id"] == whole["node"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
